@@ -70,7 +70,7 @@ def render_column(template: Column, msg: Column, metadata: Column) -> Column:
     filled = F.transform(
         F.arrays_zip(scopes.alias("scope"), names.alias("name")),
         lambda p: F.coalesce(
-            F.when(p["scope"] == "msg", F.get_json_object(msg, F.concat(F.lit("$."), p["name"])))
+            F.when(p["scope"] == "msg", F.call_function("get_json_object", msg, F.concat(F.lit("$."), p["name"])))
             .otherwise(F.try_element_at(metadata, p["name"])),
             F.lit(""),
         ),
@@ -89,7 +89,7 @@ def parse_double(col: Column) -> Column:
 
     ``try_cast`` alone would also take Java suffixes such as ``1.0d``.
     """
-    plain = F.when(col.rlike(_DECIMAL_NUMBER), col.try_cast("double"))
+    plain = F.when(col.rlike(_DECIMAL_NUMBER), col).try_cast("double")
     special = F.when(
         col.rlike(_SPECIAL_NUMBER),
         F.when(F.lower(col) == "nan", F.lit(float("nan")))
@@ -163,21 +163,17 @@ def parse_duration_ms(s: str) -> int | None:
 
 def parse_integer(col: Column) -> Column:
     """Integer text with optional sign and 0x / 0o / 0b / leading-0 base to decimal(38,0)."""
-    clean = F.when(
-        col.rlike(r"(?i)^[+-]?(0[xob]_?)?[0-9a-f]+(_[0-9a-f]+)*$"),
-        F.when(
-            col.contains("_") & ~col.rlike(r"(?i)^[+-]?0"), F.lit(None).cast("string")
-        ).otherwise(F.replace(col, F.lit("_"), F.lit(""))),
-    )
-    body = F.lower(F.regexp_replace(clean, r"^[+-]", ""))
-    digits = F.regexp_replace(F.regexp_replace(body, r"^0[xob]?(?=.)", ""), r"^0+(?=.)", "")
-    number = (
-        F.when(body.rlike(r"^0x[0-9a-f]+$") & (F.length(digits) <= 16), F.conv(digits, 16, 10))
-        .when(body.rlike(r"^0b[01]+$") & (F.length(digits) <= 64), F.conv(digits, 2, 10))
-        .when(body.rlike(r"^0o?[0-7]+$") & (F.length(digits) <= 21), F.conv(digits, 8, 10))
-        .when(body.rlike(r"^(0|[1-9]\d*)$"), body)
+    plain = F.lower(F.replace(col, F.lit("_"), F.lit("")))
+    # Underscores may only stand between digits of a prefixed number.
+    spaced = ~col.contains("_") | col.rlike(r"(?i)^[+-]?0[xob]?(_?[0-9a-f])+$")
+    digits = lambda pattern: F.nullif(F.regexp_extract(plain, pattern, 1), F.lit(""))
+    number = F.coalesce(
+        digits(r"^[+-]?(0|[1-9]\d*)$"),
+        F.conv(digits(r"^[+-]?0x0*([0-9a-f]{1,16})$"), 16, 10),
+        F.conv(digits(r"^[+-]?0b0*([01]{1,64})$"), 2, 10),
+        F.conv(digits(r"^[+-]?0o?0*([0-7]{1,21})$"), 8, 10),
     ).try_cast("decimal(38,0)")
-    return F.when(clean.startswith("-"), -number).otherwise(number)
+    return F.when(spaced, F.when(plain.startswith("-"), -number).otherwise(number))
 
 
 def parse_bool_text(col: Column) -> Column:

@@ -47,32 +47,46 @@ def null() -> Column:
     return typed("null")
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of ``value``, computed once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def variant_kind(value: Column) -> Column:
     """VALUE_T kind of a JSON variant (missing and JSON null are both ``null``)."""
-    schema = F.schema_of_variant(value)
-    return (
-        F.when(value.isNull() | schema.isin("VOID"), "null")
+    return let(
+        F.schema_of_variant(value),
+        lambda schema: F.when(schema.isNull() | (schema == "VOID"), "null")
         .when(schema == "STRING", "str")
         .when(schema == "BOOLEAN", "bool")
         .when(schema.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$"), "int")
         .when(schema.rlike(r"^(DECIMAL|DOUBLE|FLOAT)"), "num")
-        .otherwise("json")
+        .otherwise("json"),
     )
 
 
 def from_variant(value: Column) -> Column:
-    """JSON variant to VALUE_T; integers beyond 20 digits fall back to double."""
-    kind = variant_kind(value)
-    whole = F.when(kind == "int", F.try_variant_get(value, "$", "decimal(20,0)"))
-    as_num = (kind == "num") | ((kind == "int") & whole.isNull())
-    return F.struct(
-        F.when(as_num, "num").otherwise(kind).alias("kind"),
-        F.when(as_num, F.try_variant_get(value, "$", "double")).alias("num"),
-        whole.alias("int"),
-        F.when(kind == "str", F.try_variant_get(value, "$", "string")).alias("str"),
-        F.when(kind == "bool", F.try_variant_get(value, "$", "boolean")).alias("bool"),
-        F.when(kind == "json", F.to_json(value)).alias("json"),
-    )
+    """JSON variant to VALUE_T.
+
+    A number without a fraction is kind ``int``; beyond 20 digits it is ``num``.
+    """
+
+    def build(kind: Column) -> Column:
+        get = lambda wanted, t: F.when(kind == wanted, F.try_variant_get(value, "$", t))
+        return F.struct(
+            kind.alias("kind"),
+            get("num", "double").alias("num"),
+            get("int", "decimal(20,0)").alias("int"),
+            get("str", "string").alias("str"),
+            get("bool", "boolean").alias("bool"),
+            F.when(kind == "json", F.to_json(value)).alias("json"),
+        )
+
+    def settle(kind: Column) -> Column:
+        too_long = (kind == "int") & F.try_variant_get(value, "$", "decimal(20,0)").isNull()
+        return F.when(too_long, "num").otherwise(kind)
+
+    return let(let(variant_kind(value), settle), build)
 
 
 def as_double(value: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once
 
 S7_TYPES = ("BOOL", "BYTE", "INT", "WORD", "DINT", "DWORD", "REAL", "LREAL", "STRING")
 
@@ -137,6 +138,15 @@ SETPOINT_RULES = (
 FLOAT32_MAX = 3.4028235677973366e38  # first magnitude that rounds to infinity
 
 
+def _rule(kind: str, bits: int) -> str:
+    low = -(1 << bits - 1) if kind == "signed" else 0
+    high = (1 << (bits - 1 if kind == "signed" else bits)) - 1 if bits else 0
+    return (
+        f"named_struct('class', '{kind}', 'bits', {bits}, "
+        f"'low', cast('{low}' as decimal(38,0)), 'high', cast('{high}' as decimal(38,0)))"
+    )
+
+
 def validate_setpoints(setpoints: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed, rejects) of write values: name, protocol, type, value, string_len.
 
@@ -144,51 +154,54 @@ def validate_setpoints(setpoints: DataFrame) -> tuple[DataFrame, DataFrame]:
     projection. Controller integers take 0x, 0o and 0b; management integers are
     read up to the first character that is no digit.
     """
-    rules = F.create_map(
-        *[
-            x
-            for protocol, names, kind, bits in SETPOINT_RULES
-            for n in names
-            for x in (F.lit(f"{protocol}/{n}"), F.struct(F.lit(kind).alias("class"), F.lit(bits).alias("bits")))
-        ]
-    )
+    entries = [
+        f"'{protocol}/{n}', {_rule(kind, bits)}"
+        for protocol, names, kind, bits in SETPOINT_RULES
+        for n in names
+    ]
+    rules = F.expr(f"map({', '.join(entries)})")
     protocol = F.lower(F.trim("protocol"))
     key = F.concat(protocol, F.lit("/"), F.upper(X.strip(F.col("type"))))
-    text = X.strip(F.col("value"))
-    prefix = F.regexp_extract(text, r"^([+-]?\d+)", 1)
-    short = F.regexp_extract(text, r"^(\d+)", 1)
-    rule = F.col("_rule")
-    is_snmp = protocol == "snmp"
-    leading = F.when(rule["class"] == "unsigned", short).otherwise(prefix)
-    whole = F.when(is_snmp, leading.try_cast("decimal(38,0)")).otherwise(X.parse_integer(text))
-    whole = F.when((rule["class"] == "unsigned") & text.rlike("^[+-]"), None).otherwise(whole)
-    two = F.lit(2).cast("double")
-    bits = rule["bits"]
-    top = F.when(bits == 64, F.lit("18446744073709551615")).otherwise((F.pow(two, bits) - 1).cast("decimal(38,0)").cast("string")).cast("decimal(38,0)")
-    half = F.when(bits == 64, F.lit("9223372036854775807")).otherwise((F.pow(two, bits - 1) - 1).cast("decimal(38,0)").cast("string")).cast("decimal(38,0)")
-    number = X.parse_double(text)
-    infinite = F.abs(number) == float("inf")
-    fits = F.isnan(number) | infinite | (bits == 64) | (F.abs(number) < FLOAT32_MAX)
     cut = F.when(F.coalesce("string_len", F.lit(0)) > 0, F.col("string_len")).otherwise(F.lit(254))
-    short_text = F.when(
-        protocol == "s7", F.expr("substring(cast(_text as binary), 1, _cut)").cast("string")
-    ).otherwise(F.col("_text"))
-    marked = setpoints.withColumns({"_rule": F.try_element_at(rules, key), "_text": text, "_cut": cut}).withColumns(
-        {"_whole": whole, "_num": F.when(fits, number), "_bool": X.parse_bool_text(F.col("value"))}
+    text, kind = F.col("_text"), F.col("_rule.class")
+    staged = compute_once(
+        setpoints,
+        {"_protocol": protocol, "_rule": F.try_element_at(rules, key), "_text": X.strip(F.col("value")), "_cut": cut},
+    )
+    protocol = F.col("_protocol")
+    leading = F.regexp_extract(text, r"^([+-]?\d+)", 1)
+    whole = F.when(
+        kind.isin("signed", "unsigned"),
+        F.when(protocol == "snmp", leading.try_cast("decimal(38,0)")).otherwise(X.parse_integer(text)),
     )
-    kind = F.col("_rule.class")
-    in_range = F.when(kind == "signed", F.col("_whole").between(-half - 1, half)).otherwise(
-        F.col("_whole").between(F.lit(0), top)
+    staged = compute_once(
+        staged,
+        {
+            # Unsigned readers know no sign at all.
+            "_whole": F.when(~((kind == "unsigned") & text.rlike("^[+-]")), whole),
+            "_num": F.when(kind == "float", X.parse_double(text)),
+            "_bool": F.when(kind == "bool", X.parse_bool_text(text)),
+        },
     )
-    marked = marked.withColumn(
-        "reason",
+    single = F.col("_rule.bits") == 32
+    number = F.col("_num")
+    finite = F.abs(number) < float("inf")
+    reason = (
         F.when(F.col("_rule").isNull(), "unsupported type")
         .when((kind == "bool") & F.col("_bool").isNull(), "invalid bool value")
         .when(kind.isin("signed", "unsigned") & F.col("_whole").isNull(), "invalid integer")
-        .when(kind.isin("signed", "unsigned") & ~in_range, "value out of range")
-        .when((kind == "float") & F.col("_num").isNull(), "invalid number"),
+        .when(
+            kind.isin("signed", "unsigned") & ~F.col("_whole").between(F.col("_rule.low"), F.col("_rule.high")),
+            "value out of range",
+        )
+        .when((kind == "float") & number.isNull(), "invalid number")
+        .when((kind == "float") & single & finite & (F.abs(number) >= FLOAT32_MAX), "value out of range")
     )
-    real = F.when(F.col("_rule.bits") == 32, F.col("_num").cast("float").cast("double")).otherwise(F.col("_num"))
+    marked = staged.withColumn("reason", reason)
+    real = F.when(single, number.cast("float").cast("double")).otherwise(number)
+    short_text = F.when(
+        protocol == "s7", F.expr("substring(cast(_text as binary), 1, _cut)").cast("string")
+    ).otherwise(text)
     typed = (
         F.when(kind == "bool", V.boolean(F.col("_bool")))
         .when(kind.isin("signed", "unsigned"), V.integer(F.col("_whole")))

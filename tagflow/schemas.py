@@ -4,8 +4,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 VALUE_T = "struct<kind:string,num:double,int:decimal(20,0),str:string,bool:boolean,json:string>"
 
+# The same as a type object: UDFs are declared before any session exists.
+VALUE_STRUCT = T.StructType(
+    [
+        T.StructField("kind", T.StringType()),
+        T.StructField("num", T.DoubleType()),
+        T.StructField("int", T.DecimalType(20, 0)),
+        T.StructField("str", T.StringType()),
+        T.StructField("bool", T.BooleanType()),
+        T.StructField("json", T.StringType()),
+    ]
+)
+
 POINTS = f"msg_id bigint, pos int, name string, value {VALUE_T}, ts_ns bigint, error string"
 
 SERIES = (
