@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once
 from tagflow.operators.decode import crc16
 
 
@@ -193,7 +194,7 @@ def hj212_segment(ev: DataFrame) -> Column:
 
 def hj212_raw(ev: DataFrame) -> DataFrame:
     """conn, seq, bytes: one frame per event; every twentieth has a wrong checksum."""
-    framed = ev.withColumn("_seg", hj212_segment(ev))
+    framed = compute_once(ev, {"_seg": hj212_segment(ev)})
     crc = crc16(F.encode("_seg", "UTF-8"))
     crc = F.when(F.col("event_id") % 20 == 7, crc.bitwiseXOR(F.lit(1).cast("bigint"))).otherwise(crc)
     text = F.concat(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,3 +17,8 @@ def compute_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     """
     row = F.struct(*[c.alias(name) for name, c in columns.items()])
     return df.select("*", F.inline(F.array(row)))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, computed once however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -8,6 +8,8 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagflow.functions.stages import let
+
 PLACEHOLDER = r"\$\{\s*(msg|metadata)\.([^{}]+?)\s*\}"
 
 # Duration units in nanoseconds (fixed values).
@@ -89,62 +91,70 @@ def parse_double(col: Column) -> Column:
 
     ``try_cast`` alone would also take Java suffixes such as ``1.0d``.
     """
-    plain = F.when(col.rlike(_DECIMAL_NUMBER), col).try_cast("double")
-    special = F.when(
-        col.rlike(_SPECIAL_NUMBER),
-        F.when(F.lower(col) == "nan", F.lit(float("nan")))
-        .when(col.startswith("-"), F.lit(float("-inf")))
-        .otherwise(F.lit(float("inf"))),
-    )
-    overflow = F.abs(plain) == F.lit(float("inf"))
-    return F.coalesce(F.when(~overflow, plain), special)
+
+    def read(text: Column) -> Column:
+        plain = let(
+            F.when(text.rlike(_DECIMAL_NUMBER), text).try_cast("double"),
+            lambda n: F.when(F.abs(n) < float("inf"), n),
+        )
+        special = F.when(
+            text.rlike(_SPECIAL_NUMBER),
+            F.when(F.lower(text) == "nan", F.lit(float("nan")))
+            .when(text.startswith("-"), F.lit(float("-inf")))
+            .otherwise(F.lit(float("inf"))),
+        )
+        return F.coalesce(plain, special)
+
+    return let(col, read)
 
 
 def to_bool(col: Column) -> Column:
     """true / 1 / any non-zero number is true; blank, 0, null and other text false."""
-    s = strip(col)
-    low = F.lower(s)
-    number = parse_double(s)
-    hex_mantissa = F.regexp_extract(low, r"0x([0-9a-f.]+)p", 1)
-    return (
-        F.when(col.isNull(), False)
-        .when(low.isin("true", "1"), True)
-        .when(low.isin("", "false", "0", "null"), False)
-        .when(s.rlike(_HEX_NUMBER), hex_mantissa.rlike("[1-9a-f]"))
-        .otherwise(F.coalesce(F.isnan(number) | (number != 0), F.lit(False)))
-    )
+
+    def read(low: Column) -> Column:
+        mantissa = F.regexp_extract(low, r"0x([0-9a-f.]+)p", 1)
+        number = let(parse_double(low), lambda n: F.coalesce(F.isnan(n) | (n != 0), F.lit(False)))
+        return (
+            F.when(low.isin("true", "1"), True)
+            .when(low.isNull() | low.isin("", "false", "0", "null"), False)
+            .when(low.rlike(_HEX_NUMBER), mantissa.rlike("[1-9a-f]"))
+            .otherwise(number)
+        )
+
+    return let(F.lower(strip(col)), read)
 
 
 def duration_ms(col: Column) -> Column:
     """``1h30m``, ``1.5s``, ``-300us``, bare ``0``: whole milliseconds, else null."""
-    s = strip(col)
-    body = F.regexp_replace(s, r"^[+-]", "")
-    numbers = F.regexp_extract_all(body, F.lit(_DURATION_PART), F.lit(1))
-    units = F.regexp_extract_all(body, F.lit(_DURATION_PART), F.lit(2))
-    unit_map = F.create_map(*[F.lit(x) for kv in UNIT_NS.items() for x in kv])
-    total = F.aggregate(
-        F.zip_with(
-            numbers,
-            units,
-            lambda n, u: F.floor(
-                F.try_multiply(
-                    F.concat(F.lit("0"), n).try_cast("decimal(28,9)"),
-                    unit_map[u].cast("decimal(14,0)"),
-                )
-            ).try_cast("decimal(38,0)"),
-        ),
-        F.lit(0).cast("decimal(38,0)"),
-        lambda acc, x: F.try_add(acc, x).try_cast("decimal(38,0)"),
-    )
-    in_range = F.when(total <= F.lit(_MAX_NS).cast("decimal(38,0)"), total.cast("bigint"))
-    ms = F.call_function("div", in_range, F.lit(1_000_000).cast("bigint"))
-    return (
-        F.when(body == "0", F.lit(0).cast("bigint"))
-        .when(
-            body.rlike(f"^({_DURATION_PART})+$"),
-            F.when(s.startswith("-"), -ms).otherwise(ms),
+    units = F.expr("map(" + ", ".join(f"'{u}', cast({n} as decimal(14,0))" for u, n in UNIT_NS.items()) + ")")
+    zero = F.lit(0).cast("decimal(38,0)")
+
+    def part_ns(number: Column, unit: Column) -> Column:
+        exact = F.concat(F.lit("0"), number).try_cast("decimal(28,9)")
+        return F.floor(F.try_multiply(exact, units[unit])).try_cast("decimal(38,0)")
+
+    def body_ms(body: Column) -> Column:
+        numbers = F.regexp_extract_all(body, F.lit(_DURATION_PART), F.lit(1))
+        names = F.regexp_extract_all(body, F.lit(_DURATION_PART), F.lit(2))
+        total = F.aggregate(
+            F.zip_with(numbers, names, part_ns),
+            zero,
+            lambda acc, x: F.try_add(acc, x).try_cast("decimal(38,0)"),
+        )
+        whole = let(
+            total,
+            lambda t: F.when(t <= F.lit(_MAX_NS).cast("decimal(38,0)"), t.cast("bigint")),
+        )
+        ms = F.call_function("div", whole, F.lit(1_000_000).cast("bigint"))
+        return F.when(body == "0", F.lit(0).cast("bigint")).when(
+            body.rlike(f"^({_DURATION_PART})+$"), ms
         )
-    )
+
+    def read(text: Column) -> Column:
+        magnitude = let(F.regexp_replace(text, "^[+-]", ""), body_ms)
+        return magnitude * F.when(text.startswith("-"), -1).otherwise(1)
+
+    return let(strip(col), read)
 
 
 def parse_duration_ms(s: str) -> int | None:
@@ -178,15 +188,15 @@ def parse_integer(col: Column) -> Column:
 
 def parse_bool_text(col: Column) -> Column:
     """1, t, T, TRUE, true, True and their opposites, or any decimal integer."""
-    s = strip(col)
-    return (
-        F.when(s.isin("1", "t", "T", "TRUE", "true", "True"), True)
-        .when(s.isin("0", "f", "F", "FALSE", "false", "False"), False)
-        .when(
-            s.rlike(r"^[+-]?\d+$") & s.try_cast("bigint").isNotNull(),
-            s.try_cast("bigint") != 0,
+
+    def read(s: Column) -> Column:
+        return (
+            F.when(s.isin("1", "t", "T", "TRUE", "true", "True"), True)
+            .when(s.isin("0", "f", "F", "FALSE", "false", "False"), False)
+            .when(s.rlike(r"^[+-]?\d+$"), s.try_cast("bigint") != 0)
         )
-    )
+
+    return let(strip(col), read)
 
 
 def is_timeout(error: Column) -> Column:

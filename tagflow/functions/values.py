@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagflow.functions.stages import let
+
 _SLOTS = {
     "num": "double",
     "int": "decimal(20,0)",
@@ -47,11 +49,6 @@ def null() -> Column:
     return typed("null")
 
 
-def let(value: Column, body) -> Column:
-    """``body`` of ``value``, computed once however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def variant_kind(value: Column) -> Column:
     """VALUE_T kind of a JSON variant (missing and JSON null are both ``null``)."""
     return let(

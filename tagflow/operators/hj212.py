@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once, let
 from tagflow.operators.decode import crc16
 from tagflow.operators.ordered import MAX_KEY_ROWS, carried_scan
 
@@ -124,9 +125,9 @@ def hj212_frames(
     own = raw.columns
     s = F.col("_s")
     length = F.when(F.substring(s, 3, 4).rlike(r"^[+-]?\d+\z"), F.substring(s, 3, 4).try_cast("int"))
-    step1 = raw.withColumn("_s", frame).withColumn("_len", length)
+    step1 = compute_once(compute_once(raw, {"_s": frame}), {"_len": length})
     fits = F.coalesce(F.length(s) == F.col("_len") + 10, F.lit(False))
-    step2 = step1.withColumn("_seg", F.when(fits, F.expr("substring(_s, 7, _len)")))
+    step2 = compute_once(step1, {"_seg": F.when(fits, F.expr("substring(_s, 7, _len)"))})
     seg = F.col("_seg")
     step3 = step2.withColumn(
         "_crc", F.when(seg.isNotNull(), crc16(F.encode(F.coalesce(seg, F.lit("")), "ISO-8859-1")))
@@ -161,20 +162,19 @@ def hj212_frames(
     items = F.filter(F.split(body, ";"), lambda x: x != "")
     times = F.filter(
         F.transform(
-            F.filter(items, lambda x: x.startswith("DataTime=")),
+            F.filter("_items", lambda x: x.startswith("DataTime=")),
             lambda x: data_time_ns(F.regexp_replace(x, "^DataTime=", ""), zone),
         ),
         lambda t: t.isNotNull(),
     )
     field = lambda k: F.coalesce(_utf8(F.try_element_at(F.col("_h"), F.lit(k))), F.lit(""))
     good = (
-        step4.filter(F.col("reason").isNull())
-        .withColumn("_h", header)
+        compute_once(step4.filter(F.col("reason").isNull()), {"_h": header, "_items": items})
         .select(
             *[c for c in own if c != payload],
             *[field(k).alias(k.lower()) for k in ("QN", "ST", "CN", "PW", "MN", "Flag")],
             F.coalesce(F.try_element_at(times, F.lit(-1)), F.lit(0)).cast("bigint").alias("ts_ns"),
-            F.transform(F.filter(items, lambda x: ~x.startswith("DataTime=")), _utf8).alias("items"),
+            F.transform(F.filter("_items", lambda x: ~x.startswith("DataTime=")), _utf8).alias("items"),
         )
     )
     number = F.when(F.col("flag").rlike(r"^[+-]?\d+$"), F.col("flag").try_cast("bigint"))
@@ -189,7 +189,9 @@ def _factors(items: Column) -> Column:
     parts = F.flatten(F.transform(items, lambda i: F.split(i, ",")))
 
     def one(p: Column) -> Column:
-        code = F.substring_index(p, "=", 1)
+        return let(F.substring_index(p, "=", 1), lambda code: named(p, code))
+
+    def named(p: Column, code: Column) -> Column:
         suffix = F.when(code.contains("-"), F.regexp_replace(code, "(?s)^[^-]*-", ""))
         name = F.substring_index(code, "-", 1)
         label = (
@@ -215,7 +217,7 @@ def hj212_points(frames: DataFrame, keep: Sequence[str] = ("conn", "seq", "frame
     Real-time values keep the bare factor code. A frame with a NaN or infinite
     factor yields no points at all; ``hj212_quarantine`` lists such frames.
     """
-    usable = frames.withColumn("_f", _factors(F.col("items"))).filter(~_unsendable(F.col("_f")))
+    usable = compute_once(frames, {"_f": _factors(F.col("items"))}).filter(~_unsendable(F.col("_f")))
     return usable.select(
         *keep, "mn", "st", "cn", "ts_ns", F.posexplode("_f").alias("pos", "_p")
     ).select(
