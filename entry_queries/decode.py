@@ -1 +1,388 @@
-"""pending"""
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from entry_queries import EV, query
+from fixtures import captures as C
+from tagflow.operators import captures as P
+from tagflow.operators import decode, hj212, modbus, ranges, traps
+
+
+def pick(items, by):
+    return F.element_at(F.array(*[F.lit(i) for i in items]), (by % len(items) + 1).cast("int"))
+
+
+@query(
+    "d1_decode_typed",
+    f"""with t as (select event_id, k, value, event_id % 9 as w from {EV})
+select event_id, case when w = 0 then (k // 4) % 2 = 1 end as flag,
+ case w when 1 then k when 2 then -k when 3 then k * 600 when 4 then -k * 100000 when 5 then k * 43000000 end as whole,
+ case w when 6 then k + 0.25 when 7 then value end as num, case when w = 8 then case when k % 2 = 0 then 'He' || k end end as str,
+ case when w = 8 and k % 2 = 1 then '[' || k || ',' || -k || ']' end as json from t""",
+)
+def d1(spark, sf):
+    w, k = F.col("event_id") % 9, F.col("k")
+    even = k % 2 == 0
+    kind = F.when((w == 8) & ~even, "INT").otherwise(
+        pick(["BOOL", "BYTE", " int ", "WORD", "DINT", "DWORD", "REAL", "LREAL", "STRING"], F.col("event_id"))
+    )
+    form = pick(["B", "B", "h", "H", "i", "I", "f", "d", "h"], F.col("event_id"))
+    number = (
+        F.when(w == 2, -k).when(w == 3, k * 600).when(w == 4, -k * 100_000).when(w == 5, k * 43_000_000).otherwise(k)
+    ).cast("double")
+    number = F.when(w == 6, k + 0.25).when(w == 7, F.col("value")).otherwise(number)
+    packed = C.pack(form, number)
+    text = F.concat(F.lit("He"), k.cast("string"))
+    string = F.concat(F.unhex(F.lit("FE")), F.unhex(C.hex_of(F.length(text), 1)), text.cast("binary"), F.unhex(F.lit("0000")))
+    array = F.concat(packed, F.unhex(F.substring(F.hex(-k), -4, 4)))
+    cell = F.when(w != 8, packed).when(even, string).otherwise(array)
+    rows = C.events(spark, sf).select(
+        "event_id", cell.alias("bytes"), kind.alias("type"), F.lit(2).alias("bit"),
+        F.when((w == 8) & ~even, 2).otherwise(1).alias("count"),
+    )
+    return decode.decode_typed(rows).select(
+        "event_id", F.col("value.bool").alias("flag"), F.col("value.int").cast("bigint").alias("whole"),
+        F.col("value.num").alias("num"), F.col("value.str").alias("str"), F.col("value.json").alias("json"),
+    )
+
+
+@query(
+    "d2_decode_endian",
+    f"""select event_id, ['ABCD', 'CDAB', 'BADC', 'DCBA'][event_id % 4 + 1] as endian, k * 1000003 as whole,
+cast(k as double) + 0.5 as num from {EV}""",
+)
+def d2(spark, sf):
+    order = pick(["ABCD", "CDAB", "BADC", "DCBA"], F.col("event_id"))
+
+    def reordered(hexed):
+        a, b, c, d = (F.substring(hexed, i, 2) for i in (1, 3, 5, 7))
+        return F.unhex(
+            F.when(order == "CDAB", F.concat(c, d, a, b)).when(order == "BADC", F.concat(b, a, d, c))
+            .when(order == "DCBA", F.concat(d, c, b, a)).otherwise(hexed)
+        )
+
+    rows = C.events(spark, sf).select(
+        "event_id", order.alias("endian"), "k",
+        reordered(C.hex_of(F.col("k") * 1_000_003, 4)).alias("word"),
+        reordered(F.hex(C.pack(F.lit("f"), F.col("k") + 0.5))).alias("real"),
+        F.lit("UINT32").alias("t1"), F.lit("float32").alias("t2"),
+    )
+    first = decode.decode_endian(rows, "word", "t1").withColumnRenamed("value", "v1")
+    both = decode.decode_endian(first, "real", "t2")
+    return both.select(
+        "event_id", "endian", F.col("v1.int").cast("bigint").alias("whole"), F.col("value.num").alias("num")
+    )
+
+
+_D3 = """with recursive p as (select p_partkey % 50 as device, p_partkey as pos, (p_partkey * 7919) % 1500 as addr,
+  case p_size % 4 when 0 then 1 when 1 then 2 when 2 then 8 else 300 end as width from part where p_size % 10 <> 9),
+d as (select device, addr, width, min(pos) as pos from p group by 1, 2, 3),
+o as (select *, row_number() over (partition by device order by addr, pos) as rn from d),
+g as (select device, addr, width, rn, 0 as block, addr as first, addr + width as stop from o where rn = 1
+  union all select o.device, o.addr, o.width, o.rn,
+    case when o.addr > g.stop + 16 or greatest(g.stop, o.addr + o.width) - g.first > 222 then g.block + 1 else g.block end,
+    case when o.addr > g.stop + 16 or greatest(g.stop, o.addr + o.width) - g.first > 222 then o.addr else g.first end,
+    case when o.addr > g.stop + 16 or greatest(g.stop, o.addr + o.width) - g.first > 222 then o.addr + o.width
+         else greatest(g.stop, o.addr + o.width) end
+  from g join o on o.device = g.device and o.rn = g.rn + 1),
+b as (select device, block, min(addr) as block_start, max(addr + width) as block_end from g group by 1, 2)
+select p.pos, p.device, g.block, b.block_start, b.block_end from p join g using (device, addr, width) join b on b.device = p.device and b.block = g.block"""
+
+
+@query("d3_coalesce_ranges", _D3)
+def d3(spark, sf):
+    part = C.table(spark, sf, "part")
+    points = part.select(
+        (F.col("p_partkey") % 50).alias("device"), F.lit("db").alias("area"), F.lit(1).alias("db"),
+        F.col("p_partkey").alias("pos"), (F.col("p_partkey") * 7919 % 1500).cast("int").alias("addr"),
+        F.when(F.col("p_size") % 10 == 9, "XYZ").otherwise(pick(["BOOL", "INT", "LREAL", "STRING"], F.col("p_size"))).alias("type"),
+        F.lit(0).alias("bit"), F.lit(1).alias("count"), F.lit(298).alias("string_len"),
+    )
+    plan, _ = ranges.coalesce_ranges(points)
+    return plan.select("pos", "device", "block", "block_start", "block_end")
+
+
+_SEG = """'QN=' || stamp || '000;ST=32;CN=' || ['2011', '2051', '2061', '2031'][event_id % 4 + 1] || ';PW=123456;MN=D' || user_id
+ || ';Flag=' || k % 6 || ';CP=&&DataTime=' || stamp || ';' || case when event_id % 4 = 0 then 'a34004-Rtd=' || value || ',a34004-Flag=N;a01-ZsRtd=' || k
+ else 'a34004-Avg=' || value || ',a34004-Cou=' || k || ',a34004-Flag=N' end || '&&'"""
+_HJ = f"with h as (select *, strftime(make_timestamp(ts_ns // 1000), '%Y%m%d%H%M%S') as stamp from {EV})"
+_FRAMES = _HJ + f""" select user_id as conn, event_id * 2 + 1 as seq, 0 as frame_no,
+ '##' || lpad(cast(length({_SEG}) as varchar), 4, '0') || {_SEG} as head, length({_SEG}) + 12 as size from h"""
+
+
+def _frames(spark, sf, limit):
+    out = hj212.split_frames(C.hj212_segments(C.events(spark, sf)), max_key_rows=limit)
+    text = F.decode("bytes", "ISO-8859-1")
+    return out.select(
+        "conn", "seq", "frame_no", F.regexp_replace(text, r"(?s).{6}\z", "").alias("head"),
+        F.length("bytes").alias("size"),
+    )
+
+
+@query("f1_split_frames", _FRAMES)
+def f1(spark, sf):
+    return _frames(spark, sf, 1_000_000)
+
+
+@query("f1_split_frames_hot_keys", _FRAMES)
+def f1_hot(spark, sf):
+    return _frames(spark, sf, 60)
+
+
+@query(
+    "f2_hj212_frames",
+    _HJ + """ select user_id as conn, event_id as seq, stamp || '000' as qn, '32' as st, ['2011', '2051', '2061', '2031'][event_id % 4 + 1] as cn,
+'123456' as pw, 'D' || user_id as mn, cast(k % 6 as varchar) as flag, ts_ns // 1000000000 * 1000000000 as ts_ns, k % 2 = 1 as needs_ack
+from h where event_id % 20 <> 7""",
+)
+def f2(spark, sf):
+    good, _ = hj212.hj212_frames(C.hj212_raw(C.events(spark, sf)))
+    return good.select("conn", "seq", "qn", "st", "cn", "pw", "mn", "flag", "ts_ns", "needs_ack")
+
+
+@query("f2_hj212_rejects", f"select event_id as seq, 'crc check failed' as reason from {EV} where event_id % 20 = 7")
+def f2_rejects(spark, sf):
+    return hj212.hj212_frames(C.hj212_raw(C.events(spark, sf)))[1].select("seq", "reason")
+
+
+@query(
+    "f3_hj212_points",
+    f"""with h as (select * from {EV} where event_id % 20 <> 7)
+select event_id as seq, pos, case when event_id % 4 = 0 then ['a34004', 'a01-Zs'][pos + 1] else ['a34004-Avg', 'a34004-Cou'][pos + 1] end as name,
+ case pos when 0 then value else k end as num, ts_ns // 1000000000 * 1000000000 as ts_ns, 'D' || user_id as mn,
+ strftime(make_timestamp(ts_ns // 1000), '%Y-%m-%d %H:%M:%S') as data_time from h, (select unnest([0, 1]) as pos)""",
+)
+def f3(spark, sf):
+    good, _ = hj212.hj212_frames(C.hj212_raw(C.events(spark, sf)))
+    return hj212.hj212_points(good).select(
+        "seq", "pos", "name", F.col("value.num").alias("num"), "ts_ns", F.col("metadata")["mn"].alias("mn"),
+        F.col("metadata")["dataTime"].alias("data_time"),
+    )
+
+
+def trap_messages(ev):
+    data = F.concat(
+        F.lit('{"from":"10.0.0.1:162","version":"v2c","community":"public","timestamp":'), F.col("k").cast("string"),
+        F.lit(',"variables":[{"oid":".1.3.6.1.6.3.1.1.4.1.0","value":".1.3.6.1.4.1.'), F.col("user_id").cast("string"),
+        F.lit('","type":"ObjectIdentifier"},{"oid":".1.3.6.2","value":"'),
+        F.base64(F.concat(F.lit("link"), F.col("k").cast("string")).cast("binary")),
+        F.lit('","type":"OctetString"},{"oid":"1.3.6.3","value":'), F.col("k").cast("string"), F.lit(',"type":"Integer"}]}'),
+    )
+    return ev.select(F.col("event_id").alias("msg_id"), F.when(F.col("event_id") % 50 == 9, "junk").otherwise(data).alias("data"))
+
+
+@query(
+    "f4_snmp_traps",
+    f"""select event_id as msg_id, 'v2c' as version, 'public' as community, k as timestamp, '1.3.6.1.4.1.' || user_id as trap_oid,
+3 as variables from {EV} where event_id % 50 <> 9""",
+)
+def f4(spark, sf):
+    traps_, _, _ = traps.snmp_traps(trap_messages(C.events(spark, sf)))
+    return traps_.select("msg_id", "version", "community", "timestamp", "trap_oid", "variables")
+
+
+@query(
+    "f4_trap_varbinds",
+    f"""with t as (select event_id as msg_id, user_id, k from {EV} where event_id % 50 <> 9)
+select msg_id, pos, ['1.3.6.1.6.3.1.1.4.1.0', '1.3.6.2', '1.3.6.3'][pos + 1] as oid, ['ObjectIdentifier', 'OctetString', 'Integer'][pos + 1] as type,
+ case pos when 0 then '.1.3.6.1.4.1.' || user_id when 1 then 'link' || k end as text, case pos when 2 then k end as whole
+from t, (select unnest([0, 1, 2]) as pos)""",
+)
+def f4_varbinds(spark, sf):
+    _, binds, _ = traps.snmp_traps(trap_messages(C.events(spark, sf)))
+    return binds.select(
+        "msg_id", "pos", "oid", "type", F.coalesce(F.col("raw").cast("string"), F.col("value.str")).alias("text"),
+        F.col("value.int").cast("bigint").alias("whole"),
+    )
+
+
+def write_events(ev):
+    kind = F.when(F.col("event_id") % 3 == 0, "coil").otherwise("holding_register")
+    n = (F.col("event_id") % 4).cast("int")
+    values = F.transform(F.sequence(F.lit(0), n), lambda i: ((F.col("k") + i) % F.when(F.col("event_id") % 3 == 0, 2).otherwise(65536)).cast("int"))
+    return ev.select(
+        (F.col("user_id") % 10).alias("server"), F.col("event_id").alias("seq"), kind.alias("type"),
+        (F.col("user_id") % 2 + 1).cast("int").alias("unitId"), (F.col("k") * 21).cast("int").alias("addr"),
+        F.when(F.col("event_id") % 25 == 3, n + 2).otherwise(n + 1).alias("quantity"), values.alias("values"),
+        F.lit("10.0.0.9").alias("clientAddr"), F.col("ts_ns").alias("timestamp"),
+    )
+
+
+_MB = f"""with w as (select user_id % 10 as server, event_id as seq, case when event_id % 3 = 0 then 'coil' else 'holding_register' end as type,
+ k * 21 as addr, event_id % 4 + 1 + case when event_id % 25 = 3 then 1 else 0 end as quantity, event_id % 4 + 1 as have, k, ts_ns from {EV} where user_id % 2 = 0),
+m as (select *, case when addr + quantity > 2000 then 'illegal data address' when have < quantity then 'illegal data value' end as reason from w),
+r as (select m.*, i as pos, addr + i as address, (k + i) % case when type = 'coil' then 2 else 65536 end as value
+      from m, (select unnest([0, 1, 2, 3]) as i) where reason is null and i < quantity)
+"""
+
+
+@query(
+    "f5_modbus_writes",
+    _MB + """select server, seq, type, pos, address, lpad(cast(case when type = 'coil' then 1 else 40001 end + addr as varchar), 5, '0') as modbus_addr,
+value from r""",
+)
+def f5(spark, sf):
+    rows, _ = modbus.modbus_writes(write_events(C.events(spark, sf)), unit=1)
+    return rows.select("server", "seq", "type", "pos", "address", "modbus_addr", "value")
+
+
+@query(
+    "f5_modbus_rejects",
+    _MB + f"select seq, reason from m where reason is not null union all select event_id, 'other unit' from {EV} where user_id % 2 = 1",
+)
+def f5_rejects(spark, sf):
+    return modbus.modbus_writes(write_events(C.events(spark, sf)), unit=1)[1].select("seq", "reason")
+
+
+@query(
+    "f6_register_image",
+    _MB + """select server, type as bank, address, arg_max(value, ts_ns * 4 + pos) as value, max(ts_ns) as written_ns from r group by 1, 2, 3""",
+)
+def f6(spark, sf):
+    rows, _ = modbus.modbus_writes(write_events(C.events(spark, sf)), unit=1)
+    return modbus.register_image(rows)
+
+
+@query(
+    "f6_read_range",
+    _MB + """select s.server, 'holding_register' as bank, a.address, coalesce(v.value, 0) as value
+from (select distinct server from r) s cross join (select unnest(range(0, 200)) as address) a
+left join (select server, address, arg_max(value, ts_ns * 4 + pos) as value from r where type = 'holding_register' group by 1, 2) v
+on v.server = s.server and v.address = a.address""",
+)
+def f6_range(spark, sf):
+    rows, _ = modbus.modbus_writes(write_events(C.events(spark, sf)), unit=1)
+    return modbus.read_range(modbus.register_image(rows), "holding_register", 0, 200)
+
+
+def fins_captures(ev):
+    w = F.col("event_id") % 20
+    head = F.lit("C00002000100000200010104")
+    body = F.concat(
+        F.lit("82"), C.hex_of(F.col("k") * 500, 2), F.lit("30"), C.hex_of(F.col("k") % 2, 1), F.lit("B1"), C.hex_of(F.col("event_id") % 65536, 2)
+    )
+    text = (
+        F.when(w == 1, F.concat(head, F.lit("0401")))
+        .when(w == 2, F.concat(head, F.lit("0000"), F.substring("_b", 1, 14)))
+        .when(w == 3, F.lit("C0000200"))
+        .otherwise(F.concat(head, F.lit("0000"), F.col("_b")))
+    )
+    return ev.withColumn("_b", body).select(
+        F.col("user_id").alias("device"), F.col("event_id").alias("seq"), F.unhex(text).alias("bytes"), F.lit(3).alias("expected")
+    )
+
+
+@query(
+    "f7_fins_results",
+    f"""select event_id as seq, pos, [130, 48, 177][pos + 1] as area, pos = 1 as is_bit,
+ case pos when 0 then k * 500 when 1 then k % 2 else event_id % 65536 end as value
+from {EV}, (select unnest([0, 1, 2]) as pos) where event_id % 20 not in (1, 2, 3)""",
+)
+def f7(spark, sf):
+    rows, _ = P.fins_results(fins_captures(C.events(spark, sf)))
+    return rows.select("seq", "pos", "area", "is_bit", "value")
+
+
+@query(
+    "f7_fins_rejects",
+    f"""select event_id as seq, case event_id % 20 when 1 then 'command rejected, end code 0x0401' else 'short data for item 2' end as reason
+from {EV} where event_id % 20 in (1, 2)""",
+)
+def f7_rejects(spark, sf):
+    return P.fins_results(fins_captures(C.events(spark, sf)))[1].select("seq", "reason")
+
+
+def bacnet_captures(ev):
+    """Read-multiple with two objects, single reads, errors, aborts, write answers."""
+    w = F.col("event_id") % 10
+    oid = lambda kind, n: C.hex_of(F.lit(kind << 22) + n, 4)
+    value = F.concat(F.lit("22"), C.hex_of(F.col("k") * 300, 2))
+    text = F.concat(F.lit("75"), C.hex_of(F.length(F.col("_t")) + 1, 1), F.lit("00"), F.hex(F.col("_t").cast("binary")))
+    rpm = F.concat(
+        F.lit("30010E0C"), oid(0, F.col("user_id")), F.lit("1E29554E"), value, F.lit("4F294D4E"), text, F.lit("4F1F0C"),
+        oid(3, F.col("user_id")), F.lit("1E29554E"), F.when(F.col("k") % 2 == 0, "11").otherwise("10"),
+        F.lit("4F29675E910291205F1F"),
+    )
+    one = F.concat(F.lit("30010C0C"), oid(2, F.col("user_id")), F.lit("19553E44"), F.hex(C.pack(F.lit("f"), F.col("k") + 0.5)), F.lit("3F"))
+    apdu = (
+        F.when(w == 1, one).when(w == 2, F.lit("40010E91029120")).when(w == 3, F.lit("7101"))
+        .when(w == 4, F.lit("20010F")).when(w == 5, F.lit("50010409")).otherwise(rpm)
+    )
+    frame = F.concat(F.lit("810A"), C.hex_of(F.length("_a") / 2 + 6, 2), F.lit("0100"), F.col("_a"))
+    return (
+        ev.withColumn("_t", F.concat(F.lit("AI-"), F.col("user_id").cast("string")))
+        .withColumn("_a", apdu)
+        .select(F.col("user_id").alias("device"), F.col("event_id").alias("seq"), F.unhex(frame).alias("bytes"))
+    )
+
+
+@query(
+    "f8_bacnet_results",
+    f"""with e as (select *, event_id % 10 as w from {EV}), r as (select * from e where w not in (1, 2, 3, 4, 5))
+select event_id as seq, 0 as object_type, user_id as instance, 85 as property, k * 300 as whole, cast(null as double) as num, null as str, null as flag, null as error from r
+union all select event_id, 0, user_id, 77, null, null, 'AI-' || user_id, null, null from r
+union all select event_id, 3, user_id, 85, null, null, null, k % 2 = 0, null from r
+union all select event_id, 3, user_id, 103, null, null, null, null, 'bacnet error: class=2 code=32' from r
+union all select event_id, 2, user_id, 85, null, cast(k as double) + 0.5, null, null, null from e where w = 1
+union all select event_id, null, null, null, null, null, null, null, null from e where w = 4""",
+)
+def f8(spark, sf):
+    rows, _ = P.bacnet_results(bacnet_captures(C.events(spark, sf)))
+    return rows.select(
+        "seq", "object_type", "instance", "property", F.col("value.int").cast("bigint").alias("whole"),
+        F.col("value.num").alias("num"), F.col("value.str").alias("str"), F.col("value.bool").alias("flag"), "error",
+    )
+
+
+@query(
+    "f8_bacnet_rejects",
+    f"""select event_id as seq, case event_id % 10 when 2 then 'bacnet error: class=2 code=32' when 3 then 'bacnet: unsupported response PDU type 7'
+ else 'bacnet: rejected (type 5)' end as reason from {EV} where event_id % 10 in (2, 3, 5)""",
+)
+def f8_rejects(spark, sf):
+    return P.bacnet_results(bacnet_captures(C.events(spark, sf)))[1].select("seq", "reason")
+
+
+def sensor_captures(ev):
+    """Sensor frames: header, device, command, length, two numbers, checksum, end mark."""
+    temp, humi = F.col("k") * 10 - 300, F.col("k") * 5
+    body = F.concat(C.hex_of(F.col("user_id") % 256, 1), F.lit("0104"), F.substring(F.lpad(F.hex(temp), 16, "0"), -4, 4), C.hex_of(humi, 2))
+    byte = lambda i: F.conv(F.substring("_b", 2 * i + 1, 2), 16, 10).cast("bigint")
+    xor = byte(0)
+    for i in range(1, 7):
+        xor = xor.bitwiseXOR(byte(i))
+    xor = F.when(F.col("event_id") % 30 == 4, xor.bitwiseXOR(F.lit(1).cast("bigint"))).otherwise(xor)
+    return ev.withColumn("_b", body).select(
+        F.col("user_id").alias("device"), F.col("event_id").alias("seq"),
+        F.unhex(F.concat(F.lit("AA55"), F.col("_b"), C.hex_of(xor, 1), F.lit("0A"))).alias("bytes"),
+    )
+
+
+def sensor_decoder(b: bytes) -> tuple:
+    if len(b) < 10 or b[:2] != b"\xaa\x55":
+        raise ValueError(f"bad header: len={len(b)}")
+    end = 5 + b[4]
+    if len(b) < end + 1:
+        raise ValueError("short frame")
+    check = 0
+    for x in b[2:end]:
+        check ^= x
+    if check != b[end]:
+        raise ValueError("crc mismatch")
+    number = lambda i: int.from_bytes(b[i : i + 2], "big", signed=True) / 10
+    return f"dev-{b[2]:02x}", number(5), number(7)
+
+
+@query(
+    "f9_decode_with",
+    f"""select event_id as seq, 'dev-' || lpad(lower(to_hex(user_id % 256)), 2, '0') as device_id, (k * 10 - 300) / 10 as temperature,
+(k * 5) / 10 as humidity, null as reason from {EV} where event_id % 30 <> 4
+union all select event_id, null, null, null, 'crc mismatch' from {EV} where event_id % 30 = 4""",
+)
+def f9(spark, sf):
+    rows, rejects = decode.decode_with(
+        sensor_captures(C.events(spark, sf)), sensor_decoder, "device_id string, temperature double, humidity double"
+    )
+    return rows.drop("device").withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejects.drop("device"), allowMissingColumns=True
+    )
