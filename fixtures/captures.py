@@ -192,7 +192,7 @@ def hj212_segment(ev: DataFrame) -> Column:
     )
 
 
-def hj212_raw(ev: DataFrame) -> DataFrame:
+def hj212_raw(ev: DataFrame, keep_time: bool = False) -> DataFrame:
     """conn, seq, bytes: one frame per event; every twentieth has a wrong checksum."""
     framed = compute_once(ev, {"_seg": hj212_segment(ev)})
     crc = crc16(F.encode("_seg", "UTF-8"))
@@ -202,19 +202,19 @@ def hj212_raw(ev: DataFrame) -> DataFrame:
     )
     return framed.select(
         F.col("user_id").alias("conn"), F.col("event_id").alias("seq"), F.lit(0).alias("frame_no"),
-        F.encode(text, "UTF-8").alias("bytes"),
+        F.encode(text, "UTF-8").alias("bytes"), *(["ts_ns"] if keep_time else []),
     )
 
 
-def hj212_segments(ev: DataFrame) -> DataFrame:
+def hj212_segments(ev: DataFrame, keep_time: bool = False) -> DataFrame:
     """Frames cut in two network segments, with noise in front of some."""
-    raw = hj212_raw(ev)
+    raw = hj212_raw(ev, keep_time)
     noise = F.when(F.col("seq") % 3 == 0, F.lit("noise").cast("binary")).otherwise(F.lit("").cast("binary"))
     parts = F.array(
         F.struct((F.col("seq") * 2).alias("seq"), F.concat(noise, F.expr("substring(bytes, 1, 30 + seq % 40)")).alias("bytes")),
         F.struct((F.col("seq") * 2 + 1).alias("seq"), F.expr("substring(bytes, 31 + seq % 40)").alias("bytes")),
     )
-    return raw.select("conn", F.inline(parts))
+    return raw.select("conn", *(["ts_ns"] if keep_time else []), F.inline(parts))
 
 
 def hex_of(col: Column, bytes_: int) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
 import tempfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # UTC: event times are epoch based. LAST_WIN: a later JSON key, point or mapping
@@ -54,3 +56,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="tagflow-checkpoint-")
     context.setCheckpointDir(named)
     return named
+
+
+def ship_by_value(*modules: str) -> None:
+    """Send code of these packages inside each task instead of by module name.
+
+    Workers (also the one that starts a stateful stream on the driver) then need
+    no installed copy. Where the package is installed on every node, skip it.
+    """
+    for name in ("tagflow", *modules):
+        cloudpickle.register_pickle_by_value(importlib.import_module(name))
