@@ -54,11 +54,13 @@ class Runner(StatefulProcessor):
     def _tuples(pdf: pd.DataFrame) -> list[tuple]:
         """(ts, tie, values) rows in order."""
         clean = pdf.astype(object).where(pdf.notna(), None)
-        rows = zip(pdf["_ts"].tolist(), pdf["_tie"].tolist(), clean["_values"].tolist())
+        rows = zip(pdf["row_ts"].tolist(), pdf["row_tie"].tolist(), clean["row_cells"].tolist())
         return sorted(((t, s, tuple(v.values()) if isinstance(v, dict) else tuple(v)) for t, s, v in rows), key=lambda r: r[:2])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [r for pdf in rows for r in self._tuples(pdf)]
+        arrived = [r for pdf in rows if len(pdf) for r in self._tuples(pdf)]
+        if not arrived:
+            return
         if self.event_clock:
             self.waiting.appendList([(pickle.dumps(arrived),)])
             self.handle.registerTimer(self._ms(min(r[0] for r in arrived)))
@@ -127,13 +129,13 @@ def run_machine(
     # Round up to the next microsecond so that no row looks older than it is.
     at = F.timestamp_micros(micros + F.when(F.col(ts) % 1000 > 0, 1).otherwise(0))
     shaped = stream.select(
-        *keys, F.col(ts).alias("_ts"), F.col(seq).cast("bigint").alias("_tie"), at.alias("_time"),
-        F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)]).alias("_values"),
+        *keys, F.col(ts).alias("row_ts"), F.col(seq).cast("bigint").alias("row_tie"), at.alias("row_time"),
+        F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)]).alias("row_cells"),
     )
     event = clock == "event"
     if event:
         ms = parse_duration_ms(delay)
-        shaped = shaped.withWatermark("_time", f"{ms} milliseconds")
+        shaped = shaped.withWatermark("row_time", f"{ms} milliseconds")
     schema = ", ".join([*(f"{k} {types[k]}" for k in keys), out])
     names = [c.split()[0] for c in out.split(", ")]
     return shaped.groupBy(*keys).transformWithStateInPandas(
