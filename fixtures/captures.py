@@ -23,9 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the files give fewer tasks than cores.
+
+    Building and decoding captures is CPU work; a table of one small file would
+    run on one core. Tables of many files come back as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, user_id, event_type, value, ts_ns, k (the number inside props)."""
-    return shape_events(table(spark, sf_dir, "events"))
+    return shape_events(spread(table(spark, sf_dir, "events")))
 
 
 def shape_events(raw: DataFrame) -> DataFrame:

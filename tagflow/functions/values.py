@@ -68,6 +68,10 @@ def from_variant(value: Column) -> Column:
     A number without a fraction is kind ``int``; beyond 20 digits it is ``num``.
     """
 
+    return let(value, _from_bound_variant)
+
+
+def _from_bound_variant(value: Column) -> Column:
     def build(kind: Column) -> Column:
         get = lambda wanted, t: F.when(kind == wanted, F.try_variant_get(value, "$", t))
         return F.struct(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once, let
 
 # Characters are single or escaped by a backslash; possessive loops keep the
 # patterns linear on long lines.
@@ -58,24 +59,29 @@ def parse_lines(
     used = lines.withColumn("_line", line).filter(
         (F.regexp_replace("_line", r"[\s]+", "") != "") & ~F.col("_line").startswith("#")
     )
-    group = lambda i: F.regexp_extract("_line", _LINE, i)
-    parts = used.withColumns(
-        {"_ok": F.col("_line").rlike(_LINE), "_m": group(1), "_t": group(2), "_f": group(3), "_ts": group(4)}
+    # One pass over the line; an unreadable line keeps a single part.
+    parts = compute_once(
+        used, {"_p": F.split(F.regexp_replace("_line", _LINE, "$1\u0000$2\u0000$3\u0000$4"), "\u0000", -1)}
     )
-    tag_pairs = F.regexp_extract_all("_t", F.lit(rf"(?s),({_TAG})"), F.lit(1))
-    field_pairs = F.regexp_extract_all("_f", F.lit(rf"(?s)(?:^|\G,)({_FIELD})"), F.lit(1))
+    ok = (F.size("_p") == 4) & ~F.col("_line").contains("\u0000")
+    tag_pairs = F.regexp_extract_all(F.col("_p")[1], F.lit(rf"(?s),({_TAG})"), F.lit(1))
+    field_pairs = F.regexp_extract_all(F.col("_p")[2], F.lit(rf"(?s)(?:^|\G,)({_FIELD})"), F.lit(1))
     tags = F.map_from_entries(
         F.transform(tag_pairs, lambda p: F.struct(_key(p).alias("k"), _unescape(_rest(p), ",= ").alias("v")))
     )
     fields = F.map_from_entries(
-        F.transform(field_pairs, lambda p: F.struct(_key(p).alias("k"), field_value(_rest(p)).alias("v")))
+        F.transform(field_pairs, lambda p: F.struct(_key(p).alias("k"), let(_rest(p), field_value).alias("v")))
     )
-    made = parts.withColumns(
+    stamp = F.col("_p")[3]
+    made = compute_once(
+        parts,
         {
-            "tags": F.when(F.col("_ok"), tags),
-            "fields": F.when(F.col("_ok"), fields),
-            "ts_ns": F.when(F.col("_ts") != "", F.col("_ts").try_cast("bigint")).otherwise(default_ts),
-        }
+            "_ok": ok,
+            "_m": F.col("_p")[0],
+            "tags": F.when(ok, tags),
+            "fields": F.when(ok, fields),
+            "ts_ns": F.when(ok, F.when(stamp != "", stamp.try_cast("bigint")).otherwise(default_ts)),
+        },
     )
     bad_value = F.exists(F.map_values("fields"), lambda v: v.isNull() | (v["kind"] == "null"))
     made = made.withColumn(
