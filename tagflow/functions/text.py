@@ -31,9 +31,12 @@ _SPECIAL_NUMBER = r"(?i)^([+-]?(inf|infinity)|nan)$"
 _HEX_NUMBER = r"(?i)^[+-]?0x([0-9a-f]+\.?[0-9a-f]*|\.[0-9a-f]+)p[+-]?\d+$"
 
 
+WHITE_SPACE = " \t\n\r\u000b\u000c\u0085\u00a0"
+
+
 def strip(col: Column) -> Column:
     """Cut white space of every kind from both ends."""
-    return F.regexp_replace(col, r"^[\s\u0085 ]+|[\s\u0085 ]+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 # -- templates ---------------------------------------------------------------
@@ -206,7 +209,8 @@ def is_timeout(error: Column) -> Column:
 
 def normalize_oid(oid: Column) -> Column:
     """OID without outer blanks and one leading dot, so that both writings are equal."""
-    return F.regexp_replace(strip(oid), r"^\.", "")
+    bare = strip(oid)
+    return F.when(bare.startswith("."), F.substring(bare, 2, 1 << 30)).otherwise(bare)
 
 
 def split_server(server: Column, default_port: int) -> tuple[Column, Column]:

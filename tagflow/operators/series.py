@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once
 from tagflow.operators.points import has_error
 from tagflow.schemas import VALUE_T, SeriesMapping
 from tagflow.sources import messages as M
@@ -157,7 +158,7 @@ def flat_to_series(
     default_ts = default_ts if default_ts is not None else write_time_ns()
     data, metadata = F.col(data_col), _metadata(messages)
     return (
-        messages.withColumn("_rows", M.object_rows(data))
+        compute_once(messages, {"_rows": M.object_rows(data)})
         .filter(~_is_series(F.col("_rows")))
         .select(
             *keep,
@@ -211,11 +212,8 @@ def dispatch_shape(
         )
         .when(F.col("shape") == "flat", _flat_rows(rows, mapping, default_ts))
     )
-    tried = (
-        messages.withColumn("_rows", M.object_rows(data))
-        .withColumn("shape", shape)
-        .withColumn("_made", made)
-    )
+    read = compute_once(compute_once(messages, {"_rows": M.object_rows(data)}), {"shape": shape})
+    tried = compute_once(read, {"_made": made})
     has_rows = F.coalesce(F.size("_made") > 0, F.lit(False))
     mapped = (
         tried.filter(has_rows)

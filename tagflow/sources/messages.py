@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once, let
 
 _OBJECT_ROWS = "array<map<string,variant>>"
 
@@ -18,10 +19,8 @@ def is_json_array(data: Column) -> Column:
 def object_rows(data: Column) -> Column:
     """JSON object or array of objects as an array of maps; null for anything else."""
     rows = F.from_json(data, _OBJECT_ROWS)
-    single = F.from_json(data, "map<string,variant>")
-    return F.when(is_json_array(data), rows).otherwise(
-        F.when(single.isNotNull(), F.array(single))
-    )
+    single = let(F.from_json(data, "map<string,variant>"), lambda o: F.when(o.isNotNull(), F.array(o)))
+    return F.when(is_json_array(data), rows).otherwise(single)
 
 
 def member(row: Column, key: str) -> Column:
@@ -98,15 +97,12 @@ def read_series_json(
             )
         )
 
-    checked = df.withColumn("_rows", parsed).withColumn(
-        "reason",
+    reason = (
         F.when(F.col("_rows").isNull(), "not readable as series JSON")
         .when(F.size("_rows") == 0, "no points in message")
-        .when(
-            ~F.forall("_rows", lambda r: F.coalesce(readable(r), F.lit(True))),
-            "wrong member type",
-        ),
+        .when(~F.forall("_rows", lambda r: F.coalesce(readable(r), F.lit(True))), "wrong member type")
     )
+    checked = compute_once(compute_once(df, {"_rows": parsed}), {"reason": reason})
     row = F.col("_row")
     fields = F.try_variant_get(member(row, "fields"), "$", "map<string,variant>")
     series = (
