@@ -140,7 +140,7 @@ def read_value(data: bytes, at: int) -> tuple[tuple[str, object], int]:
     if number in (2, 9):
         return ("int", int.from_bytes(body, "big") & (1 << 64) - 1), after
     if number == 3:
-        return ("int", int.from_bytes(body, "big", signed=True)), after
+        return ("int", int.from_bytes(body, "big", signed=True) if length <= 8 else 0), after
     if number in (4, 5):
         size = 4 if number == 4 else 8
         if length != size:
