@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def source(spark, folder, late=False):
     """Three files of rows; the last row of each key lies far ahead and moves the watermark."""
     path = str(folder / f"in-{uuid.uuid4().hex}")
     rows = [
-        (i % 4, (i * 137 % 600 + (i // 60) * 600) * MS, i, "true" if i * 7 % 5 < 3 else "0", "bad" if i % 31 == 0 else "90ms", i * 13 % 40, "abc"[i % 3], f"{i}")
+        (i % 4, (1000 + i * 137 % 600 + (i // 60) * 600) * MS, i, "true" if i * 7 % 5 < 3 else "0", "bad" if i % 31 == 0 else "90ms", i * 13 % 40, "abc"[i % 3], f"{i}")
         for i in range(180)
     ]
     end = [(d, 10**6 * MS, 1000 + d, "0", "0s", 0, "z", "end") for d in range(4)]
@@ -61,9 +62,21 @@ def test_changes_and_sequences(spark, tmp_path):
 
 
 def test_processing_clock(spark, tmp_path):
+    """Live alarms: the watchdog barks although no row arrives any more."""
     _, stream = source(spark, tmp_path)
-    out = replay(spark, stateful.changes_stream(stream, keys=("device",), value="k", clock="processing"))
-    assert out.count() > 10
+    live = stream.filter("device = 1").withColumn("timeout", F.lit("100ms"))
+    dog = stateful.watchdog_stream(live, '{"v":0}', clock="processing")
+    name = f"dog_{uuid.uuid4().hex}"
+    q = dog.writeStream.format("memory").queryName(name).trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if spark.table(name).filter("kind = 'failsafe'").count():
+                break
+    finally:
+        q.stop()
+    kinds = {r["kind"]: r["count"] for r in spark.table(name).groupBy("kind").count().collect()}
+    assert kinds["failsafe"] >= 1 and kinds["input"] >= 40
 
 
 def test_stream_store_is_repeatable(spark, tmp_path):
