@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once
 
 POINT_CONFIG = (
     "name string, addr string, type string, scale double, offset double, "
@@ -27,32 +28,32 @@ def resolve_points(
 ) -> DataFrame:
     """Points a message asks for, else the configured list of its device.
 
-    ``catalog`` has one row per (device, pos). It is folded to one array per
-    device (a device's own point list) and joined by device; Spark broadcasts it
-    when its measured size allows. Both empty gives one row with ``error``.
+    ``catalog`` has one row per (device, pos). Messages without points of their
+    own join it by device, so a point list is never gathered into one row; a
+    small catalog is broadcast by its measured size, a hot device is split by
+    the adaptive skew join. Both empty gives one row with ``error``.
     """
-    asked = F.from_json(F.col(data_col), f"array<struct<{POINT_CONFIG.replace(' ', ':').replace(',:', ',')}>>")
-    is_array = X.strip(F.col(data_col)).startswith("[")
-    point = F.struct("pos", *[F.col(c.split()[0]) for c in POINT_CONFIG.split(", ")])
-    lists = catalog.groupBy(device).agg(F.array_sort(F.collect_list(point)).alias("_listed"))
-    listed = F.transform(
-        "_listed", lambda p: F.struct(*[p[c.split()[0]].alias(c.split()[0]) for c in POINT_CONFIG.split(", ")])
+    names = [c.split()[0] for c in POINT_CONFIG.split(", ")]
+    members = ",".join(":".join(c.split()) for c in POINT_CONFIG.split(", "))
+    asked = F.from_json(F.col(data_col), f"array<struct<{members}>>")
+    is_array = F.coalesce(X.strip(F.col(data_col)).startswith("["), F.lit(False))
+    tried = compute_once(messages, {"_own": F.when(is_array, asked)})
+    has_own = F.coalesce(F.size("_own") > 0, F.lit(False))
+    own = tried.filter(has_own).select(
+        *keep, device, F.lit("message").alias("source"), F.posexplode("_own").alias("pos", "_p")
     )
-    own = F.when(is_array & (F.size(asked) > 0), asked)
-    joined = messages.join(lists, device, "left").select(
-        *keep, device, own.alias("_own"), listed.alias("_conf")
-    )
-    chosen = F.coalesce(F.col("_own"), F.col("_conf"))
-    source = F.when(F.col("_own").isNotNull(), "message").when(F.size("_conf") > 0, "catalog").otherwise("none")
-    return joined.select(
-        *keep, device, source.alias("source"), F.posexplode_outer(chosen).alias("pos", "_p")
-    ).select(
-        *keep,
-        device,
-        "source",
-        "pos",
-        "_p.*",
-        F.when(F.col("source") == "none", NO_POINTS).alias("error"),
+    own = own.select(*keep, device, "source", "pos", "_p.*", F.lit(None).cast("string").alias("error"))
+    listed = tried.filter(~has_own).join(catalog.select(device, "pos", *names), device, "left")
+    found = F.col("pos").isNotNull()
+    return own.unionByName(
+        listed.select(
+            *keep,
+            device,
+            F.when(found, "catalog").otherwise("none").alias("source"),
+            "pos",
+            *names,
+            F.when(~found, NO_POINTS).alias("error"),
+        )
     )
 
 
