@@ -49,17 +49,22 @@ def null() -> Column:
     return typed("null")
 
 
+def _kind_of_json(text: Column) -> Column:
+    """Kind by the look of the JSON text."""
+    first = F.substring(text, 1, 1)
+    return (
+        F.when(text.isNull() | (text == "null"), "null")
+        .when(first == '"', "str")
+        .when(first.isin("{", "["), "json")
+        .when(text.isin("true", "false"), "bool")
+        .when(text.contains(".") | text.contains("E") | text.contains("e"), "num")
+        .otherwise("int")
+    )
+
+
 def variant_kind(value: Column) -> Column:
     """VALUE_T kind of a JSON variant (missing and JSON null are both ``null``)."""
-    return let(
-        F.schema_of_variant(value),
-        lambda schema: F.when(schema.isNull() | (schema == "VOID"), "null")
-        .when(schema == "STRING", "str")
-        .when(schema == "BOOLEAN", "bool")
-        .when(schema.rlike(r"^(BIGINT|DECIMAL\(\d+,0\))$"), "int")
-        .when(schema.rlike(r"^(DECIMAL|DOUBLE|FLOAT)"), "num")
-        .otherwise("json"),
-    )
+    return let(F.to_json(value), _kind_of_json)
 
 
 def from_variant(value: Column) -> Column:
@@ -68,26 +73,28 @@ def from_variant(value: Column) -> Column:
     A number without a fraction is kind ``int``; beyond 20 digits it is ``num``.
     """
 
-    return let(value, _from_bound_variant)
-
-
-def _from_bound_variant(value: Column) -> Column:
-    def build(kind: Column) -> Column:
-        get = lambda wanted, t: F.when(kind == wanted, F.try_variant_get(value, "$", t))
+    def build(kind: Column, text: Column, bound: Column) -> Column:
         return F.struct(
             kind.alias("kind"),
-            get("num", "double").alias("num"),
-            get("int", "decimal(20,0)").alias("int"),
-            get("str", "string").alias("str"),
-            get("bool", "boolean").alias("bool"),
-            F.when(kind == "json", F.to_json(value)).alias("json"),
+            F.when(kind == "num", text.try_cast("double")).alias("num"),
+            F.when(kind == "int", text.try_cast("decimal(20,0)")).alias("int"),
+            F.when(kind == "str", F.try_variant_get(bound, "$", "string")).alias("str"),
+            F.when(kind == "bool", text == "true").alias("bool"),
+            F.when(kind == "json", text).alias("json"),
         )
 
-    def settle(kind: Column) -> Column:
-        too_long = (kind == "int") & F.try_variant_get(value, "$", "decimal(20,0)").isNull()
-        return F.when(too_long, "num").otherwise(kind)
+    def settle(text: Column) -> Column:
+        kind = _kind_of_json(text)
+        too_long = (F.length(text) > 19) & text.try_cast("decimal(20,0)").isNull()
+        return F.when(too_long & (kind == "int"), "num").otherwise(kind)
 
-    return let(let(variant_kind(value), settle), build)
+    return let(
+        value,
+        lambda bound: let(
+            F.to_json(bound),
+            lambda text: let(settle(text), lambda kind: build(kind, text, bound)),
+        ),
+    )
 
 
 def as_double(value: Column) -> Column:
