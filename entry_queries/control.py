@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from entry_queries import EV, query
+from entry_queries import EV, hot, hot_sql, query
 from fixtures import captures as C
 from tagflow.operators import control
 
@@ -45,9 +45,10 @@ def c1(spark, sf):
     return control.timer_ton(inputs(C.events(spark, sf))).select(*OUT)
 
 
-@query("c1_timer_ton_hot_keys", _TON)
+@query("c1_timer_ton_hot_keys", hot_sql(_TON))
 def c1_hot(spark, sf):
-    return control.timer_ton(inputs(C.events(spark, sf)), max_key_rows=30).select(*OUT)
+    ev, limit = hot(C.events(spark, sf))
+    return control.timer_ton(inputs(ev), max_key_rows=limit).select(*OUT)
 
 
 @query("c2_timer_tof", _TOF)
@@ -68,9 +69,10 @@ def c3(spark, sf):
     return control.watchdog(inputs(C.events(spark, sf)), FAILSAFE, timeout="pt").select(*DOG_OUT)
 
 
-@query("c3_watchdog_hot_keys", _DOG)
+@query("c3_watchdog_hot_keys", hot_sql(_DOG))
 def c3_hot(spark, sf):
-    return control.watchdog(inputs(C.events(spark, sf)), FAILSAFE, timeout="pt", max_key_rows=30).select(*DOG_OUT)
+    ev, limit = hot(C.events(spark, sf))
+    return control.watchdog(inputs(ev), FAILSAFE, timeout="pt", max_key_rows=limit).select(*DOG_OUT)
 
 
 @query(

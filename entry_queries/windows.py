@@ -2,9 +2,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from entry_queries import EV, query
+from entry_queries import EV, hot, hot_sql, query
 from fixtures import captures as C
 from tagflow.operators import hj212, sequence
+from tagflow.operators.ordered import MAX_KEY_ROWS
 from tagflow.operators import windows as W
 from tagflow.plans.downsample import downsample
 from tagflow.schemas import SeriesMapping
@@ -13,8 +14,12 @@ _H = 3_600 * 10**9
 _GOOD = f"(select * from {EV} where event_type <> 'error')"
 
 
+def good(ev):
+    return W.event_time(W.numeric_points(C.points(ev)))
+
+
 def good_points(spark, sf):
-    return W.event_time(W.numeric_points(C.points(C.events(spark, sf))))
+    return good(C.events(spark, sf))
 
 
 def aggs():
@@ -62,20 +67,20 @@ select user_id as device, window_no, cast(sum(k) as bigint) as sum_k, min(event_
 from r group by 1, 2 having count(*) = 10"""
 
 
-def _w4(spark, sf, limit):
+def _w4(ev, limit=MAX_KEY_ROWS):
     counts = [F.sum("k").alias("sum_k"), F.min("seq").alias("first_id"), F.max("seq").alias("last_id")]
-    return W.count_window(good_points(spark, sf), 10, counts, keys=["device"], max_key_rows=limit)
+    return W.count_window(good(ev), 10, counts, keys=["device"], max_key_rows=limit)
 
 
 @query("w4_count_window", _W4)
 def w4(spark, sf):
-    return _w4(spark, sf, 1_000_000)
+    return _w4(C.events(spark, sf))
 
 
-@query("w4_count_window_hot_keys", _W4)
+@query("w4_count_window_hot_keys", hot_sql(_W4))
 def w4_hot(spark, sf):
-    """The same with a row limit per task that cuts keys into chunks."""
-    return _w4(spark, sf, 50)
+    """Three keys, each cut into chunks."""
+    return _w4(*hot(C.events(spark, sf)))
 
 
 @query(
@@ -133,19 +138,19 @@ _W10 = f"""with l as (select *, lag(k) over (partition by user_id order by ts_ns
 select user_id as device, event_id as seq, k, previous from l where previous is null or abs(k - previous) > 20"""
 
 
-def _w10(spark, sf, limit):
-    out = W.changes(C.points(C.events(spark, sf)), ["device"], value="k", epsilon=20, max_key_rows=limit)
+def _w10(ev, limit=MAX_KEY_ROWS):
+    out = W.changes(C.points(ev), ["device"], value="k", epsilon=20, max_key_rows=limit)
     return out.select("device", "seq", "k", "previous")
 
 
 @query("w10_changes", _W10)
 def w10(spark, sf):
-    return _w10(spark, sf, 1_000_000)
+    return _w10(C.events(spark, sf))
 
 
-@query("w10_changes_hot_keys", _W10)
+@query("w10_changes_hot_keys", hot_sql(_W10))
 def w10_hot(spark, sf):
-    return _w10(spark, sf, 30)
+    return _w10(*hot(C.events(spark, sf)))
 
 
 _STEPS = ["name = 'view'", "name = 'click'", "name = 'purchase'"]
@@ -170,9 +175,10 @@ def w11(spark, sf):
     return sequence.sequence_match(C.points(C.events(spark, sf)), _STEPS, "72h")
 
 
-@query("w11_sequence_match_hot_keys", _W11)
+@query("w11_sequence_match_hot_keys", hot_sql(_W11))
 def w11_hot(spark, sf):
-    return sequence.sequence_match(C.points(C.events(spark, sf)), _STEPS, "72h", max_key_rows=40)
+    ev, limit = hot(C.events(spark, sf))
+    return sequence.sequence_match(C.points(ev), _STEPS, "72h", max_key_rows=limit)
 
 
 @query(
