@@ -114,7 +114,8 @@ def unify_quality(
 
 
 def has_error(error: Column) -> Column:
-    return F.coalesce(error, F.lit("")) != ""
+    """Blank and missing both mean good; the negation can be pushed to the files."""
+    return error.isNotNull() & (error != "")
 
 
 def split_quality(points: DataFrame) -> tuple[DataFrame, DataFrame]:
