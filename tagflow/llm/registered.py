@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import decontaminate, mixing, quality
+from tagflow.llm import decontaminate, langid, mixing, quality, secrets
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -114,3 +114,22 @@ def op9(spark, sf):
     return mixing.mix(table(spark, sf, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies"
     )
+
+
+@query("op2_language_id")
+def op2(spark, sf):
+    docs = table(spark, sf, "documents")
+    return langid.identify(docs, langid.train(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op4_secret_scan")
+def op4(spark, sf):
+    docs = table(spark, sf, "documents")
+    spans = F.col("spans")
+    joined = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+    return secrets.scan(docs, secrets.train(docs)).select(
+        "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(joined(F.filter(spans, lambda x: x["kind"] != "crf")), 256).alias("base_sha256"),
+        joined(spans).alias("spans"), count("crf").alias("n_added"),
+    )
