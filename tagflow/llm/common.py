@@ -51,3 +51,30 @@ def cut(df: DataFrame) -> DataFrame:
     """Fix rows in the shared checkpoint folder; later plans start from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Size of a Bloom filter in bits; it stays the same however many keys there are.
+BITS = 1 << 20
+
+
+def _bits_of(h: Column) -> tuple[Column, Column]:
+    return F.pmod(h, F.lit(BITS)), F.pmod(F.shiftright(h, 24), F.lit(BITS))
+
+
+def bloom(hashes: DataFrame) -> Column:
+    """A Bloom filter of column h: BITS bits as one array of longs, two bits a hash."""
+    bits = hashes.select(F.explode(F.array(*_bits_of(F.col("h")))).alias("b")).distinct()
+    one = F.expr("shiftleft(1L, cast(b % 64 as int))")
+    filled = bits.groupBy((F.col("b") / 64).cast("int").alias("at")).agg(F.bit_or(one).alias("v")).collect()
+    longs = [0] * (BITS // 64)
+    for row in filled:
+        longs[row["at"]] = row["v"]
+    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
+
+
+def may_hold(mask: Column, h: Column) -> Column:
+    def test(b: Column) -> Column:
+        return F.bit_get(F.get(mask, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1
+
+    first, second = _bits_of(h)
+    return test(first) & test(second)

@@ -18,12 +18,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tagflow.llm.common import ascii_words, cut, let, text_key
+from tagflow.llm.common import ascii_words, bloom, cut, let, may_hold, text_key
 
 WINDOW = 10
 SHINGLE = 3
-# Size of the filter ahead of the join, in bits; it stays the same however many items there are.
-BITS = 1 << 20
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -47,29 +45,6 @@ def _shingles(w: Column, n: int) -> Column:
     )
 
 
-def _bits_of(h: Column) -> tuple[Column, Column]:
-    return F.pmod(h, F.lit(BITS)), F.pmod(F.shiftright(h, 24), F.lit(BITS))
-
-
-def _mask(hashes: DataFrame) -> Column:
-    """A Bloom filter of column h: BITS bits as one array of longs, two bits a hash."""
-    bits = hashes.select(F.explode(F.array(*_bits_of(F.col("h")))).alias("b")).distinct()
-    one = F.expr("shiftleft(1L, cast(b % 64 as int))")
-    filled = bits.groupBy((F.col("b") / 64).cast("int").alias("at")).agg(F.bit_or(one).alias("v")).collect()
-    longs = [0] * (BITS // 64)
-    for row in filled:
-        longs[row["at"]] = row["v"]
-    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
-
-
-def _may_hold(mask: Column, h: Column) -> Column:
-    def test(b: Column) -> Column:
-        return F.bit_get(F.get(mask, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1
-
-    first, second = _bits_of(h)
-    return test(first) & test(second)
-
-
 def _places(docs: DataFrame, masks: dict[int, Column], keep: list[str]) -> DataFrame:
     """`keep`, w, h, at: document positions whose shingle may be one of interest."""
     none = F.array().cast("array<struct<h:bigint,at:int>>")
@@ -77,7 +52,7 @@ def _places(docs: DataFrame, masks: dict[int, Column], keep: list[str]) -> DataF
 
     def of_length(n: int) -> Column:
         at = F.filter(
-            F.sequence(F.lit(0), F.size(w) - n), lambda i: let(_hash_at(w, i, n), lambda h: _may_hold(masks[n], h))
+            F.sequence(F.lit(0), F.size(w) - n), lambda i: let(_hash_at(w, i, n), lambda h: may_hold(masks[n], h))
         )
         pairs = F.transform(at, lambda i: F.struct(_hash_at(w, i, n).alias("h"), i.cast("int").alias("at")))
         return F.when(F.size(w) < n, none).otherwise(pairs)
@@ -110,7 +85,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shingle: int
     if every is None:
         every = windows.select("item_id", "win", "wk", F.lit(0).alias("off"), F.lit(0).cast("long").alias("h"))
     # Candidate places of all shingles of all windows: the corpus side of the join, and its counts.
-    masks = {n: _mask(part) for n, part in inside.items()}
+    masks = {n: bloom(part) for n, part in inside.items()}
     context = F.slice("w", F.greatest(F.col("at") - size + 1, F.lit(0)) + 1, F.lit(2 * size - 1))
     places = cut(
         _places(texts, masks, ["doc_id", "tk"])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import decontaminate, langid, mixing, quality, secrets
+from tagflow.llm import decontaminate, jaccard, langid, mixing, quality, secrets
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -133,3 +133,8 @@ def op4(spark, sf):
         F.sha2(joined(F.filter(spans, lambda x: x["kind"] != "crf")), 256).alias("base_sha256"),
         joined(spans).alias("spans"), count("crf").alias("n_added"),
     )
+
+
+@query("op6_ngram_jaccard_join")
+def op6(spark, sf):
+    return jaccard.join(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
