@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import decontaminate, jaccard, langid, mixing, quality, secrets
+from tagflow.llm import decontaminate, jaccard, langid, mixing, quality, secrets, sentences
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -138,3 +138,8 @@ def op4(spark, sf):
 @query("op6_ngram_jaccard_join")
 def op6(spark, sf):
     return jaccard.join(table(spark, sf, "documents")).select("doc_id", "class_id", "n_links")
+
+
+@query("op5_substring_dedup")
+def op5(spark, sf):
+    return sentences.dedup(table(spark, sf, "documents"))
