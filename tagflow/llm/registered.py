@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import decontaminate, jaccard, langid, mixing, quality, secrets, sentences
+from tagflow.llm import decontaminate, jaccard, langid, mixing, quality, secrets, sentences, surrogates
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -143,3 +143,8 @@ def op6(spark, sf):
 @query("op5_substring_dedup")
 def op5(spark, sf):
     return sentences.dedup(table(spark, sf, "documents"))
+
+
+@query("op8_surrogates")
+def op8(spark, sf):
+    return surrogates.replace(table(spark, sf, "documents"))
