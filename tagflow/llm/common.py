@@ -41,6 +41,11 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, F.length(text))
 
 
+def row_key(*columns: Column) -> Column:
+    """One text for the values, null told from any value, for joins on a single key."""
+    return F.concat_ws(":", *[F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit("-")) for c in columns])
+
+
 def uniform(*parts) -> Column:
     """A number in [0, 1) fixed by its arguments."""
     bits = F.xxhash64(*[p if isinstance(p, Column) else F.lit(p) for p in parts])

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tagflow.llm.common import ascii_words, bloom, cut, let, may_hold, text_key
+from tagflow.llm.common import ascii_words, bloom, cut, let, may_hold, row_key, text_key
 
 WINDOW = 10
 SHINGLE = 3
@@ -149,3 +149,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shi
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """The rows of `docs`, all columns, that hold no window of any item."""
+    key = "__row_key"
+    found = hits(docs, benchmark, size, shingle).select(row_key(F.col("doc_id"), F.col("tk")).alias(key)).distinct()
+    return docs.withColumn(key, row_key(F.col("doc_id"), text_key(F.col("text")))).join(found, key, "left_anti").drop(key)

@@ -21,9 +21,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from tagflow.llm.common import bloom, cut, may_hold, text_key
+from tagflow.llm.common import bloom, cut, may_hold, row_key, text_key
 from tagflow.llm.components import components
 
 N_WORDS = 5
@@ -178,7 +178,7 @@ def links(docs: DataFrame, signed: DataFrame, classes: DataFrame, n: int, thresh
 
 
 def join(docs: DataFrame, n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, tk (text hash), class_id, n_links; one row per document row."""
+    """doc_id, tk (text hash), class_id, n_links, group; one row per document row."""
     bands, rows = plan_bands(threshold, recall)
     signed = cut(signatures(docs, n, bands, rows))
     classes = cut(
@@ -193,15 +193,30 @@ def join(docs: DataFrame, n: int = N_WORDS, threshold: float = THRESHOLD, recall
     low = (
         member.join(classes, member["node"] == classes["sk"]).groupBy("component").agg(F.min("low").alias("class_id"))
     )
-    group = member.join(low, "component").select("node", "class_id")
+    group = member.join(low, "component").select("node", "class_id", "component")
     info = (
         classes.join(degree, classes["sk"] == degree["a"], "left").join(group, classes["sk"] == group["node"], "left")
         .select(
             "sk", F.when(F.col("node").isNotNull(), F.col("class_id")).otherwise(F.col("low")).alias("class_id"),
-            (F.col("size") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"),
+            (F.col("size") - 1 + F.coalesce("degree", F.lit(0))).alias("n_links"), F.coalesce("component", "sk").alias("group"),
         )
     )
     return signed.select("doc_id", "tk", "sk").join(info, "sk", "left").select(
         "doc_id", "tk", F.when(F.col("sk").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("group", row_key(F.col("doc_id"), F.col("tk"))).alias("group"),
     )
+
+
+def one_of_each(docs: DataFrame, n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """The rows of `docs`, all columns, without all but one document of each group of linked documents.
+
+    The one with the smallest doc_id (then text hash) stays; of repeated rows, one.
+    """
+    first = F.min(F.struct("doc_id", "tk")).alias("first")
+    kept = join(docs, n, threshold, recall).groupBy("group").agg(first)
+    key = "__row_key"
+    kept = kept.select(row_key(F.col("first.doc_id"), F.col("first.tk")).alias(key))
+    rows = docs.withColumn(key, row_key(F.col("doc_id"), text_key(F.col("text")))).join(kept, key, "left_semi")
+    again = Window.partitionBy(key).orderBy(key)
+    return rows.withColumn("__copy", F.row_number().over(again)).where(F.col("__copy") == 1).drop(key, "__copy")

@@ -16,6 +16,7 @@ training, lang are not read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -237,30 +238,39 @@ def train(docs: DataFrame) -> Network | None:
     return fit([t.encode() for _, t in rows], [lang for lang, _ in rows])
 
 
+def labels(net: Network | None):
+    """Column function: text to struct(lang_pred, score), whole texts, a bounded number of bytes at a time."""
+    limit = SLAB * STEP * 4
+
+    def one_batch(texts: list[bytes]) -> pd.DataFrame:
+        preds, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        todo = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i])) if net is not None else []
+        while todo:
+            part, size = [], 0
+            while todo and (not part or size + len(texts[todo[-1]]) <= limit):
+                part.append(todo.pop())
+                size += len(texts[part[-1]])
+            best, score = predict(net, [texts[i] for i in part])
+            for i, b, s in zip(part, best, score):
+                preds[i], scores[i] = net.langs[b], float(min(max(s, 0.0), 1.0))
+        return pd.DataFrame({"lang_pred": preds, "score": scores})
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            yield one_batch([t.encode() if t else b"" for t in texts])
+
+    by_text = F.pandas_udf(run, "lang_pred string, score double")
+    return lambda text: by_text(F.when(text.rlike(r"\p{L}"), text).otherwise(F.lit("")))
+
+
 def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, tk (text hash), held_out, lang_pred, score; one row per document row."""
-    limit = SLAB * STEP * 4
+    return docs.select(
+        "doc_id", text_key(F.col("text")).alias("tk"), held_out().alias("held_out"), labels(net)(F.col("text")).alias("found")
+    ).select("doc_id", "tk", "held_out", "found.lang_pred", "found.score")
 
-    def label(batches):
-        for pdf in batches:
-            texts = [t.encode() if net is not None and ok else b"" for t, ok in zip(pdf["text"], pdf["ok"])]
-            preds, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            todo = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
-            while todo:
-                part, size = [], 0
-                while todo and (not part or size + len(texts[todo[-1]]) <= limit):
-                    part.append(todo.pop())
-                    size += len(texts[part[-1]])
-                best, score = predict(net, [texts[i] for i in part])
-                for i, b, s in zip(part, best, score):
-                    preds[i], scores[i] = net.langs[b], float(min(max(s, 0.0), 1.0))
-            yield pd.DataFrame({"id": pdf["id"], "tk": pdf["tk"], "held_out": pdf["held_out"], "lang_pred": preds, "score": scores})
-
-    # doc_id goes through as text: pandas would make a number with nulls a float.
-    rows = docs.select(
-        F.col("doc_id").cast("string").alias("id"), text_key(F.col("text")).alias("tk"), held_out().alias("held_out"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("ok"), F.coalesce("text", F.lit("")).alias("text"),
-    )
-    out = rows.mapInPandas(label, "id string, tk long, held_out boolean, lang_pred string, score double")
-    kind = docs.schema["doc_id"].dataType
-    return out.select(F.col("id").cast(kind).alias("doc_id"), "tk", "held_out", "lang_pred", "score")
+
+def confident(docs: DataFrame, net: Network | None, least: float) -> DataFrame:
+    """The rows whose language is named with a score of at least `least`; all columns stay."""
+    found = labels(net)(F.col("text"))
+    return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))

@@ -20,7 +20,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tagflow.llm.common import cut, let, text_key, uniform, words
+from tagflow.llm.common import cut, let, row_key, text_key, uniform, words
 
 SHARE = 1.5
 MOST_COPIES = 2.0
@@ -158,3 +158,20 @@ def mix(docs: DataFrame, share=SHARE, most=MOST_COPIES, weights=WEIGHTS, block=B
         "doc_id", "source", "tk", "size", "source_size", "target", copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that the mix takes, all columns, with `copies`: how often each is taken.
+
+    Repeated rows (same doc_id, source and text) become one with their copies added up.
+    """
+    key = "__row_key"
+    parts = lambda tk: row_key(F.col("doc_id"), F.col("source"), tk)
+    taken = (
+        mix(docs, **options).groupBy(parts(F.col("tk")).alias(key)).agg(F.sum("copies").alias("__copies"))
+        .where(F.col("__copies") > 0)
+    )
+    rows = docs.withColumn(key, parts(text_key(F.col("text")))).join(taken, key)
+    again = Window.partitionBy(key).orderBy(key)
+    one = rows.withColumn("__copy", F.row_number().over(again)).where(F.col("__copy") == 1)
+    return one.withColumn("copies", F.col("__copies")).drop(key, "__copy", "__copies")

@@ -304,8 +304,8 @@ def scan(docs: DataFrame, field: Field | None) -> DataFrame:
     return rows.mapInPandas(find, f"id string, tk long, spans {SPANS}").select(F.col("id").cast(kind).alias("doc_id"), "tk", "spans")
 
 
-def redact(docs: DataFrame, field: Field | None, mark: str = "[SECRET]") -> DataFrame:
-    """The rows with every span (merged where they touch) replaced; other columns as they are."""
+def redact(docs: DataFrame, field: Field | None, mark: str = "[SECRET]", into: str = "text") -> DataFrame:
+    """The rows with every span (merged where they overlap) replaced in column `into`; other columns as they are."""
 
     def clean(text: pd.Series) -> pd.Series:
         out = []
@@ -322,4 +322,4 @@ def redact(docs: DataFrame, field: Field | None, mark: str = "[SECRET]") -> Data
             out.append("".join([*parts, t[at:]]))
         return pd.Series(out, dtype=object)
 
-    return docs.withColumn("text", F.pandas_udf(clean, "string")("text"))
+    return docs.withColumn(into, F.pandas_udf(clean, "string")("text"))
