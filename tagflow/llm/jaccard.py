@@ -56,7 +56,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class _WordHash(dict):
+class WordHash(dict):
     """64-bit hashes of words, kept for the task up to a number of words."""
 
     def __missing__(self, word: bytes) -> int:
@@ -66,7 +66,7 @@ class _WordHash(dict):
         return h
 
 
-def shingle_set(text: str | None, n: int, known: _WordHash) -> np.ndarray:
+def shingle_set(text: str | None, n: int, known: WordHash) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of a whole text."""
     found = WORD.findall(text.encode().lower()) if text else []  # bytes: only A-Z change
     if not found:
@@ -104,7 +104,7 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     wanted = docs.select("doc_id", text_key(F.col("text")).alias("tk"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, odd = _WordHash(), multipliers(bands, rows)
+        known, odd = WordHash(), multipliers(bands, rows)
         for batch in batches:
             keys, sizes, signed = [], [], []
             for text in batch.column("text"):
@@ -126,7 +126,7 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
     """sk, grams: the full set of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _WordHash()
+        known = WordHash()
         for batch in batches:
             found = [shingle_set(t.as_py(), n, known) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import decontaminate, jaccard, langid, mixing, quality, secrets, sentences, surrogates
+from tagflow.llm import backoff, decontaminate, jaccard, langid, mixing, quality, secrets, sentences, surrogates
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -148,3 +148,32 @@ def op5(spark, sf):
 @query("op8_surrogates")
 def op8(spark, sf):
     return surrogates.replace(table(spark, sf, "documents"))
+
+
+_BACKOFF_SQL = r"""
+with t as (
+  select row_number() over () as r, doc_id,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+w as (select r, unnest(w) as w, generate_subscripts(w, 1) as i from t),
+b as (select r, i, w, lag(w) over (partition by r order by i) as u from w),
+c1 as (select w, count(*) as c from w group by w),
+c2 as (select u, w, count(*) as c from b where u is not null group by u, w),
+n as (select count(*) as n from w),
+s as (
+  select b.r, case when b.u is null then ln(x.c / n.n) when c2.c >= 2 then ln(c2.c / y.c) else ln(0.4 * (x.c / n.n)) end as v,
+         case when b.u is not null and c2.c < 2 then 1 else 0 end as off
+  from b cross join n join c1 x on b.w = x.w left join c1 y on b.u = y.w left join c2 on b.u = c2.u and b.w = c2.w),
+a as (select r, sum(v) as v, sum(off) as off from s group by r)
+select doc_id, len(t.w)::bigint as n_words, coalesce(off, 0)::bigint as n_backed_off, round(coalesce(v, 0), 4) as log_score,
+       case when len(t.w) > 0 then round(v / len(t.w), 4) end as mean_log_score
+from t left join a on t.r = a.r"""
+
+
+@query("op10_lm_scoring", _BACKOFF_SQL)
+def op10(spark, sf):
+    return backoff.score(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"),
+        F.round("mean_log_score", 4).alias("mean_log_score"),
+    )
