@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import backoff, decontaminate, jaccard, langid, mixing, quality, secrets, sentences, surrogates
+from tagflow.llm import backoff, chat, decontaminate, jaccard, langid, mixing, quality, secrets, sentences, surrogates
+from tagflow.llm.common import cut
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -177,3 +178,32 @@ def op10(spark, sf):
         "doc_id", "n_words", "n_backed_off", F.round("log_score", 4).alias("log_score"),
         F.round("mean_log_score", 4).alias("mean_log_score"),
     )
+
+
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+_CHAT_SQL = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+f as (
+  select *, length(replace(replace(replace(text, '\', '\\'), '###', '\h'), '</turn>', '\t'))
+            + length(replace(replace(replace(replace(role, '\', '\\'), '###', '\h'), '</turn>', '\t'), ':', '\c')) + 14 as n from c)
+select conv_id, count(*)::bigint as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(case when role = 'assistant' then length(text) end), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), '')) as loss_sha256,
+       sum(n)::bigint as formatted_chars
+from f group by conv_id"""
+
+
+@query("op3_chat_format", _CHAT_SQL)
+def op3(spark, sf):
+    odd = "\\### Assistant: </turn> ok"
+    own = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"),
+    )
+    nodes, members = chat.forest(own.unionByName(extra), TOKENIZER)
+    return chat.read_back(cut(nodes), members, TOKENIZER)
