@@ -90,19 +90,30 @@ b as (select device, block, min(addr) as block_start, max(addr + width) as block
 select p.pos, p.device, g.block, b.block_start, b.block_end from p join g using (device, addr, width) join b on b.device = p.device and b.block = g.block"""
 
 
-@query("d3_coalesce_ranges", _D3)
-def d3(spark, sf):
+def range_points(spark, sf):
     part = C.table(spark, sf, "part")
-    points = part.select(
+    return part.select(
         (F.col("p_partkey") % 50).alias("device"), F.lit("db").alias("area"), F.lit(1).alias("db"),
         F.col("p_partkey").alias("pos"), (F.col("p_partkey") * 7919 % 1500).cast("int").alias("addr"),
         F.when(F.col("p_size") % 10 == 9, "XYZ").otherwise(pick(["BOOL", "INT", "LREAL", "STRING"], F.col("p_size"))).alias("type"),
         F.lit(0).alias("bit"), F.lit(1).alias("count"), F.lit(298).alias("string_len"),
     )
-    plan, _ = ranges.coalesce_ranges(points)
+
+
+@query("d3_coalesce_ranges", _D3)
+def d3(spark, sf):
+    plan, _ = ranges.coalesce_ranges(range_points(spark, sf))
     return plan.select("pos", "device", "block", "block_start", "block_end")
 
 
+@query(
+    "d3_rejects",
+    "select p_partkey as pos, p_partkey % 50 as device, 'unsupported type' as reason from part where p_size % 10 = 9",
+)
+def d3_rejects(spark, sf):
+    return ranges.coalesce_ranges(range_points(spark, sf))[1].select("pos", "device", "reason")
+
+
 _SEG = """'QN=' || stamp || '000;ST=32;CN=' || ['2011', '2051', '2061', '2031'][event_id % 4 + 1] || ';PW=123456;MN=D' || user_id
  || ';Flag=' || k % 6 || ';CP=&&DataTime=' || stamp || ';' || case when event_id % 4 = 0 then 'a34004-Rtd=' || value || ',a34004-Flag=N;a01-ZsRtd=' || k
  else 'a34004-Avg=' || value || ',a34004-Cou=' || k || ',a34004-Flag=N' end || '&&'"""
@@ -130,6 +141,39 @@ def f1_hot(spark, sf):
     return _frames(*hot(C.events(spark, sf)))
 
 
+def packed_segments(ev):
+    """Segments of many frames whose first `#` came with the segment before."""
+    frame = F.concat(F.lit("##0004"), F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0"), F.lit("CRCC\r\n"))
+    many = F.repeat(frame, F.when(F.col("event_id") % 50 == 0, 90).otherwise(F.col("event_id") % 3 + 1).cast("int"))
+    first = ev.select(F.col("user_id").alias("conn")).distinct().select(
+        "conn", F.lit(-1).cast("long").alias("seq"), F.lit("noise##0000#").cast("binary").alias("bytes")
+    )
+    rest = ev.withColumn("_m", many).select(
+        F.col("user_id").alias("conn"), F.col("event_id").alias("seq"),
+        F.concat(F.expr("substring(_m, 2)"), F.lit("#")).cast("binary").alias("bytes"),
+    )
+    return first.unionByName(rest)
+
+
+@query(
+    "f1_packed_segments",
+    f"""select user_id as conn, event_id as seq, frame_no::int as frame_no, '##0004' || lpad((event_id % 10000)::varchar, 4, '0') || 'CRCC' || chr(13) || chr(10) as text
+from (select *, unnest(range(0, case when event_id % 50 = 0 then 90 else event_id % 3 + 1 end)) as frame_no from {EV})""",
+)
+def f1_packed(spark, sf):
+    out = hj212.split_frames(packed_segments(C.events(spark, sf)))
+    return out.select("conn", "seq", "frame_no", F.decode("bytes", "ISO-8859-1").alias("text"))
+
+
+@query(
+    "f1_skipped_bytes",
+    f"select distinct user_id as conn, -1::bigint as seq, 'noise##0000' as text, 'bytes outside a frame' as reason from {EV}",
+)
+def f1_skipped(spark, sf):
+    out = hj212.skipped_bytes(packed_segments(C.events(spark, sf)))
+    return out.select("conn", "seq", F.decode("bytes", "ISO-8859-1").alias("text"), "reason")
+
+
 @query(
     "f2_hj212_frames",
     _HJ + """ select user_id as conn, event_id as seq, stamp || '000' as qn, '32' as st, ['2011', '2051', '2061', '2031'][event_id % 4 + 1] as cn,
@@ -266,6 +310,7 @@ def fins_captures(ev):
         F.when(w == 1, F.concat(head, F.lit("0401")))
         .when(w == 2, F.concat(head, F.lit("0000"), F.substring("_b", 1, 14)))
         .when(w == 3, F.lit("C0000200"))
+        .when(w == 4, F.lit(None).cast("string"))
         .otherwise(F.concat(head, F.lit("0000"), F.col("_b")))
     )
     return ev.withColumn("_b", body).select(
@@ -277,7 +322,7 @@ def fins_captures(ev):
     "f7_fins_results",
     f"""select event_id as seq, pos, [130, 48, 177][pos + 1] as area, pos = 1 as is_bit,
  case pos when 0 then k * 500 when 1 then k % 2 else event_id % 65536 end as value
-from {EV}, (select unnest([0, 1, 2]) as pos) where event_id % 20 not in (1, 2, 3)""",
+from {EV}, (select unnest([0, 1, 2]) as pos) where event_id % 20 not in (1, 2, 3, 4)""",
 )
 def f7(spark, sf):
     rows, _ = P.fins_results(fins_captures(C.events(spark, sf)))
@@ -286,64 +331,14 @@ def f7(spark, sf):
 
 @query(
     "f7_fins_rejects",
-    f"""select event_id as seq, case event_id % 20 when 1 then 'command rejected, end code 0x0401' else 'short data for item 2' end as reason
-from {EV} where event_id % 20 in (1, 2)""",
+    f"""select event_id as seq, case event_id % 20 when 1 then 'end code 0401' when 2 then 'item cut at position 2'
+ when 3 then 'shorter than a response head' else 'no payload' end as reason
+from {EV} where event_id % 20 in (1, 2, 3, 4)""",
 )
 def f7_rejects(spark, sf):
     return P.fins_results(fins_captures(C.events(spark, sf)))[1].select("seq", "reason")
 
 
-def bacnet_captures(ev):
-    """Read-multiple with two objects, single reads, errors, aborts, write answers."""
-    w = F.col("event_id") % 10
-    oid = lambda kind, n: C.hex_of(F.lit(kind << 22) + n, 4)
-    value = F.concat(F.lit("22"), C.hex_of(F.col("k") * 300, 2))
-    text = F.concat(F.lit("75"), C.hex_of(F.length(F.col("_t")) + 1, 1), F.lit("00"), F.hex(F.col("_t").cast("binary")))
-    rpm = F.concat(
-        F.lit("30010E0C"), oid(0, F.col("user_id")), F.lit("1E29554E"), value, F.lit("4F294D4E"), text, F.lit("4F1F0C"),
-        oid(3, F.col("user_id")), F.lit("1E29554E"), F.when(F.col("k") % 2 == 0, "11").otherwise("10"),
-        F.lit("4F29675E910291205F1F"),
-    )
-    one = F.concat(F.lit("30010C0C"), oid(2, F.col("user_id")), F.lit("19553E44"), F.hex(C.pack(F.lit("f"), F.col("k") + 0.5)), F.lit("3F"))
-    apdu = (
-        F.when(w == 1, one).when(w == 2, F.lit("40010E91029120")).when(w == 3, F.lit("7101"))
-        .when(w == 4, F.lit("20010F")).when(w == 5, F.lit("50010409")).otherwise(rpm)
-    )
-    frame = F.concat(F.lit("810A"), C.hex_of(F.length("_a") / 2 + 6, 2), F.lit("0100"), F.col("_a"))
-    return (
-        ev.withColumn("_t", F.concat(F.lit("AI-"), F.col("user_id").cast("string")))
-        .withColumn("_a", apdu)
-        .select(F.col("user_id").alias("device"), F.col("event_id").alias("seq"), F.unhex(frame).alias("bytes"))
-    )
-
-
-@query(
-    "f8_bacnet_results",
-    f"""with e as (select *, event_id % 10 as w from {EV}), r as (select * from e where w not in (1, 2, 3, 4, 5))
-select event_id as seq, 0 as object_type, user_id as instance, 85 as property, k * 300 as whole, cast(null as double) as num, null as str, null as flag, null as error from r
-union all select event_id, 0, user_id, 77, null, null, 'AI-' || user_id, null, null from r
-union all select event_id, 3, user_id, 85, null, null, null, k % 2 = 0, null from r
-union all select event_id, 3, user_id, 103, null, null, null, null, 'bacnet error: class=2 code=32' from r
-union all select event_id, 2, user_id, 85, null, cast(k as double) + 0.5, null, null, null from e where w = 1
-union all select event_id, null, null, null, null, null, null, null, null from e where w = 4""",
-)
-def f8(spark, sf):
-    rows, _ = P.bacnet_results(bacnet_captures(C.events(spark, sf)))
-    return rows.select(
-        "seq", "object_type", "instance", "property", F.col("value.int").cast("bigint").alias("whole"),
-        F.col("value.num").alias("num"), F.col("value.str").alias("str"), F.col("value.bool").alias("flag"), "error",
-    )
-
-
-@query(
-    "f8_bacnet_rejects",
-    f"""select event_id as seq, case event_id % 10 when 2 then 'bacnet error: class=2 code=32' when 3 then 'bacnet: unsupported response PDU type 7'
- else 'bacnet: rejected (type 5)' end as reason from {EV} where event_id % 10 in (2, 3, 5)""",
-)
-def f8_rejects(spark, sf):
-    return P.bacnet_results(bacnet_captures(C.events(spark, sf)))[1].select("seq", "reason")
-
-
 def sensor_captures(ev):
     """Sensor frames: header, device, command, length, two numbers, checksum, end mark."""
     temp, humi = F.col("k") * 10 - 300, F.col("k") * 5

@@ -30,6 +30,21 @@ def s1(spark, sf):
     )
 
 
+@query(
+    "s1_unread_points",
+    f"""select event_id as msg_id, case event_id % 4 when 1 then 'wrong member type' else 'not readable as a point array' end as reason
+from {EV} where event_id % 4 <> 0""",
+)
+def s1_unread(spark, sf):
+    """Whole arrays, wrong member kinds, text behind the array, objects."""
+    ev = C.events(spark, sf)
+    good = F.concat(F.lit('[{"name":"p","value":'), F.col("k").cast("string"), F.lit("}]"))
+    wrong = F.concat(F.lit('[{"name":"p"},{"name":'), F.col("k").cast("string"), F.lit("}]"))
+    kind = F.col("event_id") % 4
+    text = F.when(kind == 0, good).when(kind == 1, wrong).when(kind == 2, F.concat(good, F.lit(" x"))).otherwise(F.lit('{"name":"p"}'))
+    return M.unread_points(ev.select(F.col("event_id").alias("msg_id"), text.alias("data"))).select("msg_id", "reason")
+
+
 _SERIES = f"""with ev as {EV}"""
 
 

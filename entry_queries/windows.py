@@ -63,8 +63,8 @@ def w3(spark, sf):
 
 
 _W4 = f"""with r as (select *, (row_number() over (partition by user_id order by ts_ns, event_id) - 1) // 10 as window_no from {_GOOD})
-select user_id as device, window_no, cast(sum(k) as bigint) as sum_k, min(event_id) as first_id, max(event_id) as last_id
-from r group by 1, 2 having count(*) = 10"""
+select user_id as device, window_no, cast(sum(k) as bigint) as sum_k, min(event_id) as first_id, max(event_id) as last_id,
+count(*) = 10 as complete from r group by 1, 2"""
 
 
 def _w4(ev, limit=MAX_KEY_ROWS):
@@ -116,14 +116,14 @@ def w7(spark, sf):
 
 @query(
     "w8_downsample",
-    f"""select 'points_1h' as measurement, 'a' as site, (ts_ns // {_H} + 1) * {_H} as ts_ns, event_type as field,
-round(avg(value), 9) as value from {_GOOD} group by 3, 4""",
+    f"""select user_id as device, 'points_1h' as measurement, 'a' as site, (ts_ns // {_H} + 1) * {_H} as ts_ns, event_type as field,
+round(avg(value), 9) as value from {_GOOD} group by 1, 4, 5""",
 )
 def w8(spark, sf):
-    rows = downsample(good_points(spark, sf), SeriesMapping("points_1h", (("site", "a"),)), "1h")
+    rows = downsample(good_points(spark, sf), SeriesMapping("points_1h", (("site", "a"),)), "1h", ["device"])
     return rows.select(
-        "measurement", F.col("tags")["site"].alias("site"), "ts_ns", F.explode("fields").alias("field", "_v")
-    ).select("measurement", "site", "ts_ns", "field", F.round("_v.num", 9).alias("value"))
+        "device", "measurement", F.col("tags")["site"].alias("site"), "ts_ns", F.explode("fields").alias("field", "_v")
+    ).select("device", "measurement", "site", "ts_ns", "field", F.round("_v.num", 9).alias("value"))
 
 
 @query(

@@ -1,17 +1,10 @@
-"""Request/response captures of controllers and building automation devices."""
+"""Request/response captures of controllers."""
 
 from __future__ import annotations
 
-import json
-import struct
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagflow.schemas import VALUE_T
-
 # -- FINS multiple memory area read ------------------------------------------------
 
 FINS_HEADER = 14
@@ -26,7 +19,7 @@ _FINS_ITEM = "((?:02|30|31|32|33)(?:[0-9A-F]{2})|(?!02|30|31|32|33)[0-9A-F]{2}[0
 def fins_results(captures: DataFrame, keep: tuple[str, ...] = ("device", "seq")) -> tuple[DataFrame, DataFrame]:
     """(items, rejects) of captured multi-read responses.
 
-    Responses under 14 bytes are skipped; a non-zero end code is a reject.
+    A null payload, a response under 14 bytes and a non-zero end code are rejects.
     Items are sized by the echoed area code. With an ``expected`` column (items
     asked for) missing or cut items reject the capture. The layout is regular
     enough to be read by a pattern over the hex text, inside the JVM.
@@ -34,30 +27,30 @@ def fins_results(captures: DataFrame, keep: tuple[str, ...] = ("device", "seq"))
     has_expected = "expected" in captures.columns
     hexed = F.hex(F.col("bytes"))
     marked = (
-        captures.filter(F.length("bytes") >= FINS_HEADER)
-        .withColumn("_code", F.substring(hexed, 25, 4))
-        .withColumn("_body", F.expr(f"substring(hex(bytes), {2 * FINS_HEADER + 1})"))
+        captures.withColumn("_code", F.substring(hexed, 25, 4))
+        .withColumn("_body", F.coalesce(F.expr(f"substring(hex(bytes), {2 * FINS_HEADER + 1})"), F.lit("")))
     )
     # \G keeps items adjacent: matching stops at the first cut item.
     items = F.regexp_extract_all("_body", F.lit(r"\G" + _FINS_ITEM), F.lit(1))
     marked = marked.withColumn("_all", items)
     used = F.length(F.array_join("_all", ""))
     if has_expected:
-        wanted = F.col("expected")
+        wanted = F.coalesce(F.col("expected"), F.lit(0))
         reason = (
             F.when(F.size("_all") >= wanted, None)
-            .when(used < F.length("_body"), F.concat(F.lit("short data for item "), F.size("_all")))
-            .otherwise(F.concat(F.lit("short response, missing item "), F.size("_all")))
+            .when(used < F.length("_body"), F.concat(F.lit("item cut at position "), F.size("_all")))
+            .otherwise(F.concat(F.lit("no item at position "), F.size("_all")))
         )
         chosen = F.slice("_all", F.lit(1), F.greatest(wanted, F.lit(0)))
     else:
-        reason = F.when(used < F.length("_body"), F.concat(F.lit("short data for item "), F.size("_all")))
+        reason = F.when(used < F.length("_body"), F.concat(F.lit("item cut at position "), F.size("_all")))
         chosen = F.col("_all")
     marked = marked.withColumn(
         "reason",
-        F.when(
-            F.col("_code") != "0000", F.concat(F.lit("command rejected, end code 0x"), F.col("_code"))
-        ).otherwise(reason),
+        F.when(F.col("bytes").isNull(), "no payload")
+        .when(F.length("bytes") < FINS_HEADER, "shorter than a response head")
+        .when(F.col("_code") != "0000", F.concat(F.lit("end code "), F.col("_code")))
+        .otherwise(reason),
     )
     item = F.col("_item")
     rows = (
@@ -72,272 +65,3 @@ def fins_results(captures: DataFrame, keep: tuple[str, ...] = ("device", "seq"))
         )
     )
     return rows, marked.filter(F.col("reason").isNotNull()).select(*keep, "reason")
-
-
-# -- BACnet/IP responses --------------------------------------------------------------
-
-# PDU types and services of a response (fixed values).
-SIMPLE_ACK, COMPLEX_ACK, ERROR, REJECT, ABORT = 2, 3, 4, 5, 6
-READ_PROPERTY, READ_MULTIPLE, WRITE_PROPERTY = 0x0C, 0x0E, 0x0F
-OPEN, CLOSE = 6, 7
-INSTANCE_MASK = 0x3FFFFF
-
-
-class Malformed(ValueError):
-    """A capture that does not follow the encoding."""
-
-
-def read_tag(data: bytes, at: int) -> tuple[int, bool, int, int, int]:
-    """(tag number, context class, length-value-type, data length, data offset) at ``at``."""
-    if at >= len(data):
-        raise Malformed("empty application data")
-    lead = data[at]
-    number, context, lvt = lead >> 4, bool(lead & 0x08), lead & 0x07
-    if lvt in (OPEN, CLOSE) or lvt < 5:
-        return number, context, lvt, lvt if lvt < 5 else 0, at + 1
-    extension = data[at + 1 : at + 2]
-    if not extension:
-        raise Malformed("short extended length")
-    if extension[0] < 254:
-        return number, context, lvt, extension[0], at + 2
-    size = 2 if extension[0] == 254 else 4
-    field = data[at + 2 : at + 2 + size]
-    if len(field) < size:
-        raise Malformed(f"short uint{size * 8} length")
-    return number, context, lvt, int.from_bytes(field, "big"), at + 2 + size
-
-
-def _characters(data: bytes) -> str:
-    if not data:
-        raise Malformed("empty character string")
-    body = data[1:]
-    if data[0] == 3:
-        if len(body) % 2:
-            raise Malformed(f"UCS-2 string with odd byte length {len(body)}")
-        return body.decode("utf-16-be", "replace")
-    return body.decode("utf-8", "replace")
-
-
-def _bits(data: bytes) -> list[bool]:
-    bits = [bool(b >> i & 1) for b in data[1:] for i in range(7, -1, -1)]
-    unused = data[0] if data else 0
-    return bits[: len(bits) - unused] if unused < len(bits) else bits
-
-
-def read_value(data: bytes, at: int) -> tuple[tuple[str, object], int]:
-    """((kind, value), next offset) of one application value; kinds as in VALUE_T."""
-    number, _, lvt, length, start = read_tag(data, at)
-    if number == 1:
-        return ("bool", lvt != 0), at + 1
-    if lvt in (OPEN, CLOSE):
-        raise Malformed(f"length value type {lvt} is not a data length")
-    body = data[start : start + length]
-    if len(body) < length:
-        raise Malformed(f"short data ({len(data) - start} bytes) for tag {number}")
-    after = start + length
-    if number == 0:
-        return ("null", None), after
-    if number in (2, 9):
-        return ("int", int.from_bytes(body, "big") & (1 << 64) - 1), after
-    if number == 3:
-        return ("int", int.from_bytes(body, "big", signed=True) if length <= 8 else 0), after
-    if number in (4, 5):
-        size = 4 if number == 4 else 8
-        if length != size:
-            raise Malformed(f"{'real' if size == 4 else 'double'} length {length} != {size}")
-        return ("num", struct.unpack(">f" if size == 4 else ">d", body)[0]), after
-    if number == 7:
-        return ("str", _characters(body)), after
-    if number in (6, 10, 11):
-        return ("json", json.dumps(list(body))), after
-    if number == 8:
-        return ("json", json.dumps(_bits(body))), after
-    if number == 12:
-        if length != 4:
-            raise Malformed(f"object-identifier length {length} != 4")
-        raw = int.from_bytes(body, "big")
-        return ("json", json.dumps({"type": raw >> 22, "instance": raw & INSTANCE_MASK})), after
-    raise Malformed(f"unsupported application tag {number}")
-
-
-def read_context(data: bytes, at: int, expected: int) -> tuple[int, int]:
-    """(unsigned value, next offset) of a context tag with the expected number."""
-    if at >= len(data):
-        raise Malformed(f"expected context tag {expected}")
-    number, context, lvt, length, start = read_tag(data, at)
-    if number != expected or not context or lvt in (OPEN, CLOSE):
-        raise Malformed(f"expected context tag {expected}")
-    if start + length > len(data):
-        raise Malformed(f"context tag {expected} short data")
-    return int.from_bytes(data[start : start + length], "big"), start + length
-
-
-def read_object(data: bytes, at: int) -> tuple[int, int, int]:
-    if data[at : at + 1] != b"\x0c" or len(data) < at + 5:
-        raise Malformed("expected context tag 0 object-identifier")
-    raw = int.from_bytes(data[at + 1 : at + 5], "big")
-    return raw >> 22, raw & INSTANCE_MASK, at + 5
-
-
-def _error_text(data: bytes, at: int) -> tuple[str, int]:
-    (kind, cls), at = read_value(data, at)
-    (kind2, code), at = read_value(data, at)
-    if kind != "int" or kind2 != "int":
-        raise Malformed("expected enumerated value")
-    return f"bacnet error: class={cls & 0xFF} code={code & 0xFF}", at
-
-
-def response_body(frame: bytes) -> tuple[int, int, bytes]:
-    """(PDU type, service, rest) of a frame, past link and network headers."""
-    if len(frame) < 6:
-        raise Malformed("short frame")
-    if frame[0] != 0x81:
-        raise Malformed("not a BACnet/IP frame")
-    if frame[4] != 0x01:
-        raise Malformed("bad NPDU")
-    control, at = frame[5], 6
-    for flag, tail in ((0x80, 1), (0x20, 0)):  # destination (with hop count), source
-        if control & flag:
-            if at + 3 + tail > len(frame) or at + 3 + frame[at + 2] + tail > len(frame):
-                raise Malformed("bad NPDU")
-            at += 3 + frame[at + 2] + tail
-    if at >= len(frame):
-        raise Malformed("short frame")
-    pdu = frame[at] >> 4
-    if pdu not in (SIMPLE_ACK, COMPLEX_ACK, ERROR, REJECT, ABORT):
-        raise Malformed(f"unsupported response PDU type {pdu}")
-    if at + 3 > len(frame):
-        raise Malformed("short frame")
-    return pdu, frame[at + 2], frame[at + 3 :]
-
-
-def _first_value(data: bytes, at: int) -> tuple[str, object]:
-    """First application value of a response, past its context tags."""
-    while at < len(data):
-        _, context, lvt, length, start = read_tag(data, at)
-        if not context:
-            return read_value(data, at)[0]
-        at = start + (0 if lvt in (OPEN, CLOSE) else length)
-    raise Malformed("no application value in response")
-
-
-def _property_value(data: bytes, at: int) -> tuple[object, str | None, int]:
-    """(first value, error, next offset) up to closing tag 4; further values are skipped."""
-    first = None
-    while at < len(data):
-        if data[at] == 0x4F:
-            return first, None if first else "bacnet: empty value", at + 1
-        try:
-            got, at = read_value(data, at)
-        except Malformed as e:
-            return None, f"bacnet: {e}", at
-        if first is None and got[0] != "null":
-            first = got
-    return None, "bacnet: missing closing tag 4", at
-
-
-def _object_properties(data: bytes, at: int) -> tuple[list[tuple], int]:
-    """Rows of one object of a read-multiple response."""
-    kind, instance, at = read_object(data, at)
-    if data[at : at + 1] != b"\x1e":
-        raise Malformed("expected opening tag 1")
-    at += 1
-    found: dict[int, tuple] = {}
-    while at < len(data) and data[at] != 0x1F:
-        prop, at = read_context(data, at, 2)
-        if at < len(data) and data[at] >> 4 == 3 and data[at] & 0x08:
-            _, at = read_context(data, at, 3)  # array index
-        lead = data[at] if at < len(data) else None
-        if lead == 0x4E:
-            value, error, at = _property_value(data, at + 1)
-            found[prop] = (kind, instance, prop, value, error)
-        elif lead == 0x5E:
-            try:
-                error, at = _error_text(data, at + 1)
-                found[prop] = (kind, instance, prop, None, error)
-            except Malformed:
-                at += 1
-            close = data.find(0x5F, at)
-            at = len(data) if close < 0 else close + 1
-        else:
-            raise Malformed(f"unexpected or missing result for property {prop}")
-    return list(found.values()), at + 1
-
-
-def read_response(frame: bytes) -> tuple[list[tuple], str | None]:
-    """(rows, reject reason) of one response capture.
-
-    Rows are (object type, instance, property, (kind, value), error). A decoding
-    fault inside a read-multiple response keeps the objects before it.
-    """
-    rows: list[tuple] = []
-    try:
-        pdu, service, data = response_body(frame)
-        if pdu == ERROR:
-            return rows, _error_text(data, 0)[0]
-        if pdu in (REJECT, ABORT):
-            return rows, f"bacnet: {'rejected' if pdu == REJECT else 'aborted'} (type {pdu})"
-        if pdu == SIMPLE_ACK:
-            return [(None, None, None, None, None)], None
-        if service == READ_MULTIPLE:
-            at = 0
-            while at < len(data):
-                made, at = _object_properties(data, at)
-                rows += made
-            return rows, None
-        value = _first_value(data, 0)
-        try:
-            kind, instance, at = read_object(data, 0)
-            prop, _ = read_context(data, at, 1)
-        except Malformed:
-            kind = instance = prop = None
-        null = value[0] == "null"
-        return [(kind, instance, prop, None if null else value, "bacnet: empty value" if null else None)], None
-    except Malformed as e:
-        return rows, f"bacnet: {e}"
-
-
-def bacnet_results(captures: DataFrame, keep: tuple[str, ...] = ("device", "seq")) -> tuple[DataFrame, DataFrame]:
-    """(properties, rejects) of captured read, read-multiple and write responses.
-
-    One row per property with its first value or its error; a write answer is a
-    row with service 15 and no property. Captures are decoded batch by batch
-    where they lie: no shuffle.
-    """
-    from decimal import Decimal
-
-    types = dict(captures.dtypes)
-    keep = tuple(keep)
-    schema = ", ".join(
-        [*(f"{k} {types[k]}" for k in keep),
-         f"object_type int, instance bigint, property bigint, value {VALUE_T}, error string, reason string"]
-    )
-    slots = ("num", "int", "str", "bool", "json")
-
-    def as_value(pair: tuple[str, object] | None) -> dict:
-        kind, value = pair or ("null", None)
-        out = {"kind": kind, **dict.fromkeys(slots)}
-        if kind != "null":
-            out[kind] = Decimal(value) if kind == "int" else value
-        return out
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            made = []
-            for *head, cell in pdf[[*keep, "bytes"]].itertuples(index=False, name=None):
-                rows, reason = read_response(bytes(cell))
-                made += [(*head, a, b, c, as_value(v), e, None) for a, b, c, v, e in rows]
-                if reason is not None:
-                    made.append((*head, None, None, None, as_value(None), None, reason))
-            out = pd.DataFrame(
-                made, columns=[*keep, "object_type", "instance", "property", "value", "error", "reason"]
-            )
-            for c in ("object_type", "instance", "property"):
-                out[c] = out[c].astype("Int64")
-            yield out
-
-    both = captures.select(*keep, "bytes").mapInPandas(run, schema)
-    return (
-        both.filter(F.col("reason").isNull()).drop("reason"),
-        both.filter(F.col("reason").isNotNull()).select(*keep, "reason"),
-    )

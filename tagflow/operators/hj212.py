@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -14,8 +15,7 @@ from tagflow.functions.stages import compute_once, let
 from tagflow.operators.decode import crc16
 from tagflow.operators.ordered import MAX_KEY_ROWS, carried_scan
 
-MAX_DATA = 2048
-MAX_BUFFER = MAX_DATA + 12
+NOISE = "bytes outside a frame"
 
 # Value suffixes of a factor (fixed values); other suffixes are no numbers.
 VALUE_SUFFIXES = (
@@ -28,78 +28,106 @@ GRAINS = {"2011": "realtime", "2051": "minute", "2061": "hour", "2031": "day"}
 
 def declared_length(head: bytes) -> int | None:
     """Length field of a frame head; None when it is no usable number."""
-    digits = head[1:] if head[:1] in (b"+", b"-") else head
-    if not digits.isdigit():
+    if not re.fullmatch(rb"\+?[0-9]+", head):
         return None
-    length = int(head)
-    return length if 0 < length <= MAX_DATA else None
+    return int(head) or None
 
 
-def feed(buffer: bytes, received: bytes) -> tuple[bytes, list[bytes]]:
-    """Append one received segment; returns the rest to keep and whole frames."""
-    buffer += received
-    if len(buffer) > MAX_BUFFER:
-        return b"", []
-    frames = []
-    at = 0
+def feed(buffer: bytes, received: bytes) -> tuple[bytes, list[tuple[bytes, str | None]]]:
+    """Append one received segment; returns the rest to keep and (bytes, None) of whole
+    frames and (bytes, reason) of what lies outside frames, in order.
+
+    The rest is an unfinished frame, whose head bounds its length, or a lone ``#``.
+    """
+    data = buffer + received
+    out: list[tuple[bytes, str | None]] = []
+    done = at = 0  # all before `done` is given out; the search goes on at `at`
+
+    def skip(to: int) -> None:
+        if to > done:
+            out.append((data[done:to], NOISE))
+
     while True:
-        at = buffer.find(b"##", at)
+        at = data.find(b"##", at)
         if at < 0:
-            return b"", frames
-        if len(buffer) - at < 6:
-            return buffer[at:], frames
-        length = declared_length(buffer[at + 2 : at + 6])
+            at = len(data) - data.endswith(b"#")
+            break
+        if len(data) - at < 6:
+            break
+        length = declared_length(data[at + 2 : at + 6])
         if length is None:
-            at += 2
+            at += 2 if data[at + 2 : at + 3] != b"#" else 1
             continue
         end = at + length + 12
-        if len(buffer) < end:
-            return buffer[at:], frames
-        frames.append(buffer[at:end])
-        at = end
+        if len(data) < end:
+            break
+        skip(at)
+        out.append((data[at:end], None))
+        done = at = end
+    skip(at)
+    return data[at:], out
 
 
 def frame_step(keys: Sequence[str], seq: str, payload: str):
-    """Scan step: the state is the unfinished tail of the connection, at most 2060 bytes."""
-    columns = [*keys, seq, "frame_no", "bytes"]
+    """Scan step: the state is the unfinished frame of the connection, at most 10,011 bytes."""
+    columns = [*keys, seq, "frame_no", "bytes", "reason"]
 
     def step(state: object, rows: pd.DataFrame):
         buffer = state or b""
         made = []
         for values in rows[[*keys, seq, payload]].itertuples(index=False, name=None):
-            data = bytes(values[-1] or b"")
-            number = 0
-            for piece in range(0, max(len(data), 1), 1024):
-                buffer, frames = feed(buffer, data[piece : piece + 1024])
-                for frame in frames:
-                    made.append((*values[:-1], number, frame))
-                    number += 1
+            buffer, found = feed(buffer, bytes(values[-1] or b""))
+            numbers = {None: 0, NOISE: 0}
+            for data, reason in found:
+                made.append((*values[:-1], numbers[reason], data, reason))
+                numbers[reason] += 1
         return buffer or None, pd.DataFrame(made, columns=columns)
 
     return step
 
 
-def split_frames(
+def cut_segments(
     segments: DataFrame,
     keys: Sequence[str] = ("conn",),
     seq: str = "seq",
     payload: str = "bytes",
     max_key_rows: int | None = MAX_KEY_ROWS,
 ) -> DataFrame:
-    """Whole frames from a connection's byte segments, in order of ``seq``.
+    """Frames (``reason`` null) and skipped bytes (with a reason) of a connection's segments.
 
-    Noise before ``##`` and unusable heads are skipped, an unfinished frame waits
-    for the next segment, a buffer over 2060 bytes is dropped. A frame carries
-    the ``seq`` of the segment that completed it.
+    Both are numbered within the segment that completed them. Bytes before ``##`` and
+    after an unusable head are skipped, an unfinished frame waits for the next segment.
     """
     types = dict(segments.dtypes)
     schema = ", ".join(
-        [*(f"{k} {types[k]}" for k in keys), f"{seq} {types[seq]}", "frame_no int", "bytes binary"]
+        [*(f"{k} {types[k]}" for k in keys), f"{seq} {types[seq]}", "frame_no int, bytes binary, reason string"]
     )
     used = segments.select(*keys, seq, payload)
     return carried_scan(used, keys, [seq], frame_step(keys, seq, payload), schema, max_key_rows)
 
 
+def split_frames(
+    segments: DataFrame,
+    keys: Sequence[str] = ("conn",),
+    seq: str = "seq",
+    payload: str = "bytes",
+    max_key_rows: int | None = MAX_KEY_ROWS,
+) -> DataFrame:
+    """Whole frames from a connection's byte segments, in order of ``seq``; see ``cut_segments``."""
+    return cut_segments(segments, keys, seq, payload, max_key_rows).filter("reason is null").drop("reason")
+
+
+def skipped_bytes(
+    segments: DataFrame,
+    keys: Sequence[str] = ("conn",),
+    seq: str = "seq",
+    payload: str = "bytes",
+    max_key_rows: int | None = MAX_KEY_ROWS,
+) -> DataFrame:
+    """What ``split_frames`` leaves out: the bytes outside frames, with a reason."""
+    return cut_segments(segments, keys, seq, payload, max_key_rows).filter("reason is not null")
+
+
 def _utf8(latin: Column) -> Column:
     return F.encode(latin, "ISO-8859-1").cast("string")
 
@@ -211,12 +239,16 @@ def _unsendable(factors: Column) -> Column:
     return F.exists(factors, lambda f: F.isnan(f["num"]) | (F.abs(f["num"]) == infinite))
 
 
-def hj212_points(frames: DataFrame, keep: Sequence[str] = ("conn", "seq", "frame_no")) -> DataFrame:
+def hj212_points(
+    frames: DataFrame, keep: Sequence[str] = ("conn", "seq", "frame_no"), zone: str = "UTC"
+) -> DataFrame:
     """Numeric factors of checked frames as points.
 
     Real-time values keep the bare factor code. A frame with a NaN or infinite
-    factor yields no points at all; ``hj212_quarantine`` lists such frames.
+    factor yields no points at all; ``hj212_quarantine`` lists such frames. ``zone``
+    is the one the frames were read with; ``dataTime`` shows their own clock.
     """
+    local = F.from_utc_timestamp(F.timestamp_micros(F.expr("ts_ns div 1000")), zone)
     usable = compute_once(frames, {"_f": _factors(F.col("items"))}).filter(~_unsendable(F.col("_f")))
     return usable.select(
         *keep, "mn", "st", "cn", "ts_ns", F.posexplode("_f").alias("pos", "_p")
@@ -231,7 +263,7 @@ def hj212_points(frames: DataFrame, keep: Sequence[str] = ("conn", "seq", "frame
             F.create_map(
                 F.lit("mn"), F.col("mn"), F.lit("st"), F.col("st"), F.lit("cn"), F.col("cn"),
                 F.lit("dataTime"),
-                F.when(F.col("ts_ns") != 0, F.date_format(F.timestamp_seconds(F.col("ts_ns") / 1_000_000_000), "yyyy-MM-dd HH:mm:ss")),
+                F.when(F.col("ts_ns") != 0, F.date_format(local, "yyyy-MM-dd HH:mm:ss")),
             ),
             lambda _, v: v.isNotNull(),
         ).alias("metadata"),

@@ -22,11 +22,12 @@ def modbus_writes(
     ``unit`` 0 takes every unit. The shown address is at least five digits.
     """
     end = F.col("addr") + F.col("quantity")
+    holds = lambda test: F.coalesce(test, F.lit(False))  # noqa: E731  a null member is a reject
     reason = (
-        F.when(F.lit(unit != 0) & (F.col("unitId") != unit), "other unit")
-        .when(~F.col("type").isin("coil", "holding_register"), "bank is not writable")
-        .when(end > bank_size, "illegal data address")
-        .when(F.size("values") < F.col("quantity"), "illegal data value")
+        F.when(F.lit(unit != 0) & ~holds(F.col("unitId") == unit), "other unit")
+        .when(~holds(F.col("type").isin("coil", "holding_register")), "bank is not writable")
+        .when(~holds((F.col("addr") >= 0) & (F.col("quantity") >= 0) & (end <= bank_size)), "illegal data address")
+        .when(~holds(F.size("values") >= F.col("quantity")), "illegal data value")
     )
     marked = events.withColumn("reason", reason)
     base = F.create_map(*[F.lit(x) for kv in BANK_BASE.items() for x in kv])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagflow.functions import text as X
 from tagflow.functions import values as V
 from tagflow.functions.stages import compute_once
+from tagflow.sources import messages as M
 
 POINT_CONFIG = (
     "name string, addr string, type string, scale double, offset double, "
@@ -36,8 +37,18 @@ def resolve_points(
     names = [c.split()[0] for c in POINT_CONFIG.split(", ")]
     members = ",".join(":".join(c.split()) for c in POINT_CONFIG.split(", "))
     asked = F.from_json(F.col(data_col), f"array<struct<{members}>>")
-    is_array = F.coalesce(X.strip(F.col(data_col)).startswith("["), F.lit(False))
-    tried = compute_once(messages, {"_own": F.when(is_array, asked)})
+    kinds = {c.split()[0]: ("str",) if c.split()[1] == "string" else ("int", "num") for c in POINT_CONFIG.split(", ")}
+
+    def readable(row: Column) -> Column:
+        fits = F.lit(True)
+        for name, allowed in kinds.items():
+            fits = fits & F.coalesce(V.variant_kind(M.member(row, name)).isin("null", *allowed), F.lit(True))
+        return fits
+
+    data = F.col(data_col)
+    rows = F.when(M.is_json_array(data) & M.is_whole_json(data), F.from_json(data, "array<map<string,variant>>"))
+    readable_all = F.coalesce(F.forall("_rows", lambda r: F.coalesce(readable(r), F.lit(True))), F.lit(False))
+    tried = compute_once(compute_once(messages, {"_rows": rows}), {"_own": F.when(readable_all, asked)}).drop("_rows")
     has_own = F.coalesce(F.size("_own") > 0, F.lit(False))
     own = tried.filter(has_own).select(
         *keep, device, F.lit("message").alias("source"), F.posexplode("_own").alias("pos", "_p")

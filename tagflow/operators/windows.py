@@ -120,14 +120,12 @@ def count_window(
     order: Sequence[str] = ("ts_ns", "seq"),
     max_key_rows: int | None = MAX_KEY_ROWS,
 ) -> DataFrame:
-    """Aggregates over every n consecutive rows of a key; a short tail is not emitted."""
+    """Aggregates over every n consecutive rows of a key; ``complete`` is false for a shorter tail."""
     rows = Ordered.of(points, keys, order, max_key_rows).row_number("_rn").df
     number = F.call_function("div", F.col("_rn") - 1, F.lit(n).cast("bigint")).alias("window_no")
     return (
         rows.groupBy(*keys, number)
-        .agg(F.count(F.lit(1)).alias("_rows"), *aggs)
-        .filter(F.col("_rows") == n)
-        .drop("_rows")
+        .agg(*aggs, (F.count(F.lit(1)) == n).alias("complete"))
     )
 
 

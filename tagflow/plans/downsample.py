@@ -15,11 +15,12 @@ from tagflow.schemas import SeriesMapping
 
 
 def downsample(
-    points: DataFrame, mapping: SeriesMapping, size: str, keys: Sequence[str] = (), agg: str = "avg"
+    points: DataFrame, mapping: SeriesMapping, size: str, keys: Sequence[str], agg: str = "avg"
 ) -> DataFrame:
     """Window aggregate per point name, folded into one row stored at the window's end.
 
-    ``points`` are good points with a numeric ``value`` and ``event_time``. The
+    ``keys`` name the device: equal point names of different devices stay apart, and a
+    folded row holds the points of one device. ``points`` are good points with a numeric ``value`` and ``event_time``. The
     first aggregation combines before its shuffle; the fold that follows moves
     only one row per name and window.
     """

@@ -16,11 +16,21 @@ def is_json_array(data: Column) -> Column:
     return F.coalesce(X.strip(data).startswith("["), F.lit(False))
 
 
+def is_whole_json(data: Column) -> Column:
+    """True when the text is one JSON value and nothing else.
+
+    Spark's parsers stop at the end of the first value; text behind it only shows once
+    the value is wrapped, and no text can be cut short of both wrappings.
+    """
+    wrapped = lambda a, b: F.try_parse_json(F.concat(F.lit(a), data, F.lit(b))).isNotNull()
+    return F.coalesce(wrapped("[", "]") & wrapped('{"v":', "}"), F.lit(False))
+
+
 def object_rows(data: Column) -> Column:
     """JSON object or array of objects as an array of maps; null for anything else."""
     rows = F.from_json(data, _OBJECT_ROWS)
     single = let(F.from_json(data, "map<string,variant>"), lambda o: F.when(o.isNotNull(), F.array(o)))
-    return F.when(is_json_array(data), rows).otherwise(single)
+    return F.when(is_whole_json(data), F.when(is_json_array(data), rows).otherwise(single))
 
 
 def member(row: Column, key: str) -> Column:
@@ -39,6 +49,14 @@ def member_ns(row: Column, key: str) -> Column:
 def holds_points(rows: Column) -> Column:
     """True when every element can be read as a point and the first one has a name."""
 
+    first = F.try_element_at(rows, F.lit(1))
+    named = F.coalesce(member_text(first, "name"), F.lit("")) != ""
+    return F.coalesce(rows.isNotNull() & named & _readable_points(rows), F.lit(False))
+
+
+def _readable_points(rows: Column) -> Column:
+    """True when the members of every element have the kinds of a point."""
+
     def readable(row: Column) -> Column:
         return (
             V.variant_kind(member(row, "name")).isin("null", "str")
@@ -46,23 +64,18 @@ def holds_points(rows: Column) -> Column:
             & V.variant_kind(member(row, "timestamp")).isin("null", "int")
         )
 
-    first = F.try_element_at(rows, F.lit(1))
-    named = F.coalesce(member_text(first, "name"), F.lit("")) != ""
-    return F.coalesce(
-        rows.isNotNull() & named & F.forall(rows, lambda r: F.coalesce(readable(r), F.lit(True))),
-        F.lit(False),
-    )
+    return F.forall(rows, lambda r: F.coalesce(readable(r), F.lit(True)))
 
 
 def read_points(df: DataFrame, data_col: str = "data", keep: tuple[str, ...] = ("msg_id",)) -> DataFrame:
     """One row per element of the acquisition array, with its position.
 
-    Rows come straight out of the message, so there is no shuffle. A message
-    that is no array gives no rows.
+    Rows come straight out of the message, so there is no shuffle. A message that
+    cannot be read as points gives no rows; ``unread_points`` lists those.
     """
-    rows = F.when(is_json_array(F.col(data_col)), F.from_json(F.col(data_col), _OBJECT_ROWS))
     row = F.col("_row")
-    return df.select(*keep, F.posexplode(rows).alias("pos", "_row")).select(
+    checked = _checked_points(df, data_col).filter(F.col("reason").isNull())
+    return checked.select(*keep, F.posexplode("_rows").alias("pos", "_row")).select(
         *keep,
         "pos",
         member_text(row, "name").alias("name"),
@@ -72,6 +85,20 @@ def read_points(df: DataFrame, data_col: str = "data", keep: tuple[str, ...] = (
     )
 
 
+def _checked_points(df: DataFrame, data_col: str) -> DataFrame:
+    data = F.col(data_col)
+    rows = F.when(is_json_array(data) & is_whole_json(data), F.from_json(data, _OBJECT_ROWS))
+    reason = F.when(F.col("_rows").isNull(), "not readable as a point array").when(
+        ~F.coalesce(_readable_points(F.col("_rows")), F.lit(False)), "wrong member type"
+    )
+    return compute_once(compute_once(df, {"_rows": rows}), {"reason": reason})
+
+
+def unread_points(df: DataFrame, data_col: str = "data", keep: tuple[str, ...] = ("msg_id",)) -> DataFrame:
+    """Messages that ``read_points`` gives no rows for, with the reason; an empty array is none."""
+    return _checked_points(df, data_col).filter(F.col("reason").isNotNull()).select(*keep, data_col, "reason")
+
+
 def read_series_json(
     df: DataFrame, data_col: str = "data", keep: tuple[str, ...] = ("msg_id",)
 ) -> tuple[DataFrame, DataFrame]:

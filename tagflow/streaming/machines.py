@@ -116,11 +116,12 @@ class SequenceMatch:
 
     def row(self, state, ts, flags):
         waiting = state.setdefault("waiting", [[] for _ in range(self.steps)])
+        waiting[:] = [[s for s in starts if ts - s <= self.within_ns] for starts in waiting]
         last = self.steps - 1
         for i in range(last, 0, -1):
             if not flags[i]:
                 continue
-            moving, waiting[i] = [s for s in waiting[i] if ts - s <= self.within_ns], []
+            moving, waiting[i] = waiting[i], []
             if i < last:
                 waiting[i + 1] += moving
             elif moving:
@@ -142,11 +143,8 @@ class Frames:
 
     def row(self, state, ts, values):
         seq, data = values
-        out = []
-        for piece in range(0, max(len(data), 1), 1024):
-            state["rest"], frames = feed(state.get("rest", b""), bytes(data[piece : piece + 1024]))
-            out += [(seq, len(out) + i, f) for i, f in enumerate(frames)]
-        return out
+        state["rest"], found = feed(state.get("rest", b""), bytes(data or b""))
+        return [(seq, i, f) for i, f in enumerate(f for f, reason in found if reason is None)]
 
     def alarm(self, state):
         return []

@@ -73,12 +73,15 @@ def test_faulty_frames(spark):
 
 def test_feed():
     f = frame(SEG)
-    assert hj212.feed(b"", b"garbage##noise" + f) == (b"", [f])
-    assert hj212.feed(b"", f + f) == (b"", [f, f])
+    assert hj212.feed(b"", b"garbage##noise" + f) == (b"", [(f, None), (b"garbage##noise", hj212.NOISE)][::-1])
+    assert hj212.feed(b"", f + f) == (b"", [(f, None), (f, None)])
     rest, got = hj212.feed(b"", f[:10])
-    assert (rest, got) == (f[:10], []) and hj212.feed(rest, f[10:]) == (b"", [f])
-    assert hj212.feed(b"##2000" + b"x" * 1500, b"x" * 600) == (b"", [])
-    assert hj212.feed(b"", b"##-012##9999##1") == (b"##1", [])
+    assert (rest, got) == (f[:10], []) and hj212.feed(rest, f[10:]) == (b"", [(f, None)])
+    assert hj212.feed(b"", f + b"#") == (b"#", [(f, None)]) and hj212.feed(b"#", f[1:]) == (b"", [(f, None)])
+    big = b"##2000" + b"x" * 2000 + b"ABCD\r\n"
+    rest, got = hj212.feed(b"", big[:2011])
+    assert got == [] and hj212.feed(rest, big[2011:] + f * 12) == (b"", [(big, None)] + [(f, None)] * 12)
+    assert hj212.feed(b"", b"##-012##0000##1") == (b"##1", [(b"##-012##0000", hj212.NOISE)])
 
 
 def typed(spark, *cases):
@@ -106,12 +109,17 @@ def test_word_orders(spark):
     assert [plain(r["value"]) for r in decode.decode_endian(df).orderBy("i").collect()] == [23.5] * 4 + [None, None]
 
 
-def test_ranges():
-    m = ranges.merge_ranges
-    assert m([0, 2, 4], [2, 2, 4], 16, 222) == [0, 0, 0]
-    assert m([0, 18, 37], [2, 2, 2], 16, 222) == [0, 0, 1]
-    assert max(m([2 * i for i in range(100)], [2] * 100, 16, 50)) >= 3
-    assert m([0, 4, 310], [2, 256, 2], 16, 222) == [0, 1, 2]
+def test_ranges(spark):
+    def blocks(starts, widths, pdu):
+        rows = [("d", "DB", 1, a, "STRING", 0, 1, w - 2, i) for i, (a, w) in enumerate(zip(starts, widths))]
+        cols = "device string, area string, db int, addr int, type string, bit int, count int, string_len int, pos int"
+        plan, _ = ranges.coalesce_ranges(spark.createDataFrame(rows, cols), pdu=pdu)
+        return [r["block"] for r in plan.orderBy("pos").collect()]
+
+    assert blocks([0, 3, 6], [3, 3, 4], 240) == [0, 0, 0]
+    assert blocks([0, 19, 39], [3, 3, 3], 240) == [0, 0, 1]
+    assert max(blocks([3 * i for i in range(60)], [3] * 60, 68)) == 3
+    assert blocks([0, 4, 270, 10], [3, 250, 3, 3], 240) == [0, 1, 3, 2]
     assert (ranges.payload_budget(), ranges.payload_budget(10), ranges.payload_budget(480)) == (222, 1, 462)
 
 
@@ -140,39 +148,7 @@ def test_fins(spark):
         spark, (head + "0000" + "8212348256783001b1abcd", 4), (head + "0401", 1), ("c000", 1), (head + "0000" + "82123482", 2), (head + "0000" + "821234", 2)
     )
     assert items == {0: [(0x1234, False), (0x5678, False), (1, True), (0xABCD, False)]}
-    assert bad == {1: "command rejected, end code 0x0401", 3: "short data for item 1", 4: "short response, missing item 1"}
-
-
-def test_bacnet(spark):
-    two = "810a0000010030010e0c000000001e29554e4441ac00004f1f0c00c000011e29554e114f1f"
-    cases = [
-        "810a0019010030010e0c000000001e29554e4441ac00004f1f", two,
-        "810a000001003001 0c0c0000000019553e4441ac00003f".replace(" ", ""),
-        "810a00000100400 10e91029120".replace(" ", ""), "810a0000010050010409", "810a0000010020010f",
-        "810a0000010030010e0c000000001e29554e4441ac00004f1f0c00c000011e29554e44ff4f1f", "82", "820a00000100",
-        "810a000001200001010a30010c0c0000000019553e003f",
-        "810a0000010030010e0c000000001e295539014e75060041422d434f21014f1f",
-    ]
-    df = spark.createDataFrame([("d", i, bytes.fromhex(h)) for i, h in enumerate(cases)], "device string, seq long, bytes binary")
-    rows, bad = captures.bacnet_results(df)
-    got = [(r["seq"], r["object_type"], r["instance"], r["property"], plain(r["value"]), r["error"]) for r in rows.orderBy("seq", "object_type").collect()]
-    assert got[:4] == [(0, 0, 0, 85, 21.5, None), (1, 0, 0, 85, 21.5, None), (1, 3, 1, 85, True, None), (2, 0, 0, 85, 21.5, None)]
-    assert (5, None, None, None, None, None) in got and (6, 0, 0, 85, 21.5, None) in got
-    assert (9, 0, 0, 85, None, "bacnet: empty value") in got and (10, 0, 0, 85, "AB-CO", None) in got
-    reasons = {r["seq"]: r["reason"] for r in bad.collect()}
-    assert reasons[3] == "bacnet error: class=2 code=32" and "rejected" in reasons[4] and 6 in reasons
-    assert reasons[7] == "bacnet: short frame" and reasons[8] == "bacnet: not a BACnet/IP frame"
-
-
-def test_bacnet_values():
-    read = lambda h: captures.read_value(bytes.fromhex(h), 0)[0]
-    assert read("443fc00000") == ("num", 1.5)
-    assert read("22012c") == ("int", 300) and read("31ff") == ("int", -1) and read("9103") == ("int", 3)
-    assert read("5508" + struct.pack(">d", 2.25).hex()) == ("num", 2.25)
-    assert read("75060048656c6c6f") == ("str", "Hello") and read("7505030041 00e9".replace(" ", "")) == ("str", "Aé")
-    assert read("c402000001") == ("json", '{"type": 8, "instance": 1}')
-    assert read("8205a0") == ("json", "[true, false, true]") and read("00") == ("null", None) and read("10") == ("bool", False)
-    assert read("75fe0003004142"[:14]) == ("str", "AB") and read("6203ff") == ("json", "[3, 255]")
+    assert bad == {1: "end code 0401", 2: "shorter than a response head", 3: "item cut at position 1", 4: "no item at position 1"}
 
 
 def test_aliases_and_setpoints(spark):

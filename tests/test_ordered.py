@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.operators import control, sequence
 from tagflow.operators import windows as W
-from tagflow.operators.hj212 import feed, split_frames
+from tagflow.operators.hj212 import skipped_bytes, split_frames
 from tagflow.operators.ordered import Ordered
 
 NS = 1_000_000
@@ -103,21 +103,32 @@ def sequence_by_hand(df, steps, within):
 @pytest.mark.parametrize("limit", [1_000_000, 20])
 def test_frames_across_chunks(spark, limit):
     rng = random.Random(3)
-    rows, want = [], []
+    rows, want, skipped = [], [], {}
     for conn in range(5):
-        stream = b""
+        stream, ends, noise = b"", [], 0
         for i in range(60 if conn == 0 else 6):
-            body = bytes(rng.choice(b"abc&=;") for _ in range(rng.randrange(1, 120)))
-            stream += rng.choice([b"", b"x##", b"##0000", b"#"]) + b"##%04d" % len(body) + body + b"CRCC\r\n"
-        at, seq = 0, 0
+            body = bytes(rng.choice(b"abc&=;") for _ in range(rng.choice([1, 40, 120, 2500])))
+            junk = rng.choice([b"", b"x##", b"##0000", b"#", b"noise "])
+            frame = b"##%04d" % len(body) + body + b"CRCC\r\n"
+            stream += junk + frame
+            noise += len(junk)
+            ends.append((len(stream), frame))
+        at, seq, cuts = 0, 0, []
         while at < len(stream):
-            n = rng.randrange(1, 90)
+            n = rng.choice([rng.randrange(1, 90), 3000])
             rows.append((conn, seq, stream[at : at + n]))
+            cuts.append(min(at + n, len(stream)))
             at, seq = at + n, seq + 1
-        buffer = b""
-        for c, s, part in [r for r in rows if r[0] == conn]:
-            buffer, frames = feed(buffer, part)
-            want += [(conn, s, i, f) for i, f in enumerate(frames)]
+        numbers = {}
+        for end, frame in ends:
+            s = next(i for i, c in enumerate(cuts) if c >= end)
+            want.append((conn, s, numbers.setdefault(s, 0), frame))
+            numbers[s] += 1
+        skipped[conn] = noise
     df = spark.createDataFrame(rows, "conn long, seq long, bytes binary")
     got = sorted((r["conn"], r["seq"], r["frame_no"], bytes(r["bytes"])) for r in split_frames(df, max_key_rows=limit).collect())
     assert got == sorted(want) and len(want) > 50
+    left = {}
+    for r in skipped_bytes(df, max_key_rows=limit).collect():
+        left[r["conn"]] = left.get(r["conn"], 0) + len(r["bytes"])
+    assert left == {c: n for c, n in skipped.items() if n}
