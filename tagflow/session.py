@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows may hold long texts; a batch of them has to fit in a Python worker.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
