@@ -1,9 +1,11 @@
 """N-gram Jaccard join by MinHash banding, with pairs verified on full n-gram sets.
 
 Texts with the same n-gram set form one class (copies), whose set is signed once. Class
-signatures are cut into bands; classes sharing a band are candidates, each pair taken in
-the first band that both share. Candidates are verified on their full sets. Band and row
-counts are the cheapest that reach the target recall at the threshold.
+signatures are cut into bands; classes sharing a band are candidates, and those that
+hang together form candidate groups. A group is cut into blocks, every pair of blocks is
+compared on full n-gram sets, and the links found are counted there, not listed: a group
+of m near copies takes m * m / BLOCK rows. Band and row counts have the most rows a band
+that reach the target recall at the threshold within MOST_HASHES.
 
 Defined cases: words are lower-cased (A-Z) runs of letters, digits and non-ASCII
 characters; a text of fewer than `n` words, but not none, has one n-gram of all of them;
@@ -19,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
@@ -27,6 +30,8 @@ from tagflow.llm.common import bloom, cut, may_hold, row_key, text_key
 from tagflow.llm.components import components
 
 N_WORDS = 5
+BLOCK = 256         # classes compared with each other in one task
+STRIPE = 4096       # n-grams of a block pair held as a matrix at once
 THRESHOLD = 0.8
 RECALL = 0.9995
 MOST_HASHES = 110
@@ -38,8 +43,8 @@ def plan_bands(threshold: float = THRESHOLD, recall: float = RECALL, most: int =
     """(bands, rows): the most rows a band, so the fewest false candidates, whose bands reach
     the recall at the threshold within the number of hashes."""
     for rows in range(most, 0, -1):
-        bands = int(np.ceil(np.log(1 - recall) / np.log(1 - threshold**rows))) if threshold < 1 else 1
-        if bands * rows <= most:
+        miss = np.log1p(-(threshold**rows)) if threshold < 1 else -np.inf
+        if miss < 0 and (bands := int(np.ceil(max(np.log(1 - recall) / miss, 1)))) * rows <= most:
             return bands, rows
     raise ValueError("no banding reaches the recall within the hashes")
 
@@ -57,7 +62,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class WordHash(dict):
-    """64-bit hashes of words, kept for the task up to a number of words."""
+    """64-bit hashes of words; starts anew when it holds 65,536, to stay small."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= 1 << 19:
@@ -138,43 +143,86 @@ def _sets(texts: DataFrame, n: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "sk string, grams array<bigint>")
 
 
-def candidates(classes: DataFrame, threshold: float) -> DataFrame:
-    """a, b, na, nb: pairs of classes that share a band and whose sizes allow the threshold."""
-    keys = classes.select("sk", F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("band", "key").agg(F.count("*").alias("c")).where("c > 1").select("band", "key")
-    near = cut(keys.join(shared, ["band", "key"], "left_semi").select("sk").distinct())
-    rows = classes.join(near, "sk", "left_semi").select("sk", "n", "bands", F.posexplode("bands").alias("band", "key"))
-    x, y = rows.alias("x"), rows.alias("y")
-    earlier = F.exists(
-        F.zip_with(
-            F.slice("x.bands", F.lit(1), F.col("x.band")), F.slice("y.bands", F.lit(1), F.col("y.band")), lambda p, q: p == q
-        ),
-        lambda same: same,
+def candidate_groups(classes: DataFrame) -> DataFrame:
+    """sk, component: classes connected by shared bands; a linked pair is in one component."""
+    keys = classes.select("sk", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("sk").alias("lead"), F.max("sk").alias("last")).where("lead <> last")
+    stars = keys.join(shared.select("key", "lead"), "key").select(F.col("sk").alias("a"), F.col("lead").alias("b")).where("a <> b")
+    return components(stars).select(F.col("node").alias("sk"), "component")
+
+
+def linked_within(sets: list[np.ndarray], threshold: float, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Boolean matrix: row i of `first` and column j of `second` reach the threshold; exact."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    values, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shared = count[code] > 1
+    slot = np.cumsum(count > 1) - 1
+    code, owner = slot[code[shared]], owner[shared]
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    both = np.zeros((len(first), len(second)), np.float32)
+    for low in range(0, int(code.max(initial=-1)) + 1, STRIPE):
+        a, b = np.searchsorted(code, (low, low + STRIPE))
+        held = np.zeros((len(sets), STRIPE), np.float32)
+        held[owner[a:b], code[a:b] - low] = 1
+        both += held[first] @ held[second].T
+    union = sizes[first][:, None] + sizes[second][None, :] - both
+    return both >= threshold * union
+
+
+def links(docs: DataFrame, signed: DataFrame, classes: DataFrame, n: int, threshold: float, block: int = BLOCK) -> DataFrame:
+    """sk, root, linked: for each class and block pair, a class it hangs together with and how many
+    documents of other classes it is linked to there.
+
+    The classes of a candidate component are cut into blocks by hash; every pair of blocks is
+    compared on full sets in one task, which counts links instead of listing them.
+    """
+    grouped = cut(candidate_groups(classes))
+    blocks = grouped.groupBy("component").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("k"))
+    size = classes.select("sk", "size")
+    members = cut(
+        grouped.join(size, "sk").join(blocks, "component")
+        .withColumn("mine", F.pmod(F.xxhash64("sk"), F.col("k")).cast("int"))
     )
-    small, large = F.least("x.n", "y.n"), F.greatest("x.n", "y.n")
-    return x.join(
-        y,
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.sk") < F.col("y.sk"))
-        & (small >= large * threshold) & ~earlier,
-    ).select(F.col("x.sk").alias("a"), F.col("y.sk").alias("b"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
-
-
-def links(docs: DataFrame, signed: DataFrame, classes: DataFrame, n: int, threshold: float) -> DataFrame:
-    """a, b, jaccard: the pairs of classes at or over the threshold, on full sets."""
-    pairs = cut(candidates(classes, threshold))
-    wanted = pairs.select(F.col("a").alias("sk")).union(pairs.select(F.col("b").alias("sk"))).distinct()
-    of = cut(signed.join(wanted, "sk", "left_semi").groupBy("sk").agg(F.min("tk").alias("tk")).select("tk").distinct())
-    key = text_key(F.col("text"))
-    texts = docs.select("text", key.alias("tk")).where(may_hold(bloom(of.select(F.xxhash64("tk").alias("h"))), F.xxhash64("tk")))
-    sets = cut(_sets(texts.join(of, "tk", "left_semi").groupBy("tk").agg(F.first("text").alias("text")), n))
-    left = sets.select(F.col("sk").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("sk").alias("b"), F.col("grams").alias("gb"))
-    both = F.size(F.array_intersect("ga", "gb"))
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", (both / (F.col("na") + F.col("nb") - both)).alias("jaccard"))
-        .where(F.col("jaccard") >= threshold)
+    of = cut(signed.join(grouped.select("sk"), "sk", "left_semi").groupBy("sk").agg(F.min("tk").alias("tk")).select("tk").distinct())
+    texts = docs.select("text", text_key(F.col("text")).alias("tk")).where(
+        may_hold(bloom(of.select(F.xxhash64("tk").alias("h"))), F.xxhash64("tk"))
     )
+    sets = _sets(texts.join(of, "tk", "left_semi").groupBy("tk").agg(F.first("text").alias("text")), n)
+    sets = cut(sets.groupBy("sk").agg(F.first("grams").alias("grams")))
+    dealt = members.join(sets, "sk").select(
+        "component", "sk", "size", "mine", "grams", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
+    ).select("component", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "sk", "size", "mine", "grams")
+
+    def compare(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, x, y = key
+        found = [np.asarray(g, np.int64).view(np.uint64) for g in pdf["grams"]]
+        mine, size, names = pdf["mine"].to_numpy(), pdf["size"].to_numpy(), pdf["sk"].to_numpy()
+        first, second = np.flatnonzero(mine == x), np.flatnonzero(mine == y)
+        if not len(first) or not len(second):
+            return pd.DataFrame({"sk": [], "root": [], "linked": []})
+        link = linked_within(found, threshold, first, second)
+        if x == y:
+            np.fill_diagonal(link, False)
+        linked = np.zeros(len(pdf), np.int64)
+        linked[first] += link @ size[second]
+        if x != y:
+            linked[second] += size[first] @ link
+        root = np.arange(len(pdf))
+        while True:  # the smallest index reachable, by repeated minima over links
+            low = np.where(link, root[second][None, :], len(pdf)).min(1)
+            new = root.copy()
+            new[first] = np.minimum(new[first], low)
+            high = np.where(link, new[first][:, None], len(pdf)).min(0)
+            new[second] = np.minimum(new[second], high)
+            if (new == root).all():
+                break
+            root = new
+        some = linked > 0
+        return pd.DataFrame({"sk": names[some], "root": names[root[some]], "linked": linked[some]})
+
+    return dealt.groupBy("component", "x", "y").applyInPandas(compare, "sk string, root string, linked long")
 
 
 def join(docs: DataFrame, n: int = N_WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -187,9 +235,8 @@ def join(docs: DataFrame, n: int = N_WORDS, threshold: float = THRESHOLD, recall
         )
     )
     found = cut(links(docs, signed, classes, n, threshold))
-    ends = found.select("a", "b").union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = ends.join(classes.select(F.col("sk").alias("b"), "size"), "b").groupBy("a").agg(F.sum("size").alias("degree"))
-    member = cut(components(found)) if not found.isEmpty() else found.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    degree = found.groupBy("sk").agg(F.sum("linked").alias("degree")).withColumnRenamed("sk", "a")
+    member = cut(components(found.select(F.col("sk").alias("a"), F.col("root").alias("b"))))
     low = (
         member.join(classes, member["node"] == classes["sk"]).groupBy("component").agg(F.min("low").alias("class_id"))
     )
