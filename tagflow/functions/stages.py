@@ -6,6 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def compute_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -22,3 +23,28 @@ def compute_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, computed once however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def whole_as_text(df, columns):
+    """(df with the given columns as text, function that puts their types back).
+
+    Pandas turns whole numbers into floats where a null is among them, so keys pass
+    through Python as text. Text and binary columns stay as they are.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields if f.name in columns}
+    changed = {k: t for k, t in kinds.items() if t.typeName() not in ("string", "binary")}
+    text = df.withColumns({k: F.col(k).cast("string") for k in changed}) if changed else df
+
+    def back(out):
+        there = {k: t for k, t in changed.items() if k in out.columns}
+        return out.withColumns({k: F.col(k).cast(t) for k, t in there.items()}) if there else out
+
+    return text, back
+
+
+def text_schema(schema: str, df, columns) -> str:
+    """The schema with the columns that ``whole_as_text`` changes as strings."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields if f.name in columns}
+    fields = T.StructType.fromDDL(schema).fields
+    kept = lambda f: f.name not in kinds or kinds[f.name] in ("string", "binary")
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString() if kept(f) else 'string'}" for f in fields)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
-from tagflow.functions.stages import compute_once, let
+from tagflow.functions.stages import compute_once, let, text_schema, whole_as_text
 from tagflow.operators.decode import crc16
 from tagflow.operators.ordered import MAX_KEY_ROWS, carried_scan
 
@@ -102,8 +102,10 @@ def cut_segments(
     schema = ", ".join(
         [*(f"{k} {types[k]}" for k in keys), f"{seq} {types[seq]}", "frame_no int, bytes binary, reason string"]
     )
-    used = segments.select(*keys, seq, payload)
-    return carried_scan(used, keys, [seq], frame_step(keys, seq, payload), schema, max_key_rows)
+    used = segments.select(*keys, F.col(seq).alias("_order"), seq, payload)
+    schema = text_schema(schema, used, [seq])
+    text, typed = whole_as_text(used, [seq])
+    return typed(carried_scan(text, keys, ["_order"], frame_step(keys, seq, payload), schema, max_key_rows))
 
 
 def split_frames(

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tagflow.functions.stages import text_schema, whole_as_text
+
 from tagflow.session import ensure_checkpoint_dir
 
 # Largest number of rows of one key that a single task may sort.
@@ -220,6 +222,8 @@ def carried_scan(
     scan, whatever the number of rounds.
     """
     keys, order = list(keys), list(order)
+    schema = text_schema(schema, df, keys)
+    df, typed = whole_as_text(df, keys)
 
     def scan(entries: dict[int, object] | None, emit: bool):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,13 +255,13 @@ def carried_scan(
     hot = max_key_rows is not None and largest_key(df, keys) > max_key_rows
     if not hot:
         placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-        return placed.mapInPandas(scan(None, emit=True), schema)
+        return typed(placed.mapInPandas(scan(None, emit=True), schema))
 
     if chunks is None:
         chunks = max(2, -(-df.count() // max(1, max_key_rows)))
     cut = cut_by_range(df, keys, order, chunks)
     entries = _settle_entries(cut, scan)
-    return cut.mapInPandas(scan(entries, emit=True), schema)
+    return typed(cut.mapInPandas(scan(entries, emit=True), schema))
 
 
 def _settle_entries(cut: DataFrame, scan) -> dict[int, object]:

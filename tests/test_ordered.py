@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tagflow.operators import control, sequence
+from tagflow.operators import decode, control, sequence
 from tagflow.operators import windows as W
 from tagflow.operators.hj212 import skipped_bytes, split_frames
 from tagflow.operators.ordered import Ordered
@@ -132,3 +132,28 @@ def test_frames_across_chunks(spark, limit):
     for r in skipped_bytes(df, max_key_rows=limit).collect():
         left[r["conn"]] = left.get(r["conn"], 0) + len(r["bytes"])
     assert left == {c: n for c, n in skipped.items() if n}
+
+
+def test_keys_stay_exact_beside_nulls(spark):
+    big = 2**60 + 1
+    frame = b"##0004abcdCRCC\r\n"
+    df = spark.createDataFrame(
+        [(big, big, frame[:5]), (big, big + 1, frame[5:]), (None, 1, frame[:7]), (None, 2, frame[7:]), (big - 1, None, frame), (3, 1, None)],
+        "conn long, seq long, bytes binary",
+    )
+    got = {(r["conn"], r["seq"], bytes(r["bytes"])) for r in split_frames(df).collect()}
+    assert got == {(big, big + 1, frame), (None, 2, frame), (big - 1, None, frame)}
+    events = spark.createDataFrame(
+        [(big, 1, 1, "a"), (big, 2, 2, "b"), (None, 1, 3, "a"), (None, 2, 4, "b"), (big - 1, 1, 5, "a"), (big, None, 6, "b")],
+        "device long, ts_ns long, seq long, name string",
+    )
+    found = sequence.sequence_match(events, ["name = 'a'", "name = 'b'"], "1s")
+    assert {tuple(r) for r in found.select("device", "start_ts_ns", "end_ts_ns").collect()} == {(big, 1, 2), (None, 1, 2)}
+
+
+def test_decoder_keys_stay_exact(spark):
+    big = 2**60 + 1
+    df = spark.createDataFrame([(big, 1, b"x"), (None, 2, b"yy"), (5, None, None)], "device long, seq long, bytes binary")
+    rows, rejects = decode.decode_with(df, lambda b: (len(b),), "n long")
+    assert {tuple(r) for r in rows.collect()} == {(big, 1, 1), (None, 2, 2)}
+    assert [(r["device"], r["seq"]) for r in rejects.collect()] == [(5, None)]
