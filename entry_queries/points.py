@@ -328,8 +328,9 @@ def a11_rejects(spark, sf):
     f"""with s as (select event_id, k, event_id % 9 as w from {EV})
 select event_id, case when w = 0 then k when w = 1 then k * 16 when w = 2 and k * 5 <= 255 then k * 5 when w = 3 then k
  when w = 4 then k * 1000000 when w = 7 then k end as whole,
- case when w = 6 then cast(k as double) + 0.5 end as num, case when w = 8 then substr('text' || k, 1, 5) end as str,
- case when w = 2 and k * 5 > 255 then 'value out of range' when w = 5 then 'unsupported type' end as reason from s
+ case when w = 6 then cast(k as double) + 0.5 end as num, case when w = 8 and k < 10 then 'text' || k end as str,
+ case when w = 2 and k * 5 > 255 then 'value out of range' when w = 5 then 'unsupported type'
+ when w = 8 and k >= 10 then 'text longer than its field' end as reason from s
 """,
 )
 def a12(spark, sf):

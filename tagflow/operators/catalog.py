@@ -152,7 +152,8 @@ def validate_setpoints(setpoints: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The rule of a type is looked up in a literal map, so every check is one
     projection. Controller integers take 0x, 0o and 0b; management integers are
-    read up to the first character that is no digit.
+    read up to the first character that is no digit. A controller text of more bytes
+    than ``string_len`` (254 where it is not set) is a reject, never cut.
     """
     entries = [
         f"'{protocol}/{n}', {_rule(kind, bits)}"
@@ -196,17 +197,15 @@ def validate_setpoints(setpoints: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         .when((kind == "float") & number.isNull(), "invalid number")
         .when((kind == "float") & single & finite & (F.abs(number) >= FLOAT32_MAX), "value out of range")
+        .when((protocol == "s7") & (kind == "text") & (F.octet_length(text) > F.col("_cut")), "text longer than its field")
     )
     marked = staged.withColumn("reason", reason)
     real = F.when(single, number.cast("float").cast("double")).otherwise(number)
-    short_text = F.when(
-        protocol == "s7", F.expr("substring(cast(_text as binary), 1, _cut)").cast("string")
-    ).otherwise(text)
     typed = (
         F.when(kind == "bool", V.boolean(F.col("_bool")))
         .when(kind.isin("signed", "unsigned"), V.integer(F.col("_whole")))
         .when(kind == "float", V.num(real))
-        .otherwise(V.text(short_text))
+        .otherwise(V.text(text))
     )
     own = setpoints.columns
     return (

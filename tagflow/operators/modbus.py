@@ -47,17 +47,15 @@ def register_image(
     rows: DataFrame,
     as_of_ns: int | None = None,
     server: str = "server",
-    bank_size: int = BANK_SIZE,
 ) -> DataFrame:
     """Last write per (server, bank, address) up to ``as_of_ns``.
 
     Combined before the shuffle: a register written a billion times sends one row
-    per task. Addresses outside the bank are ignored.
+    per task. Every address is kept; ``modbus_writes`` has checked them against its bank.
     """
     seen = rows if as_of_ns is None else rows.filter(F.col("timestamp") <= as_of_ns)
     return (
-        seen.filter((F.col("address") >= 0) & (F.col("address") < bank_size))
-        .groupBy(server, F.col("type").alias("bank"), "address")
+        seen.groupBy(server, F.col("type").alias("bank"), "address")
         .agg(
             F.max_by("value", F.struct("timestamp", "seq", "pos")).alias("value"),
             F.max("timestamp").alias("written_ns"),

@@ -159,11 +159,11 @@ def test_aliases_and_setpoints(spark):
     cases = [
         ("eip", "SINT", "-1", -1), ("eip", "udint", "4000000000", 4000000000), ("eip", "BOOL", "1", True), ("eip", "ULINT", "18446744073709551615", 18446744073709551615),
         ("snmp", "counter64", "5000000000", 5000000000), ("snmp", "Integer", "-12abc", -12), ("s7", "WORD", "0xFFFF", 65535), ("s7", "REAL", "1.5", 1.5),
-        ("s7", "STRING", "abcdefgh", "abcd"), ("s7", "BOOL", "T", True), ("s7", "INT", "0b11", 3),
+        ("s7", "STRING", "abcd", "abcd"), ("s7", "BOOL", "T", True), ("s7", "INT", "0b11", 3),
     ]
     wrong = [
         ("eip", "INT", "abc"), ("eip", "UNKNOWN", "1"), ("eip", "SINT", "200"), ("s7", "BYTE", "-1"), ("s7", "REAL", "1e39"), ("snmp", "gauge32", "5000000000"),
-        ("snmp", "timeticks", "-1"), ("s7", "BOOL", "maybe"), ("eip", "REAL", "1.0f"),
+        ("snmp", "timeticks", "-1"), ("s7", "BOOL", "maybe"), ("eip", "REAL", "1.0f"), ("s7", "STRING", "abcdefgh"),
     ]
     rows = [(i, "p", p, t, v, 4) for i, (p, t, v, *_) in enumerate([*cases, *wrong])]
     typed_, bad = catalog.validate_setpoints(spark.createDataFrame(rows, "i int, name string, protocol string, type string, value string, string_len int"))
