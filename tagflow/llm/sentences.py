@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tagflow.llm.common import text_key
+from tagflow.llm.common import cut, text_key
 
 RUN = 3
 LONGEST = 24
@@ -54,7 +54,8 @@ def repeated(docs: DataFrame, run: int = RUN, longest: int = LONGEST) -> DataFra
     """doc_id, tk, at: runs that are not the first of their kind."""
     every = runs(docs, run, longest)
     place = F.struct("doc_id", "tk", "at")
-    twice = (
+    # Fixed, so that the join is a stage of its own, in which a very common run can be split.
+    twice = cut(
         every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
         .where("first <> last").select("h1", "h2", "first")
     )
