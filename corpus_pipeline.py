@@ -13,17 +13,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagflow.llm import decontaminate, jaccard, langid, mixing, secrets
-from tagflow.session import ensure_checkpoint_dir
+from tagflow.session import configure, ensure_checkpoint_dir
 
 # A document stays if one language holds at least this share of its bytes' probability.
 LEAST_SCORE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return langid.confident(docs, langid.train(docs), LEAST_SCORE)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     return jaccard.one_of_each(docs)
 
 
@@ -32,6 +34,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    configure(spark)
     redacted = secrets.redact(docs, secrets.train(docs), into="__clean")
     length = F.when(F.col("__clean") == F.col("text"), F.col("n_chars")).otherwise(F.length("__clean"))
     return redacted.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).withColumn("text", F.col("__clean")).drop("__clean")

@@ -65,7 +65,7 @@ class WordHash(dict):
     """64-bit hashes of words; starts anew when it holds 65,536, to stay small."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 16:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
@@ -185,11 +185,16 @@ def links(docs: DataFrame, signed: DataFrame, classes: DataFrame, n: int, thresh
         grouped.join(size, "sk").join(blocks, "component")
         .withColumn("mine", F.pmod(F.xxhash64("sk"), F.col("k")).cast("int"))
     )
-    of = cut(signed.join(grouped.select("sk"), "sk", "left_semi").groupBy("sk").agg(F.min("tk").alias("tk")).select("tk").distinct())
-    texts = docs.select("text", text_key(F.col("text")).alias("tk")).where(
-        may_hold(bloom(of.select(F.xxhash64("tk").alias("h"))), F.xxhash64("tk"))
+    # One row stands for each class, so that the copies of a text do not move with it.
+    one = F.min(F.struct("doc_id", "tk")).alias("one")
+    of = cut(
+        signed.join(grouped.select("sk"), "sk", "left_semi").groupBy("sk").agg(one)
+        .select(row_key(F.col("one.doc_id"), F.col("one.tk")).alias("rk")).distinct()
     )
-    sets = _sets(texts.join(of, "tk", "left_semi").groupBy("tk").agg(F.first("text").alias("text")), n)
+    texts = docs.select("text", row_key(F.col("doc_id"), text_key(F.col("text"))).alias("rk")).where(
+        may_hold(bloom(of.select(F.xxhash64("rk").alias("h"))), F.xxhash64("rk"))
+    )
+    sets = _sets(texts.join(of, "rk", "left_semi"), n)
     sets = cut(sets.groupBy("sk").agg(F.first("grams").alias("grams")))
     dealt = members.join(sets, "sk").select(
         "component", "sk", "size", "mine", "grams", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("other")
