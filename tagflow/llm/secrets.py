@@ -276,14 +276,19 @@ def find_spans(text: str | None, field: Field | None) -> list[tuple[int, int, st
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field | None:
-    rows = (
-        docs.where(F.col("text").rlike("[0-9]") & (F.length("text") <= SAMPLE_CHARS))
-        .select("text", text_key(F.col("text")).alias("k"))
-        .orderBy("k", "text")
-        .limit(sample)
-        .collect()
+    """A field from at most `sample` distinct texts, those with the smallest hashes.
+
+    The hashes are ranked first, without the texts, so what reaches the driver does not
+    grow with the number of tasks.
+    """
+    keyed = docs.where(F.col("text").rlike("[0-9]") & (F.length("text") <= SAMPLE_CHARS)).select(
+        "text", text_key(F.col("text")).alias("k")
     )
-    return fit([r["text"] for r in rows])
+    last = keyed.select("k").distinct().orderBy("k").limit(sample).agg(F.max("k")).first()[0]
+    if last is None:
+        return None
+    rows = keyed.where(F.col("k") <= F.lit(last)).groupBy("k").agg(F.min("text").alias("text")).collect()
+    return fit([r["text"] for r in sorted(rows, key=lambda r: r["k"])])
 
 
 SPANS = "array<struct<start:int,end:int,kind:string>>"
