@@ -72,9 +72,13 @@ def codec(path: str | None) -> tuple[Callable[[str], list[int]], Callable[[list[
         return lambda t: list(t.encode()), bytes
     import tiktoken
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    own = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    # Kept with the library, which outlives a task in its worker; code sent by value does not.
+    known = vars(tiktoken).setdefault("_encodings_by_path", {})
+    if path not in known:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        known[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = known[path]
 
     def encode(text: str) -> list[int]:
         return [x for a in range(0, len(text), PIECE) for x in own.encode_ordinary(text[a : a + PIECE])]
