@@ -157,6 +157,30 @@ def test_sentences_are_lossless_and_removed_by_span(spark):
     assert sentences.dedup(docs.limit(0)).count() == 0
 
 
+def test_passages_within_sentences_are_found(spark):
+    rng = random.Random(7)
+
+    def words(n, stops=0.0):
+        return [rng.choice(["the", "of", "und", "Été", "жук"]) + rng.choice(["", str(rng.randint(0, 99))]) + "." * (rng.random() < stops) for _ in range(n)]
+
+    texts, passages = [], []
+    for k in range(80):
+        passages.append(words(50, (0, 0.04, 0.1, 0.3)[k % 4]))
+        for _ in range(2):  # placed anywhere in a sentence, which runs on behind it
+            texts.append(" ".join([*words(rng.randint(0, 30), 0.1), f"v{len(texts)}", *passages[-1], f"w{len(texts)}", *words(rng.randint(0, 30), 0.1)]))
+    texts += ["Сегодня хороший день\u2026 今天天气很好。我们去公园！好吗？他们不来。", "另外今天天气很好。我们去公园！好吗？他们不来。"]
+    rows = made(spark, texts)
+    pieces = [r["s"] for r in rows.select(sentences.sentences(F.col("text")).alias("s"), "doc_id").orderBy("doc_id").collect()]
+    assert ["".join(p) for p in pieces] == texts
+    assert pieces[-2] == ["Сегодня хороший день\u2026 ", "今天天气很好。", "我们去公园！", "好吗？", "他们不来。"]
+    got = {r["doc_id"]: r for r in sentences.dedup(rows).collect()}
+    for k, p in enumerate(passages):
+        assert got[2 * k]["n_removed"] == 0 and got[2 * k + 1]["n_removed"] >= 3, k
+        left = got[2 * k + 1]["text"].split()
+        assert f"v{2 * k + 1}" in left and f"w{2 * k + 1}" in left
+    assert got[len(texts) - 1]["text"].startswith("另外") and "公园" not in got[len(texts) - 1]["text"]
+
+
 def test_backoff_against_counts(spark):
     texts = some_texts(20)
     docs = made(spark, texts)
