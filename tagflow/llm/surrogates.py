@@ -14,7 +14,9 @@ surrogate everywhere, so mentions of one entity stay mentions of one entity:
 Collision check: two entities of one kind must not share a surrogate, and a surrogate
 must not be an entity that occurs. Surrogates of attempt 0 are compared over all
 entities; those that collide (all but the smallest entity) draw again with the next
-attempt until none collides; names then take a second and third part from the lists.
+attempt until none collides. From a few attempts on, surrogates grow with the attempt, so
+that their supply has no end however many entities there are: names by a part from the
+lists, e-mails, phones and cards by digits; an address becomes one of 2001:db8::/32.
 
 Defined cases: null stays null; texts without entities stay as they are; repeated rows
 get equal texts; an empty table gives an empty result; columns other than doc_id and
@@ -95,16 +97,25 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda a, d: a + d)
 
 
+def _more(attempt: Column, after: int, body) -> Column:
+    """One element for each attempt behind `after`; places from 1000 on."""
+    return F.transform(F.slice(F.sequence(F.lit(0), F.greatest(attempt - after, F.lit(0))), 2, 1 << 30), lambda i: body(i + 999))
+
+
 def _numbers(key: str, entity: Column, attempt: Column, kept: Column) -> Column:
-    """Digits (array of int) of the surrogate; the first `kept` ones and a leading 0 stay."""
+    """Digits (array of int) of the surrogate; the first `kept` ones and a leading 0 stay.
+
+    A length may be used up: from attempt 5 on there is one digit more with each attempt.
+    """
     own = F.transform(F.split(F.regexp_replace(entity, "[^0-9]", ""), ""), lambda d: d.cast("int"))
     own = F.filter(own, lambda d: d.isNotNull())
-    return F.transform(
+    new = F.transform(
         own,
         lambda d, i: F.when((i < kept) | ((i == kept) & (d == 0)), d)
         .when(i == kept, (_draw(key, entity, attempt, i, 9) + 1).cast("int"))
         .otherwise(_draw(key, entity, attempt, i, 10).cast("int")),
     )
+    return F.concat(new, _more(attempt, 4, lambda i: _draw(key, entity, attempt, i, 10).cast("int")))
 
 
 def _card(key: str, entity: Column, attempt: Column) -> Column:
@@ -128,6 +139,7 @@ def _email(key: str, entity: Column, attempt: Column) -> Column:
     )
     # After a few attempts a short local part grows, so that there is always a free one.
     more = F.when(attempt > 3, _digit(_draw(key, entity, attempt, 99, 1_000_000_000))).otherwise(F.lit(""))
+    more = F.concat(more, F.array_join(_more(attempt, 4, lambda i: _digit(_draw(key, entity, attempt, i, 10))), ""))
     host = F.concat(F.lit("mail"), _digit(_draw(key, F.regexp_extract(entity, "@(.*)$", 1), F.lit(0), 98, 1000)), F.lit(".example.org"))
     return F.concat(F.array_join(chars, ""), more, F.lit("@"), host)
 
@@ -141,9 +153,8 @@ def _name(key: str, entity: Column, attempt: Column) -> Column:
 
     def by_script(s: str) -> Column:
         given = F.when(gender == "m", pick(GIVEN["m", s], 1)).otherwise(pick(GIVEN["f", s], 1))
-        # The family name is made of two list entries, and of one more with each attempt round.
-        family = F.concat(pick(FAMILY[s], 2), F.lower(pick(FAMILY[s], 3)), F.when(attempt > 2, F.lower(pick(FAMILY[s], 4))).otherwise(F.lit("")),
-                          F.when(attempt > 4, F.lower(pick(FAMILY[s], 5))).otherwise(F.lit("")))
+        # The family name is made of two list entries, and of one more with each attempt from the third on.
+        family = F.concat(pick(FAMILY[s], 2), F.lower(pick(FAMILY[s], 3)), F.array_join(_more(attempt, 2, lambda i: F.lower(pick(FAMILY[s], i))), ""))
         return F.when(parts > 1, F.concat_ws(" ", given, family)).otherwise(family)
 
     return F.concat_ws(" ", title, F.when(script == "cyrillic", by_script("cyrillic")).otherwise(by_script("latin")))
@@ -151,10 +162,12 @@ def _name(key: str, entity: Column, attempt: Column) -> Column:
 
 def surrogate(key: str, kind: Column, entity: Column, attempt: Column) -> Column:
     octets = F.transform(F.sequence(F.lit(1), F.lit(4)), lambda i: _digit(_draw(key, entity, attempt, i, 254) + 1))
+    groups = F.transform(F.sequence(F.lit(1), F.lit(6)), lambda i: F.lower(F.hex(_draw(key, entity, attempt, i, 1 << 16))))
+    address = F.when(attempt > 4, F.concat(F.lit("2001:db8:"), F.array_join(groups, ":"))).otherwise(F.array_join(octets, "."))
     codes = F.when(entity.startswith("+"), F.length(F.regexp_extract(entity, r"^\+(1|7|2[07]|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})", 1))).otherwise(F.lit(0))
     phone = F.concat(F.when(entity.startswith("+"), "+").otherwise(""), F.array_join(_numbers(key, entity, attempt, codes), ""))
     return (
-        F.when(kind == "email", _email(key, entity, attempt)).when(kind == "ip", F.array_join(octets, "."))
+        F.when(kind == "email", _email(key, entity, attempt)).when(kind == "ip", address)
         .when(kind == "card", _card(key, entity, attempt)).when(kind == "name", _name(key, entity, attempt)).otherwise(phone)
     )
 
@@ -189,7 +202,8 @@ def _like(m: Column, kind: Column, new: Column) -> Column:
             F.struct(F.lit(0).alias("i"), F.lit("").alias("t")),
             lambda a, c: F.when(c.rlike("[0-9]"), F.struct((a["i"] + 1).alias("i"), F.concat(a["t"], F.get(digits, a["i"])).alias("t")))
             .otherwise(F.struct(a["i"].alias("i"), F.concat(a["t"], c).alias("t"))),
-            lambda a: a["t"],
+            # A surrogate longer than the mention ends in its further digits.
+            lambda a: F.concat(a["t"], F.array_join(F.slice(digits, a["i"] + 1, F.greatest(F.size(digits) - a["i"], F.lit(0))), "")),
         )
 
     digits = F.filter(F.split(new, ""), lambda c: c.rlike("^[0-9]$"))

@@ -238,6 +238,19 @@ def test_surrogates(spark):
     assert surrogates.replace(docs.limit(0)).count() == 0
 
 
+def test_surrogates_do_not_run_out(spark):
+    made_up = ["Mr " + "".join(chr(97 + i // 26**k % 26) for k in range(4)).capitalize() for i in range(200)]
+    rows = [("phone", str(10_000 + i)) for i in range(88_000)] + [("name", n) for n in made_up]
+    rows += [("name", f"господин Я{i:05d}".translate({48 + d: "абвгдежзик"[d] for d in range(10)})) for i in range(11_000)] + [("ip", "1.2.3.4"), ("card", "4111111111111111")]
+    found = surrogates.assign(spark.createDataFrame(rows, "kind string, entity string")).collect()
+    assert {(r["kind"], r["entity"]) for r in found} == set(rows) and len(found) == len(rows)
+    new = [(r["kind"], r["surrogate"]) for r in found]
+    assert len(set(new)) == len(new) and not set(new) & set(rows)
+    longer = next(r["surrogate"] for r in found if r["kind"] == "phone" and len(r["surrogate"]) > 5)
+    shown = spark.range(1).select(surrogates._like(F.lit("12 345"), F.lit("phone"), F.lit(longer)).alias("t")).first()["t"]
+    assert shown.replace(" ", "") == longer
+
+
 def test_targets_are_filled_as_by_resharing(spark):
     sizes = {"a": 10, "b": 400, "c": 7, "d": 0, None: 90, "z": 50}
     units = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size long")
