@@ -1,7 +1,10 @@
 """Personal data: surrogate generation with column functions only.
 
-Detected: e-mail addresses, phone numbers, IPv4 addresses, card numbers (13 to 19
-digits), and names behind a title. An entity's normal form (kind and text; e-mails
+Detected: e-mail addresses, phone numbers (international, with area code, in pairs or
+groups, or 10 digits on end; no ranges of years, no fractions), IPv4 addresses, card
+numbers (13 to 19 digits), and names behind a title; in the same text such a name counts
+without its title too, whole or one of its parts, and shorter mentions are mentions of
+the longest name they fit. An entity's normal form (kind and text; e-mails
 in lower case, phones and cards by digits, names by their words) gets one keyed
 surrogate everywhere, so mentions of one entity stay mentions of one entity:
 
@@ -51,10 +54,24 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IPV4 = rf"(?<![0-9.]){OCTET}(?:\.{OCTET}){{3}}(?![0-9]|\.[0-9])"
 CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
-PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}[ .-][0-9]{3,4}(?:[ .-]?[0-9]{2,4})?(?![0-9A-Za-z])"
+_BEFORE, _AFTER = r"(?<![0-9A-Za-z+]|[0-9][.,])", r"(?![0-9A-Za-z])"
+PHONES = (
+    # International: a sign, then 7 to 15 digits with at most two marks between them.
+    r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![ .-]?[0-9])",
+    r"\+[0-9](?:[ ./()-]{0,2}[0-9]){6,14}",
+    # An area code in brackets or before a slash; pairs; no marks at all.
+    r"(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,5}\)[ .-]?[0-9]{2,8}(?:[ .-][0-9]{2,4}){0,3}",
+    r"0[0-9]{1,4} ?/ ?[0-9]{3,9}(?:[ -][0-9]{2,4}){0,3}",
+    r"0[0-9](?:[ .-]?[0-9]{2}){4}",
+    r"[01]?[0-9]{10}|0[0-9]{8}",
+    # Groups; neither a range of years nor a number with a fraction.
+    r"(?!(?:1[0-9]|20)[0-9]{2} ?- ?(?:1[0-9]|20)[0-9]{2}(?![0-9]))[0-9]{2,4}[ -][0-9]{3,4}(?:[ .-]?[0-9]{2,4}){0,2}",
+    r"[0-9]{2,4}\.[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,2}",
+)
+PHONE = _BEFORE + "(?:" + "|".join(f"(?:{p}){_AFTER}" for p in PHONES) + ")"
+TITLES = "|".join(sorted((*MALE_TITLES, *FEMALE_TITLES), key=len, reverse=True))
 NAME = (
-    r"(?<![\p{L}])(?:" + "|".join(sorted((*MALE_TITLES, *FEMALE_TITLES), key=len, reverse=True))
-    + r")\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}"
+    r"(?<![\p{L}])(?:" + TITLES + r")\.? \p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+){0,2}"
 )
 PATTERN = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, CARD, PHONE, NAME))
 HINT = r"@|[0-9]{2}|" + "|".join((*MALE_TITLES, *FEMALE_TITLES))
@@ -72,10 +89,42 @@ def normal(m: Column, kind: Column) -> Column:
     """What mentions of one entity have in common."""
     return (
         F.when(kind == "email", F.lower(m)).when(kind.isin("card", "phone"), F.regexp_replace(m, "[^0-9+]", ""))
-        .when(kind == "name", F.regexp_replace(m, r"\.", "")).otherwise(m)
+        .when(kind == "name", F.regexp_replace(m, r"\.|'s?$", "")).otherwise(m)
     )
 
 
+def _bare(name: Column) -> Column:
+    """A name without its title, title mark and ending."""
+    return F.regexp_replace(name, rf"^(?:{TITLES})\.? |'s?$", "")
+
+
+def _gender(name: Column) -> Column:
+    return F.regexp_extract(name, r"^(\p{L}+)", 1).isin(*MALE_TITLES)
+
+
+def names_of(text: Column) -> Column:
+    """The distinct names behind a title in a text, the longest first."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(NAME), F.lit(0)), lambda m: normal(m, F.lit("name")))
+    by_size = F.transform(F.array_distinct(found), lambda n: F.struct((-F.length(n)).alias("k"), n.alias("n")))
+    return F.transform(F.array_sort(by_size), lambda x: x["n"])
+
+
+def pattern_of(names: Column) -> Column:
+    """The pattern for a text: with names in it, it also takes each of them, whole or a part, without a title."""
+    forms = F.flatten(F.transform(names, lambda n: let(_bare(n), lambda b: F.concat(F.array(b), F.split(b, " ")))))
+    by_size = F.array_sort(F.transform(F.array_distinct(forms), lambda f: F.struct((-F.length(f)).alias("k"), f.alias("f"))))
+    forms = F.transform(F.filter(by_size, lambda x: x["k"] < -1), lambda x: x["f"])
+    ends = F.concat(F.lit(PATTERN + r"|(?<![\p{L}'-])(?:"), F.array_join(forms, "|"), F.lit(r")(?![\p{L}-])"))
+    return F.when(F.size(forms) > 0, ends).otherwise(F.lit(PATTERN))
+
+
+def same_name(m: Column, names: Column) -> Column:
+    """The entity of a mention: the longest name of its text that holds it (with a title: that ends in it, gender alike)."""
+    inside = lambda n: F.concat(F.lit(" "), n, F.lit(" ")).contains(F.concat(F.lit(" "), _bare(m), F.lit(" ")))
+    titled = m.rlike(rf"^(?:{TITLES})\.? ")
+    return F.get(F.filter(names, lambda n: F.when(titled, n.endswith(F.concat(F.lit(" "), _bare(m))) & (_gender(n) == _gender(m))).otherwise(inside(n))), F.lit(0))
+
+
 def _draw(key: str, entity: Column, attempt: Column, i, most: int) -> Column:
     """A number in [0, most) fixed by key, entity, attempt and place."""
     at = i if isinstance(i, Column) else F.lit(i)
@@ -193,8 +242,8 @@ def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
             return done
 
 
-def _like(m: Column, kind: Column, new: Column) -> Column:
-    """The surrogate in the format of this mention: separators of numbers, title mark of names."""
+def _like(m: Column, kind: Column, new: Column, entity: Column | None = None) -> Column:
+    """The surrogate in the format of this mention: separators of numbers; title, parts and ending of names."""
     def spread(digits: Column) -> Column:
         marks = F.filter(F.split(m, ""), lambda c: c != "")
         return F.aggregate(
@@ -207,20 +256,31 @@ def _like(m: Column, kind: Column, new: Column) -> Column:
         )
 
     digits = F.filter(F.split(new, ""), lambda c: c.rlike("^[0-9]$"))
-    dotted = F.when(m.contains("."), F.regexp_replace(new, "^([^ ]+) ", "$1. ")).otherwise(new)
-    return F.when(kind.isin("card", "phone"), let(digits, spread)).when(kind == "name", dotted).otherwise(new)
+    entity = m if entity is None else entity
+    whole = F.regexp_replace(new, "^[^ ]+ ", "")
+    part = (
+        F.when(_bare(m) == _bare(entity), whole).when(entity.endswith(F.concat(F.lit(" "), _bare(m))), F.substring_index(new, " ", -1))
+        .otherwise(F.substring_index(whole, " ", 1))
+    )
+    named = F.concat(F.regexp_extract(m, rf"^((?:{TITLES})\.? )?", 0), part, F.regexp_extract(m, "('s?)?$", 0))
+    return F.when(kind.isin("card", "phone"), let(digits, spread)).when(kind == "name", named).otherwise(new)
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     """doc_id, text (with surrogates), n_entities, and kinds (count by kind); one row per document row."""
-    found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(
+    found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).otherwise(
         F.array().cast("array<string>")
     )
+    # Fixed per row, so that the mentions of a text's names are found behind, before and without their titles.
+    none = F.array().cast("array<string>")
+    names = F.coalesce(F.when(F.col("text").rlike(NAME), names_of(F.col("text"))), none)
     typed = F.transform(
         F.coalesce(found, F.array().cast("array<string>")),
-        lambda m: let(kind_of(m), lambda k: F.struct(k.alias("kind"), normal(m, k).alias("entity"), m.alias("m"))),
+        lambda m: let(kind_of(m), lambda k: F.struct(
+            k.alias("kind"), F.when(k == "name", F.coalesce(same_name(m, F.col("names")), normal(m, k))).otherwise(normal(m, k)).alias("entity"), m.alias("m")
+        )),
     )
-    rows = docs.select("doc_id", text_key(F.col("text")).alias("tk"), typed.alias("found"))
+    rows = docs.withColumn("names", names).withColumn("pattern", pattern_of(F.col("names"))).select("doc_id", text_key(F.col("text")).alias("tk"), typed.alias("found"))
     mentions = cut(
         rows.select("doc_id", "tk", F.posexplode_outer("found").alias("at", "e")).where(F.col("e").isNotNull())
         .select("doc_id", "tk", "at", "e.kind", "e.entity", "e.m").distinct()
@@ -230,13 +290,14 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
         mentions.join(named, ["kind", "entity"])
         .groupBy("doc_id", "tk")
         .agg(
-            F.sort_array(F.collect_list(F.struct("at", "kind", _like(F.col("m"), F.col("kind"), F.col("surrogate")).alias("s")))).alias("new")
+            F.sort_array(F.collect_list(F.struct("at", "kind", _like(F.col("m"), F.col("kind"), F.col("surrogate"), F.col("entity")).alias("s")))).alias("new")
         )
         .select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), "new")
     )
     texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("tk"))
     joined = texts.join(new, texts["doc_id"].eqNullSafe(F.col("d")) & (texts["tk"] == F.col("t")), "left")
-    between = F.split("text", PATTERN, -1)
+    joined = joined.withColumn("pattern", F.when(F.col("new").isNotNull(), pattern_of(names)))
+    between = F.split("text", F.col("pattern"), -1)
     text = let(between, lambda b: F.array_join(F.transform(b, lambda x, i: F.concat(x, F.coalesce(F.get("new", i)["s"], F.lit("")))), ""))
     count = lambda k: F.size(F.filter("new", lambda x: x["kind"] == k)).cast("long")
     some = F.col("new").isNotNull()

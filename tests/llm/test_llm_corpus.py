@@ -238,6 +238,23 @@ def test_surrogates(spark):
     assert surrogates.replace(docs.limit(0)).count() == 0
 
 
+def test_phones_and_later_mentions(spark):
+    phones = ["06 12 34 56 78", "+33 6 12 34 56 78", "+33612345678", "5551234567", "+15551234567", "030/1234567", "91 123 45 67", "+1 (988) 555-2485", "555-123-4567"]
+    clean = ["value 12.345 here", "in 1999-2004 and", "on 2024-01-15, 3.14159 or 12.05.2024"]
+    names = ["Mr John Smith came. Later John Smith spoke, Smith's hat; Mr. Smith and John left. Smithson stayed.", "Smith and John are not known here."]
+    texts = [f"call {p} now" for p in phones] + clean + names
+    got = {r["doc_id"]: r for r in surrogates.replace(made(spark, texts)).collect()}
+    for i, p in enumerate(phones):
+        t = got[i]["text"]
+        assert re.fullmatch("call " + re.sub("[0-9]", "[0-9]", re.escape(p)).replace("/", "/") + " now", t) and p not in t and got[i]["n_phone"] == 1, t
+    for i, t in enumerate(clean):
+        assert got[len(phones) + i]["text"] == t
+    a = got[len(texts) - 2]["text"]
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. Later (\w+) (\w+) spoke, (\w+)'s hat; Mr\. (\w+) and (\w+) left\. Smithson stayed\.", a)
+    assert m and m[1] == m[3] == m[7] != "John" and m[2] == m[4] == m[5] == m[6] != "Smith", a
+    assert got[len(texts) - 1]["text"] == names[1]
+
+
 def test_surrogates_do_not_run_out(spark):
     made_up = ["Mr " + "".join(chr(97 + i // 26**k % 26) for k in range(4)).capitalize() for i in range(200)]
     rows = [("phone", str(10_000 + i)) for i in range(88_000)] + [("name", n) for n in made_up]
