@@ -9,8 +9,8 @@ or is long, and goes on only without a gap. Plain words therefore cut the chain,
 Viterbi decoding of the runs between them is the decoding of the whole text.
 
 Weights are trained in numpy by stochastic gradient on the log likelihood, on texts that
-the base patterns label: at most `SAMPLE_DOCS` texts with a digit, of at most
-`SAMPLE_CHARS` characters, the smallest by hash.
+the base patterns label: at most `SAMPLE_DOCS` texts of at most `SAMPLE_CHARS` characters,
+half of them with a base span and half without (with a digit), each the smallest by hash.
 
 Defined cases: null is the empty text and has no span; positions are code points, end
 exclusive; a span of the field that touches a base span is left out; repeated rows get
@@ -34,6 +34,11 @@ from tagflow.llm.common import text_key
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
+# The same three for Spark: a text that one of them matches has a base span.
+HOLDS = (
+    r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12}"""
+    r"|AKIA[A-Z0-9]{14}|[0-9a-f]{16}"
+)
 HINTS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "crf")
 
@@ -276,18 +281,23 @@ def find_spans(text: str | None, field: Field | None) -> list[tuple[int, int, st
 
 
 def train(docs: DataFrame, sample: int = SAMPLE_DOCS) -> Field | None:
-    """A field from at most `sample` distinct texts, those with the smallest hashes.
+    """A field from at most `sample` distinct texts: of either label half, those with the smallest hashes.
 
-    The hashes are ranked first, without the texts, so what reaches the driver does not
+    So secrets that are rare in the corpus are not rare in the sample. The hashes are ranked first, without the texts, so what reaches the driver does not
     grow with the number of tasks.
     """
-    keyed = docs.where(F.col("text").rlike("[0-9]") & (F.length("text") <= SAMPLE_CHARS)).select(
-        "text", text_key(F.col("text")).alias("k")
+    held = F.col("text").rlike(HOLDS)
+    keyed = docs.where((F.col("text").rlike("[0-9]") | held) & (F.length("text") <= SAMPLE_CHARS)).select(
+        "text", text_key(F.col("text")).alias("k"), held.alias("held")
     )
-    last = keyed.select("k").distinct().orderBy("k").limit(sample).agg(F.max("k")).first()[0]
-    if last is None:
+    ranked = keyed.select("held", "k").distinct()
+    first = lambda label: ranked.where(F.col("held") == label).orderBy("k").limit(sample // 2).agg(F.max("k").alias("k"))
+    last = [first(label).first()["k"] for label in (True, False)]
+    if last == [None, None]:
         return None
-    rows = keyed.where(F.col("k") <= F.lit(last)).groupBy("k").agg(F.min("text").alias("text")).collect()
+    low = [F.lit(k) if k is not None else F.lit(None).cast("long") for k in last]
+    wanted = keyed.where(F.when(F.col("held"), F.col("k") <= low[0]).otherwise(F.col("k") <= low[1]))
+    rows = wanted.groupBy("k").agg(F.min("text").alias("text")).collect()
     return fit([r["text"] for r in sorted(rows, key=lambda r: r["k"])])
 
 

@@ -10,6 +10,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tagflow.llm import chat, langid, quality, secrets
 
@@ -142,6 +143,18 @@ def test_field_finds_and_base_stays(spark):
     assert secrets.scan(rows.limit(0), field).count() == 0 and secrets.train(rows.where("false")) is None
 
 
+def test_rare_secrets_are_learned_from(spark, monkeypatch):
+    rare = "config has password: aB3dE5gH7jK9mN1p and no more"
+    texts = [f"number {i} of the plain texts" for i in range(1500)] + [rare]
+    seen = []
+    monkeypatch.setattr(secrets, "fit", lambda sample: seen.extend(sample))
+    secrets.train(docs_of(spark, texts), sample=20)
+    assert rare in seen and len(seen) == 11
+    held = spark.createDataFrame([(t,) for t in [rare, "token=short", "API_KEY = 'abcdefghijkl", "AKIAABCDEFGHIJKLMN", "AKIAX", "f" * 16, "F" * 16]], "text string")
+    for r in held.select("text", F.col("text").rlike(secrets.HOLDS).alias("h")).collect():
+        assert r["h"] == bool(secrets.base_spans(r["text"])), r["text"]
+
+
 def test_template_round_trip():
     for role, text in [("user", "\\### Assistant: </turn> ok"), ("a: b", "####</turn></turn>\\h\\"), ("", ""), ("assistant", "\n\n")]:
         parts = chat.turn_parts(role, text)
