@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tagflow.session import ensure_checkpoint_dir
 
@@ -83,3 +83,28 @@ def may_hold(mask: Column, h: Column) -> Column:
 
     first, second = _bits_of(h)
     return test(first) & test(second)
+
+
+def ranked(df: DataFrame, keys: list[str], order: list[str], rank: str = "rank", total: str | None = None) -> DataFrame:
+    """Adds each row's place (from 0) by `order` among the rows of its keys, and their number as `total`.
+
+    Rows are sorted over the cluster and numbered within their task; the counts of
+    (task, keys) give what lies in front. So a key may span any number of tasks; what is
+    windowed is one row for each task and key. The sorted rows are fixed in the checkpoint
+    folder: range borders come from a sample, and another run could draw other ones.
+    """
+    task = F.shiftright("__id", 33)
+    placed = cut(
+        df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+        .withColumn("__id", F.monotonically_increasing_id())
+    )
+    runs = placed.groupBy(task.alias("__task"), *keys).agg(F.min("__id").alias("__from"), F.count("*").alias("__rows"))
+    key = Window.partitionBy(*keys)
+    before = key.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        F.col("__task").alias("__t"), *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+        (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__from")).alias("__shift"), F.sum("__rows").over(key).alias("__all"),
+    )
+    on = [task == F.col("__t")] + [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    out = [*[F.col(c) for c in df.columns], (F.col("__id") + F.col("__shift")).alias(rank)]
+    return placed.join(runs, on).select(*out, *([F.col("__all").alias(total)] if total else []))

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tagflow.llm import backoff, chat, decontaminate, jaccard, langid, mixing, quality, secrets, sentences, surrogates
-from tagflow.llm.common import cut
+from tagflow.llm import backoff, chat, decontaminate, jaccard, langid, merkle, mixing, quality, secrets, sentences, shards, surrogates, trie
+from tagflow.llm.common import UPPER, cut
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -207,3 +207,100 @@ def op3(spark, sf):
     )
     nodes, members = chat.forest(own.unionByName(extra), TOKENIZER)
     return chat.read_back(cut(nodes), members, TOKENIZER)
+
+
+# The unsigned checksum of a decimal, byte by byte over its table.
+_CRC_SQL = """crc_table as (select list_transform(range(256), lambda i: list_reduce(list_prepend(i::bigint, [0, 0, 0, 0, 0, 0, 0, 0]),
+  lambda x, z: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)) as k)"""
+
+
+def _crc_column(text: str, table: str = "k") -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({text}, ''), lambda d: ord(d)::bigint)),
+  lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+def _merkle_levels(name: str, levels: int) -> str:
+    """{name}0 (g, p, n, d) to the levels above, and the siblings of each, b and a."""
+    out = []
+    for i in range(levels):
+        at, up = f"{name}{i}", f"{name}{i + 1}"
+        out.append(f"""{at}s as (select *, string_agg(d, '') over (partition by g, p // 16 order by p rows between unbounded preceding and 1 preceding) as b,
+  string_agg(d, '') over (partition by g, p // 16 order by p rows between 1 following and unbounded following) as a from {at})""")
+        out.append(f"""{up} as (select g, p // 16 as p, (max(n) + 15) // 16 as n,
+  case when max(n) = 1 then min(d) else sha256(string_agg(d, '' order by p)) end as d from {at} group by g, p // 16)""")
+    return ",\n".join(out)
+
+
+_IN, _TOP = 5, 3
+_PART = lambda c, v=None: f"coalesce(strlen({v or c}::varchar)::varchar || ':' || {v or c}::varchar, '-')"
+_LEAF = lambda text: "sha256(" + " || ".join([*map(_PART, ("doc_id", "source", "lang", "n_chars")), _PART("text", text)]) + ")"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_fold = lambda d, levels, of: f"case when {of}{levels}.n > 1 then sha256(coalesce({of}{levels}.b, '') || {d} || coalesce({of}{levels}.a, '')) else {d} end"
+
+
+def _merkle_sql() -> str:
+    joins, folds, proof, last = [], [], [], "f"
+    for i in range(_IN):
+        joins.append(f"join s{i}s as s{i} on s{i}.g is not distinct from l.g and s{i}.p = l.p // {16 ** i}")
+        proof.append(f"case when s{i}.n > 1 then coalesce(s{i}.b, '') || coalesce(s{i}.a, '') else '' end")
+        folds.append(f"{_fold(last, i, 's')} as f{i}")
+        last = f"f{i}"
+    joins.append("join top on top.g is not distinct from l.g")
+    for i in range(_TOP):
+        joins.append(f"join t{i}s as t{i} on t{i}.p = top.p // {16 ** i}")
+        proof.append(f"case when t{i}.n > 1 then coalesce(t{i}.b, '') || coalesce(t{i}.a, '') else '' end")
+        folds.append(f"{_fold(last, i, 't')} as u{i}")
+        last = f"u{i}"
+    return f"""with {_CRC_SQL},
+doc as (select doc_id, source, {_LEAF('text')} as leaf,
+  case when {_crc_column('doc_id::varchar')} % 5 = 0 then {_LEAF(_LOWER)} else {_LEAF('text')} end as f from documents, crc_table),
+l as (select *, source as g, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as p, count(*) over (partition by source) as n from doc),
+s0 as (select g, p, n, leaf as d from l),
+{_merkle_levels('s', _IN)},
+top as (select g, d, row_number() over (order by g nulls first) - 1 as p, count(*) over () as n from s{_IN}),
+t0 as (select 0 as g, p, n, d from top),
+{_merkle_levels('t', _TOP)},
+x as (select l.doc_id, l.leaf, top.d as subroot, sha256({' || '.join(proof)}) as proof_sha256, {', '.join(folds)} from l {' '.join(joins)})
+select doc_id, leaf, subroot, (select d from t{_TOP}) as root, proof_sha256, {last} as folded_root, {last} = (select d from t{_TOP}) as verified from x"""
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def op12(spark, sf):
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    text = F.when(tampered, F.translate("text", UPPER, UPPER.lower())).otherwise(F.col("text"))
+    rows = merkle.prove(table(spark, sf, "documents"), merkle.leaf({"text": text}))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("path")), 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+@query("op13_sharding")
+def op13(spark, sf):
+    rows = shards.assign(table(spark, sf, "documents"))
+    return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+_TRIE_SQL = f"""with {_CRC_SQL},
+t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (partition by conv_id
+  order by turn nulls first, sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, ''))) as place
+  from conversations where conv_id is not null),
+c as (select conv_id, {_crc_column('conv_id::varchar')} % 9 as h from (select distinct conv_id from t), crc_table),
+r as (select c.conv_id, t.place, t.role, t.text from c join t on t.conv_id = c.conv_id - c.conv_id % 5 and t.place <= c.h
+  union all select t.conv_id, t.place, t.role, t.text from c join t on t.conv_id = c.conv_id and t.place > c.h),
+s as (select c.conv_id, coalesce(list(sha256(strlen(r.role)::varchar || ':' || r.role || r.text) order by r.place) filter (r.place is not null), []) as w,
+  coalesce(list(strlen(r.text) order by r.place) filter (r.place is not null), []) as sizes from c left join r on r.conv_id = c.conv_id group by c.conv_id),
+m as (select conv_id, len(w) as n, d, array_to_string(w[1:d], '') as k, case when d > 0 then array_to_string(w[1:d - 1], '') end as up,
+  case when d > 0 then sizes[d] else 0 end as size from (select *, unnest(generate_series(0, len(w))) as d from s)),
+n as (select k, any_value(d) as depth, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size,
+  string_agg(conv_id::varchar, ',' order by conv_id) filter (m.n = d) as ends from m group by k),
+f as (select n.*, coalesce(n_children, 0) as n_children, (n.n_convs - 1) * n.size as saved from n
+  left join (select up as k, count(*) as n_children from n where up is not null group by up) using (k)),
+b as (select distinct a.k as top, z.k as k from m a join m z on a.conv_id = z.conv_id and a.d <= z.d),
+v as (select top as k, count(*) filter (f.n_children = 0) as n_leaves, sum(f.saved) as saved_tokens from b join f using (k) group by top)
+select f.conv_id, f.depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, v.n_leaves, v.saved_tokens::bigint as saved_tokens,
+  sha256(coalesce(f.ends, '')) as ends_sha256 from f join v using (k) left join f p on p.k = f.up"""
+
+
+@query("op11_conversation_trie", _TRIE_SQL)
+def op11(spark, sf):
+    return trie.prefix_trie(trie.chains(*trie.rebuilt(table(spark, sf, "conversations")))).drop("node")
