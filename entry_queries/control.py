@@ -47,8 +47,7 @@ def c1(spark, sf):
 
 @query("c1_timer_ton_hot_keys", hot_sql(_TON))
 def c1_hot(spark, sf):
-    ev, limit = hot(C.events(spark, sf))
-    return control.timer_ton(inputs(ev), max_key_rows=limit).select(*OUT)
+    return control.timer_ton(inputs(hot(C.events(spark, sf)))).select(*OUT)
 
 
 @query("c2_timer_tof", _TOF)
@@ -56,6 +55,11 @@ def c2(spark, sf):
     return control.timer_tof(inputs(C.events(spark, sf))).select(*OUT)
 
 
+@query("c2_timer_tof_hot_keys", hot_sql(_TOF))
+def c2_hot(spark, sf):
+    return control.timer_tof(inputs(hot(C.events(spark, sf)))).select(*OUT)
+
+
 _DOG = f"""with b as (select user_id as device, event_id as seq, ts_ns, cast(k as varchar) as data,
   case when event_id % 10 = 0 then 0 else {6 * _H} end as pt from {EV} where event_id % 10 <> 1),
 n as (select *, lead(ts_ns) over (partition by device order by ts_ns, seq) as next_ts from b)
@@ -71,8 +75,7 @@ def c3(spark, sf):
 
 @query("c3_watchdog_hot_keys", hot_sql(_DOG))
 def c3_hot(spark, sf):
-    ev, limit = hot(C.events(spark, sf))
-    return control.watchdog(inputs(ev), FAILSAFE, timeout="pt", max_key_rows=limit).select(*DOG_OUT)
+    return control.watchdog(inputs(hot(C.events(spark, sf))), FAILSAFE, timeout="pt").select(*DOG_OUT)
 
 
 @query(

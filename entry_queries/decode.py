@@ -6,7 +6,6 @@ from entry_queries import EV, hot, hot_sql, query
 from fixtures import captures as C
 from tagflow.operators import captures as P
 from tagflow.operators import decode, hj212, modbus, ranges, traps
-from tagflow.operators.ordered import MAX_KEY_ROWS
 
 
 def pick(items, by):
@@ -122,8 +121,8 @@ _FRAMES = _HJ + f""" select user_id as conn, event_id * 2 + 1 as seq, 0 as frame
  '##' || lpad(cast(length({_SEG}) as varchar), 4, '0') || {_SEG} as head, length({_SEG}) + 12 as size from h"""
 
 
-def _frames(ev, limit=MAX_KEY_ROWS):
-    out = hj212.split_frames(C.hj212_segments(ev), max_key_rows=limit)
+def _frames(ev):
+    out = hj212.split_frames(C.hj212_segments(ev))
     text = F.decode("bytes", "ISO-8859-1")
     return out.select(
         "conn", "seq", "frame_no", F.regexp_replace(text, r"(?s).{6}\z", "").alias("head"),
@@ -138,7 +137,7 @@ def f1(spark, sf):
 
 @query("f1_split_frames_hot_keys", hot_sql(_FRAMES))
 def f1_hot(spark, sf):
-    return _frames(*hot(C.events(spark, sf)))
+    return _frames(hot(C.events(spark, sf)))
 
 
 def packed_segments(ev):

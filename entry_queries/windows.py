@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from entry_queries import EV, hot, hot_sql, query
 from fixtures import captures as C
 from tagflow.operators import hj212, sequence
-from tagflow.operators.ordered import MAX_KEY_ROWS
 from tagflow.operators import windows as W
 from tagflow.plans.downsample import downsample
 from tagflow.schemas import SeriesMapping
@@ -67,9 +66,9 @@ select user_id as device, window_no, cast(sum(k) as bigint) as sum_k, min(event_
 count(*) = 10 as complete from r group by 1, 2"""
 
 
-def _w4(ev, limit=MAX_KEY_ROWS):
+def _w4(ev):
     counts = [F.sum("k").alias("sum_k"), F.min("seq").alias("first_id"), F.max("seq").alias("last_id")]
-    return W.count_window(good(ev), 10, counts, keys=["device"], max_key_rows=limit)
+    return W.count_window(good(ev), 10, counts, keys=["device"])
 
 
 @query("w4_count_window", _W4)
@@ -79,8 +78,8 @@ def w4(spark, sf):
 
 @query("w4_count_window_hot_keys", hot_sql(_W4))
 def w4_hot(spark, sf):
-    """Three keys, each cut into chunks."""
-    return _w4(*hot(C.events(spark, sf)))
+    """Three keys hold all rows."""
+    return _w4(hot(C.events(spark, sf)))
 
 
 @query(
@@ -138,8 +137,8 @@ _W10 = f"""with l as (select *, lag(k) over (partition by user_id order by ts_ns
 select user_id as device, event_id as seq, k, previous from l where previous is null or abs(k - previous) > 20"""
 
 
-def _w10(ev, limit=MAX_KEY_ROWS):
-    out = W.changes(C.points(ev), ["device"], value="k", epsilon=20, max_key_rows=limit)
+def _w10(ev):
+    out = W.changes(C.points(ev), ["device"], value="k", epsilon=20)
     return out.select("device", "seq", "k", "previous")
 
 
@@ -150,7 +149,7 @@ def w10(spark, sf):
 
 @query("w10_changes_hot_keys", hot_sql(_W10))
 def w10_hot(spark, sf):
-    return _w10(*hot(C.events(spark, sf)))
+    return _w10(hot(C.events(spark, sf)))
 
 
 _STEPS = ["name = 'view'", "name = 'click'", "name = 'purchase'"]
@@ -177,8 +176,7 @@ def w11(spark, sf):
 
 @query("w11_sequence_match_hot_keys", hot_sql(_W11))
 def w11_hot(spark, sf):
-    ev, limit = hot(C.events(spark, sf))
-    return sequence.sequence_match(C.points(ev), _STEPS, "72h", max_key_rows=limit)
+    return sequence.sequence_match(C.points(hot(C.events(spark, sf))), _STEPS, "72h")
 
 
 @query(

@@ -48,3 +48,14 @@ def text_schema(schema: str, df, columns) -> str:
     fields = T.StructType.fromDDL(schema).fields
     kept = lambda f: f.name not in kinds or kinds[f.name] in ("string", "binary")
     return ", ".join(f"`{f.name}` {f.dataType.simpleString() if kept(f) else 'string'}" for f in fields)
+
+
+def join_on(left: DataFrame, right: DataFrame, columns, how: str = "inner") -> DataFrame:
+    """Join on equal columns, null equal to null; the right side's columns of these names go."""
+    own = {c: f"_join_{i}" for i, c in enumerate(columns)}
+    other = right.select(*[F.col(c).alias(own.get(c, c)) for c in right.columns])
+    on = None
+    for c, o in own.items():
+        same = F.col(c).eqNullSafe(F.col(o))
+        on = same if on is None else on & same
+    return left.join(other, on, how).drop(*own.values())

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
-from tagflow.operators.ordered import MAX_KEY_ROWS, Ordered
+from tagflow.operators.ordered import SLICE, Ordered
 
 NS_PER_MS = 1_000_000
 
@@ -45,44 +45,66 @@ def _timer(
     input_col: str,
     pt: str,
     as_of_ns: int | None,
-    max_key_rows: int | None,
+    width: str | int,
 ) -> DataFrame:
     usable, _ = control_failures(df, pt)
     signal = F.col(input_col)
     if dict(df.dtypes)[input_col] == "string":
         signal = X.to_bool(signal)
     usable = usable.withColumn("_in", F.coalesce(signal, F.lit(False)))
-    rows = Ordered.of(usable, keys, [ts, seq], max_key_rows).lag("_was", F.col("_in"))
-    rows = rows.with_column("_edge", F.col("_in") != F.coalesce("_was", F.lit(False)))
+    rows = Ordered.of(usable, keys, [ts, seq], width)
+    before = (Window.unboundedPreceding, -1)
     pt_ns = F.col("_ms") * NS_PER_MS
-    rows = rows.running_last(
-        "_last", F.when(F.col("_edge"), F.struct(F.col(ts).alias("at"), pt_ns.alias("pt")))
+    # Edges inside a slice are known at once; whether its first row is one too depends on
+    # what the slice before ended with, so the summaries decide that.
+    was = F.lag("_in").over(rows.window())
+    rows = rows.with_column("_turns", F.coalesce(was != F.col("_in"), F.lit(False)))
+    edge = F.when(F.col("_turns"), F.struct(F.col(ts).alias("at"), pt_ns.alias("pt")))
+    first = F.col("_s_first")
+    rows = rows.hand_over(
+        {
+            "_l_first": was.isNull(),
+            "_l_last": F.last(edge, ignorenulls=True).over(rows.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            "_l_next": F.last(edge["at"], ignorenulls=True).over(rows.window(True).rowsBetween(*before)),
+        },
+        {
+            "_s_first": rows.edge(F.struct(F.col("_in").alias("on"), F.struct(F.col(ts).alias("at"), pt_ns.alias("pt")).alias("e")), None, True),
+            "_s_on": rows.edge(F.col("_in"), None, False),
+            "_s_last": rows.edge(edge, F.col("_turns"), False),
+            "_s_next": rows.edge(edge["at"], F.col("_turns"), True),
+        },
+        {
+            "_e_first": F.when(first["on"] != F.coalesce(F.lag("_s_on").over(rows.across()), F.lit(False)), first["e"]),
+            "_e_last": F.last(F.coalesce("_s_last", "_e_first"), ignorenulls=True).over(rows.across().rowsBetween(*before)),
+            "_e_next": F.last(F.coalesce("_e_first.at", "_s_next"), ignorenulls=True).over(rows.across(True).rowsBetween(*before)),
+        },
     )
+    # Only edges can arm or cancel, so the next edge is all a commit needs to know.
+    rows = rows.with_column("_last", F.coalesce("_l_last", "_e_first", "_e_last"))
+    rows = rows.with_column("_next", F.coalesce("_l_next", "_e_next"))
+    rows = rows.with_column("_edge", F.col("_turns") | (F.col("_l_first") & F.col("_e_first").isNotNull()))
     due = F.col("_last.at") + F.col("_last.pt")
     if on_delay:
         q = F.col("_in") & ((F.col("_last.pt") <= 0) | (F.col(ts) > due))
     else:
         q = F.col("_in") | ((F.col("_last.pt") > 0) & (F.col(ts) <= due))
-    own = df.columns
-    inputs = rows.df.select(
-        *own, F.lit("input").alias("kind"), F.coalesce(q, F.lit(False)).alias("q")
-    )
-    # Only edges can arm or cancel, so the next edge is all a commit needs to know.
-    edges = rows.filter(F.col("_edge")).lead("_next", F.col(ts)).df
     commit_at = F.col(ts) + pt_ns
     fires = (
-        (F.col("_in") == F.lit(on_delay))
+        F.col("_edge")
+        & (F.col("_in") == F.lit(on_delay))
         & (F.col("_ms") > 0)
         & (F.col("_next").isNull() | (F.col("_next") > commit_at))
     )
     if as_of_ns is not None:
         fires = fires & (commit_at <= as_of_ns)
-    commits = edges.filter(fires).select(
-        *[commit_at.alias(ts) if c == ts else F.col(c) for c in own],
-        F.lit("commit").alias("kind"),
-        F.lit(on_delay).alias("q"),
+    echo = F.struct(F.col(ts).alias("at"), F.lit("input").alias("kind"), F.coalesce(q, F.lit(False)).alias("q"))
+    commit = F.struct(commit_at.alias("at"), F.lit("commit").alias("kind"), F.lit(on_delay).alias("q"))
+    made = rows.df.withColumn("_out", F.explode(F.when(fires, F.array(echo, commit)).otherwise(F.array(echo))))
+    types = dict(df.dtypes)
+    return made.select(
+        *[F.col("_out.at").cast(types[c]).alias(c) if c == ts else F.col(c) for c in df.columns],
+        F.col("_out.kind").alias("kind"), F.col("_out.q").alias("q"),
     )
-    return inputs.unionByName(commits)
 
 
 def timer_ton(
@@ -93,14 +115,14 @@ def timer_ton(
     input_col: str = "input",
     pt: str = "pt",
     as_of_ns: int | None = None,
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """On-delay: q turns true once the input has held true for ``pt``.
 
     Every input row comes back with q; a commit row is added at the moment of
-    the delayed switch. ``pt`` names a column or is a fixed duration.
+    the delayed switch. ``width`` is the time of one slice, see ``ordered``. ``pt`` names a column or is a fixed duration.
     """
-    return _timer(df, True, keys, ts, seq, input_col, pt, as_of_ns, max_key_rows)
+    return _timer(df, True, keys, ts, seq, input_col, pt, as_of_ns, width)
 
 
 def timer_tof(
@@ -111,10 +133,10 @@ def timer_tof(
     input_col: str = "input",
     pt: str = "pt",
     as_of_ns: int | None = None,
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """Off-delay: q turns true at once and false once the input has held false for ``pt``."""
-    return _timer(df, False, keys, ts, seq, input_col, pt, as_of_ns, max_key_rows)
+    return _timer(df, False, keys, ts, seq, input_col, pt, as_of_ns, width)
 
 
 def watchdog(
@@ -126,7 +148,7 @@ def watchdog(
     timeout: str = "timeout",
     data_col: str = "data",
     as_of_ns: int | None = None,
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """Every row, plus one failsafe row at ``ts + timeout`` where no row followed in time.
 
@@ -135,21 +157,25 @@ def watchdog(
     if not failsafe.strip():
         raise ValueError("failsafe is required")
     usable, _ = control_failures(df, timeout)
-    rows = Ordered.of(usable, keys, [ts, seq], max_key_rows).lead("_next", F.col(ts)).df
+    rows = Ordered.of(usable, keys, [ts, seq], width)
+    rows = rows.add(_next=rows.following(F.col(ts)))
     alarm_at = F.col(ts) + F.col("_ms") * NS_PER_MS
     fires = (F.col("_ms") > 0) & (F.col("_next").isNull() | (F.col("_next") > alarm_at))
     if as_of_ns is not None:
         fires = fires & (alarm_at <= as_of_ns)
     own = df.columns
     types = dict(df.dtypes)
-    alarms = rows.filter(fires).select(
+    echo = F.struct(*[F.col(c) for c in own], F.lit("input").alias("kind"))
+    alarm = F.struct(
         *[
-            F.col(c) if c in keys
-            else alarm_at.alias(c) if c == ts
-            else F.lit(failsafe).alias(c) if c == data_col
-            else F.lit(None).cast(types[c]).alias(c)
+            (
+                F.col(c) if c in keys
+                else alarm_at.cast(types[c]) if c == ts
+                else F.lit(failsafe) if c == data_col
+                else F.lit(None).cast(types[c])
+            ).alias(c)
             for c in own
         ],
         F.lit("failsafe").alias("kind"),
     )
-    return rows.select(*own, F.lit("input").alias("kind")).unionByName(alarms)
+    return rows.df.select(F.inline(F.when(fires, F.array(echo, alarm)).otherwise(F.array(echo))))

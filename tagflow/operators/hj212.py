@@ -5,15 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
-from tagflow.functions.stages import compute_once, let, text_schema, whole_as_text
+from tagflow.functions.stages import compute_once, join_on, let
 from tagflow.operators.decode import crc16
-from tagflow.operators.ordered import MAX_KEY_ROWS, carried_scan
+from tagflow.operators.intervals import first_disjoint, fixed
+from tagflow.operators.ordered import Ordered
 
 NOISE = "bytes outside a frame"
 
@@ -68,22 +68,68 @@ def feed(buffer: bytes, received: bytes) -> tuple[bytes, list[tuple[bytes, str |
     return data[at:], out
 
 
-def frame_step(keys: Sequence[str], seq: str, payload: str):
-    """Scan step: the state is the unfinished frame of the connection, at most 10,011 bytes."""
-    columns = [*keys, seq, "frame_no", "bytes", "reason"]
+# Bytes of a connection looked at together, and how far a frame may reach beyond: the
+# longest declared length (9999) with its head, checksum and line end.
+BLOCK = 1 << 15
+LONGEST = 9_999 + 12
+# A head that can be a frame's: at least one digit, a sign in front of three.
+_HEAD = r"(?=##(?:\+[0-9]{3}|[0-9]{4}))"
+# Kinds of marks along a connection, in their order at one place.
+_END, _SEGMENT, _START = 0, 1, 2
+# End of a frame that is still to come: behind everything.
+OPEN = 1 << 62
+
+
+def _placed(segments: DataFrame, keys: Sequence[str], seq: str, payload: str, width: int) -> DataFrame:
+    """keys, offset of the segment in its connection, size, seq, bytes."""
+    used = segments.select(*keys, F.col(seq).alias("_seq"), F.col(payload).alias("_bytes")).filter(F.octet_length("_bytes") > 0)
+    rows = Ordered.of(used.withColumn("_size", F.octet_length("_bytes").cast("bigint")), keys, ["_seq"], width)
+    rows = rows.add(_stop=rows.total(F.col("_size")))
+    # Fixed once: offsets are used by every step below, and ties of the sequence have to stay as they fell.
+    return fixed(rows.df.withColumn("_at", F.col("_stop") - F.col("_size")).drop("_stop"))
+
+
+def _blocks(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, block, text: bytes (as Latin-1) of each block and of the longest frame behind it."""
+    reach = lambda at: F.call_function("div", F.greatest(at, F.lit(0)), F.lit(BLOCK).cast("bigint"))
+    last = F.col("_at") + F.col("_size")
+    parts = placed.withColumn("_block", F.explode(F.sequence(reach(F.col("_at") - LONGEST), reach(last - 1))))
+    low = F.greatest(F.col("_at"), F.col("_block") * BLOCK)
+    high = F.least(last, (F.col("_block") + 1) * BLOCK + LONGEST)
+    text = F.decode(F.substring("_bytes", (low - F.col("_at") + 1).cast("int"), (high - low).cast("int")), "ISO-8859-1")
+    return (
+        parts.filter(high > low).groupBy(*keys, "_block")
+        .agg(F.sort_array(F.collect_list(F.struct(low.alias("low"), text.alias("text")))).alias("_parts"))
+        .select(*keys, "_block", F.array_join("_parts.text", "").alias("_text"))
+    )
+
 
-    def step(state: object, rows: pd.DataFrame):
-        buffer = state or b""
-        made = []
-        for values in rows[[*keys, seq, payload]].itertuples(index=False, name=None):
-            buffer, found = feed(buffer, bytes(values[-1] or b""))
-            numbers = {None: 0, NOISE: 0}
-            for data, reason in found:
-                made.append((*values[:-1], numbers[reason], data, reason))
-                numbers[reason] += 1
-        return buffer or None, pd.DataFrame(made, columns=columns)
+def _heads(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, start, end of every place where a frame could begin; one that is not whole has no end."""
+    cuts = F.split("_text", _HEAD, -1)
+    grow = lambda done, part: F.concat(done, F.array(F.element_at(done, -1) + F.length(part)))
+    starts = F.aggregate(cuts, F.array(F.lit(0)), grow)
+    found = F.filter(starts, lambda p: (p < BLOCK) & F.substring(F.col("_text"), p + 1, F.lit(6)).rlike(r"^##(?:\+[0-9]{3}|[0-9]{4})$"))
+    rows = blocks.select(*keys, "_block", F.length("_text").alias("_have"), F.explode(
+        F.transform(found, lambda p: F.struct(p.alias("p"), F.substring(F.col("_text"), p + 3, F.lit(4)).cast("int").alias("n")))
+    ).alias("h")).filter("h.n > 0")
+    start, size = F.col("_block") * BLOCK + F.col("h.p"), F.col("h.n") + 12
+    return rows.select(
+        *keys, start.alias("_start"), F.when(F.col("h.p") + size <= F.col("_have"), start + size).otherwise(F.lit(OPEN)).alias("_end")
+    )
 
-    return step
+
+def _waiting(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """keys, place: where the last bytes of a connection may begin a frame whose head has not come."""
+    have = F.length("_text")
+    tail = F.greatest(have - 5, F.lit(0))
+    ends = blocks.select(*keys, F.struct(
+        (F.col("_block") * BLOCK + have).alias("reach"), (-F.col("_block")).alias("first"),
+        (F.col("_block") * BLOCK + tail).alias("from"), F.substring("_text", tail + 1, F.lit(5)).alias("text"),
+    ).alias("t")).groupBy(*keys).agg(F.max("t").alias("t"))
+    spots = F.filter(F.sequence(F.lit(0), F.lit(4)), lambda i: (F.substring(F.col("t.text"), i + 1, F.lit(2)) == "##") | (
+        (i + 1 == F.length("t.text")) & (F.substring(F.col("t.text"), i + 1, F.lit(1)) == "#")))
+    return ends.select(*keys, F.explode(spots).alias("i"), "t.from").select(*keys, (F.col("from") + F.col("i")).alias("_place"))
 
 
 def cut_segments(
@@ -91,21 +137,63 @@ def cut_segments(
     keys: Sequence[str] = ("conn",),
     seq: str = "seq",
     payload: str = "bytes",
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: int = 1024,
 ) -> DataFrame:
     """Frames (``reason`` null) and skipped bytes (with a reason) of a connection's segments.
 
-    Both are numbered within the segment that completed them. Bytes before ``##`` and
-    after an unusable head are skipped, an unfinished frame waits for the next segment.
+    A frame is numbered within the segment that completed it, skipped bytes within the
+    segment they came in. Bytes before ``##`` and after an unusable head are skipped; an
+    unfinished frame, and a head of which less than six bytes came, wait for more.
+
+    No task scans a connection. Segments get their offset by running sums over slices of
+    ``width`` sequence numbers; the bytes are dealt out in blocks, each with the length of
+    the longest frame behind it, in which every usable head is a candidate (start, end).
+    Which candidates are frames is a choice of intervals that do not overlap
+    (``first_disjoint``), and one ordered pass over starts, ends and segments tells where
+    frames were completed and which bytes lie outside.
     """
+    keys = list(keys)
     types = dict(segments.dtypes)
-    schema = ", ".join(
-        [*(f"{k} {types[k]}" for k in keys), f"{seq} {types[seq]}", "frame_no int, bytes binary, reason string"]
+    placed = _placed(segments, keys, seq, payload, width)
+    blocks = _blocks(placed, keys)
+    heads = _heads(blocks, keys)
+    taken = first_disjoint(heads, keys, ["_start"], ["_end"], touching=True, width=BLOCK * 64)
+    frames = taken.withColumn("_block", F.call_function("div", F.col("_start"), F.lit(BLOCK).cast("bigint")))
+    mark = lambda df, place, kind, inside, **own: df.select(
+        *keys, place.alias("_pos"), F.lit(kind).alias("_kind"), inside.alias("_in"), *[c.alias(n) for n, c in own.items()]
+    )
+    segment = F.struct(F.col("_at").alias("at"), F.col("_seq").alias("seq"))
+    line = (
+        mark(placed, F.col("_at"), _SEGMENT, F.lit(None).cast("boolean"), _segment=segment)
+        .unionByName(mark(frames, F.col("_start"), _START, F.lit(True)), allowMissingColumns=True)
+        .unionByName(mark(frames.filter(F.col("_end") < OPEN), F.col("_end"), _END, F.lit(False), _start=F.col("_start"), _block=F.col("_block")), allowMissingColumns=True)
+        .unionByName(mark(_waiting(blocks, keys), F.col("_place"), _START, F.lit(True)), allowMissingColumns=True)
+        .unionByName(mark(placed, F.col("_at") + F.col("_size"), _SEGMENT, F.lit(None).cast("boolean")), allowMissingColumns=True)
+    )
+    rows = Ordered.of(line, keys, ["_pos", "_kind"], BLOCK * 64)
+    rows = rows.add(
+        _here=rows.newest(F.col("_segment")), _inside=rows.newest(F.col("_in")), _to=rows.following(F.col("_pos"))
+    ).df
+    number = lambda by: (F.row_number().over(Window.partitionBy(*keys, "_here").orderBy(by)) - 1).cast("int")
+    whole = rows.filter(F.col("_kind") == _END).withColumn("frame_no", number("_start")).select(
+        *keys, "_block", F.struct("_here.seq", "frame_no", "_start", "_pos").alias("f")
+    )
+    spans = whole.groupBy(*keys, "_block").agg(F.collect_list("f").alias("_frames"))
+    cut = join_on(blocks, spans, [*keys, "_block"]).select(*keys, "_text", "_block", F.explode("_frames").alias("f"))
+    first = (F.col("f._start") - F.col("_block") * BLOCK + 1).cast("int")
+    made = cut.select(
+        *keys, F.col("f.seq").alias(seq), F.col("f.frame_no").alias("frame_no"),
+        F.encode(F.substring("_text", first, (F.col("f._pos") - F.col("f._start")).cast("int")), "ISO-8859-1").alias("bytes"),
+        F.lit(None).cast("string").alias("reason"),
+    )
+    outside = rows.filter((F.col("_to") > F.col("_pos")) & ~F.coalesce("_inside", F.lit(False)) & F.col("_here").isNotNull())
+    outside = outside.withColumn("frame_no", number("_pos")).select(*keys, F.col("_here.at").alias("_at"), "frame_no", "_pos", "_to")
+    noise = join_on(placed, outside, [*keys, "_at"]).select(
+        *keys, F.col("_seq").cast(types[seq]).alias(seq), "frame_no",
+        F.substring("_bytes", (F.col("_pos") - F.col("_at") + 1).cast("int"), (F.col("_to") - F.col("_pos")).cast("int")).alias("bytes"),
+        F.lit(NOISE).alias("reason"),
     )
-    used = segments.select(*keys, F.col(seq).alias("_order"), seq, payload)
-    schema = text_schema(schema, used, [seq])
-    text, typed = whole_as_text(used, [seq])
-    return typed(carried_scan(text, keys, ["_order"], frame_step(keys, seq, payload), schema, max_key_rows))
+    return made.unionByName(noise)
 
 
 def split_frames(
@@ -113,10 +201,10 @@ def split_frames(
     keys: Sequence[str] = ("conn",),
     seq: str = "seq",
     payload: str = "bytes",
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: int = 1024,
 ) -> DataFrame:
     """Whole frames from a connection's byte segments, in order of ``seq``; see ``cut_segments``."""
-    return cut_segments(segments, keys, seq, payload, max_key_rows).filter("reason is null").drop("reason")
+    return cut_segments(segments, keys, seq, payload, width).filter("reason is null").drop("reason")
 
 
 def skipped_bytes(
@@ -124,10 +212,10 @@ def skipped_bytes(
     keys: Sequence[str] = ("conn",),
     seq: str = "seq",
     payload: str = "bytes",
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: int = 1024,
 ) -> DataFrame:
     """What ``split_frames`` leaves out: the bytes outside frames, with a reason."""
-    return cut_segments(segments, keys, seq, payload, max_key_rows).filter("reason is not null")
+    return cut_segments(segments, keys, seq, payload, width).filter("reason is not null")
 
 
 def _utf8(latin: Column) -> Column:

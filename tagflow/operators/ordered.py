@@ -1,53 +1,60 @@
-"""Row order inside a key, without putting a hot key into one task.
-
-``lag``, ``lead`` and running values need the rows of a key in order. A plain
-window hands each key to one task, which is fine while no key is large. So the
-largest key is counted first. When it is over the limit, rows are cut by range
-into chunks of (key, order) instead, so one key may span many chunks; every
-window then runs inside a chunk, and the few values that cross a chunk border
-are carried over in a small table with at most one row per chunk and side.
+"""Row order inside a key, as one plan for keys of every size.
+
+``lag``, ``lead`` and running values need the rows of a key in order. Rows fall in
+slices (key, time divided by a fixed width), and windows run inside a slice only, so a
+key that holds any share of all rows is spread over as many tasks as it has slices.
+What crosses a slice's border is handed over by a segmented prefix scan: a slice gives
+a summary that can be combined (its last row, its newest known value, its sum), a window
+over the summaries of a key gives what each slice begins with, and an equi-join on
+(key, slice) brings that to the rows.
+
+Building a plan starts no job, and the plan does not depend on the data. The largest
+task sorts one slice of one key: choose the width so that the rows of the busiest key
+in that time fit. A null order value has a slice of its own, before all others.
 """
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagflow.functions.stages import text_schema, whole_as_text
+from tagflow.functions.stages import join_on
+from tagflow.functions.text import parse_duration_ms
 
-from tagflow.session import ensure_checkpoint_dir
+# Time of one slice, as a duration.
+SLICE = "1h"
 
-# Largest number of rows of one key that a single task may sort.
-MAX_KEY_ROWS = 5_000_000
+_SLICE = "_slice"
+_BEFORE = (Window.unboundedPreceding, -1)
 
-_CHUNK = "_chunk"
 
+def slice_of(df: DataFrame, column: str, width: str | int) -> Column:
+    """Number of the slice a row is in: ``width`` is a duration for times (timestamps, or
+    nanoseconds in a bigint), or a plain number in the units of the column."""
+    kind = dict(df.dtypes)[column]
+    if isinstance(width, str):
+        ms = parse_duration_ms(width)
+        if not ms or ms < 0:
+            raise ValueError(f"invalid slice {width!r}")
+        width = ms * (1_000 if kind.startswith("timestamp") else 1_000_000)
+    value = F.unix_micros(column) if kind.startswith("timestamp") else F.col(column).cast("bigint")
+    step = F.lit(width).cast("bigint")
+    # The remainder is taken off first, so that times before the epoch fall downwards.
+    return F.call_function("div", value - F.pmod(value, step), step)
 
-def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest key. Counts are combined before the shuffle."""
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return row[0] or 0
 
+@dataclass(frozen=True)
+class Value:
+    """One ordered value: what a row sees in its slice, what a slice hands over, and both together."""
 
-def cut_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int) -> DataFrame:
-    """Range-partition by (key, order), number the partitions and fix them.
-
-    The checkpoint keeps chunk numbers the same for every later read, also after
-    an executor is lost: range borders come from a sample and a second run of
-    the same shuffle could draw other ones.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return (
-        df.repartitionByRange(chunks, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn(_CHUNK, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
+    local: Column
+    summary: Column
+    entry: Callable[[Column], Column]
+    backwards: bool
+    merge: str
 
 
 @dataclass(frozen=True)
@@ -57,27 +64,12 @@ class Ordered:
     frame: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    split: bool
 
     @classmethod
-    def of(
-        cls,
-        df: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[str],
-        max_key_rows: int | None = MAX_KEY_ROWS,
-    ) -> Ordered:
-        """``max_key_rows=None`` skips the count where the caller knows the keys are small."""
-        hot = max_key_rows is not None and largest_key(df, keys) > max_key_rows
-        if hot:
-            total = df.count()
-            chunks = max(2, -(-total // max(1, max_key_rows)))
-            frame = cut_by_range(df, keys, order, chunks)
-        else:
-            frame = df.withColumn(_CHUNK, F.lit(0))
-        return cls(frame, tuple(keys), tuple(order), hot)
-
-    # -- plain frame operations that keep the chunking -------------------------
+    def of(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str], width: str | int = SLICE) -> Ordered:
+        return cls(df.withColumn(_SLICE, slice_of(df, order[0], width)), tuple(keys), tuple(order))
+
+    # -- plain frame operations that keep the slices ----------------------------
 
     def with_column(self, name: str, value: Column) -> Ordered:
         return replace(self, frame=self.frame.withColumn(name, value))
@@ -85,205 +77,105 @@ class Ordered:
     def filter(self, condition: Column) -> Ordered:
         return replace(self, frame=self.frame.filter(condition))
 
-    def drop(self, *names: str) -> Ordered:
-        return replace(self, frame=self.frame.drop(*names))
-
     @property
     def df(self) -> DataFrame:
-        return self.frame.drop(_CHUNK)
+        return self.frame.drop(_SLICE)
 
-    # -- ordered values --------------------------------------------------------
+    # -- ordered values ----------------------------------------------------------
 
-    def _window(self, backwards: bool = False):
+    def window(self, backwards: bool = False):
         order = [F.col(c).desc() if backwards else F.col(c).asc() for c in self.order]
-        part = [_CHUNK, *self.keys] if self.split else list(self.keys)
-        return Window.partitionBy(*part).orderBy(*order)
-
-    def _carry(self, summary: Column, combine: Callable[[Column, object], Column], backwards: bool, name: str) -> DataFrame:
-        """Per (chunk, key) of keys that span chunks: the value carried in from before."""
-        per_chunk = self.frame.groupBy(_CHUNK, *self.keys).agg(summary.alias("_s"))
-        across = Window.partitionBy(*self.keys)
-        chunk_order = F.col(_CHUNK).desc() if backwards else F.col(_CHUNK).asc()
-        before = across.orderBy(chunk_order).rowsBetween(Window.unboundedPreceding, -1)
-        return (
-            per_chunk.withColumn("_n", F.count(F.lit(1)).over(across))
-            .filter("_n > 1")
-            .withColumn(name, combine(F.col("_s"), before))
-            .select(_CHUNK, *self.keys, name)
-        )
+        return Window.partitionBy(*self.keys, _SLICE).orderBy(*order)
 
-    def _with_carry(self, local: DataFrame, carry: DataFrame, merged: Column, name: str) -> Ordered:
-        # At most two keys per chunk reach over its border, so the table is
-        # bounded by twice the number of chunks.
-        on = [F.col(f"l.{_CHUNK}") == F.col(f"c.{_CHUNK}")] + [
-            F.col(f"l.{k}").eqNullSafe(F.col(f"c.{k}")) for k in self.keys
-        ]
-        joined = local.alias("l").join(F.broadcast(carry).alias("c"), on, "left")
-        kept = [F.col(f"l.{c}") for c in local.columns if not c.startswith("_local")]
-        return replace(self, frame=joined.select(*kept, merged.alias(name)))
-
-    def _neighbour(self, name: str, value: Column, backwards: bool) -> Ordered:
-        w = self._window(backwards)
-        boxed = F.struct(value.alias("v"))
-        if not self.split:
-            return self.with_column(name, F.lag(value).over(w))
-        local = self.frame.withColumn("_local", F.lag(boxed).over(w))
+    def across(self, backwards: bool = False):
+        order = F.col(_SLICE).desc() if backwards else F.col(_SLICE).asc()
+        return Window.partitionBy(*self.keys).orderBy(order)
+
+    def edge(self, value: Column, known: Column | None, backwards: bool) -> Column:
+        """Summary of a slice: the value of its last row (its first one backwards) of those known."""
         at = F.struct(*[F.col(c) for c in self.order])
-        edge = F.min_by(boxed, at) if backwards else F.max_by(boxed, at)
-        carry = self._carry(edge, lambda s, before: F.last(s).over(before), backwards, "_c")
-        merged = F.coalesce(F.col("l._local"), F.col("c._c"))["v"]
-        return self._with_carry(local, carry, merged, name)
+        at = at if known is None else F.when(known, at)
+        return F.min_by(value, at) if backwards else F.max_by(value, at)
 
-    def lag(self, name: str, value: Column) -> Ordered:
-        """Value of the previous row of the key."""
-        return self._neighbour(name, value, backwards=False)
+    def _neighbour(self, value: Column, backwards: bool) -> Value:
+        boxed = F.struct(value.alias("v"))
+        return Value(
+            F.lag(boxed).over(self.window(backwards)), self.edge(boxed, None, backwards),
+            lambda s: F.lag(s).over(self.across(backwards)), backwards, "first",
+        )
 
-    def lead(self, name: str, value: Column) -> Ordered:
-        """Value of the next row of the key."""
-        return self._neighbour(name, value, backwards=True)
+    def previous(self, value: Column) -> Value:
+        """Value of the row before."""
+        return self._neighbour(value, backwards=False)
 
-    def running_last(self, name: str, value: Column) -> Ordered:
+    def following(self, value: Column) -> Value:
+        """Value of the row after."""
+        return self._neighbour(value, backwards=True)
+
+    def _known(self, value: Column, backwards: bool, here: bool) -> Value:
+        boxed = F.when(value.isNotNull(), F.struct(value.alias("v")))
+        rows = self.window(backwards).rowsBetween(Window.unboundedPreceding, Window.currentRow if here else -1)
+        return Value(
+            F.last(boxed, ignorenulls=True).over(rows), self.edge(boxed, value.isNotNull(), backwards),
+            lambda s: F.last(s, ignorenulls=True).over(self.across(backwards).rowsBetween(*_BEFORE)), backwards, "first",
+        )
+
+    def newest(self, value: Column) -> Value:
         """Newest non-null value up to and including this row."""
-        return self._running(name, value, backwards=False, include_current=True)
+        return self._known(value, backwards=False, here=True)
 
-    def next_known(self, name: str, value: Column) -> Ordered:
+    def upcoming(self, value: Column) -> Value:
         """First non-null value strictly after this row."""
-        return self._running(name, value, backwards=True, include_current=False)
+        return self._known(value, backwards=True, here=False)
+
+    def total(self, value: Column, peers: bool = False) -> Value:
+        """Sum of a bigint up to and including this row; with ``peers`` rows of equal order count together."""
+        w = self.window()
+        frame = (Window.unboundedPreceding, Window.currentRow)
+        rows = w.rangeBetween(*frame) if peers else w.rowsBetween(*frame)
+        return Value(
+            F.coalesce(F.sum(value).over(rows), F.lit(0)), F.sum(value),
+            lambda s: F.sum(s).over(self.across().rowsBetween(*_BEFORE)), False, "sum",
+        )
 
-    def _running(self, name: str, value: Column, backwards: bool, include_current: bool) -> Ordered:
-        w = self._window(backwards).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow if include_current else -1
+    def largest_before(self, value: Column) -> Value:
+        """Largest value of all rows before this one."""
+        boxed = F.struct(value.alias("v"))
+        return Value(
+            F.max(boxed).over(self.window().rowsBetween(*_BEFORE)), F.max(boxed),
+            lambda s: F.max(s).over(self.across().rowsBetween(*_BEFORE)), False, "greatest",
         )
-        boxed = F.when(value.isNotNull(), F.struct(value.alias("v")))
-        if not self.split:
-            return self.with_column(name, F.last(boxed, ignorenulls=True).over(w)["v"])
-        local = self.frame.withColumn("_local", F.last(boxed, ignorenulls=True).over(w))
-        at = F.when(value.isNotNull(), F.struct(*[F.col(c) for c in self.order]))
-        edge = F.min_by(boxed, at) if backwards else F.max_by(boxed, at)
-        carry = self._carry(
-            edge, lambda s, before: F.last(s, ignorenulls=True).over(before), backwards, "_c"
+
+    def hand_over(self, local: dict[str, Column], summary: dict[str, Column], entry: dict[str, Column]) -> Ordered:
+        """The scan itself: adds the ``local`` columns, summarises each slice with the ``summary``
+        aggregates of them, computes ``entry`` columns over the summaries of a key (one after the
+        other, so they may use each other) and joins those to the rows of the slice."""
+        here = self.frame.withColumns(local) if local else self.frame
+        slices = here.groupBy(*self.keys, _SLICE).agg(*[c.alias(n) for n, c in summary.items()])
+        for n, c in entry.items():
+            slices = slices.withColumn(n, c)
+        handed = slices.select(*self.keys, _SLICE, *entry)
+        return replace(self, frame=join_on(here, handed, [*self.keys, _SLICE], "left"))
+
+    def add(self, **values: Value) -> Ordered:
+        """The frame with ordered values as columns: all of them take one summary table and one join."""
+        names = sorted(values, key=lambda n: values[n].backwards)
+        over = self.hand_over(
+            {f"_l_{n}": values[n].local for n in names},
+            {f"_s_{n}": values[n].summary for n in names},
+            {f"_e_{n}": values[n].entry(F.col(f"_s_{n}")) for n in names},
         )
-        merged = F.coalesce(F.col("l._local"), F.col("c._c"))["v"]
-        return self._with_carry(local, carry, merged, name)
-
-    def running_sum(self, name: str, value: Column, peers: bool = False) -> Ordered:
-        """Sum of ``value`` (a bigint) up to and including this row.
-
-        With ``peers`` rows of equal order count together, so the result does not
-        depend on how ties are sorted.
-        """
-        frame = Window.unboundedPreceding, Window.currentRow
-        w = self._window().rangeBetween(*frame) if peers else self._window().rowsBetween(*frame)
-        if not self.split:
-            return self.with_column(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
-        local = self.frame.withColumn("_local", F.sum(value).over(w))
-        carry = self._carry(F.sum(value), lambda s, before: F.sum(s).over(before), False, "_c")
-        merged = F.coalesce(F.col("l._local"), F.lit(0)) + F.coalesce(F.col("c._c"), F.lit(0))
-        return self._with_carry(local, carry, merged, name)
-
-    def row_number(self, name: str) -> Ordered:
-        return self.running_sum(name, F.lit(1).cast("bigint"))
-
-
-# -- sequential scans ------------------------------------------------------------
-
-# step(state, rows) -> (state, output): rows is a pandas block of one key in
-# order, state the picklable value left by the block before (None at the start).
-Step = Callable[[object, pd.DataFrame], tuple[object, pd.DataFrame | None]]
-
-
-def _blocks(pdf: pd.DataFrame, keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
-    """Consecutive runs of equal keys in an ordered block."""
-    if len(pdf) == 0:
-        return
-    changed = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
-    changed[0] = True
-    starts = list(changed.nonzero()[0]) + [len(pdf)]
-    for a, b in zip(starts, starts[1:]):
-        yield tuple(pdf[keys].iloc[a]), pdf.iloc[a:b]
-
-
-def carried_scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    step: Step,
-    schema: str,
-    max_key_rows: int | None = MAX_KEY_ROWS,
-    chunks: int | None = None,
-) -> DataFrame:
-    """Scan each key's rows in order with a small carried state.
-
-    Small keys: one hash shuffle, each task scans its keys. A key over the limit
-    is cut into chunks. All chunks are scanned at once from an empty state; then
-    only chunks that begin inside a key are scanned again from the state their
-    predecessor left, until no entry state changes. States are small and there
-    is one per chunk, so the driver holds little. The result equals one long
-    scan, whatever the number of rounds.
-    """
-    keys, order = list(keys), list(order)
-    schema = text_schema(schema, df, keys)
-    df, typed = whole_as_text(df, keys)
-
-    def scan(entries: dict[int, object] | None, emit: bool):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            key, state, first_key, chunk, n_keys = None, None, None, None, 0
-            for pdf in batches:
-                for k, rows in _blocks(pdf, keys):
-                    if chunk is None and entries is not None:
-                        chunk = int(rows[_CHUNK].iloc[0])
-                    if k != key:
-                        state = entries.get(chunk) if entries is not None and key is None else None
-                        key, n_keys = k, n_keys + 1
-                        first_key = first_key or k
-                    state, out = step(state, rows)
-                    if emit and out is not None and len(out):
-                        yield out
-            if not emit and chunk is not None:
-                yield pd.DataFrame(
-                    {
-                        "chunk": [chunk],
-                        "first": [pickle.dumps(first_key)],
-                        "last": [pickle.dumps(key)],
-                        "single": [n_keys == 1],
-                        "state": [pickle.dumps(state)],
-                    }
-                )
-
-        return run
-
-    hot = max_key_rows is not None and largest_key(df, keys) > max_key_rows
-    if not hot:
-        placed = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-        return typed(placed.mapInPandas(scan(None, emit=True), schema))
-
-    if chunks is None:
-        chunks = max(2, -(-df.count() // max(1, max_key_rows)))
-    cut = cut_by_range(df, keys, order, chunks)
-    entries = _settle_entries(cut, scan)
-    return typed(cut.mapInPandas(scan(entries, emit=True), schema))
-
-
-def _settle_entries(cut: DataFrame, scan) -> dict[int, object]:
-    """Entry state of every chunk that begins inside a key."""
-    report = "chunk int, first binary, last binary, single boolean, state binary"
-    rows = cut.mapInPandas(scan({}, emit=False), report).collect()
-    first = {r["chunk"]: pickle.loads(r["first"]) for r in rows}
-    last = {r["chunk"]: pickle.loads(r["last"]) for r in rows}
-    single = {r["chunk"] for r in rows if r["single"]}
-    exits = {r["chunk"]: pickle.loads(r["state"]) for r in rows}
-    ids = sorted(first)
-    entries: dict[int, object] = {}
-    while True:
-        changed = []
-        for before, here in zip(ids, ids[1:]):
-            if last[before] == first[here] and entries.get(here) != exits[before]:
-                entries[here] = exits[before]
-                changed.append(here)
-        # A chunk with several keys leaves the same state whatever came in.
-        again = [c for c in changed if c in single]
-        if not again:
-            return entries
-        state = {c: entries[c] for c in again}
-        redo = cut.filter(F.col(_CHUNK).isin(again)).mapInPandas(scan(state, emit=False), report)
-        exits.update({r["chunk"]: pickle.loads(r["state"]) for r in redo.collect()})
+        merged = []
+        for n in values:
+            local, entry = F.col(f"_l_{n}"), F.col(f"_e_{n}")
+            if values[n].merge == "sum":
+                merged.append((local + F.coalesce(entry, F.lit(0))).alias(n))
+            elif values[n].merge == "greatest":
+                merged.append(F.greatest(local, entry)["v"].alias(n))
+            else:
+                merged.append(F.coalesce(local, entry)["v"].alias(n))
+        return replace(self, frame=over.frame.select(*self.frame.columns, *merged))
+
+
+def row_number(rows: Ordered) -> Value:
+    return rows.total(F.lit(1).cast("bigint"))

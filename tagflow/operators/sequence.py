@@ -4,29 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagflow.functions.text import parse_duration_ms
-from tagflow.operators.ordered import MAX_KEY_ROWS, Ordered, carried_scan
-
-
-def _pick_earliest(keys: list[str]):
-    """Keep a candidate when it starts after the end of the one kept before."""
-    columns = [*keys, "start_ts_ns", "end_ts_ns"]
-
-    def step(last_end: object, rows: pd.DataFrame):
-        kept = []
-        starts = zip(rows["start_ts_ns"].tolist(), rows["start_seq"].tolist())
-        ends = zip(rows["end_ts_ns"].tolist(), rows["end_seq"].tolist())
-        for i, (start, end) in enumerate(zip(starts, ends)):
-            if last_end is None or start > last_end:
-                kept.append(i)
-                last_end = end
-        return last_end, rows.iloc[kept][columns]
-
-    return step
+from tagflow.operators.intervals import first_disjoint
+from tagflow.operators.ordered import SLICE, Ordered
 
 
 def sequence_match(
@@ -36,27 +19,27 @@ def sequence_match(
     keys: Sequence[str] = ("device",),
     ts: str = "ts_ns",
     seq: str = "seq",
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """Matches of ``steps`` (SQL predicates, in order) whose last step is at most
     ``within`` after the first; matches do not overlap, the earliest start wins.
 
     From any start the earliest end is found by chaining "first later row that
-    fits the next step" backwards from the last step: window functions over one
-    partitioning, no self join. Only starts that complete in time go on to the
-    pass that drops overlaps, which carries one position per key.
+    fits the next step" backwards from the last step: ordered values over slices of
+    ``width``, no self join. Starts that complete in time are candidates, of which
+    ``first_disjoint`` keeps those a scan would keep.
     """
     keys = list(keys)
     bound_ns = parse_duration_ms(within) * 1_000_000
     flags = {f"_s{i}": F.coalesce(F.expr(p), F.lit(False)) for i, p in enumerate(steps)}
     used = events.select(*keys, F.col(ts).alias("_ts"), F.col(seq).alias("_seq"), *[c.alias(n) for n, c in flags.items()])
     used = used.filter(" or ".join(flags))
-    rows = Ordered.of(used, keys, ["_ts", "_seq"], max_key_rows)
+    rows = Ordered.of(used, keys, ["_ts", "_seq"], width)
     here = F.struct(F.col("_ts").alias("ts"), F.col("_seq").alias("seq"))
     last = len(steps) - 1
     rows = rows.with_column(f"_e{last}", F.when(F.col(f"_s{last}"), here))
     for i in range(last - 1, -1, -1):
-        rows = rows.next_known(f"_n{i}", F.col(f"_e{i + 1}"))
+        rows = rows.add(**{f"_n{i}": rows.upcoming(F.col(f"_e{i + 1}"))})
         rows = rows.with_column(f"_e{i}", F.when(F.col(f"_s{i}"), F.col(f"_n{i}")))
     candidates = rows.df.filter(
         F.col("_e0").isNotNull() & (F.col("_e0.ts") - F.col("_ts") <= bound_ns)
@@ -67,10 +50,5 @@ def sequence_match(
         F.col("_e0.ts").alias("end_ts_ns"),
         F.col("_e0.seq").alias("end_seq"),
     )
-    types = dict(candidates.dtypes)
-    schema = ", ".join(f"{k} {types[k]}" for k in [*keys, "start_ts_ns", "end_ts_ns"])
-    # Candidates of a key are at most its rows, so a key found small stays small.
-    limit = max_key_rows if rows.split else None
-    return carried_scan(
-        candidates, keys, ["start_ts_ns", "start_seq"], _pick_earliest(keys), schema, limit
-    )
+    kept = first_disjoint(candidates, keys, ["start_ts_ns", "start_seq"], ["end_ts_ns", "end_seq"], width=width)
+    return kept.select(*keys, "start_ts_ns", "end_ts_ns")

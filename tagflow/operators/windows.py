@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions.text import parse_duration_ms
 from tagflow.functions.values import as_double
-from tagflow.operators.ordered import MAX_KEY_ROWS, Ordered
+from tagflow.operators.ordered import SLICE, Ordered, row_number
 from tagflow.operators.points import has_error
 
 # Nanoseconds per unit (fixed values).
@@ -85,20 +85,22 @@ def session(
     aggs: Sequence[Column],
     keys: Sequence[str] = ("name",),
     order: Sequence[str] = ("event_time",),
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """Gap-delimited windows of a batch: a row opens a session when the row
     before it is at least ``gap`` away; the window ends ``gap`` after the last row.
 
-    Session numbers come from a running sum that is safe for hot keys, and the
+    Session numbers come from a running sum over slices (``ordered``), and the
     aggregation combines before its shuffle, so neither a hot key nor a giant
     session lands in one task.
     """
     gap_us = parse_duration_ms(gap) * 1000
     at = F.unix_micros("event_time")
-    rows = Ordered.of(points, keys, order, max_key_rows).lag("_before", F.unix_micros("event_time"))
+    rows = Ordered.of(points, keys, order, width)
+    rows = rows.add(_before=rows.previous(F.unix_micros("event_time")))
     opens = F.when(F.col("_before").isNull() | (at - F.col("_before") >= gap_us), 1).otherwise(0)
-    numbered = rows.with_column("_opens", opens.cast("bigint")).running_sum("_session", F.col("_opens"), peers=True)
+    rows = rows.with_column("_opens", opens.cast("bigint"))
+    numbered = rows.add(_session=rows.total(F.col("_opens"), peers=True))
     return (
         numbered.df.groupBy(*keys, "_session")
         .agg(
@@ -118,10 +120,11 @@ def count_window(
     aggs: Sequence[Column],
     keys: Sequence[str] = ("name",),
     order: Sequence[str] = ("ts_ns", "seq"),
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """Aggregates over every n consecutive rows of a key; ``complete`` is false for a shorter tail."""
-    rows = Ordered.of(points, keys, order, max_key_rows).row_number("_rn").df
+    rows = Ordered.of(points, keys, order, width)
+    rows = rows.add(_rn=row_number(rows)).df
     number = F.call_function("div", F.col("_rn") - 1, F.lit(n).cast("bigint")).alias("window_no")
     return (
         rows.groupBy(*keys, number)
@@ -157,7 +160,7 @@ def changes(
     order: Sequence[str] = ("ts_ns", "seq"),
     value: str = "value",
     epsilon: float = 0.0,
-    max_key_rows: int | None = MAX_KEY_ROWS,
+    width: str | int = SLICE,
 ) -> DataFrame:
     """Rows whose value moved by more than ``epsilon`` since the key's previous row.
 
@@ -165,7 +168,8 @@ def changes(
     Adds ``previous``.
     """
     now = F.col(value)
-    rows = Ordered.of(points, keys, order, max_key_rows).lag("_prev", F.struct(now.alias("v"))).df
+    rows = Ordered.of(points, keys, order, width)
+    rows = rows.add(_prev=rows.previous(F.struct(now.alias("v")))).df
     before = F.col("_prev.v")
     if dict(points.dtypes)[value] in ("double", "float", "int", "bigint"):
         moved = F.abs(now - before) > epsilon

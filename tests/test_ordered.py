@@ -1,4 +1,4 @@
-"""Hot keys: cutting a key into chunks gives what one ordered pass gives."""
+"""Hot keys: slices of any width give what one ordered pass gives."""
 
 from __future__ import annotations
 
@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tagflow.operators import decode, control, sequence
 from tagflow.operators import windows as W
-from tagflow.operators.hj212 import skipped_bytes, split_frames
-from tagflow.operators.ordered import Ordered
+from tagflow.operators.hj212 import cut_segments, feed, skipped_bytes, split_frames
+from tagflow.operators.intervals import first_disjoint
+from tagflow.operators.ordered import Ordered, row_number
 
 NS = 1_000_000
 
@@ -30,13 +31,14 @@ def as_list(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 60])
-def test_ordered_values(skewed, limit):
-    o = Ordered.of(skewed, ["device"], ["ts_ns", "seq"], limit)
-    assert o.split == (limit < 1000)
+@pytest.mark.parametrize("width", ["1h", "7s", 1])
+def test_ordered_values(skewed, width):
+    o = Ordered.of(skewed, ["device"], ["ts_ns", "seq"], width)
     known = F.when(F.col("k") > 90, F.col("k"))
-    o = o.lag("before", F.col("k")).lead("after", F.col("k")).running_last("last", known)
-    o = o.next_known("next", known).running_sum("total", F.col("k")).row_number("rn")
+    o = o.add(
+        before=o.previous(F.col("k")), after=o.following(F.col("k")), last=o.newest(known), next=o.upcoming(known),
+        total=o.total(F.col("k")), rn=row_number(o),
+    )
     got = {(r["device"], r["ts_ns"], r["seq"]): r[5:] for r in o.df.collect()}
     want = {}
     by_key = {}
@@ -55,26 +57,26 @@ def test_ordered_values(skewed, limit):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [60])
-def test_operators_do_not_depend_on_chunks(skewed, limit):
-    plain = 1_000_000
+@pytest.mark.parametrize("limit", ["3s", 1])
+def test_operators_do_not_depend_on_slices(skewed, limit):
+    plain = "1000h"
     timed = W.event_time(skewed)
     aggs = [F.count(F.lit(1)).alias("n"), F.sum("k").alias("s")]
     for order in (["event_time"], ["event_time", "seq"]):
-        a, b = (W.session(timed, "3s", aggs, ["device"], order, max_key_rows=m) for m in (plain, limit))
+        a, b = (W.session(timed, "3s", aggs, ["device"], order, width=m) for m in (plain, limit))
         assert as_list(a.select("device", "window.start", "window.end", "n", "s")) == as_list(
             b.select("device", "window.start", "window.end", "n", "s")
         )
-    a, b = (W.count_window(skewed, 7, aggs, ["device"], max_key_rows=m) for m in (plain, limit))
+    a, b = (W.count_window(skewed, 7, aggs, ["device"], width=m) for m in (plain, limit))
     assert as_list(a) == as_list(b)
-    a, b = (W.changes(skewed, ["device"], value="k", epsilon=3, max_key_rows=m) for m in (plain, limit))
+    a, b = (W.changes(skewed, ["device"], value="k", epsilon=3, width=m) for m in (plain, limit))
     assert as_list(a.select("device", "seq", "previous").fillna(-1)) == as_list(b.select("device", "seq", "previous").fillna(-1))
     steps = ["name = 'a'", "name = 'b'", "name = 'c'"]
-    a, b = (sequence.sequence_match(skewed, steps, "20s", max_key_rows=m) for m in (plain, limit))
+    a, b = (sequence.sequence_match(skewed, steps, "20s", width=m) for m in (plain, limit))
     assert as_list(a) == as_list(b) == sequence_by_hand(skewed, "abc", 20_000 * NS)
     signal = skewed.withColumn("input", F.col("k") > 50)
     for fn in (control.timer_ton, control.timer_tof):
-        a, b = (fn(signal, pt="2s", max_key_rows=m).select("device", "seq", "ts_ns", "kind", "q") for m in (plain, limit))
+        a, b = (fn(signal, pt="2s", width=m).select("device", "seq", "ts_ns", "kind", "q") for m in (plain, limit))
         assert as_list(a) == as_list(b)
 
 
@@ -100,8 +102,8 @@ def sequence_by_hand(df, steps, within):
     return sorted(out)
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 20])
-def test_frames_across_chunks(spark, limit):
+@pytest.mark.parametrize("limit", [1024, 3])
+def test_frames_across_blocks(spark, limit):
     rng = random.Random(3)
     rows, want, skipped = [], [], {}
     for conn in range(5):
@@ -126,10 +128,10 @@ def test_frames_across_chunks(spark, limit):
             numbers[s] += 1
         skipped[conn] = noise
     df = spark.createDataFrame(rows, "conn long, seq long, bytes binary")
-    got = sorted((r["conn"], r["seq"], r["frame_no"], bytes(r["bytes"])) for r in split_frames(df, max_key_rows=limit).collect())
+    got = sorted((r["conn"], r["seq"], r["frame_no"], bytes(r["bytes"])) for r in split_frames(df, width=limit).collect())
     assert got == sorted(want) and len(want) > 50
     left = {}
-    for r in skipped_bytes(df, max_key_rows=limit).collect():
+    for r in skipped_bytes(df, width=limit).collect():
         left[r["conn"]] = left.get(r["conn"], 0) + len(r["bytes"])
     assert left == {c: n for c, n in skipped.items() if n}
 
@@ -157,3 +159,76 @@ def test_decoder_keys_stay_exact(spark):
     rows, rejects = decode.decode_with(df, lambda b: (len(b),), "n long")
     assert {tuple(r) for r in rows.collect()} == {(big, 1, 1), (None, 2, 2)}
     assert [(r["device"], r["seq"]) for r in rejects.collect()] == [(5, None)]
+
+
+def test_plans_start_no_job(spark, skewed):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "plans")
+    timed = W.event_time(skewed)
+    signal = skewed.withColumn("input", F.col("k") > 50)
+    W.session(timed, "3s", [F.count(F.lit(1)).alias("n")], ["device"])
+    W.count_window(skewed, 7, [F.count(F.lit(1)).alias("n")], ["device"])
+    W.changes(skewed, ["device"], value="k")
+    control.timer_ton(signal, pt="2s")
+    control.timer_tof(signal, pt="2s")
+    control.watchdog(signal.withColumn("data", F.lit("x")), "f", timeout="2s")
+    jobs = list(tracker.getJobIdsForGroup("plans"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs == []
+
+
+@pytest.mark.parametrize("touching", [False, True])
+def test_disjoint_intervals(spark, touching):
+    """Long runs of overlaps, nested, equal and repeated candidates, null keys."""
+    rng = random.Random(11)
+    rows = []
+    for key, span in ((None, 3), (1, 40), (2, 400), (2**60 + 1, 6)):
+        for _ in range(250 if key == 2 else 60):
+            at = rng.randrange(600)
+            rows.append((key, at, at + rng.randrange(1, span)))
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, "k long, a long, b long")
+    want = []
+    for key in {r[0] for r in rows}:
+        end = None
+        for a, b in sorted({(a, b) for k, a, b in rows if k == key}):
+            if end is None or a > end or (touching and a == end):
+                want.append((key, a, b))
+                end = b
+    for width in (1000, 7):
+        got = first_disjoint(df, ["k"], ["a"], ["b"], touching, width)
+        assert sorted(map(tuple, got.collect()), key=lambda r: (str(r[0]), r[1])) == sorted(want, key=lambda r: (str(r[0]), r[1]))
+
+
+def test_frames_by_scan(spark):
+    """Against the scan of the stream form: heads inside frames, cut heads, open frames, many blocks."""
+    rng = random.Random(13)
+    rows, want, outside = [], [], {}
+    parts = [b"##0004abcdCRCC\r\n", b"##+012##0004xxxx##CRCC\r\n", b"##", b"#", b"##00", b"##0000", b"noise", b"##9999" + b"z" * 700, b"###0001aCRCC\r\n", b"\xff\xc3"]
+    for conn in range(14):
+        stream = b"".join(rng.choice(parts) for _ in range(rng.choice([1, 3, 30])))
+        stream = stream * (300 if conn == 0 else 1)
+        at, seq, buffer = 0, 0, b""
+        left = b""
+        while at < len(stream):
+            n = rng.choice([1, 2, 5, 40, 9000])
+            piece = stream[at : at + n]
+            rows.append((conn, seq, piece))
+            buffer, found = feed(buffer, piece)
+            number = 0
+            for data, reason in found:
+                if reason is None:
+                    want.append((conn, seq, number, data))
+                    number += 1
+                else:
+                    left += data
+            at, seq = at + n, seq + 1
+        outside[conn] = left
+    df = spark.createDataFrame(rows + [(99, 0, b""), (99, 1, None)], "conn long, seq long, bytes binary")
+    got = cut_segments(df).collect()
+    assert sorted((r["conn"], r["seq"], r["frame_no"], bytes(r["bytes"])) for r in got if r["reason"] is None) == sorted(want)
+    noise = {}
+    for r in sorted((r for r in got if r["reason"]), key=lambda r: (r["conn"], r["seq"], r["frame_no"])):
+        noise[r["conn"]] = noise.get(r["conn"], b"") + bytes(r["bytes"])
+    assert noise == {c: b for c, b in outside.items() if b}
+    assert cut_segments(df.limit(0)).count() == 0
