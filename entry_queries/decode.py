@@ -225,6 +225,24 @@ def f4(spark, sf):
     return traps_.select("msg_id", "version", "community", "timestamp", "trap_oid", "variables")
 
 
+@query(
+    "f4_trap_rejects",
+    f"""select event_id as msg_id, case event_id % 4 when 0 then 'not one JSON value' when 1 then 'no list of variables'
+else 'a variable is no object' end as reason from {EV} where event_id % 4 <> 3""",
+)
+def f4_rejects(spark, sf):
+    ev = C.events(spark, sf)
+    good = trap_messages(ev.filter("event_id % 50 <> 9")).join(ev.select(F.col("event_id").alias("msg_id"), "k"), "msg_id")
+    which = F.col("msg_id") % 4
+    none = F.concat(F.lit('{"from":"a","variables":'), F.col("k").cast("string"), F.lit("}"))
+    odd = F.concat(F.lit('{"from":"a","variables":[{"oid":"1"},'), F.col("k").cast("string"), F.lit("]}"))
+    rest = ev.filter("event_id % 50 = 9").select(F.col("event_id").alias("msg_id"), "k", F.lit("{}").alias("data"))
+    broken = good.select("msg_id", "k", "data").unionByName(rest).withColumn(
+        "data", F.when(which == 0, F.concat("data", F.lit(" junk"))).when(which == 1, none).when(which == 2, odd).otherwise(F.col("data"))
+    ).filter((which != 3) | (F.col("data") != "{}"))
+    return traps.snmp_traps(broken)[2].select("msg_id", "reason")
+
+
 @query(
     "f4_trap_varbinds",
     f"""with t as (select event_id as msg_id, user_id, k from {EV} where event_id % 50 <> 9)

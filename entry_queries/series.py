@@ -83,17 +83,19 @@ def b3(spark, sf):
 @query(
     "b4_reserved_keys",
     f"""with ev as {EV}
-select event_id as msg_id, 'stamp' as field, case when event_id % 3 <> 1 then cast(ts_ns as varchar) end as num_text,
+select event_id as msg_id, 0 as row, 'stamp' as field, case when event_id % 3 <> 1 then cast(ts_ns as varchar) end as num_text,
        case when event_id % 3 = 1 then cast(ts_ns as varchar) end as str, case when event_id % 3 = 1 then 42 else ts_ns end as ts_ns
 from ev
-union all select event_id, 'timestamp', null, cast(ts_ns as varchar), 42 from ev where event_id % 3 = 1""",
+union all select event_id, 0, 'timestamp', null, cast(ts_ns as varchar), 42 from ev where event_id % 3 = 1
+union all select event_id, 0, 'k', cast(k as varchar), null, case when event_id % 3 = 1 then 42 else ts_ns end from ev
+union all select event_id, 1, 'k', cast(event_id as varchar), null, 42 from ev where event_id % 3 = 2""",
 )
 def b4(spark, sf):
-    mapping = SeriesMapping("m", (), (("stamp", "timestamp"), ("timestamp", "timestamp"), ("window_id", "window_id")))
+    mapping = SeriesMapping("m", (), (("stamp", "timestamp"), ("timestamp", "timestamp"), ("window_id", "window_id"), ("k", "k")))
     messages = C.flat_messages(C.events(spark, sf))
-    out = S.flat_to_series(messages, mapping, default_ts=F.lit(42)).filter("row = 0")
-    return out.select("msg_id", F.explode("fields").alias("field", "_v"), "ts_ns").select(
-        "msg_id", "field", F.col("_v.int").cast("string").alias("num_text"), F.col("_v.str").alias("str"), "ts_ns"
+    out = S.flat_to_series(messages, mapping, default_ts=F.lit(42))
+    return out.select("msg_id", "row", F.explode("fields").alias("field", "_v"), "ts_ns").select(
+        "msg_id", "row", "field", F.col("_v.int").cast("string").alias("num_text"), F.col("_v.str").alias("str"), "ts_ns"
     )
 
 

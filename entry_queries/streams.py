@@ -81,7 +81,7 @@ from {WQ._GOOD}, (select unnest([0, 1, 2]) as i) group by 1, 2""", _GOOD_WM
     ),
 )
 def w2_stream(spark, sf):
-    out = W.sliding(good_stream(spark, sf), "6h", "2h", WQ.aggs())
+    out = W.sliding_stream(good_stream(spark, sf), "6h", "2h", WQ.aggs())
     return replay(spark, out.withColumn("end_ns", W.window_end_ns()).drop("window"))
 
 

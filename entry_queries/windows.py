@@ -46,21 +46,32 @@ def w1(spark, sf):
 from {_GOOD}, (select unnest([0, 1, 2]) as i) group by 1, 2""",
 )
 def w2(spark, sf):
-    out = W.sliding(good_points(spark, sf), "6h", "2h", aggs())
-    return out.withColumn("start_ns", W.window_start_ns()).drop("window")
+    value = F.col("value")
+    measures = {"n": ("count", F.lit(1)), "avg_value": ("avg", value), "min_value": ("min", value), "max_value": ("max", value)}
+    out = W.sliding(good_points(spark, sf), "6h", "2h", measures)
+    return out.withColumns({"start_ns": W.window_start_ns(), "avg_value": F.round("avg_value", 9)}).drop("window")
 
 
-@query(
-    "w3_session",
-    f"""with o as (select *, case when ts_ns - lag(ts_ns) over (partition by user_id order by ts_ns) < {6 * _H} then 0 else 1 end as opens
+_W3 = f"""with o as (select *, case when ts_ns - lag(ts_ns) over (partition by user_id order by ts_ns) < {6 * _H} then 0 else 1 end as opens
   from {_GOOD}), s as (select *, sum(opens) over (partition by user_id order by ts_ns) as sid from o)
-select user_id as device, min(ts_ns) as start_ns, max(ts_ns) + {6 * _H} as end_ns, {_AGG_SQL} from s group by user_id, sid""",
-)
-def w3(spark, sf):
-    out = W.session(good_points(spark, sf), "6h", aggs(), keys=["device"])
+select user_id as device, min(ts_ns) as start_ns, max(ts_ns) + {6 * _H} as end_ns, {_AGG_SQL} from s group by user_id, sid"""
+
+
+def _w3(ev):
+    out = W.session(good(ev), "6h", aggs(), keys=["device"])
     return out.withColumns({"start_ns": W.window_start_ns(), "end_ns": W.window_end_ns()}).drop("window")
 
 
+@query("w3_session", _W3)
+def w3(spark, sf):
+    return _w3(C.events(spark, sf))
+
+
+@query("w3_session_hot_keys", hot_sql(_W3))
+def w3_hot(spark, sf):
+    return _w3(hot(C.events(spark, sf)))
+
+
 _W4 = f"""with r as (select *, (row_number() over (partition by user_id order by ts_ns, event_id) - 1) // 10 as window_no from {_GOOD})
 select user_id as device, window_no, cast(sum(k) as bigint) as sum_k, min(event_id) as first_id, max(event_id) as last_id,
 count(*) = 10 as complete from r group by 1, 2"""

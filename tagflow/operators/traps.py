@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
+from tagflow.functions.stages import compute_once
+from tagflow.sources.messages import is_whole_json
 
 TRAP_OID = "1.3.6.1.6.3.1.1.4.1.0"
 TRAP = (
@@ -27,9 +29,25 @@ def snmp_traps(
 
     The trap OID is taken from the variables. Byte values arrive as base64 in
     this payload and come out as bytes (``raw``); text that is no base64 is kept.
+    A payload has to be one JSON object and nothing behind it, with an array of objects
+    as variables; the others are rejects, with a ``reason``.
     """
-    parsed = packets.withColumn("_t", F.from_json(F.col(data_col), TRAP))
-    readable = F.col("_t.variables").isNotNull()
+    parsed = compute_once(
+        packets,
+        {
+            "_t": F.from_json(F.col(data_col), TRAP),
+            "_list": F.try_variant_get(F.try_parse_json(data_col), "$.variables", "array<variant>"),
+            "_whole": is_whole_json(F.col(data_col)),
+        },
+    )
+    objects = F.forall("_list", lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+    reason = (
+        F.when(~F.col("_whole"), "not one JSON value")
+        .when(F.col("_list").isNull(), "no list of variables")
+        .when(~objects | F.col("_t.variables").isNull(), "a variable is no object")
+    )
+    parsed = parsed.withColumn("reason", reason).drop("_list", "_whole")
+    readable = F.col("reason").isNull()
     own = F.filter(
         F.col("_t.variables"),
         lambda v: (F.regexp_replace(v["oid"], r"^\.", "") == TRAP_OID)
@@ -64,4 +82,4 @@ def snmp_traps(
         F.when(raw.isNull(), V.from_variant(v["value"])).otherwise(V.null()).alias("value"),
         raw.alias("raw"),
     )
-    return traps, varbinds, parsed.filter(~readable).select(*keep, data_col)
+    return traps, varbinds, parsed.filter(~readable).select(*keep, data_col, "reason")

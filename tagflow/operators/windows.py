@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +17,17 @@ from tagflow.operators.points import has_error
 UNIT_FACTOR_NS = {"ns": 1, "us": 1_000, "ms": 1_000_000, "s": 1_000_000_000}
 
 
-def interval(text: str) -> str:
-    """``1m`` / ``1h30m`` / ``500ms`` to an interval Spark's windows accept."""
+def length_ms(text: str) -> int:
+    """Length of a window; an error if it is none."""
     ms = parse_duration_ms(text)
     if ms is None or ms <= 0:
         raise ValueError(f"invalid window length {text!r}")
-    return f"{ms} milliseconds"
+    return ms
+
+
+def interval(text: str) -> str:
+    """``1m`` / ``1h30m`` / ``500ms`` to an interval Spark's windows accept."""
+    return f"{length_ms(text)} milliseconds"
 
 
 def event_time(df: DataFrame, col: str = "ts_ns", unit: str = "ns", watermark: str | None = None) -> DataFrame:
@@ -67,10 +73,47 @@ def tumbling(points: DataFrame, size: str, aggs: Sequence[Column], keys: Sequenc
     return points.groupBy(*keys, F.window("event_time", interval(size))).agg(*aggs)
 
 
+# Per kind of measure: what a pane keeps, and what a window makes of it.
+_PARTS: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {
+    "count": (("count",), lambda n: F.sum(n)),
+    "sum": (("sum",), lambda s: F.sum(s)),
+    "min": (("min",), lambda v: F.min(v)),
+    "max": (("max",), lambda v: F.max(v)),
+    "avg": (("sum", "count"), lambda s, n: F.try_divide(F.sum(s).cast("double"), F.sum(n))),
+}
+
+
 def sliding(
+    points: DataFrame, size: str, slide: str, measures: Mapping[str, tuple[str, Column]], keys: Sequence[str] = ("name",)
+) -> DataFrame:
+    """Measures (name: kind and column; kinds count, sum, avg, min, max) per key and overlapping window.
+
+    Rows are combined once, into panes as long as the greatest common divisor of size and
+    slide; windows are made of whole panes, so only panes are listed under every window
+    they belong to, never rows.
+    """
+    length, step = (length_ms(x) * 1000 for x in (size, slide))
+    pane = math.gcd(length, step)
+    at = F.unix_micros("event_time")
+    parts = {f"_{name}_{i}": (part, value) for name, (kind, value) in measures.items() for i, part in enumerate(_PARTS[kind][0])}
+    panes = points.groupBy(*keys, (at - F.pmod(at, F.lit(pane))).alias("_pane")).agg(
+        *[getattr(F, part)(value).alias(n) for n, (part, value) in parts.items()]
+    )
+    newest = F.col("_pane") - F.pmod("_pane", F.lit(step))
+    opened = F.sequence(newest - (math.ceil(length / step) - 1) * step, newest, F.lit(step).cast("bigint"))
+    rows = panes.withColumn("_start", F.explode(opened)).filter(F.col("_start") + length > F.col("_pane"))
+    window = F.struct(F.timestamp_micros("_start").alias("start"), F.timestamp_micros(F.col("_start") + length).alias("end"))
+    made = [
+        _PARTS[kind][1](*[F.col(f"_{name}_{i}") for i in range(len(_PARTS[kind][0]))]).alias(name)
+        for name, (kind, _) in measures.items()
+    ]
+    return rows.groupBy(*keys, window.alias("window")).agg(*made)
+
+
+def sliding_stream(
     points: DataFrame, size: str, slide: str, aggs: Sequence[Column], keys: Sequence[str] = ("name",)
 ) -> DataFrame:
-    """Aggregates per key and overlapping window."""
+    """Aggregates per key and overlapping window for streams, which keep each window's state."""
     return points.groupBy(*keys, F.window("event_time", interval(size), interval(slide))).agg(*aggs)
 
 

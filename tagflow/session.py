@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import importlib
-import tempfile
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -46,16 +45,14 @@ def build_session(app: str = "tagflow", master: str | None = None, **conf: str)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the folder named by the cluster; a temporary one only on a local master."""
+    """The shared folder named by the session (``spark.checkpoint.dir``) or set by the caller."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not named:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="tagflow-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     context.setCheckpointDir(named)
     return named
 

@@ -79,10 +79,15 @@ def query_series(
 
 
 def latest_series(series: DataFrame, keys: Sequence[str | Column] = ("measurement",)) -> DataFrame:
-    """Newest row of every series; combined before the shuffle, so no sort and no hot task."""
+    """Newest row of every series; combined before the shuffle, so no sort and no hot task.
+
+    Of rows of the same newest time the one with the largest hash of all its columns is
+    taken, so that every run returns the same one.
+    """
     columns = series.columns
+    plain = [F.sort_array(F.map_entries(c)) if t.startswith("map<") else F.col(c) for c, t in series.dtypes]
     grouped = series.groupBy(*[(F.col(k) if isinstance(k, str) else k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    return grouped.agg(F.max_by(F.struct(*columns), "ts_ns").alias("_r")).select("_r.*")
+    return grouped.agg(F.max_by(F.struct(*columns), F.struct("ts_ns", F.xxhash64(*plain))).alias("_r")).select("_r.*")
 
 
 def stream_write_series(

@@ -12,7 +12,7 @@ from tagflow.session import build_session, ship_by_value  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -24,5 +24,6 @@ def spark():
         },
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     ship_by_value("fixtures", "entry_queries")
     return session

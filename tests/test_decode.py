@@ -194,9 +194,15 @@ def test_traps(spark):
         '"value":".1.3.6.1.4.1.20408.1.1","type":"ObjectIdentifier"},{"oid":".1.3","value":"cm91dGVyMQ==","type":"OctetString"},'
         '{"oid":"1.4","value":7,"type":"Integer"},{"oid":"1.5","value":null,"type":"Null"}]}'
     )
-    df = spark.createDataFrame([(1, text), (2, "junk")], "msg_id long, data string")
+    df = spark.createDataFrame(
+        [(1, text), (2, "junk"), (3, text + " junk"), (4, '{"variables":[1]}'), (5, '{"variables":"x"}'), (6, None), (7, "[]")],
+        "msg_id long, data string",
+    )
     head, binds, bad = traps.snmp_traps(df)
     assert head.select("version", "trap_oid", "variables").first() == ("v2c", "1.3.6.1.4.1.20408.1.1", 4)
     got = binds.orderBy("pos").collect()
     assert bytes(got[1]["raw"]) == b"router1" and plain(got[2]["value"]) == 7 and plain(got[3]["value"]) is None
-    assert [r["msg_id"] for r in bad.collect()] == [2]
+    assert {r["msg_id"]: r["reason"] for r in bad.collect()} == {
+        2: "not one JSON value", 3: "not one JSON value", 4: "a variable is no object", 5: "no list of variables",
+        6: "not one JSON value", 7: "no list of variables",
+    }
