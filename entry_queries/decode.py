@@ -121,15 +121,18 @@ _FRAMES = _HJ + f""" select user_id as conn, event_id * 2 + 1 as seq, 0 as frame
  '##' || lpad(cast(length({_SEG}) as varchar), 4, '0') || {_SEG} as head, length({_SEG}) + 12 as size from h"""
 
 
-def _frames(ev):
-    out = hj212.split_frames(C.hj212_segments(ev))
+def heads(frames):
     text = F.decode("bytes", "ISO-8859-1")
-    return out.select(
+    return frames.select(
         "conn", "seq", "frame_no", F.regexp_replace(text, r"(?s).{6}\z", "").alias("head"),
         F.length("bytes").alias("size"),
     )
 
 
+def _frames(ev):
+    return heads(hj212.split_frames(C.hj212_segments(ev)))
+
+
 @query("f1_split_frames", _FRAMES)
 def f1(spark, sf):
     return _frames(C.events(spark, sf))

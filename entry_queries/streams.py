@@ -1,7 +1,7 @@
 """Streaming forms, replayed to the end of the table and read back.
 
-A replay settles rows up to the final watermark (the newest event, in whole
-milliseconds), so the SQL keeps to that time as well.
+The mark that ends the input settles everything, so each query has the SQL of its
+batch form.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from entry_queries import EV, query
 from entry_queries import control as CQ
+from entry_queries import decode as DQ
 from entry_queries import windows as WQ
 from entry_queries.series import fields_long, shared_folder, with_tag
 from fixtures import captures as C
@@ -18,9 +19,6 @@ from tagflow.sources import store
 from tagflow.streaming import stateful
 
 _H = 3_600 * 10**9
-_WM = "(select epoch_us(max(ts)) // 1000 * 1000000 from events)"
-_GOOD_WM = "(select epoch_us(max(ts)) // 1000 * 1000000 from events where event_type <> 'error')"
-UNTIL = f"(select * from {EV} where ts_ns <= {_WM})"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -37,15 +35,12 @@ def replay(spark, stream):
     return spark.read.schema(stream.schema).parquet(out)
 
 
-def good_stream(spark, sf):
-    return W.event_time(W.numeric_points(C.points(C.stream_events(spark, sf))), watermark="1ms")
-
+def ending(spark, sf):
+    return C.stream_events(spark, sf, shared_folder(spark, "stream-end"))
 
-def until(sql):
-    return sql.replace(EV, UNTIL)
 
-
-_CLOSED = "select * from ({}) where end_ns <= {} - 1000000"
+def good_stream(spark, sf):
+    return W.event_time(W.numeric_points(C.points(ending(spark, sf))), watermark="1ms")
 
 
 @query(
@@ -64,9 +59,7 @@ def s8(spark, sf):
 
 @query(
     "w1_tumbling_stream",
-    _CLOSED.format(
-        f"select event_type as name, (ts_ns // {_H} + 1) * {_H} as end_ns, {WQ._AGG_SQL} from {WQ._GOOD} group by 1, 2", _GOOD_WM
-    ),
+    f"select event_type as name, (ts_ns // {_H} + 1) * {_H} as end_ns, {WQ._AGG_SQL} from {WQ._GOOD} group by 1, 2",
 )
 def w1_stream(spark, sf):
     out = W.tumbling(good_stream(spark, sf), "1h", WQ.aggs())
@@ -75,10 +68,8 @@ def w1_stream(spark, sf):
 
 @query(
     "w2_sliding_stream",
-    _CLOSED.format(
-        f"""select event_type as name, (ts_ns // {2 * _H} - i) * {2 * _H} + {6 * _H} as end_ns, {WQ._AGG_SQL}
-from {WQ._GOOD}, (select unnest([0, 1, 2]) as i) group by 1, 2""", _GOOD_WM
-    ),
+    f"""select event_type as name, (ts_ns // {2 * _H} - i) * {2 * _H} + {6 * _H} as end_ns, {WQ._AGG_SQL}
+from {WQ._GOOD}, (select unnest([0, 1, 2]) as i) group by 1, 2""",
 )
 def w2_stream(spark, sf):
     out = W.sliding_stream(good_stream(spark, sf), "6h", "2h", WQ.aggs())
@@ -87,11 +78,9 @@ def w2_stream(spark, sf):
 
 @query(
     "w3_session_stream",
-    _CLOSED.format(
-        f"""with o as (select *, case when ts_ns - lag(ts_ns) over (partition by user_id order by ts_ns) < {6 * _H} then 0 else 1 end as opens
+    f"""with o as (select *, case when ts_ns - lag(ts_ns) over (partition by user_id order by ts_ns) < {6 * _H} then 0 else 1 end as opens
   from {WQ._GOOD}), s as (select *, sum(opens) over (partition by user_id order by ts_ns) as sid from o)
-select user_id as device, min(ts_ns) as start_ns, max(ts_ns) + {6 * _H} as end_ns, {WQ._AGG_SQL} from s group by user_id, sid""", _GOOD_WM
-    ),
+select user_id as device, min(ts_ns) as start_ns, max(ts_ns) + {6 * _H} as end_ns, {WQ._AGG_SQL} from s group by user_id, sid""",
 )
 def w3_stream(spark, sf):
     out = W.session_stream(good_stream(spark, sf), "6h", WQ.aggs(), keys=["device"])
@@ -100,9 +89,8 @@ def w3_stream(spark, sf):
 
 @query(
     "w7_cross_point_stream",
-    f"""select * from (select (ts_ns // {24 * _H} + 1) * {24 * _H} as ts_ns, round(avg(value) filter (event_type = 'view')
-* avg(value) filter (event_type = 'click'), 6) as power from {WQ._GOOD} where event_type in ('view', 'click') group by 1)
-where ts_ns <= {_GOOD_WM} - 1000000""",
+    f"""select (ts_ns // {24 * _H} + 1) * {24 * _H} as ts_ns, round(avg(value) filter (event_type = 'view')
+* avg(value) filter (event_type = 'click'), 6) as power from {WQ._GOOD} where event_type in ('view', 'click') group by 1""",
 )
 def w7_stream(spark, sf):
     out = W.cross_point(
@@ -113,52 +101,46 @@ def w7_stream(spark, sf):
 
 @query(
     "w4_count_window_stream",
-    f"""with r as (select *, (row_number() over (partition by user_id order by ts_ns, event_id) - 1) // 10 as window_no from {UNTIL})
+    f"""with r as (select *, (row_number() over (partition by user_id order by ts_ns, event_id) - 1) // 10 as window_no from {EV})
 select user_id as device, window_no, min(ts_ns) as start_ns, max(ts_ns) as end_ns, count(*) as n, cast(sum(k) as double) as sum,
- cast(sum(k) as double) / 10 as avg, cast(min(k) as double) as min, cast(max(k) as double) as max from r group by 1, 2 having count(*) = 10""",
+ cast(sum(k) as double) / count(*) as avg, cast(min(k) as double) as min, cast(max(k) as double) as max, count(*) = 10 as complete
+from r group by 1, 2""",
 )
 def w4_stream(spark, sf):
-    return replay(spark, stateful.count_window_stream(C.points(C.stream_events(spark, sf)), 10, keys=("device",), value="k"))
+    return replay(spark, stateful.count_window_stream(C.points(ending(spark, sf)), 10, keys=("device",), value="k"))
 
 
 @query(
     "w10_changes_stream",
-    f"""select device, seq, cast(k as double) as k, cast(previous as double) as previous from ({until(WQ._W10)})""",
+    f"""select device, seq, cast(k as double) as k, cast(previous as double) as previous from ({WQ._W10})""",
 )
 def w10_stream(spark, sf):
-    out = stateful.changes_stream(C.points(C.stream_events(spark, sf)), keys=("device",), value="k", epsilon=20)
+    out = stateful.changes_stream(C.points(ending(spark, sf)), keys=("device",), value="k", epsilon=20)
     return replay(spark, out.drop("ts_ns"))
 
 
-@query("w11_sequence_match_stream", until(WQ._W11))
+@query("w11_sequence_match_stream", WQ._W11)
 def w11_stream(spark, sf):
-    return replay(spark, stateful.sequence_match_stream(C.points(C.stream_events(spark, sf)), WQ._STEPS, "72h"))
+    return replay(spark, stateful.sequence_match_stream(C.points(ending(spark, sf)), WQ._STEPS, "72h"))
 
 
-def settled(sql):
-    return f"select * from ({until(sql)}) where ts_ns <= {_WM}"
-
-
-@query("c1_timer_ton_stream", settled(CQ._TON))
+@query("c1_timer_ton_stream", CQ._TON)
 def c1_stream(spark, sf):
-    return replay(spark, stateful.timer_ton_stream(CQ.inputs(C.stream_events(spark, sf)))).select(*CQ.OUT)
+    return replay(spark, stateful.timer_ton_stream(CQ.inputs(ending(spark, sf)))).select(*CQ.OUT)
 
 
-@query("c2_timer_tof_stream", settled(CQ._TOF))
+@query("c2_timer_tof_stream", CQ._TOF)
 def c2_stream(spark, sf):
-    return replay(spark, stateful.timer_tof_stream(CQ.inputs(C.stream_events(spark, sf)))).select(*CQ.OUT)
+    return replay(spark, stateful.timer_tof_stream(CQ.inputs(ending(spark, sf)))).select(*CQ.OUT)
 
 
-@query("c3_watchdog_stream", settled(CQ._DOG))
+@query("c3_watchdog_stream", CQ._DOG)
 def c3_stream(spark, sf):
-    out = stateful.watchdog_stream(CQ.inputs(C.stream_events(spark, sf)), CQ.FAILSAFE, timeout="pt")
+    out = stateful.watchdog_stream(CQ.inputs(ending(spark, sf)), CQ.FAILSAFE, timeout="pt")
     return replay(spark, out).select(*CQ.DOG_OUT)
 
 
-@query(
-    "f1_split_frames_stream",
-    f"select user_id as conn, event_id * 2 + 1 as seq, 0 as frame_no from {UNTIL}",
-)
+@query("f1_split_frames_stream", DQ._FRAMES)
 def f1_stream(spark, sf):
-    segments = C.hj212_segments(C.stream_events(spark, sf), keep_time=True)
-    return replay(spark, stateful.split_frames_stream(segments).select("conn", "seq", "frame_no"))
+    segments = C.hj212_segments(ending(spark, sf), keep_time=True)
+    return DQ.heads(replay(spark, stateful.split_frames_stream(segments)))

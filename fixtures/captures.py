@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from tagflow.functions import values as V
 from tagflow.functions.stages import compute_once
 from tagflow.operators.decode import crc16
+from tagflow.streaming.stateful import end_mark
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,9 +51,16 @@ def shape_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_events(spark: SparkSession, sf_dir: str, end: str | None = None) -> DataFrame:
+    """The events as a stream; with ``end``, a new folder, one more row there ends the input."""
     schema = table(spark, sf_dir, "events").schema
-    return shape_events(spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet"))
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet")
+    if end:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != "ts"]
+        mark = spark.range(1).select(*nothing, end_mark().cast(schema["ts"].dataType).alias("ts")).select(*schema.names)
+        mark.write.parquet(end)
+        stream = stream.unionByName(spark.readStream.schema(schema).parquet(end))
+    return shape_events(stream)
 
 
 def points(ev: DataFrame) -> DataFrame:

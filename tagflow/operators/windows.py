@@ -16,6 +16,20 @@ from tagflow.operators.points import has_error
 # Nanoseconds per unit (fixed values).
 UNIT_FACTOR_NS = {"ns": 1, "us": 1_000, "ms": 1_000_000, "s": 1_000_000_000}
 
+# No data lies at or behind this time; a stream's row at the mark ends its input. The mark
+# lies far enough behind for watermarks of up to a month of delay.
+END_NS = 1 << 62
+MARK_NS = END_NS + 31 * 86_400 * 1_000_000_000
+
+
+def before_end(stream: DataFrame, column: str) -> DataFrame:
+    """Without the mark that ends the input; called behind the watermark, which it moves.
+
+    Spark moves other conditions ahead of the watermark unless they name the event time;
+    the mark has to pass those.
+    """
+    return stream.filter(F.col(column) < F.timestamp_micros(F.lit(END_NS // 1000).cast("bigint")))
+
 
 def length_ms(text: str) -> int:
     """Length of a window; an error if it is none."""
@@ -34,7 +48,7 @@ def event_time(df: DataFrame, col: str = "ts_ns", unit: str = "ns", watermark: s
     """Adds ``event_time`` from a data column in the stated unit.
 
     With ``watermark`` (a duration) rows later than that are dropped by streaming
-    aggregations; batch plans ignore it.
+    aggregations; batch plans ignore it. A row at ``MARK_NS`` then closes all windows.
     """
     if unit not in UNIT_FACTOR_NS:
         raise ValueError(f"unknown time unit {unit!r}")
@@ -43,7 +57,7 @@ def event_time(df: DataFrame, col: str = "ts_ns", unit: str = "ns", watermark: s
     else:
         micros = F.col(col) * F.lit(UNIT_FACTOR_NS[unit] // 1000)
     out = df.withColumn("event_time", F.timestamp_micros(micros.cast("bigint")))
-    return out.withWatermark("event_time", interval(watermark)) if watermark else out
+    return before_end(out.withWatermark("event_time", interval(watermark)), "event_time") if watermark else out
 
 
 def numeric_points(points: DataFrame) -> DataFrame:
@@ -183,8 +197,12 @@ def cross_point(points: DataFrame, size: str, exprs: Mapping[str, Column], names
     are computed from those names. Works on streams, which cannot pivot.
     """
     fn = getattr(F, agg)
+    listed = F.col("name").isin(*names)
+    if points.isStreaming:
+        # Names the event time, so that it stays behind the watermark, which has to see the mark.
+        listed = F.when(F.col("event_time").isNotNull(), listed)
     wide = (
-        points.filter(F.col("name").isin(*names))
+        points.filter(listed)
         .groupBy(*keys, F.window("event_time", interval(size)))
         .agg(*[fn(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names])
     )

@@ -1,27 +1,35 @@
 """Per-key logic of the stateful streams.
 
 A machine sees the rows of one key in order and may set ``due`` (ns) in its
-state to be called again at that time. States are small picklable dicts.
+state to be called again at that time. At the end of the input it gives out what
+is left (``end``). States are small picklable dicts; one that is as good as a new
+one (``idle``) is not kept.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Protocol
-
 from tagflow.operators.hj212 import feed
 
 NS_PER_MS = 1_000_000
 
 
-class Machine(Protocol):
-    def row(self, state: dict, ts: int, values: tuple) -> list[tuple]: ...
+class Machine:
+    def row(self, state: dict, ts: int, values: tuple) -> list[tuple]:
+        raise NotImplementedError
+
+    def alarm(self, state: dict) -> list[tuple]:
+        return []
+
+    def end(self, state: dict) -> list[tuple]:
+        return []
 
-    def alarm(self, state: dict) -> list[tuple]: ...
+    def idle(self, state: dict) -> bool:
+        return False
 
 
 @dataclass(frozen=True)
-class Timer:
+class Timer(Machine):
     """Values: input, delay in ms, then the row's own columns. Output: own columns, ts, kind, q."""
 
     on_delay: bool
@@ -40,9 +48,12 @@ class Timer:
         at, state["due"], state["q"] = state["due"], None, self.on_delay
         return [(*state.pop("row"), at, "commit", self.on_delay)]
 
+    def idle(self, state):
+        return state.get("due") is None and not state.get("in") and not state.get("q")
+
 
 @dataclass(frozen=True)
-class Watchdog:
+class Watchdog(Machine):
     """Values: timeout in ms, seq, data. Output: seq, data, ts, kind."""
 
     failsafe: str
@@ -56,9 +67,12 @@ class Watchdog:
         at, state["due"] = state["due"], None
         return [(None, self.failsafe, at, "failsafe")]
 
+    def idle(self, state):
+        return state.get("due") is None
+
 
 @dataclass(frozen=True)
-class Changes:
+class Changes(Machine):
     """Values: value, seq. Output: seq, ts, value, previous."""
 
     epsilon: float
@@ -74,13 +88,10 @@ class Changes:
             moved = abs(value - before) > self.epsilon
         return [(seq, ts, value, before)] if first or moved else []
 
-    def alarm(self, state):
-        return []
-
 
 @dataclass(frozen=True)
-class CountWindow:
-    """Values: value. Output: window number, first and last time, count, sum, average, min, max."""
+class CountWindow(Machine):
+    """Values: value. Output: window number, first and last time, count, sum, average, min, max, complete."""
 
     n: int
 
@@ -89,26 +100,28 @@ class CountWindow:
         if state.get("n", 0) == 0:
             state.update(n=0, known=0, sum=0.0, low=None, high=None, start=ts)
         state["n"] += 1
+        state["stop"] = ts
         if value is not None:
             state["known"] += 1
             state["sum"] += value
             state["low"] = value if state["low"] is None else min(state["low"], value)
             state["high"] = value if state["high"] is None else max(state["high"], value)
-        if state["n"] < self.n:
-            return []
+        return self._close(state) if state["n"] == self.n else []
+
+    def _close(self, state):
         number = state.get("number", 0)
         average = state["sum"] / state["known"] if state["known"] else None
         total = state["sum"] if state["known"] else None
-        out = (number, state["start"], ts, self.n, total, average, state["low"], state["high"])
+        out = (number, state["start"], state["stop"], state["n"], total, average, state["low"], state["high"], state["n"] == self.n)
         state.update(n=0, number=number + 1)
         return [out]
 
-    def alarm(self, state):
-        return []
+    def end(self, state):
+        return self._close(state) if state.get("n") else []
 
 
 @dataclass(frozen=True)
-class SequenceMatch:
+class SequenceMatch(Machine):
     """Values: one flag per step. Output: first and last time of a match."""
 
     steps: int
@@ -133,12 +146,12 @@ class SequenceMatch:
             waiting[1].append(ts)
         return []
 
-    def alarm(self, state):
-        return []
+    def idle(self, state):
+        return not any(state.get("waiting", ()))
 
 
 @dataclass(frozen=True)
-class Frames:
+class Frames(Machine):
     """Values: seq, bytes. Output: seq, frame number, bytes."""
 
     def row(self, state, ts, values):
@@ -146,5 +159,5 @@ class Frames:
         state["rest"], found = feed(state.get("rest", b""), bytes(data or b""))
         return [(seq, i, f) for i, f in enumerate(f for f, reason in found if reason is None)]
 
-    def alarm(self, state):
-        return []
+    def idle(self, state):
+        return not state.get("rest")

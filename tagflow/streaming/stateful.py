@@ -6,6 +6,15 @@ the batch operator's result up to the watermark. Timers fire as the watermark
 moves: a stream that falls silent altogether does not move it. For live alarms
 use ``clock='processing'``, where rows count when they arrive.
 
+End of input: one row of any key whose time is ``MARK_NS`` moves the watermark
+behind everything (``end_mark`` gives its time). All waiting rows and timers of all
+keys are then settled, open count windows come out as incomplete ones, and no state
+stays; the mark itself gives no row. A replay that ends with it gives the batch
+operator's result in full.
+
+Rows wait in a map of time buckets, so a timer reads only those whose time has come.
+Rows at or before the watermark are dropped by Spark as late ones.
+
 The session needs the RocksDB state store provider (see ``build_session``).
 State is partitioned by key; one key's rows are handled by one task, which the
 per-key order of these operators requires.
@@ -24,9 +33,14 @@ from pyspark.sql.streaming import StatefulProcessor
 from tagflow.functions import text as X
 from tagflow.functions.text import parse_duration_ms
 from tagflow.operators.control import NS_PER_MS, control_failures
+from tagflow.operators.windows import END_NS, MARK_NS, before_end
 from tagflow.streaming import machines as K
 
 
+# Time a bucket of waiting rows spans.
+BUCKET_NS = 60 * 1_000_000_000
+
+
 class Runner(StatefulProcessor):
     """Feeds a machine and keeps its state, its waiting rows and its timer."""
 
@@ -39,7 +53,7 @@ class Runner(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.state = handle.getValueState("state", "data binary")
-        self.waiting = handle.getListState("waiting", "data binary")
+        self.waiting = handle.getMapState("waiting", "bucket bigint", "data binary")
 
     def close(self) -> None:
         pass
@@ -62,7 +76,7 @@ class Runner(StatefulProcessor):
         if not arrived:
             return
         if self.event_clock:
-            self.waiting.appendList([(pickle.dumps(arrived),)])
+            self._wait(arrived)
             self.handle.registerTimer(self._ms(min(r[0] for r in arrived)))
             return
         now = timerValues.getCurrentProcessingTimeInMs() * NS_PER_MS
@@ -77,31 +91,60 @@ class Runner(StatefulProcessor):
         if out:
             yield self._frame(key, out)
 
+    def _wait(self, rows: list[tuple]) -> None:
+        buckets: dict[int, list[tuple]] = {}
+        for r in rows:
+            buckets.setdefault(r[0] // BUCKET_NS, []).append(r)
+        for bucket, held in buckets.items():
+            if self.waiting.containsKey((bucket,)):
+                held = pickle.loads(self.waiting.getValue((bucket,))[0]) + held
+            self.waiting.updateValue((bucket,), (pickle.dumps(held),))
+
+    def _due_rows(self, limit: int) -> Iterator[tuple]:
+        """Waiting rows up to ``limit`` in order, bucket by bucket; a timer is set for the first one left."""
+        for bucket in sorted(k[0] for k in self.waiting.keys()):
+            if bucket * BUCKET_NS > limit:
+                self.handle.registerTimer(self._ms(bucket * BUCKET_NS))
+                return
+            held = pickle.loads(self.waiting.getValue((bucket,))[0])
+            later = [r for r in held if r[0] > limit]
+            if later:
+                self.waiting.updateValue((bucket,), (pickle.dumps(later),))
+                self.handle.registerTimer(self._ms(min(r[0] for r in later)))
+            else:
+                self.waiting.removeKey((bucket,))
+            yield from sorted((r for r in held if r[0] <= limit), key=lambda r: r[:2])
+            if later:
+                return
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self._load()
+        ended = self.event_clock and timerValues.getCurrentWatermarkInMs() * NS_PER_MS >= END_NS
         if self.event_clock:
             limit = timerValues.getCurrentWatermarkInMs() * NS_PER_MS
-            held = [r for (data,) in self.waiting.get() for r in pickle.loads(data)]
         else:
             limit = timerValues.getCurrentProcessingTimeInMs() * NS_PER_MS
-            held = []
-        ready = sorted((r for r in held if r[0] <= limit), key=lambda r: r[:2])
-        later = [r for r in held if r[0] > limit]
         out: list[tuple] = []
-        for ts, _, values in ready:
+        for ts, _, values in self._due_rows(limit) if self.event_clock else ():
             if state.get("due") is not None and state["due"] < ts:
                 out += self.machine.alarm(state)
             out += self.machine.row(state, ts, values)
         if state.get("due") is not None and state["due"] <= limit:
             out += self.machine.alarm(state)
-        self.state.update((pickle.dumps(state),))
-        if held:
-            self.waiting.clear()
-            if later:
-                self.waiting.appendList([(pickle.dumps(later),)])
-                self.handle.registerTimer(self._ms(min(r[0] for r in later)))
-        if state.get("due") is not None:
-            self.handle.registerTimer(self._ms(state["due"]))
+        if ended:
+            out += self.machine.end(state)
+            self.state.clear()
+        elif self.machine.idle(state):
+            self.state.clear()
+            if state.get("ends"):
+                self.handle.deleteTimer(self._ms(END_NS))
+        else:
+            if state.get("due") is not None:
+                self.handle.registerTimer(self._ms(state["due"]))
+            if self.event_clock and not state.get("ends"):
+                state["ends"] = True
+                self.handle.registerTimer(self._ms(END_NS))
+            self.state.update((pickle.dumps(state),))
         if out:
             yield self._frame(key, out)
 
@@ -135,7 +178,8 @@ def run_machine(
     event = clock == "event"
     if event:
         ms = parse_duration_ms(delay)
-        shaped = shaped.withWatermark("row_time", f"{ms} milliseconds")
+        # The mark moves the watermark and then goes.
+        shaped = before_end(shaped.withWatermark("row_time", f"{ms} milliseconds"), "row_time")
     schema = ", ".join([*(f"{k} {types[k]}" for k in keys), out])
     names = [c.split()[0] for c in out.split(", ")]
     return shaped.groupBy(*keys).transformWithStateInPandas(
@@ -193,10 +237,11 @@ def changes_stream(stream: DataFrame, keys=("name",), ts="ts_ns", seq="seq", val
 
 def count_window_stream(stream: DataFrame, n: int, keys=("name",), ts="ts_ns", seq="seq", value="value",
                         delay="0s", clock="event") -> DataFrame:
-    """Streaming count windows of n rows: number, times and the usual aggregates of ``value``."""
+    """Streaming count windows of n rows: number, times and the usual aggregates of ``value``;
+    ``complete`` is false for a shorter one that the end of input closes."""
     return run_machine(
         stream, K.CountWindow(n), keys, ts, seq, [F.col(value).cast("double")],
-        "window_no bigint, start_ns bigint, end_ns bigint, n bigint, sum double, avg double, min double, max double",
+        "window_no bigint, start_ns bigint, end_ns bigint, n bigint, sum double, avg double, min double, max double, complete boolean",
         delay, clock,
     )
 
@@ -218,9 +263,15 @@ def split_frames_stream(stream: DataFrame, keys=("conn",), ts="ts_ns", seq="seq"
     )
 
 
+def end_mark() -> Column:
+    """Time of the row that ends the input, as a timestamp."""
+    return F.timestamp_micros(F.lit(MARK_NS // 1000).cast("bigint"))
+
+
 __all__ = [
     "changes_stream",
     "count_window_stream",
+    "end_mark",
     "run_machine",
     "sequence_match_stream",
     "split_frames_stream",

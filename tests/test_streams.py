@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from entry_queries.streams import replay
+from entry_queries.streams import PROVIDER, replay
 from tagflow.operators import control, sequence
 from tagflow.operators import windows as W
 from tagflow.operators.series import valid_fields
@@ -61,6 +61,44 @@ def test_changes_and_sequences(spark, tmp_path):
     assert same(sequence.sequence_match(batch, steps, "150ms"), got, ["device", "start_ts_ns", "end_ts_ns"])
 
 
+def marked(spark, folder):
+    """The rows of ``source`` as a stream that the mark ends, and as a batch."""
+    batch, _ = source(spark, folder)
+    path = str(folder / f"in-{uuid.uuid4().hex}")
+    batch.coalesce(1).write.parquet(path)
+    nothing = {c: F.lit(None).cast(t) for c, t in batch.dtypes}
+    end = spark.range(1).select(*[c.alias(n) for n, c in nothing.items()])
+    end.withColumns({"ts_ns": F.lit(W.MARK_NS), "pt": F.lit("0s")}).write.mode("append").parquet(path)
+    return batch, spark.readStream.schema(SCHEMA).parquet(path)
+
+
+def test_end_of_input_settles_all(spark, tmp_path):
+    batch, stream = marked(spark, tmp_path)
+    for one, many in ((control.timer_ton, stateful.timer_ton_stream), (control.timer_tof, stateful.timer_tof_stream)):
+        assert same(one(batch), replay(spark, many(stream)), ["device", "seq", "ts_ns", "kind", "q"])
+    dog = replay(spark, stateful.watchdog_stream(stream, "f", timeout="pt"))
+    assert same(control.watchdog(batch, "f", timeout="pt"), dog, ["device", "ts_ns", "data", "kind"])
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("k").cast("double")).alias("sum")]
+    got = replay(spark, stateful.count_window_stream(stream, 7, keys=("device",), value="k"))
+    assert same(W.count_window(batch, 7, aggs, ["device"]), got, ["device", "window_no", "n", "sum", "complete"])
+    assert got.filter("not complete").count() == batch.groupBy("device").count().filter("count % 7 > 0").count() > 0
+
+
+def test_idle_keys_leave_no_state(spark, tmp_path):
+    path = str(tmp_path / "in")
+    idle = [(d, (1000 + d) * MS, d, "0", "90ms", 0, "a", "x") for d in range(1000)]
+    busy = [(5000, 2000 * MS, 1, "1", "90ms", 0, "a", "x"), (5001, 10**6 * MS, 2, "0", "90ms", 0, "a", "x")]
+    spark.createDataFrame(idle + busy, SCHEMA).coalesce(1).write.parquet(path)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+    stream = stateful.timer_ton_stream(spark.readStream.schema(SCHEMA).parquet(path))
+    state = str(tmp_path / "state")
+    q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", state)
+    q.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() >= 1002
+    left = lambda name: spark.read.format("statestore").option("path", state).option("stateVarName", name).load().count()
+    assert left("state") == 1 and left("waiting") == 0
+
+
 def test_processing_clock(spark, tmp_path):
     """Live alarms: the watchdog barks although no row arrives any more."""
     _, stream = source(spark, tmp_path)
