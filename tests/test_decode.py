@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import struct
 
 import pandas as pd
@@ -101,6 +103,36 @@ def test_typed_values(spark):
     ) == [True, False, 255, -1, 256, -2, 4294967295, 23.5, -1.25, "Hello", "Hi", 0, False, "[1,2]", True, None]
 
 
+def test_numbers_bit_by_bit(spark):
+    """Infinities, NaN, subnormals, zeros of both signs, borders of every width; cells cut short are marked."""
+    rng = random.Random(2)
+    reals = [0.0, -0.0, 1.0, -2.5, 1e-45, 1.1754942e-38, 3.4028235e38, float("inf"), float("-inf"), float("nan")]
+    reals32 = [struct.pack(">f", x) for x in reals] + [rng.randbytes(4) for _ in range(60)]
+    reals64 = [struct.pack(">d", x) for x in [*reals, 5e-324, 2.2250738585072009e-308, 1.7976931348623157e308]] + [rng.randbytes(8) for _ in range(60)]
+    cases = [("REAL", b, struct.unpack(">f", b)[0]) for b in reals32] + [("LREAL", b, struct.unpack(">d", b)[0]) for b in reals64]
+    for kind, form in (("BYTE", ">B"), ("INT", ">h"), ("WORD", ">H"), ("DINT", ">i"), ("DWORD", ">I")):
+        n = struct.calcsize(form)
+        cells = [bytes(n), b"\xff" * n, b"\x7f" + b"\xff" * (n - 1), b"\x80" + bytes(n - 1), *(rng.randbytes(n + 2) for _ in range(9))]
+        cases += [(kind, b, struct.unpack(form, b[:n])[0]) for b in cells]
+    df = spark.createDataFrame([(i, k, b) for i, (k, b, _) in enumerate(cases)], "i int, type string, bytes binary")
+    out = decode.decode_typed(df)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    for r, (_, _, want) in zip(out.orderBy("i").collect(), cases):
+        got = plain(r["value"])
+        assert not r["short"] and (math.isnan(got) if want != want else got == want and math.copysign(1, float(got)) == math.copysign(1, want))
+    words = [("INT64", ">q"), ("UINT64", ">Q"), ("FLOAT64", ">d"), ("UINT16", ">H"), ("INT32", ">i")]
+    rows = [(i, k, rng.randbytes(struct.calcsize(f)), f) for i, (k, f) in enumerate(words * 20)]
+    swap = {"ABCD": lambda b: b, "DCBA": lambda b: b[::-1], "BADC": lambda b: b"".join(b[i : i + 2][::-1] for i in range(0, len(b), 2)),
+            "CDAB": lambda b: b"".join(b[i : i + 2] for i in range(len(b) - 2, -1, -2))}
+    df = spark.createDataFrame([(i * 4 + j, o.lower(), k, swap[o](b)) for i, k, b, _ in rows for j, o in enumerate(swap)], "i int, endian string, type string, bytes binary")
+    got = [plain(r["value"]) for r in decode.decode_endian(df).orderBy("i").collect()]
+    want = [struct.unpack(f, b)[0] for _, _, b, f in rows for _ in swap]
+    assert all(math.isnan(g) if w != w else g == w for g, w in zip(got, want)) and len(got) == len(want)
+    cut = [("INT", b"\x01"), ("LREAL", bytes(7)), ("BOOL", b""), ("STRING", b"\xfe\x05Hi"), ("INT", b"\0\1"), ("STRING", b"\xfe\2Hi"), ("NOPE", b""), ("DINT", None)]
+    df = spark.createDataFrame([(i, k, b) for i, (k, b) in enumerate(cut)], "i int, type string, bytes binary")
+    assert [r["short"] for r in decode.decode_typed(df).orderBy("i").collect()] == [True] * 4 + [False] * 4
+
+
 def test_word_orders(spark):
     df = spark.createDataFrame(
         [(0, "ABCD", "41bc0000"), (1, "CDAB", "000041bc"), (2, "BADC", "bc410000"), (3, "DCBA", "0000bc41"), (4, "XXXX", "41bc0000"), (5, "", "41bc")],
