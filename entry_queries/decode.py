@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import functions as F
 
 from entry_queries import EV, hot, hot_sql, query
@@ -187,7 +189,7 @@ def f2(spark, sf):
     return good.select("conn", "seq", "qn", "st", "cn", "pw", "mn", "flag", "ts_ns", "needs_ack")
 
 
-@query("f2_hj212_rejects", f"select event_id as seq, 'crc check failed' as reason from {EV} where event_id % 20 = 7")
+@query("f2_hj212_rejects", f"select event_id as seq, 'checksum differs' as reason from {EV} where event_id % 20 = 7")
 def f2_rejects(spark, sf):
     return hj212.hj212_frames(C.hj212_raw(C.events(spark, sf)))[1].select("seq", "reason")
 
@@ -359,46 +361,46 @@ def f7_rejects(spark, sf):
     return P.fins_results(fins_captures(C.events(spark, sf)))[1].select("seq", "reason")
 
 
-def sensor_captures(ev):
-    """Sensor frames: header, device, command, length, two numbers, checksum, end mark."""
-    temp, humi = F.col("k") * 10 - 300, F.col("k") * 5
-    body = F.concat(C.hex_of(F.col("user_id") % 256, 1), F.lit("0104"), F.substring(F.lpad(F.hex(temp), 16, "0"), -4, 4), C.hex_of(humi, 2))
-    byte = lambda i: F.conv(F.substring("_b", 2 * i + 1, 2), 16, 10).cast("bigint")
-    xor = byte(0)
-    for i in range(1, 7):
-        xor = xor.bitwiseXOR(byte(i))
-    xor = F.when(F.col("event_id") % 30 == 4, xor.bitwiseXOR(F.lit(1).cast("bigint"))).otherwise(xor)
-    return ev.withColumn("_b", body).select(
+METER = "unit int, total bigint, level double"
+
+
+def meter_captures(ev):
+    """Meter telegrams of nine bytes: Q, unit, total and level in little-endian order, sum of all bytes before."""
+    number = lambda v, n: C.hex_of(v, n)
+    turned = lambda h, n: F.concat(*[F.substring(h, 2 * i + 1, 2) for i in range(n - 1, -1, -1)])
+    head = F.concat(
+        F.lit("51"), number(F.col("user_id") % 256, 1), turned(number(F.col("event_id") * 37, 4), 4), turned(number(F.col("k") * 11, 2), 2)
+    )
+    cells = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.conv(F.substring(F.col("_h"), 2 * i + 1, F.lit(2)), 16, 10).cast("bigint"))
+    off = F.when(F.col("event_id") % 30 == 4, 1).otherwise(0)
+    total = F.aggregate(cells, F.lit(0).cast("bigint"), lambda a, x: a + x) + off
+    cut = F.when(F.col("event_id") % 30 == 5, 6).otherwise(9)
+    return ev.withColumn("_h", head).select(
         F.col("user_id").alias("device"), F.col("event_id").alias("seq"),
-        F.unhex(F.concat(F.lit("AA55"), F.col("_b"), C.hex_of(xor, 1), F.lit("0A"))).alias("bytes"),
+        F.substring(F.unhex(F.concat("_h", number(total % 256, 1))), F.lit(1), cut).alias("bytes"),
     )
 
 
-def sensor_decoder(b: bytes) -> tuple:
-    if len(b) < 10 or b[:2] != b"\xaa\x55":
-        raise ValueError(f"bad header: len={len(b)}")
-    end = 5 + b[4]
-    if len(b) < end + 1:
-        raise ValueError("short frame")
-    check = 0
-    for x in b[2:end]:
-        check ^= x
-    if check != b[end]:
-        raise ValueError("crc mismatch")
-    number = lambda i: int.from_bytes(b[i : i + 2], "big", signed=True) / 10
-    return f"dev-{b[2]:02x}", number(5), number(7)
+def meter_reading(telegram: bytes) -> tuple:
+    """unit, total, level of one telegram."""
+    form = struct.Struct("<cBIHB")
+    if len(telegram) != form.size:
+        raise ValueError(f"a telegram has {form.size} bytes, not {len(telegram)}")
+    _, unit, total, level, stated = form.unpack(telegram)
+    if sum(telegram[:-1]) % 256 != stated:
+        raise ValueError("bytes do not add up")
+    return unit, total, level / 1000
 
 
 @query(
     "f9_decode_with",
-    f"""select event_id as seq, 'dev-' || lpad(lower(to_hex(user_id % 256)), 2, '0') as device_id, (k * 10 - 300) / 10 as temperature,
-(k * 5) / 10 as humidity, null as reason from {EV} where event_id % 30 <> 4
-union all select event_id, null, null, null, 'crc mismatch' from {EV} where event_id % 30 = 4""",
+    f"""select event_id as seq, user_id % 256 as unit, event_id * 37 as total, k * 11 / 1000 as level, null as reason from {EV}
+where event_id % 30 not in (4, 5)
+union all select event_id, null, null, null, case event_id % 30 when 4 then 'bytes do not add up' else 'a telegram has 9 bytes, not 6' end
+from {EV} where event_id % 30 in (4, 5)""",
 )
 def f9(spark, sf):
-    rows, rejects = decode.decode_with(
-        sensor_captures(C.events(spark, sf)), sensor_decoder, "device_id string, temperature double, humidity double"
-    )
-    return rows.drop("device").withColumn("reason", F.lit(None).cast("string")).unionByName(
+    rows, rejects = decode.decode_with(meter_captures(C.events(spark, sf)), meter_reading, METER)
+    return rows.drop("device").withColumn("unit", F.col("unit").cast("bigint")).withColumn("reason", F.lit(None).cast("string")).unionByName(
         rejects.drop("device"), allowMissingColumns=True
     )

@@ -83,7 +83,7 @@ conf as (select e.event_id, e.user_id, 'catalog', i.pos, 'p' || i.pos, 'C' || e.
          from ev e cross join (select unnest([0, 1]) as pos) i
          where e.event_id % 4 <> 0 and e.user_id % 3 <> 0),
 nothing as (select event_id, user_id, 'none', null, null, null, null,
-                   'no points: configure points or pass them in the message'
+                   'neither the message nor the catalog names a point'
             from ev where event_id % 4 <> 0 and user_id % 3 = 0)
 select * from own union all select * from conf union all select * from nothing""",
 )
@@ -276,7 +276,7 @@ with c as (select p_partkey, p_size,
   case when p_size % 4 = 0 then 502 when p_size % 4 = 1 then 1000 + p_size when p_size % 4 = 2 then 502 end as port,
   case when p_size % 4 = 2 then '::1' when p_size % 4 <> 3 then 'h' || p_partkey end as host from part),
 m as (select *, case
-  when protocol = 's7' and area = 'X' then 'unsupported area'
+  when protocol = 's7' and area = 'X' then 'no such memory area'
   when protocol = 'bacnet' and object_code is null then 'unknown object type'
   when port is null then 'invalid port' end as reason from c)
 """

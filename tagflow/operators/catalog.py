@@ -94,11 +94,11 @@ def normalize_catalog(catalog: DataFrame, default_port: int = 502) -> tuple[Data
         }
     ).withColumns({"type": kind, "area": area})
     reason = (
-        F.when(is_s7 & ~F.coalesce(F.col("area").isin("DB", "M", "I", "Q"), F.lit(False)), "unsupported area")
+        F.when(is_s7 & ~F.coalesce(F.col("area").isin("DB", "M", "I", "Q"), F.lit(False)), "no such memory area")
         .when(is_s7 & ~F.coalesce(F.col("type").isin(*S7_TYPES), F.lit(False)), "unsupported type")
         .when(is_bacnet & F.col("object_code").isNull(), "unknown object type")
         .when(is_bacnet & F.col("property_code").isNull(), "unknown property")
-        .when(X.strip(F.col("server")) == "", "empty server address")
+        .when(X.strip(F.col("server")) == "", "server is blank")
         .when(F.col("server").isNotNull() & F.col("port").isNull(), "invalid port")
     )
     marked = made.withColumn("reason", reason)
@@ -189,7 +189,7 @@ def validate_setpoints(setpoints: DataFrame) -> tuple[DataFrame, DataFrame]:
     finite = F.abs(number) < float("inf")
     reason = (
         F.when(F.col("_rule").isNull(), "unsupported type")
-        .when((kind == "bool") & F.col("_bool").isNull(), "invalid bool value")
+        .when((kind == "bool") & F.col("_bool").isNull(), "neither true nor false")
         .when(kind.isin("signed", "unsigned") & F.col("_whole").isNull(), "invalid integer")
         .when(
             kind.isin("signed", "unsigned") & ~F.col("_whole").between(F.col("_rule.low"), F.col("_rule.high")),

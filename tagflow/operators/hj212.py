@@ -255,15 +255,15 @@ def hj212_frames(
     cp = F.instr(seg, "CP=&&")
     end = F.length(seg) - F.instr(F.reverse(seg), "&&")  # 1-based position of the last "&&"
     reason = (
-        F.when(~s.startswith("##") | (F.length(s) < 12), "invalid frame prefix")
-        .when(F.col("_len").isNull(), "invalid data length")
-        .when(~fits, "length mismatch")
-        .when(stated_crc.isNull(), "invalid crc")
-        .when(stated_crc != F.col("_crc"), "crc check failed")
-        .when(cp == 0, "CP segment missing")
-        .when((F.instr(F.reverse(seg), "&&") == 0) | (end < cp + 5), "malformed CP segment")
+        F.when(~s.startswith("##") | (F.length(s) < 12), "does not begin as a frame")
+        .when(F.col("_len").isNull(), "length field is no number")
+        .when(~fits, "length field and size differ")
+        .when(stated_crc.isNull(), "checksum is no hexadecimal number")
+        .when(stated_crc != F.col("_crc"), "checksum differs")
+        .when(cp == 0, "no data part")
+        .when((F.instr(F.reverse(seg), "&&") == 0) | (end < cp + 5), "data part is not closed")
     )
-    step4 = step3.withColumn("reason", F.when(F.col(payload).isNull(), "invalid frame prefix").otherwise(reason))
+    step4 = step3.withColumn("reason", F.when(F.col(payload).isNull(), "does not begin as a frame").otherwise(reason))
     pairs = F.filter(F.split(F.expr("substring(_seg, 1, instr(_seg, 'CP=&&') - 1)"), ";"), lambda x: x.contains("="))
     header = F.map_from_entries(
         F.transform(

@@ -17,7 +17,7 @@ POINT_CONFIG = (
     "endian string, value string"
 )
 BAD_QUALITY = "read failed (quality=bad)"
-NO_POINTS = "no points: configure points or pass them in the message"
+NO_POINTS = "neither the message nor the catalog names a point"
 
 
 def resolve_points(

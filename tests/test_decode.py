@@ -65,8 +65,8 @@ def test_faulty_frames(spark):
         frame("QN=1;CP=&&"), frame(SEG)[:-6] + b"ZZZZ\r\n", b"##abcd" + frame(SEG)[6:], frame(SEG.replace("2.3", "NaN")),
     )
     assert bad == {
-        1: "crc check failed", 2: "CP segment missing", 3: "length mismatch", 4: "invalid frame prefix",
-        5: "malformed CP segment", 6: "invalid crc", 7: "invalid data length",
+        1: "checksum differs", 2: "no data part", 3: "length field and size differ", 4: "does not begin as a frame",
+        5: "data part is not closed", 6: "checksum is no hexadecimal number", 7: "length field is no number",
     }
     assert {r["seq"]: r["ts_ns"] for r in good.collect()}[0] == 0
     assert {r["seq"] for r in hj212.hj212_points(good).collect()} == {0}
@@ -162,7 +162,7 @@ def test_range_plan(spark):
     plan, bad = ranges.coalesce_ranges(spark.createDataFrame(rows, cols))
     got = {r["name"]: (r["block"], r["block_start"], r["block_end"]) for r in plan.collect()}
     assert got == {"a": (0, 0, 6), "b": (0, 0, 6), "c": (0, 2, 6), "m": (0, 0, 1), "n": (0, 0, 1)}
-    assert {r["name"]: r["reason"] for r in bad.collect()} == {"x": "unsupported area", "y": "unsupported type"}
+    assert {r["name"]: r["reason"] for r in bad.collect()} == {"x": "no such memory area", "y": "unsupported type"}
 
 
 def fins(spark, *cases):

@@ -9,8 +9,8 @@ from tagflow.operators import series as S
 from tagflow.schemas import SeriesMapping
 from tagflow.sources import messages as M
 
-META = {"deviceId": "dev-01"}
-DEV = SeriesMapping("dev", (("deviceId", "${metadata.deviceId}"),))
+META = {"line": "L7", "hall": "north"}
+PRESS = SeriesMapping("press", (("line", "${metadata.line}"),))
 
 
 def messages(spark, *texts):
@@ -22,57 +22,55 @@ def dispatch(spark, mapping, *texts):
     return mapped.orderBy("msg_id", "row").collect(), [r["msg_id"] for r in passed.orderBy("msg_id").collect()]
 
 
-def test_points_become_one_row(spark):
-    text = (
-        '[{"name":"temperature","value":25.3,"timestamp":1721900000000000001},{"name":"humidity","value":60,"timestamp":5},'
-        '{"name":"bad","error":"read failed","timestamp":1821900000000000001}]'
-    )
-    (row,), passed = dispatch(spark, DEV, text)
-    assert (row["measurement"], row["tags"], row["ts_ns"]) == ("dev", {"deviceId": "dev-01"}, 1721900000000000001)
-    assert fields_of(row) == {"temperature": 25.3, "humidity": 60.0} and passed == []
+def test_one_row_for_each_batch(spark):
+    """Good points of a batch share a row; its time is the newest of them, with or without a mapping for that point."""
+    strokes = '[{"name":"strokes","value":118,"timestamp":40},{"name":"oil","value":-0.5,"timestamp":90}]'
+    broken = '[{"name":"oil","error":"sensor lost","timestamp":999},{"name":"strokes","value":119,"timestamp":41}]'
+    untimed = '[{"name":"strokes","value":0}]'
+    rows, passed = dispatch(spark, PRESS, strokes, broken, untimed)
+    assert passed == [] and {r["measurement"] for r in rows} == {"press"} and all(r["tags"] == {"line": "L7"} for r in rows)
+    assert [(fields_of(r), r["ts_ns"]) for r in rows] == [({"strokes": 118.0, "oil": -0.5}, 90), ({"strokes": 119.0}, 41), ({"strokes": 0.0}, 0)]
+    only = SeriesMapping("press", (), (("n", "strokes"),))
+    assert [(fields_of(r), r["ts_ns"]) for r in dispatch(spark, only, strokes)[0]] == [({"n": 118.0}, 90)]
 
 
-def test_field_mapping_renames_and_drops(spark):
-    mapping = SeriesMapping("dev", (), (("temp_c", "temperature"), ("humi_pct", "humidity"), ("", "pressure")))
-    text = '[{"name":"temperature","value":25.3},{"name":"humidity","value":60},{"name":"pressure","value":1}]'
-    (row,), _ = dispatch(spark, mapping, text)
-    assert fields_of(row) == {"temp_c": 25.3, "humi_pct": 60.0}
-    rows, passed = dispatch(spark, SeriesMapping("dev", (), (("x", "none"),)), text)
-    assert rows == [] and passed == [0]
+def test_fields_can_swap_names(spark):
+    text = '[{"name":"left","value":1},{"name":"right","value":2}]'
+    swapped = SeriesMapping("m", (), (("left", "right"), ("right", "left")))
+    assert [fields_of(r) for r in dispatch(spark, swapped, text)[0]] == [{"left": 2.0, "right": 1.0}]
+    doubled = SeriesMapping("m", (), (("both", "left"), ("copy", "left"), ("both", "right"), ("", "left")))
+    assert [fields_of(r) for r in dispatch(spark, doubled, text)[0]] == [{"both": 2.0, "copy": 1.0}]
+    assert dispatch(spark, SeriesMapping("m", (), (("left", "middle"),)), text) == ([], [0])
 
 
-def test_flat_rows(spark):
-    rows, _ = dispatch(
-        spark, DEV, '{"temperature":25.3,"humidity":60}', '[{"avg_temp":25.3,"max_humi":80},{"avg_temp":26.1,"max_humi":75}]'
-    )
-    assert [fields_of(r) for r in rows] == [
-        {"temperature": 25.3, "humidity": 60.0}, {"avg_temp": 25.3, "max_humi": 80.0}, {"avg_temp": 26.1, "max_humi": 75.0},
-    ]
-    assert {r["ts_ns"] for r in rows} == {42}
+def test_every_flat_object_is_a_row(spark):
+    one, many = '{"open":true,"lid":"shut"}', '[{"n":3},{},{"n":4,"note":"é"},{"window_id":9}]'
+    rows, passed = dispatch(spark, PRESS, one, many, "[{}]")
+    assert [(r["msg_id"], fields_of(r)) for r in rows] == [(0, {"open": True, "lid": "shut"}), (1, {"n": 3.0}), (1, {"n": 4.0, "note": "é"})]
+    assert {r["ts_ns"] for r in rows} == {42} and passed == [2]
 
 
-def test_reserved_keys(spark):
+def test_row_times(spark):
+    """Only a number is a time, also a negative one and one with a fraction; the window's own key is never stored."""
     rows, passed = dispatch(
-        spark, DEV, '{"v":1,"timestamp":1000000000,"window_id":"w"}', '{"v":1,"timestamp":"2024"}', '{"window_id":"w"}'
+        spark, PRESS, '{"n":1,"timestamp":-8}', '{"n":2,"timestamp":77.9}', '{"n":3,"timestamp":true,"window_id":"a"}',
+        '{"timestamp":5,"window_id":"b"}',
     )
-    assert [(fields_of(r), r["ts_ns"]) for r in rows] == [({"v": 1.0}, 1000000000), ({"v": 1.0, "timestamp": "2024"}, 42)]
-    assert passed == [2]
+    assert [(fields_of(r), r["ts_ns"]) for r in rows] == [({"n": 1.0}, -8), ({"n": 2.0}, 77), ({"n": 3.0, "timestamp": True}, 42)]
+    assert passed == [3]
 
 
-def test_other_shapes_pass_through(spark):
-    texts = (
-        '[{"measurement":"dev","tags":{"d":"1"},"fields":{"temp":25},"timestamp":123}]', "", "[]", "not json", "5", "{}",
-        '[{"name":"a","error":"x"}]',
-    )
-    rows, passed = dispatch(spark, DEV, *texts)
+def test_other_messages_pass_through(spark):
+    ready = '{"measurement":"oven","tags":{},"fields":{"deg":180,"fan":false},"timestamp":9}'
+    texts = (ready, f"[{ready},{ready}]", " ", "[ ]", "{open", "true", '"text"', '[{"name":"deg","error":"lost"}]', '{"deg":1} {"deg":2}')
+    rows, passed = dispatch(spark, PRESS, *texts)
     assert rows == [] and passed == list(range(len(texts)))
-    rows, passed = dispatch(spark, SeriesMapping(), '{"a":1}')
-    assert rows == [] and passed == [0]
+    assert dispatch(spark, SeriesMapping(), '{"deg":1}') == ([], [0])
 
 
 def test_first_element_decides_the_shape(spark):
     rows, _ = dispatch(
-        spark, DEV, '[{"name":"t","value":1},{"value":2}]', '[{"value":2},{"name":"t","value":1}]',
+        spark, PRESS, '[{"name":"t","value":1},{"value":2}]', '[{"value":2},{"name":"t","value":1}]',
         '[{"name":"t","value":1},{"name":5}]', '[{"name":"t","value":{"a":[1]}}]',
     )
     assert [r["shape"] for r in rows] == ["points", "flat", "flat", "flat", "flat", "points"]
@@ -81,18 +79,18 @@ def test_first_element_decides_the_shape(spark):
 
 def test_last_duplicate_wins_in_both_forms(spark):
     text = '[{"name":"a","value":1},{"name":"a","value":2},{"name":"a","error":"x"},{"name":"","value":9,"timestamp":77},{"name":"b","value":true}]'
-    (row,), _ = dispatch(spark, DEV, text)
+    (row,), _ = dispatch(spark, PRESS, text)
     want = {"a": 2.0, "b": True}
     assert fields_of(row) == want and row["ts_ns"] == 0
     pts = M.read_points(messages(spark, text, '[{"name":"q","error":"x"}]'))
-    series, rest = S.pivot_points(pts, SeriesMapping("dev"))
+    series, rest = S.pivot_points(pts, SeriesMapping("press"))
     (long,) = series.collect()
     assert fields_of(long) == want and {r["msg_id"] for r in rest.collect()} == {1}
 
 
 def test_value_kinds_and_validity(spark):
     text = '{"i":1,"d":1.5,"big":18446744073709551615,"huge":1e30,"s":"x","b":false,"n":null,"o":{"p":1},"e":2e3}'
-    (row,), _ = dispatch(spark, DEV, text)
+    (row,), _ = dispatch(spark, PRESS, text)
     kinds = {k: v["kind"] for k, v in row["fields"].items()}
     assert kinds == {"i": "int", "d": "num", "big": "int", "huge": "num", "s": "str", "b": "bool", "n": "null", "o": "json", "e": "num"}
     df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,), (0.0,)], "x double")
@@ -102,11 +100,10 @@ def test_value_kinds_and_validity(spark):
 
 
 def test_scaling(spark):
-    df = spark.createDataFrame(
-        [(23.5, 2.0, 1.0), (5.0, 0.0, 0.0), (5.0, 0.0, 3.0), (5.0, None, None)], "v double, s double, o double"
-    )
+    cases = [(4.0, 0.25, -1.0, 0.0), (7.0, 0.0, 0.0, 7.0), (7.0, 0.0, -2.5, -2.5), (7.0, 3.0, 0.0, 21.0), (7.0, None, None, 7.0)]
+    df = spark.createDataFrame([c[:3] for c in cases], "v double, s double, o double")
     got = df.select(P.scale_value(V.num(F.col("v")), F.col("s"), F.col("o")).alias("x")).collect()
-    assert [plain(r["x"]) for r in got] == [48.0, 5.0, 3.0, 5.0]
+    assert [plain(r["x"]) for r in got] == [c[3] for c in cases]
     other = df.limit(1).select(
         P.scale_value(V.boolean(F.lit(True)), F.lit(2.0), F.lit(1.0)).alias("b"),
         P.scale_value(V.text(F.lit("abc")), F.lit(2.0), F.lit(1.0)).alias("s"),
@@ -116,16 +113,18 @@ def test_scaling(spark):
 
 def test_point_source(spark):
     batch = spark.createDataFrame(
-        [(0, "d", '[{"name":"dyn"}]'), (1, "d", ""), (2, "d", "not-json"), (3, "d", "null"), (4, "d", "[]"), (5, "none", "")],
+        [(0, "d", '[{"name":"own","addr":"9"},{"name":"too"}]'), (1, "d", "\n"), (2, "d", "{]"), (3, "d", " null "), (4, "d", "[ ]"), (5, "none", None)],
         "msg_id long, device string, data string",
     )
     catalog = spark.createDataFrame(
         [("d", 0, "cfg", "a", "", 0.0, 0.0, "", "")],
         "device string, pos int, name string, addr string, type string, scale double, offset double, endian string, value string",
     )
-    got = {r["msg_id"]: (r["name"], r["error"]) for r in P.resolve_points(batch, catalog).collect()}
-    assert got[0] == ("dyn", None) and all(got[i] == ("cfg", None) for i in range(1, 5))
-    assert got[5] == (None, P.NO_POINTS)
+    got = {}
+    for r in P.resolve_points(batch, catalog).collect():
+        got.setdefault(r["msg_id"], []).append((r["name"], r["error"]))
+    assert sorted(got[0]) == [("own", None), ("too", None)] and all(got[i] == [("cfg", None)] for i in range(1, 5))
+    assert got[5] == [(None, P.NO_POINTS)]
 
 
 def test_batch_health(spark):
@@ -138,12 +137,12 @@ def test_batch_health(spark):
 
 def test_series_json(spark):
     texts = (
-        '[{"measurement":"dev","tags":{"d":"1"},"fields":{"temp":25},"timestamp":123}]', '{"measurement":"one","fields":{}}',
+        '[{"measurement":"oven","tags":{"hall":"north"},"fields":{"deg":180},"timestamp":-9}]', '{"measurement":"one","fields":{}}',
         "[]", "junk", '[{"measurement":5}]', '[{"tags":{"a":1}}]', '[{"timestamp":1.5}]',
     )
     series, rejects = M.read_series_json(messages(spark, *texts))
     got = series.orderBy("msg_id").collect()
-    assert [(r["measurement"], r["tags"], r["ts_ns"]) for r in got] == [("dev", {"d": "1"}, 123), ("one", None, 0)]
+    assert [(r["measurement"], r["tags"], r["ts_ns"]) for r in got] == [("oven", {"hall": "north"}, -9), ("one", None, 0)]
     assert {r["msg_id"]: r["reason"] for r in rejects.collect()} == {
         2: "no points in message", 3: "not readable as series JSON", 4: "wrong member type", 5: "wrong member type", 6: "wrong member type",
     }

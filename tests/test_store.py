@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import functions as F
 
 from helpers import fields_of, plain
-from entry_queries.decode import sensor_decoder
+from entry_queries.decode import METER, meter_reading
 from tagflow.functions import values as V
 from tagflow.operators import decode
 from tagflow.operators.series import flat_to_series
@@ -70,19 +72,25 @@ def test_store_prunes_and_fills_time(spark, tmp_path):
     assert store.query_series(spark, path, sql="select count(*) as n from series").first()["n"] == 10
 
 
-def test_sensor_chain(spark, tmp_path):
-    frame = bytes.fromhex("aa5507010401 00025d5c0a".replace(" ", ""))
+def test_decoded_telegrams_reach_the_store(spark, tmp_path):
+    """Capture, decoder, flat rows, series, store and back."""
+    telegram = lambda unit, total, level: (h := struct.pack("<cBIH", b"Q", unit, total, level)) + bytes([sum(h) % 256])
+    bad = bytearray(telegram(4, 1, 1))
+    bad[3] ^= 1
     captures = spark.createDataFrame(
-        [("c", 1, frame), ("c", 2, frame[:-2] + b"\x00\x0a"), ("c", 3, b"\x01")], "device string, seq long, bytes binary"
+        [("c", 1, telegram(4, 70_000, 12_500)), ("c", 2, telegram(4, 70_003, 9_000)), ("c", 3, bytes(bad)), ("c", 4, b"")],
+        "device string, seq long, bytes binary",
     )
-    rows, rejects = decode.decode_with(captures, sensor_decoder, "deviceId string, temperature double, humidity double")
-    assert {r["seq"]: r["reason"] for r in rejects.collect()} == {2: "crc mismatch", 3: "bad header: len=1"}
+    rows, rejects = decode.decode_with(captures, meter_reading, METER)
+    assert {r["seq"]: r["reason"] for r in rejects.collect()} == {3: "bytes do not add up", 4: "a telegram has 9 bytes, not 0"}
     messages = rows.select(
-        F.col("seq").alias("msg_id"), F.to_json(F.struct("temperature", "humidity")).alias("data"),
-        F.create_map(F.lit("deviceId"), F.col("deviceId")).alias("metadata"),
+        F.col("seq").alias("msg_id"), F.to_json(F.struct("total", "level", F.col("seq").alias("timestamp"))).alias("data"),
+        F.create_map(F.lit("unit"), F.col("unit").cast("string")).alias("metadata"),
     )
-    series = flat_to_series(messages, SeriesMapping("env", (("deviceId", "${metadata.deviceId}"),)), F.lit(5)).drop("msg_id", "row")
-    path = str(tmp_path / "env")
+    series = flat_to_series(messages, SeriesMapping("meter", (("unit", "${metadata.unit}"),)), F.lit(5)).drop("msg_id", "row")
+    path = str(tmp_path / "meter")
     store.write_series(series, path)
     (row,) = store.latest_series(store.query_series(spark, path), ["measurement"]).collect()
-    assert fields_of(row) == {"temperature": 25.6, "humidity": 60.5} and row["tags"] == {"deviceId": "dev-07"}
+    assert fields_of(row) == {"total": 70_003.0, "level": 9.0} and (row["tags"], row["ts_ns"]) == ({"unit": "4"}, 2)
+    ties = store.query_series(spark, path).withColumn("ts_ns", F.lit(1))
+    assert len({str(store.latest_series(ties.repartition(n), ["measurement"]).first()) for n in (1, 2, 3)}) == 1
