@@ -3,9 +3,11 @@ r"""Chat formatting as prefix trees of conversations.
 Every turn is a node named by a hash of itself and all turns before it, so that
 conversations with the same first turns share nodes. A node's template text is turned
 into tokens once. Nodes of one tree are laid out depth first in one token sequence;
-every node row carries its place there, the position ids of its tokens (their distance
-from the conversation's start), the loss mask, and the intervals of the sequence that
-its tokens may attend to besides the causal part of their own node: its ancestors.
+every node row carries its place there, the position id of its first token (its distance
+from the conversation's start; the others count on from it), the interval of its tokens
+under the loss mask, and the intervals of the sequence that its tokens may attend to
+besides the causal part of their own node: its ancestors. Tokens are held once, packed in
+four bytes each; `expanded` writes ids, positions and mask out token by token.
 
 The depth-first order is the order of the conversations' paths of node names. Paths are
 sorted over the cluster, a node belongs to the first path that has it, and offsets are
@@ -15,7 +17,11 @@ path), so that a tree may hold any share of all rows.
 Template: `### role: text</turn>` and a line end. In texts and roles a backslash, `###`
 and `</turn>` are written `\\`, `\h` and `\t`, in roles a colon `\c`; reading undoes it.
 
-Defined cases: turns are ordered by turn (null first), then role, then text; a null text
+The turns of one conversation and the nodes of its path (identifiers, no texts) are in one
+row, so a single conversation has to fit in memory.
+
+Defined cases: texts of any length are tokenized as a whole: a long one is cut only in
+front of a single space between two other characters, where no token can span; turns are ordered by turn (null first), then role, then text; a null text
 or role is empty; a null conv_id is a conversation of its own; a repeated row is a turn of
 its own; an empty table gives empty results; columns other than the four are not read.
 """
@@ -25,8 +31,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import sys
+import types
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -34,7 +43,7 @@ from tagflow.llm.common import cut
 
 OPEN, CLOSE = "### ", "</turn>\n"
 LOSS_ROLE = "assistant"
-PIECE = 10_000  # characters given to the tokenizer at once
+PIECE = 10_000  # characters from which on a text is cut at the next place no token spans
 
 # Fixed value: the pattern that splits text ahead of the merges of the public rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -53,6 +62,22 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(.)", lambda m: _READ[m[1]], text)
 
 
+_BORDER = re.compile(r"(?<=\S) (?=\S)")
+
+
+def pieces(text: str, least: int = PIECE) -> list[str]:
+    """The text in parts of at least so many characters whose tokens are those of the whole text.
+
+    The pattern lets a token begin with a space but go on over none, and a single space
+    between two other characters always begins one.
+    """
+    out, start = [], 0
+    while (found := _BORDER.search(text, start + least)) is not None:
+        out.append(text[start : found.start()])
+        start = found.start()
+    return [*out, text[start:]]
+
+
 def turn_parts(role: str, text: str) -> tuple[str, str, str]:
     return f"{OPEN}{escape(role, True)}: ", escape(text), CLOSE
 
@@ -72,18 +97,14 @@ def codec(path: str | None) -> tuple[Callable[[str], list[int]], Callable[[list[
         return lambda t: list(t.encode()), bytes
     import tiktoken
 
-    # Kept with the library, which outlives a task in its worker; code sent by value does not.
-    known = vars(tiktoken).setdefault("_encodings_by_path", {})
+    # A module of our own in the worker outlives a task; code that is sent by value does not.
+    known = vars(sys.modules.setdefault("_chat_tokenizers", types.ModuleType("_chat_tokenizers"))).setdefault("by_path", {})
     if path not in known:
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         known[path] = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     own = known[path]
-
-    def encode(text: str) -> list[int]:
-        return [x for a in range(0, len(text), PIECE) for x in own.encode_ordinary(text[a : a + PIECE])]
-
-    return encode, own.decode_bytes
+    return lambda text: [x for part in pieces(text) for x in own.encode_ordinary(part)], own.decode_bytes
 
 
 def _chains(roles: pd.Series, texts: pd.Series) -> pd.Series:
@@ -109,8 +130,16 @@ def paths(conversations: DataFrame) -> DataFrame:
     )
 
 
+def packed(ids: list[int]) -> bytes:
+    return np.array(ids, ">u4").tobytes()
+
+
+def unpacked(data: bytes) -> list[int]:
+    return np.frombuffer(data, ">u4").tolist()
+
+
 def tokens(nodes: DataFrame, tokenizer: str | None) -> DataFrame:
-    """node, role, ids, loss_from, loss_to (token indexes) of nodes (node, role, text)."""
+    """node, role, ids (packed), len, loss_from, loss_to (token indexes) of nodes (node, role, text)."""
 
     def run(batches):
         encode, _ = codec(tokenizer)
@@ -119,10 +148,24 @@ def tokens(nodes: DataFrame, tokenizer: str | None) -> DataFrame:
             for node, role, text in zip(pdf["node"], pdf["role"], pdf["text"]):
                 head, body, tail = map(encode, turn_parts(role, text))
                 at = len(head) + (len(body) if role == LOSS_ROLE else 0)
-                out.append((node, role, head + body + tail, len(head), at))
-            yield pd.DataFrame(out, columns=["node", "role", "ids", "loss_from", "loss_to"])
-
-    return nodes.mapInPandas(run, "node string, role string, ids array<int>, loss_from int, loss_to int")
+                ids = head + body + tail
+                out.append((node, role, packed(ids), len(ids), len(head), at))
+            yield pd.DataFrame(out, columns=["node", "role", "ids", "len", "loss_from", "loss_to"])
+
+    return nodes.mapInPandas(run, "node string, role string, ids binary, len long, loss_from int, loss_to int")
+
+
+def expanded(nodes: DataFrame) -> DataFrame:
+    """The nodes with ids, positions and loss (mask) as arrays, one value a token."""
+    nodes = nodes.withColumnRenamed("ids", "__packed")
+    count = F.octet_length("__packed") / 4
+    index = F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1)).cast("int") - 1), lambda i: i < count)
+    number = lambda i: F.conv(F.hex(F.substring("__packed", i * 4 + 1, F.lit(4))), 16, 10).cast("int")
+    kept = [c for c in nodes.columns if c not in ("__packed", "pos", "loss_from", "loss_to")]
+    return nodes.select(
+        *kept, F.transform(index, number).alias("ids"), F.transform(index, lambda i: F.col("pos") + i).alias("positions"),
+        F.transform(index, lambda i: (i >= F.col("loss_from")) & (i < F.col("loss_to"))).alias("loss"),
+    )
 
 
 INTERVALS = "array<struct<start:bigint,end:bigint>>"
@@ -148,8 +191,8 @@ def _merge(nodes: F.Column) -> F.Column:
 def forest(conversations: DataFrame, tokenizer: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(nodes, members).
 
-    nodes: tree, node, parent, depth, start, ids, positions, loss (mask), ancestors; the
-    rows of a tree by start are its sequence. members: conv_id, tree, depth, start: the
+    nodes: tree, node, parent, depth, start, role, ids (packed), pos (position of the first
+    token), loss_from, loss_to, ancestors; the rows of a tree by start are its sequence. members: conv_id, tree, depth, start: the
     nodes of each conversation in order.
     """
     convs = cut(paths(conversations))
@@ -169,7 +212,7 @@ def forest(conversations: DataFrame, tokenizer: str | None = None) -> tuple[Data
     ).select("rank", "tree", "depth", "n.node", "n.parent")
     owned = (
         places.groupBy("node").agg(F.min("rank").alias("rank"), F.first("tree").alias("tree"), F.first("depth").alias("depth"))
-        .join(coded.select("node", F.size("ids").cast("long").alias("len")), "node")
+        .join(coded.select("node", "len"), "node")
     )
     part = F.shiftright("rank", 33)
     by_rank = owned.groupBy("tree", "rank").agg(F.sum("len").alias("new")).withColumn("part", part)
@@ -203,11 +246,8 @@ def forest(conversations: DataFrame, tokenizer: str | None = None) -> tuple[Data
     ranges = F.transform("above", lambda r: F.struct(r["start"].alias("start"), (r["end"] - r["start"]).alias("len")))
     laid = laid.withColumn("len", F.col("start") - F.col("first"))
     ancestors = _merge(F.when(F.col("len") > 0, F.concat(ranges, here)).otherwise(ranges))
-    nodes = laid.withColumn("ancestors", ancestors).join(coded, "node").select(
-        "tree", "node", "parent", "depth", "start", "role", "ids",
-        F.transform("ids", lambda t, i: F.col("pos") + i).alias("positions"),
-        F.transform("ids", lambda t, i: (i >= F.col("loss_from")) & (i < F.col("loss_to"))).alias("loss"),
-        "ancestors",
+    nodes = laid.withColumn("ancestors", ancestors).drop("len").join(coded, "node").select(
+        "tree", "node", "parent", "depth", "start", "role", "ids", "pos", "loss_from", "loss_to", "ancestors"
     )
     members = (
         convs.select("conv_id", F.get("path", F.lit(0)).alias("tree"), F.posexplode("path").alias("depth", "node"))
@@ -219,19 +259,21 @@ def forest(conversations: DataFrame, tokenizer: str | None = None) -> tuple[Data
 def read_back(nodes: DataFrame, members: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """Digests of the conversations as the token rows hold them: conv_id, n_turns, turns_sha256,
     loss_chars, loss_sha256, formatted_chars."""
+    turn = F.struct("depth", "ids", "loss_from", "loss_to")
     rows = (
-        members.join(nodes.select("tree", "start", "ids", "loss"), ["tree", "start"])
-        .groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("depth", "ids", "loss"))).alias("t"))
-        .select(F.col("conv_id").cast("string").alias("id"), F.flatten("t.ids").alias("ids"), F.flatten("t.loss").alias("loss"))
+        members.join(nodes.select("tree", "start", "ids", "loss_from", "loss_to"), ["tree", "start"])
+        .groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
+        .select(F.col("conv_id").cast("string").alias("id"), "t.ids", "t.loss_from", "t.loss_to")
     )
 
     def run(batches):
         _, decode = codec(tokenizer)
         for pdf in batches:
             out = []
-            for key, ids, loss in zip(pdf["id"], pdf["ids"], pdf["loss"]):
-                formatted = decode(list(ids)).decode()
-                under = decode([i for i, m in zip(ids, loss) if m]).decode()
+            for key, parts, starts, stops in zip(pdf["id"], pdf["ids"], pdf["loss_from"], pdf["loss_to"]):
+                parts = [unpacked(p) for p in parts]
+                formatted = decode([i for p in parts for i in p]).decode()
+                under = decode([i for p, a, b in zip(parts, starts, stops) for i in p[a:b]]).decode()
                 turns = parse(formatted)
                 digest = hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
                 lost = unescape(under)

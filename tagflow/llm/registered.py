@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tagflow.llm import backoff, chat, decontaminate, jaccard, langid, merkle, mixing, quality, secrets, sentences, shards, surrogates, trie
-from tagflow.llm.common import UPPER, cut
+from tagflow.llm.common import UPPER
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -206,7 +206,7 @@ def op3(spark, sf):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"),
     )
     nodes, members = chat.forest(own.unionByName(extra), TOKENIZER)
-    return chat.read_back(cut(nodes), members, TOKENIZER)
+    return chat.read_back(nodes, members, TOKENIZER)
 
 
 # The unsigned checksum of a decimal, byte by byte over its table.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import itertools
 import math
@@ -161,6 +162,29 @@ def test_template_round_trip():
         assert chat.parse("".join(parts) * 2) == [(role, text)] * 2
 
 
+def test_long_turns_have_the_tokens_of_the_whole_text(spark):
+    path = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+    rng = random.Random(6)
+    words = ["the", "l'été", "  ", "\n", " \n x", "12 345", "don't", "...", "\u3000", "日本語", "a" * 40, "\t", "é", "ok.", " "]
+    texts = [" ".join(rng.choice(words) for _ in range(12_000)), "x" * 50_000, " " * 50_000, "ab " * 20_000, ""]
+    texts.append("".join(rng.choice(words) for _ in range(15_000)))
+    encode, _ = chat.codec(path)
+    import tiktoken
+
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    whole = tiktoken.Encoding("whole", pat_str=chat.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    for text in texts:
+        assert encode(text) == whole.encode_ordinary(text) and "".join(chat.pieces(text)) == text
+        for least in (1, 7, 1000):
+            assert [i for p in chat.pieces(text, least) for i in whole.encode_ordinary(p)] == whole.encode_ordinary(text)
+    assert len(texts[0]) > 50_000 and len(chat.pieces(texts[0])) > 2
+    df = spark.createDataFrame([(1, 0, "assistant", texts[0])], "conv_id long, turn long, role string, text string")
+    (r,) = chat.expanded(chat.forest(df, path)[0]).collect()
+    head, body, tail = (whole.encode_ordinary(p) for p in chat.turn_parts("assistant", texts[0]))
+    assert r["ids"] == head + body + tail and sum(r["loss"]) == len(body)
+
+
 def brute_convs(rows):
     convs = {}
     for c, turn, role, text in rows:
@@ -180,7 +204,7 @@ def test_chat_forest(spark, tokenizer):
     nodes, members = chat.forest(frame, tokenizer)
     want = brute_convs(rows)
     prefixes = {tuple(ts[:k]) for ts in want.values() for k in range(1, len(ts) + 1)}
-    laid = {(r["tree"], r["start"]): r for r in nodes.collect()}
+    laid = {(r["tree"], r["start"]): r for r in chat.expanded(nodes).collect()}
     assert len(laid) == len(prefixes)
     encode, decode = chat.codec(tokenizer)
     by_tree = {}
