@@ -361,6 +361,42 @@ def f7_rejects(spark, sf):
     return P.fins_results(fins_captures(C.events(spark, sf)))[1].select("seq", "reason")
 
 
+def fins_answers(ev):
+    """Answers to reads of three words, or of twenty bits from bit 9 on; some cut, some refused."""
+    w = F.col("event_id") % 20
+    bits = F.col("event_id") % 2 == 1
+    head = F.concat(F.lit("C00002000100000200010101"), F.when(w == 4, "1103").otherwise("0000"))
+    words = F.concat(*[C.hex_of(F.col("k") * 100 + i, 2) for i in range(3)], F.lit("FF"))
+    flags = F.concat(*[C.hex_of((F.col("event_id") + i * i) % 3, 1) for i in range(20)])
+    text = F.concat(head, F.when(bits, flags).otherwise(words))
+    text = F.when(w == 7, F.substring(text, 1, 44)).when(w == 8, F.substring(text, 1, 38)).otherwise(text)
+    return ev.select(
+        F.col("user_id").alias("device"), F.col("event_id").alias("seq"), F.unhex(text).alias("bytes"),
+        F.when(bits, 0x31).otherwise(0x82).alias("area"), F.lit(100).alias("address"), F.lit(9).alias("bit"),
+        F.when(bits, 20).otherwise(3).alias("expected"),
+    )
+
+
+@query(
+    "f7_fins_reads",
+    f"""select event_id as seq, i as pos, 130 as area, 100 + i as address, null as bit, k * 100 + i as value
+from {EV}, (select unnest([0, 1, 2]) as i) where event_id % 2 = 0 and event_id % 20 not in (4, 8)
+union all select event_id, i, 49, 100 + (9 + i) // 16, (9 + i) % 16, (event_id + i * i) % 3 % 2
+from {EV}, (select unnest(range(20)) as i) where event_id % 2 = 1 and event_id % 20 <> 7""",
+)
+def f7_reads(spark, sf):
+    return P.fins_reads(fins_answers(C.events(spark, sf)))[0].drop("device")
+
+
+@query(
+    "f7_fins_read_rejects",
+    f"""select event_id as seq, case event_id % 20 when 4 then 'end code 1103' when 7 then '8 values of 20' else '2 values of 3' end as reason
+from {EV} where event_id % 20 in (4, 7, 8)""",
+)
+def f7_read_rejects(spark, sf):
+    return P.fins_reads(fins_answers(C.events(spark, sf)))[1].select("seq", "reason")
+
+
 METER = "unit int, total bigint, level double"
 
 

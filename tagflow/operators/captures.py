@@ -65,3 +65,40 @@ def fins_results(captures: DataFrame, keep: tuple[str, ...] = ("device", "seq"))
         )
     )
     return rows, marked.filter(F.col("reason").isNotNull()).select(*keep, "reason")
+
+
+def fins_reads(captures: DataFrame, keep: tuple[str, ...] = ("device", "seq")) -> tuple[DataFrame, DataFrame]:
+    """(values, rejects) of captured answers to a read of one area.
+
+    ``captures``: keep columns, ``bytes`` and what was asked for: ``area`` (code), ``address``
+    (word), ``bit`` (first bit, for bit areas) and ``expected`` (how many). Words take two
+    bytes each and follow each other by address; bits take one byte each, of which the
+    lowest bit counts, and go on into the next word behind bit 15. Bytes behind the
+    expected values are not read; an answer that holds fewer is a reject, as are those of
+    ``fins_results``.
+    """
+    wanted = F.greatest(F.coalesce("expected", F.lit(0)), F.lit(0))
+    is_bit = F.coalesce(F.col("area").isin(*FINS_BIT_AREAS), F.lit(False))
+    size = F.when(is_bit, 1).otherwise(2)
+    there = F.floor((F.octet_length("bytes") - FINS_HEADER) / size).cast("int")
+    code = F.substring(F.hex("bytes"), 25, 4)
+    marked = captures.withColumns({
+        "_bit": is_bit, "_size": size, "_wanted": wanted,
+        "reason": F.when(F.col("bytes").isNull(), "no payload")
+        .when(F.octet_length("bytes") < FINS_HEADER, "shorter than a response head")
+        .when(code != "0000", F.concat(F.lit("end code "), code))
+        .when(there < wanted, F.concat(there.cast("string"), F.lit(" values of "), wanted.cast("string"))),
+    })
+    first = F.coalesce("bit", F.lit(0)) + F.col("pos")
+    cell = F.substring("bytes", FINS_HEADER + 1 + F.col("pos") * F.col("_size"), F.col("_size"))
+    number = F.conv(F.hex(cell), 16, 10).cast("int")
+    rows = marked.filter(F.col("reason").isNull() & (F.col("_wanted") > 0)).withColumn(
+        "pos", F.explode(F.sequence(F.lit(0), F.col("_wanted") - 1))
+    )
+    values = rows.select(
+        *keep, "pos", "area",
+        F.when(F.col("_bit"), F.col("address") + F.floor(first / 16)).otherwise(F.col("address") + F.col("pos")).cast("int").alias("address"),
+        F.when(F.col("_bit"), F.pmod(first, F.lit(16))).cast("int").alias("bit"),
+        F.when(F.col("_bit"), F.pmod(number, F.lit(2))).otherwise(number).alias("value"),
+    )
+    return values, marked.filter(F.col("reason").isNotNull()).select(*keep, "reason")

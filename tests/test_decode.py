@@ -183,6 +183,22 @@ def test_fins(spark):
     assert bad == {1: "end code 0401", 2: "shorter than a response head", 3: "item cut at position 1", 4: "no item at position 1"}
 
 
+def test_fins_single_reads(spark):
+    head = bytes.fromhex("c00002000000000000010101")
+    rows = [
+        (1, head + b"\0\0" + bytes.fromhex("00ff8001"), 0x82, 30, None, 2), (2, head + b"\0\0" + b"\1\0\3\2", 0x30, 7, 14, 4),
+        (3, head + b"\0\0\0", 0x82, 30, None, 1), (4, head + b"\x21\x02", 0x82, 0, 0, 1), (5, head, 0x82, 0, 0, 1),
+        (6, None, 0x82, 0, 0, 1), (7, head + b"\0\0\7", 0x82, 0, 0, 0), (8, head + b"\0\0\1", 0x32, 0, None, None),
+    ]
+    df = spark.createDataFrame([("d", *r) for r in rows], "device string, seq long, bytes binary, area int, address int, bit int, expected int")
+    values, bad = captures.fins_reads(df)
+    got = [(r["seq"], r["address"], r["bit"], r["value"]) for r in values.orderBy("seq", "pos").collect()]
+    assert got == [(1, 30, None, 255), (1, 31, None, 0x8001), (2, 7, 14, 1), (2, 7, 15, 0), (2, 8, 0, 1), (2, 8, 1, 0)]
+    assert {r["seq"]: r["reason"] for r in bad.collect()} == {
+        3: "0 values of 1", 4: "end code 2102", 5: "shorter than a response head", 6: "no payload",
+    }
+
+
 def test_aliases_and_setpoints(spark):
     df = spark.createDataFrame([(s,) for s in ("ai", "AI", "analog-input", "0", "msv", "9999", "nonsense")], "s string")
     assert [r[0] for r in df.select(catalog.object_type_code(F.col("s"))).collect()] == [0, 0, 0, 0, 19, 9999, None]
