@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,23 +91,33 @@ def latest_series(series: DataFrame, keys: Sequence[str | Column] = ("measuremen
     return grouped.agg(F.max_by(F.struct(*columns), F.struct("ts_ns", F.xxhash64(*plain))).alias("_r")).select("_r.*")
 
 
+def first_attempt_ns(spark: SparkSession, path: str) -> int:
+    """Time of the first call for this path, in nanoseconds; later calls return the same one."""
+    spark.range(1).select(F.lit(time.time_ns()).alias("at")).write.mode("ignore").parquet(path)
+    return spark.read.parquet(path).agg(F.min("at")).first()[0]
+
+
 def stream_write_series(
     stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
 ) -> StreamingQuery:
     """Continuous form of ``write_series``.
 
     Every micro-batch owns the folder ``batch_id=n`` and overwrites it, so a batch
-    that is run again after a failure leaves no duplicates.
+    that is run again after a failure leaves no duplicates. Rows without a time take that
+    of the batch's first attempt, which is kept beside the checkpoint, so that a further
+    attempt writes equal rows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_series(batch, f"{path}/batch_id={batch_id}", mode="overwrite")
+        at = first_attempt_ns(batch.sparkSession, f"{checkpoint}-times/{batch_id}")
+        write_series(batch, f"{path}/batch_id={batch_id}", default_ts=F.lit(at), mode="overwrite")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**dict(trigger or {"availableNow": True})).start()
 
 
 __all__ = [
+    "first_attempt_ns",
     "latest_series",
     "query_series",
     "stream_write_series",

@@ -129,3 +129,18 @@ def test_stream_store_is_repeatable(spark, tmp_path):
     for _ in range(2):
         store.stream_write_series(series, path, state).awaitTermination()
     assert store.query_series(spark, path).count() == 184
+
+
+def test_rows_without_time_keep_the_first_attempts(spark, tmp_path):
+    folder = str(tmp_path / "times")
+    first = store.first_attempt_ns(spark, folder)
+    assert first > 10**18 and store.first_attempt_ns(spark, folder) == first
+    rows = spark.range(3).select(F.lit("m").alias("measurement"), F.create_map(F.lit("d"), F.lit("1")).alias("tags"),
+                                 F.create_map(F.lit("k"), V.integer(F.col("id"))).alias("fields"), F.lit(0).alias("ts_ns"))
+    source_ = str(tmp_path / "rows")
+    rows.write.parquet(source_)
+    stream = spark.readStream.schema(rows.schema).parquet(source_)
+    path, state = str(tmp_path / "series"), str(tmp_path / "state0")
+    store.stream_write_series(stream, path, state).awaitTermination()
+    times = {r["ts_ns"] for r in store.query_series(spark, path).collect()}
+    assert times == {store.first_attempt_ns(spark, f"{state}-times/0")}
