@@ -50,6 +50,17 @@ def b1(spark, sf):
     return fields_long(series, "msg_id", "measurement", "ts_ns")
 
 
+@query(
+    "b1_passthrough",
+    f"""select event_id as msg_id, p as pos, ['temp', 'k', 'dup', 'dup', 'bad'][p + 1] as name from {EV}, (select unnest(range(5)) as p)
+where event_type = 'error'""",
+)
+def b1_passthrough(spark, sf):
+    pts = M.read_points(C.acquisition_messages(C.events(spark, sf)))
+    _, rest = S.pivot_points(pts, SeriesMapping("m", (), (("celsius", "temp"), ("none", "missing"), ("", "k"))))
+    return rest.select("msg_id", "pos", "name")
+
+
 @query(
     "b2_select_fields",
     f"""with ev as {EV}
@@ -171,6 +182,24 @@ def b9(spark, sf):
 _LINE_TEXT = "'ev_' || event_type || ',d=' || user_id || ' k=' || k || 'i,v=' || value || ' ' || ts_ns"
 
 
+@query(
+    "s3_rejects",
+    f"""select case event_id % 5 when 0 then 'k' || k when 1 then 'm v=' || k || 'x' when 2 then 'm v=1i 9' || event_id || repeat('0', 20)
+ else 'm,d= v=' || k end as line,
+ case event_id % 5 when 1 then 'invalid field value' when 2 then 'timestamp out of range' else 'invalid line format' end as reason
+from {EV} where event_id % 5 < 4""",
+)
+def s3_rejects(spark, sf):
+    k, number = F.col("k").cast("string"), F.col("event_id").cast("string")
+    which = F.col("event_id") % 5
+    line = (
+        F.when(which == 0, F.concat(F.lit("k"), k)).when(which == 1, F.concat(F.lit("m v="), k, F.lit("x")))
+        .when(which == 2, F.concat(F.lit("m v=1i 9"), number, F.lit("0" * 20))).when(which == 3, F.concat(F.lit("m,d= v="), k))
+        .otherwise(F.concat(F.lit("m v="), k))
+    )
+    return L.read_line_protocol(C.events(spark, sf).select(line.alias("value")))[1].select("line", "reason")
+
+
 @query(
     "s3_read_line_protocol",
     f"""with ev as {EV}, f as (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
-from tagflow.functions.stages import compute_once
+from tagflow.functions.stages import compute_once, join_on
 from tagflow.operators.points import has_error
 from tagflow.schemas import VALUE_T, SeriesMapping
 from tagflow.sources import messages as M
@@ -92,7 +92,10 @@ def pivot_points(
         "fields",
         "ts_ns",
     )
-    return series, points.join(series.select(*keys), list(keys), "left_anti")
+    # A batch is mapped if a good point of it is selected; that takes no pivot.
+    sources = [source for key, source in mapping.fields if key != ""]
+    selected = good.filter(F.col("name").isin(*sources)) if mapping.fields else good
+    return series, join_on(points, selected.select(*keys).distinct(), keys, "left_anti")
 
 
 def _point_row(rows: Column, mapping: SeriesMapping) -> tuple[Column, Column]:
