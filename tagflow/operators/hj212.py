@@ -155,7 +155,7 @@ def cut_segments(
     keys = list(keys)
     types = dict(segments.dtypes)
     placed = _placed(segments, keys, seq, payload, width)
-    blocks = _blocks(placed, keys)
+    blocks = fixed(_blocks(placed, keys))
     heads = _heads(blocks, keys)
     taken = first_disjoint(heads, keys, ["_start"], ["_end"], touching=True, width=BLOCK * 64)
     frames = taken.withColumn("_block", F.call_function("div", F.col("_start"), F.lit(BLOCK).cast("bigint")))
