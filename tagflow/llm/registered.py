@@ -158,17 +158,23 @@ with t as (
                      '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
   from documents),
 w as (select r, unnest(w) as w, generate_subscripts(w, 1) as i from t),
-b as (select r, i, w, lag(w) over (partition by r order by i) as u from w),
+b as (select r, i, w, lag(w) over (partition by r order by i) as u, lag(w, 2) over (partition by r order by i) as v from w),
 c1 as (select w, count(*) as c from w group by w),
 c2 as (select u, w, count(*) as c from b where u is not null group by u, w),
+c3 as (select v, u, w, count(*) as c from b where v is not null group by v, u, w),
 n as (select count(*) as n from w),
+s1 as (select w, c, ln(greatest(c - 1, 1) / greatest(n.n - 1, 1)) as s from c1, n),
+s2 as (select c2.u, c2.w, c2.c, case when c2.c > 1 then ln((c2.c - 1) / (y.c - 1)) else ln(0.4) + x.s end as s
+       from c2 join s1 x on c2.w = x.w join s1 y on c2.u = y.w),
+s3 as (select c3.v, c3.u, c3.w, c3.c, case when c3.c > 1 then ln((c3.c - 1) / (y.c - 1)) else ln(0.4) + x.s end as s
+       from c3 join s2 x on c3.u = x.u and c3.w = x.w join s2 y on c3.v = y.u and c3.u = y.w),
 s as (
-  select b.r, case when b.u is null then ln(x.c / n.n) when c2.c >= 2 then ln(c2.c / y.c) else ln(0.4 * (x.c / n.n)) end as v,
-         case when b.u is not null and c2.c < 2 then 1 else 0 end as off
-  from b cross join n join c1 x on b.w = x.w left join c1 y on b.u = y.w left join c2 on b.u = c2.u and b.w = c2.w),
-a as (select r, sum(v) as v, sum(off) as off from s group by r)
-select doc_id, len(t.w)::bigint as n_words, coalesce(off, 0)::bigint as n_backed_off, round(coalesce(v, 0), 4) as log_score,
-       case when len(t.w) > 0 then round(v / len(t.w), 4) end as mean_log_score
+  select b.r, case when b.v is not null then s3.s when b.u is not null then s2.s else s1.s end as s,
+         case when b.v is not null then s3.c = 1 when b.u is not null then s2.c = 1 else false end as off
+  from b join s1 on b.w = s1.w left join s2 on b.u = s2.u and b.w = s2.w left join s3 on b.v = s3.v and b.u = s3.u and b.w = s3.w),
+a as (select r, sum(s) as s, sum(off::int) as off from s group by r)
+select doc_id, len(t.w)::bigint as n_words, coalesce(off, 0)::bigint as n_backed_off, round(coalesce(s, 0), 4) as log_score,
+       case when len(t.w) > 0 then round(s / len(t.w), 4) end as mean_log_score
 from t left join a on t.r = a.r"""
 
 

@@ -188,23 +188,39 @@ def test_backoff_against_counts(spark):
     tables = [Counter(tuple(w[i : i + n]) for w in words for i in range(len(w) - n + 1)) for n in (1, 2, 3)]
     total = sum(tables[0].values())
 
-    def value(context, word):
+    def value(context, word, least, own):
         if not context:
-            return tables[0][word,] / total
+            return max(tables[0][word,] - own, 1) / (total - own), True
         whole = (*context, word)
-        if tables[len(context)][whole] >= 2:
-            return tables[len(context)][whole] / tables[len(context) - 1][tuple(context)]
-        return 0.4 * value(context[1:], word)
+        if tables[len(context)][whole] - own >= least:
+            return (tables[len(context)][whole] - own) / (tables[len(context) - 1][tuple(context)] - own), True
+        return 0.4 * value(context[1:], word, least, own)[0], False
 
-    for order, sizes in ((2, {}), (3, {"batch_chars": 900, "partition_grams": 100})):
-        got = {r["doc_id"]: r for r in backoff.score(docs, order, **sizes).collect()}
+    for order, least, own in ((2, 2, 0), (3, 2, 0), (3, 1, 1)):
+        got = {r["doc_id"]: r for r in backoff.score(docs, order, least, own=own).collect()}
         for i, w in enumerate(words):
-            want = sum(math.log(value(tuple(w[max(0, k - order + 1) : k]), x)) for k, x in enumerate(w))
-            assert got[i]["n_words"] == len(w) and math.isclose(got[i]["log_score"], want, rel_tol=1e-9, abs_tol=1e-9)
+            want = [value(tuple(w[max(0, k - order + 1) : k]), x, least, own) for k, x in enumerate(w)]
+            assert got[i]["n_words"] == len(w) and math.isclose(got[i]["log_score"], sum(math.log(v) for v, _ in want), rel_tol=1e-9, abs_tol=1e-9)
+            assert got[i]["n_backed_off"] == sum(not seen for _, seen in want)
             assert (got[i]["mean_log_score"] is None) == (not w)
     assert backoff.score(docs.limit(0)).count() == 0
 
 
+def test_backoff_of_repeated_and_long_rows(spark):
+    docs = made(spark, ["a b a c"] * 2 + [None, "word " * 60_000]).where("doc_id > 0")
+    same = spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"))
+    rows = docs.select("doc_id", "text").union(same).withColumn("value", F.lit(1)).withColumn("h", F.lit("x"))
+    got = backoff.score(rows)
+    equal = got.where("doc_id is null").groupBy("n_words", "n_backed_off", F.round("log_score", 6).alias("s")).count().collect()
+    # a, b after a, c after a b; the other text adds one b after a and two words a.
+    total = 4 + 60_000 + 30_000 - 1
+    want = math.log(10_001 / total) + math.log(10_000 / 10_001) + math.log(9_999 / 10_000)
+    assert [tuple(r) for r in equal] == [(3, 0, round(want, 6), 10_000)]
+    one = {r["doc_id"]: r for r in got.where("doc_id is not null").collect()}
+    assert (one[2]["n_words"], one[2]["log_score"], one[2]["mean_log_score"]) == (0, 0.0, None)
+    assert one[3]["n_words"] == 60_000 and one[3]["n_backed_off"] == 0 and one[1]["n_backed_off"] == 2
+
+
 def test_surrogates(spark):
     texts = [
         "Mr. John Smith and Mrs. Anna Bell; Mr John Smith wrote to A.b-1@Foo.com, a.b-1@foo.com of 10.0.0.1.",
