@@ -8,15 +8,18 @@ words say so: at every gap whose hash of the words beside it is the smallest of
 and a cut depends on nothing but the WINDOW words on either side. Every run of `RUN`
 consecutive pieces is hashed (128 bits, on trimmed lower-case pieces); runs are compared
 over all documents; pieces covered by any run that is not the first of its kind
-(smallest doc_id, then text hash, then position) are removed.
+(smallest doc_id, then text hash, then position) are removed, if what such runs cover
+without a gap has at least `LEAST_WORDS` words; so a few short sentences stay.
 
 A passage of 49 words, alike but for case and kind of blanks, holds at least one whole run
 wherever it stands: at either end at most max(LONGEST, 2 * WINDOW - 1) = 15 words can hold
 no whole piece that is sure to be shared, and two pieces between them have at most
-2 * LONGEST = 18. Those ends of a removed passage can stay.
+2 * LONGEST = 18. Those ends of a removed passage can stay; 49 - 2 * 15 = LEAST_WORDS
+words between them go.
 
 Defined cases: null stays null and is never changed; an empty text stays empty; a text
-of fewer than `RUN` pieces has no run and stays; repeats inside one text count too;
+of fewer than `RUN` pieces has no run and stays, as does one of fewer than LEAST_WORDS
+words; repeats inside one text count too;
 words stand between white space, and in scripts written without spaces every character
 is one; repeated rows (same doc_id and text) are one document and stay alike; a null
 doc_id sorts first; an empty table gives an empty result. Columns other than doc_id and
@@ -43,6 +46,11 @@ STOPS = ".!?\u2026\u203c\u203d\u2047\u2048\u2049\u0589\u055c\u055e\u061e\u061f\u
 WIDE_STOPS = "\u3002\uff01\uff0e\uff1f\uff61"
 # First and last characters of the scripts written without spaces.
 UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF))
+LEAST_WORDS = 19
+# A word for the least number: in scripts without spaces, and at wide stops, every character is one.
+_ALONE_CLASS = "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in (*UNSPACED, (0x20000, 0x10FFFF))) + WIDE_STOPS
+_BLANK_CLASS = r"\s\p{Z}\x1C-\x1F\x85"
+_WORD = f"[{_ALONE_CLASS}]|[^{_ALONE_CLASS}{_BLANK_CLASS}]+"
 CHUNK_BYTES = 1_000_000
 _SPACE, _LINE, _STOP, _WIDE, _ALONE, _MARK = 1, 2, 4, 8, 16, 32
 _TOP = 0x20000  # characters from here on are Han
@@ -196,37 +204,48 @@ def repeated(docs: DataFrame, run: int = RUN, longest: int = LONGEST) -> DataFra
     return runs(docs, run, longest).withColumn("n", F.rank().over(kind)).where("n > 1").select("doc_id", "at")
 
 
-def dedup(docs: DataFrame, run: int = RUN, longest: int = LONGEST) -> DataFrame:
+def _islands(at: Column, run: int) -> Column:
+    """(first, last) piece of every stretch that the runs beginning at `at` cover without a gap."""
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    closed = lambda a: F.when(a["first"] >= 0, F.concat(a["done"], F.array(F.struct(a["first"].alias("first"), a["last"].alias("last"))))).otherwise(a["done"])
+    return F.aggregate(
+        F.sort_array(at),
+        F.struct(F.lit(-1).alias("first"), F.lit(-2).alias("last"), none.alias("done")),
+        lambda a, i: F.struct(
+            F.when(i <= a["last"] + 1, a["first"]).otherwise(i).alias("first"), (i + run - 1).alias("last"),
+            F.when(i <= a["last"] + 1, a["done"]).otherwise(closed(a)).alias("done"),
+        ),
+        closed,
+    )
+
+
+def dedup(docs: DataFrame, run: int = RUN, longest: int = LONGEST, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, text (what stays), n_sentences, n_removed, removed_chars; one row per document row."""
     tk = F.shiftright("at", PLACE_BITS)
     covered = (
         repeated(docs, run, longest).groupBy("doc_id", tk.alias("tk"))
         .agg(F.collect_set((F.col("at") - F.shiftleft(tk, PLACE_BITS)).cast("int")).alias("at"))
-        .select(
-            F.col("doc_id").alias("d"), F.col("tk").alias("t"),
-            F.array_distinct(F.flatten(F.transform("at", lambda i: F.sequence(i, i + run - 1)))).alias("gone"),
-        )
+        .select(F.col("doc_id").alias("d"), F.col("tk").alias("t"), _islands(F.col("at"), run).alias("islands"))
     )
     rows = docs.select("doc_id", "text", _upper(F.col("text")).alias("tk"))
     joined = rows.join(covered, rows["doc_id"].eqNullSafe(F.col("d")) & (rows["tk"] == F.col("t")), "left")
     marked = joined.withColumn("s", sentences(F.col("text"), longest))
-    # Both lists are in order: the removed positions are taken off one by one.
+    pieces = lambda a, n: F.array_join(F.slice("s", a + 1, n), "")
+    n_words = lambda x: F.regexp_count(pieces(x["first"], x["last"] - x["first"] + 1), F.lit(_WORD))
+    marked = marked.withColumn("gone", F.filter("islands", lambda x: n_words(x) >= least_words))
+    # The islands are in order: what lies between them stays.
     keep = F.aggregate(
-        F.sort_array("gone"),
+        "gone",
         F.struct(F.lit(0).alias("next"), F.array().cast("array<string>").alias("parts")),
-        lambda a, i: F.struct(
-            (i + 1).alias("next"),
-            F.when(i > a["next"], F.concat(a["parts"], F.array(F.array_join(F.slice("s", a["next"] + 1, i - a["next"]), ""))))
-            .otherwise(a["parts"]).alias("parts"),
-        ),
-        lambda a: F.concat(
-            F.array_join(a["parts"], ""), F.array_join(F.slice("s", a["next"] + 1, F.greatest(F.size("s") - a["next"], F.lit(0))), "")
+        lambda a, x: F.struct(
+            (x["last"] + 1).alias("next"), F.concat(a["parts"], F.array(pieces(a["next"], x["first"] - a["next"]))).alias("parts")
         ),
+        lambda a: F.concat(F.array_join(a["parts"], ""), pieces(a["next"], F.greatest(F.size("s") - a["next"], F.lit(0)))),
     )
-    changed = F.col("gone").isNotNull()
-    text = F.when(changed, keep).otherwise(F.col("text"))
+    removed = F.aggregate("gone", F.lit(0), lambda n, x: n + x["last"] - x["first"] + 1)
+    text = F.when(F.size("gone") > 0, keep).otherwise(F.col("text"))
     return marked.select(
         "doc_id", text.alias("text"), F.size("s").cast("long").alias("n_sentences"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(removed, F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce(F.length("text") - F.length(text), F.lit(0)).cast("long").alias("removed_chars"),
     )

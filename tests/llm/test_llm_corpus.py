@@ -145,12 +145,21 @@ def test_sentences_are_lossless_and_removed_by_span(spark):
             run = tuple(clean[i][a : a + 3])
             if first.setdefault(run, (i, a)) != (i, a):
                 gone[i] |= {a, a + 1, a + 2}
-    got = {r["doc_id"]: r for r in sentences.dedup(docs).collect()}
-    assert len(got) == len(texts)
-    for i, t in enumerate(texts):
-        assert "".join(pieces[i]) == (t or "")
-        want = None if t is None else "".join(s for k, s in enumerate(pieces[i]) if k not in gone[i])
-        assert (got[i]["text"], got[i]["n_removed"]) == (want, len(gone[i]))
+    for least in (1, 19):
+        got = {r["doc_id"]: r for r in sentences.dedup(docs, least_words=least).collect()}
+        assert len(got) == len(texts)
+        for i, t in enumerate(texts):
+            assert "".join(pieces[i]) == (t or "")
+            for k in sorted(gone[i]):  # short stretches stay
+                if k - 1 not in gone[i]:
+                    stretch = [k]
+                    while stretch[-1] + 1 in gone[i]:
+                        stretch.append(stretch[-1] + 1)
+                    if len("".join(pieces[i][j] for j in stretch).split()) < least:
+                        gone[i] -= set(stretch)
+            want = None if t is None else "".join(s for k, s in enumerate(pieces[i]) if k not in gone[i])
+            assert (got[i]["text"], got[i]["n_removed"]) == (want, len(gone[i]))
+        assert (got[9]["n_removed"] > 0) == (least == 1)  # a. b. c. twice
     assert passage.split(".")[2] in got[0]["text"] and all(passage.split(".")[2] not in got[i]["text"] for i in (1, 2, 3))
     same = docs.where("doc_id = 0")
     assert all(r["n_removed"] == 0 for r in sentences.dedup(same.union(same)).collect())
@@ -178,9 +187,18 @@ def test_passages_within_sentences_are_found(spark):
         assert got[2 * k]["n_removed"] == 0 and got[2 * k + 1]["n_removed"] >= 3, k
         left = got[2 * k + 1]["text"].split()
         assert f"v{2 * k + 1}" in left and f"w{2 * k + 1}" in left
+    # The two share 14 characters only.
+    assert got[len(texts) - 1]["text"] == texts[-1]
+    got = {r["doc_id"]: r for r in sentences.dedup(rows, least_words=14).collect()}
     assert got[len(texts) - 1]["text"].startswith("另外") and "公园" not in got[len(texts) - 1]["text"]
 
 
+def test_short_sentences_are_no_passage(spark):
+    texts = ["First of all this. Yes. No. Ok. The one.", "Then another here. Yes. No. Ok. That two.", "今天。很好。好吗？", "今天。很好。好吗？"]
+    got = sentences.dedup(made(spark, texts)).collect()
+    assert all(r["n_removed"] == 0 and r["text"] == texts[r["doc_id"]] for r in got)
+
+
 def test_backoff_against_counts(spark):
     texts = some_texts(20)
     docs = made(spark, texts)
