@@ -262,6 +262,21 @@ def s6(spark, sf):
     return out.select("measurement", "ts_ns", F.col("v.num").alias("v"))
 
 
+@query(
+    "s6_query_series_by_tag",
+    f"""select 'ev_' || event_type as measurement, cast(user_id as varchar) as d, ts_ns, value as v, false as one_series from {EV} where user_id = 7
+union all select 'ev_view', '11', ts_ns, value, true from {EV} where user_id = 11 and event_type = 'view'""",
+)
+def s6_by_tag(spark, sf):
+    """All series of one tag value, and one whole series."""
+    path, layout = shared_folder(spark, "series"), store.Layout(("d",), 8)
+    store.write_series(C.series(C.events(spark, sf)), path, layout=layout)
+    tagged = store.query_series(spark, path, tags={"d": "7"}, fields=["v"], layout=layout)
+    one = store.query_series(spark, path, "ev_view", {"d": "11"}, ["v"], layout=layout, whole_tags=True)
+    rows = tagged.withColumn("one_series", F.lit(False)).unionByName(one.withColumn("one_series", F.lit(True)))
+    return rows.select("measurement", F.col("tags")["d"].alias("d"), "ts_ns", F.col("v.num").alias("v"), "one_series")
+
+
 @query(
     "s6_query_series_sql",
     f"select 'ev_' || event_type as measurement, count(*) as rows, max(ts_ns) as newest from {EV} group by 1",

@@ -1,9 +1,17 @@
-"""Stored series: partitioned parquet, read back by measurement, tags and time."""
+"""Stored series: partitioned parquet, read back by measurement, tags and time.
+
+Rows lie in folders by measurement and date, and by a bucket of the series where the
+``Layout`` has several. In a file they are in the order of series and time, so that a row
+group holds few series. The series' id and the tags that the layout names are columns of
+their own, with statistics and a Bloom filter each: a filter on them is pushed to the
+files and skips row groups, which a filter on a map cannot.
+"""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +20,54 @@ from pyspark.sql.streaming import StreamingQuery
 from tagflow.operators.series import valid_fields, write_time_ns
 
 
-def to_stored(series: DataFrame, default_ts: Column | None = None) -> DataFrame:
-    """Storable rows: valid fields only, unset times filled, ``date`` added."""
+@dataclass(frozen=True)
+class Layout:
+    """How a store is laid out; give the same one to all writes and reads of a store.
+
+    ``indexed_tags``: tags that are often asked for. ``buckets``: folders of series under
+    a date; choose as many as make the files of one of them fit the usual file size.
+    """
+
+    indexed_tags: tuple[str, ...] = ()
+    buckets: int = 1
+
+    @property
+    def folders(self) -> list[str]:
+        return ["measurement", "date"] + (["bucket"] if self.buckets > 1 else [])
+
+    @property
+    def tag_columns(self) -> dict[str, str]:
+        return {tag: f"tag_{tag}" for tag in self.indexed_tags}
+
+    def bucket_of(self, series: Column) -> Column:
+        return F.pmod(series, F.lit(self.buckets)).cast("int")
+
+
+PLAIN = Layout()
+
+
+def series_id(measurement: Column, tags: Column) -> Column:
+    """64 bits that stand for a measurement with its tags, whatever their order."""
+    entries = F.array_sort(F.map_entries(F.coalesce(tags, F.create_map().cast("map<string,string>"))))
+    return F.xxhash64(measurement, F.transform(entries, lambda e: F.concat_ws("=", *[_counted(e[k]) for k in ("key", "value")])))
+
+
+def _counted(text: Column) -> Column:
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def to_stored(series: DataFrame, default_ts: Column | None = None, layout: Layout = PLAIN) -> DataFrame:
+    """Storable rows: valid fields only, unset times filled; ``date`` and the layout's columns added."""
     default_ts = default_ts if default_ts is not None else write_time_ns()
     timed = valid_fields(series).withColumn(
         "ts_ns", F.when(F.coalesce("ts_ns", F.lit(0)) == 0, default_ts).otherwise(F.col("ts_ns")).cast("bigint")
     )
     seconds = F.call_function("div", F.col("ts_ns"), F.lit(1_000_000_000).cast("bigint"))
-    return timed.withColumn("date", F.to_date(F.timestamp_seconds(seconds)))
+    named = {c: F.col("tags")[tag] for tag, c in layout.tag_columns.items()}
+    out = timed.withColumns(
+        {"date": F.to_date(F.timestamp_seconds(seconds)), "series_id": series_id(F.col("measurement"), F.col("tags")), **named}
+    )
+    return out.withColumn("bucket", layout.bucket_of(F.col("series_id"))) if layout.buckets > 1 else out
 
 
 def write_series(
@@ -28,16 +76,24 @@ def write_series(
     default_ts: Column | None = None,
     mode: str = "append",
     rebalance: bool = True,
+    layout: Layout = PLAIN,
 ) -> None:
-    """Append rows under measurement and date folders.
+    """Append rows under the folders of the layout, in each file by series and time.
 
     Rebalancing puts rows of a folder together for few files, and AQE splits a
     folder that is too large for one task, so a hot measurement is written by many.
     """
-    stored = to_stored(series, default_ts)
+    stored = to_stored(series, default_ts, layout)
     if rebalance:
-        stored = stored.hint("rebalance", "measurement", "date")
-    stored.write.mode(mode).partitionBy("measurement", "date").parquet(path)
+        stored = stored.hint("rebalance", *layout.folders)
+    # Spark sorts anew, by folders only, where a folder's name may be null (an empty name has the same folder).
+    stored = stored.withColumn("measurement", F.coalesce("measurement", F.lit("")))
+    writer = stored.sortWithinPartitions(*layout.folders, "series_id", "ts_ns").write.mode(mode)
+    # The filter's size follows the number of distinct values in the row group.
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for name in ("series_id", *layout.tag_columns.values()):
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.partitionBy(*layout.folders).parquet(path)
 
 
 def query_series(
@@ -50,11 +106,15 @@ def query_series(
     end_ns: int | None = None,
     sql: str | None = None,
     view: str = "series",
+    layout: Layout = PLAIN,
+    whole_tags: bool = False,
 ) -> DataFrame:
     """Stored rows by measurement, tags and time range, or by SQL over view ``series``.
 
-    Measurement and dates select folders; the time range is also pushed to the
-    files. Named ``fields`` become columns (VALUE_T).
+    Measurement and dates select folders; the time range and the layout's indexed tags
+    are also pushed to the files. With ``whole_tags`` the tags are those of one series, no
+    others beside them: its bucket is read only, and its id is pushed. Named ``fields``
+    become columns (VALUE_T).
     """
     stored = spark.read.parquet(path)
     if sql is not None:
@@ -70,7 +130,20 @@ def query_series(
             else:
                 stored = stored.filter((F.col("date") <= day) & (F.col("ts_ns") < bound))
     for key, value in (tags or {}).items():
+        if key in layout.tag_columns:
+            stored = stored.filter(F.col(layout.tag_columns[key]) == value)
         stored = stored.filter(F.col("tags")[key] == value)
+    if whole_tags:
+        if measurement is None:
+            raise ValueError("a series has a measurement")
+        # A number at planning time, so that folders and files are chosen by it.
+        cells = [F.lit(x) for pair in (tags or {}).items() for x in pair]
+        wanted = series_id(F.lit(measurement), F.create_map(*cells) if cells else F.create_map().cast("map<string,string>"))
+        one = spark.range(1).select(wanted.alias("id")).first()["id"]
+        stored = stored.filter((F.col("series_id") == one) & (F.size("tags") == len(tags or {})))
+        if layout.buckets > 1:
+            stored = stored.filter(F.col("bucket") == one % layout.buckets)
+    stored = stored.drop("series_id", "bucket", *layout.tag_columns.values())
     if fields is not None:
         stored = stored.select(
             "measurement", "tags", "ts_ns",
@@ -98,7 +171,7 @@ def first_attempt_ns(spark: SparkSession, path: str) -> int:
 
 
 def stream_write_series(
-    stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None
+    stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None, layout: Layout = PLAIN
 ) -> StreamingQuery:
     """Continuous form of ``write_series``.
 
@@ -110,16 +183,18 @@ def stream_write_series(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = first_attempt_ns(batch.sparkSession, f"{checkpoint}-times/{batch_id}")
-        write_series(batch, f"{path}/batch_id={batch_id}", default_ts=F.lit(at), mode="overwrite")
+        write_series(batch, f"{path}/batch_id={batch_id}", default_ts=F.lit(at), mode="overwrite", layout=layout)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**dict(trigger or {"availableNow": True})).start()
 
 
 __all__ = [
+    "Layout",
     "first_attempt_ns",
     "latest_series",
     "query_series",
+    "series_id",
     "stream_write_series",
     "to_stored",
     "write_series",

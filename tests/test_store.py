@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import struct
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from helpers import fields_of, plain
@@ -72,6 +73,64 @@ def test_store_prunes_and_fills_time(spark, tmp_path):
     assert store.query_series(spark, path, sql="select count(*) as n from series").first()["n"] == 10
 
 
+def rows_read(df):
+    """Rows that the scan gave on, after it skipped row groups."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    todo, total = [node], 0
+    while todo:
+        node = todo.pop()
+        if "QueryStage" in node.nodeName() or node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.plan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_layout_skips_what_is_not_asked_for(spark, tmp_path):
+    path, layout = str(tmp_path / "series"), store.Layout(("host",), 4)
+    host = F.concat(F.lit("h"), (F.col("id") % 200).cast("string"))
+    df = spark.range(4000).select(
+        F.when(F.col("id") >= 0, "cpu").alias("measurement"),
+        F.when(F.col("id") % 200 == 7, F.create_map(F.lit("host"), host, F.lit("rack"), F.lit("r1")))
+        .when(F.col("id") % 200 == 8, F.create_map(F.lit("rack"), F.lit("r1")))
+        .otherwise(F.create_map(F.lit("host"), host)).alias("tags"),
+        F.create_map(F.lit("v"), V.integer(F.col("id"))).alias("fields"), (F.col("id") + 1).alias("ts_ns"),
+    )
+    store.write_series(df, path, layout=layout)
+    assert store.query_series(spark, path, layout=layout).columns == store.query_series(spark, path).drop("tag_host").columns
+    assert store.query_series(spark, path, layout=layout).count() == 4000
+    for tags, n in (({"host": "h7"}, 20), ({"host": "h7", "rack": "r1"}, 20), ({"rack": "r1"}, 40), ({"host": "none"}, 0)):
+        assert store.query_series(spark, path, tags=tags, layout=layout).count() == n
+        assert store.query_series(spark, path, tags=tags).count() == n
+    by_tag = store.query_series(spark, path, "cpu", {"host": "h9"}, layout=layout)
+    assert "EqualTo(tag_host,h9)" in by_tag._jdf.queryExecution().executedPlan().toString()
+    # One host is in one bucket; the other files are skipped by dictionary or Bloom filter.
+    assert 20 <= rows_read(by_tag) < 2000 and rows_read(store.query_series(spark, path, "cpu", {"host": "none"}, layout=layout)) == 0
+    for tags, n in (({"host": "h7"}, 0), ({"rack": "r1", "host": "h7"}, 20), ({"rack": "r1"}, 20), ({}, 0)):
+        one = store.query_series(spark, path, "cpu", tags, layout=layout, whole_tags=True)
+        assert one.count() == n and rows_read(one) < 2000
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(series_id" in plan and "bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    files = list((tmp_path / "series").glob("measurement=cpu/date=*/bucket=1/*.parquet"))
+    for file in files:
+        ids = pq.read_table(file, columns=["series_id"], partitioning=None)["series_id"].to_pylist()
+        assert ids == sorted(ids) and len(set(ids)) < 200
+    assert files
+
+
+def test_series_ids_tell_tags_apart(spark):
+    made = [{"a": "1", "b": "2"}, {"a": "1", "b": None}, {"a": "1"}, {"a=1": "2"}, {}, {"a": "1=2:b"}]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "i int, tags map<string,string>")
+    got = {r["id"] for r in df.select(store.series_id(F.lit("m"), F.col("tags")).alias("id")).collect()}
+    assert len(got) == len(made)
+    turned = spark.sql("select map('b', '2', 'a', '1') as t, map('a', '1', 'b', '2') as u, cast(null as map<string,string>) as n, map() as e")
+    row = turned.select(*[store.series_id(F.lit("m"), F.col(c).cast("map<string,string>")).alias(c) for c in "tune"]).first()
+    assert row["t"] == row["u"] and row["n"] == row["e"]
+
+
 def test_decoded_telegrams_reach_the_store(spark, tmp_path):
     """Capture, decoder, flat rows, series, store and back."""
     telegram = lambda unit, total, level: (h := struct.pack("<cBIH", b"Q", unit, total, level)) + bytes([sum(h) % 256])
