@@ -269,7 +269,7 @@ union all select 'ev_view', '11', ts_ns, value, true from {EV} where user_id = 1
 )
 def s6_by_tag(spark, sf):
     """All series of one tag value, and one whole series."""
-    path, layout = shared_folder(spark, "series"), store.Layout(("d",), 2)
+    path, layout = shared_folder(spark, "series"), store.Layout(("d",))
     store.write_series(C.series(C.events(spark, sf)), path, layout=layout)
     tagged = store.query_series(spark, path, tags={"d": "7"}, fields=["v"], layout=layout)
     one = store.query_series(spark, path, "ev_view", {"d": "11"}, ["v"], layout=layout, whole_tags=True)
