@@ -225,6 +225,29 @@ def s3(spark, sf):
     )
 
 
+@query(
+    "s3_values_over_lines",
+    f"""select 'ev' as measurement, cast(user_id as varchar) as d, ts_ns,
+ case event_id % 3 when 0 then 'first ' || k || chr(10) || '# two' || chr(10) || chr(10) || 'ev,d=1 v=1i 5 "x", ' || k else 'one ' || k end as note, null as reason
+ from {EV} where event_id % 10 <> 4
+union all select null, null, null, 'ev,d=' || user_id || ' note="open ' || k, 'invalid line format' from {EV} where event_id % 10 = 4""",
+)
+def s3_values_over_lines(spark, sf):
+    """Files with values of several lines, among lines that open a value and never close it."""
+    k, user = F.col("k").cast("string"), F.col("user_id").cast("string")
+    long_note = F.concat(F.lit("first "), k, F.lit('\n# two\n\nev,d=1 v=1i 5 \\"x\\", '), k)
+    note = F.when(F.col("event_id") % 3 == 0, long_note).otherwise(F.concat(F.lit("one "), k))
+    whole = F.concat(F.lit("ev,d="), user, F.lit(' note="'), note, F.lit('" '), F.col("ts_ns").cast("string"))
+    broken = F.concat(F.lit("ev,d="), user, F.lit(' note="open '), k)
+    path = shared_folder(spark, "lines")
+    C.events(spark, sf).select(F.when(F.col("event_id") % 10 == 4, broken).otherwise(whole).alias("value")).write.text(path)
+    series, rejects = L.read_line_protocol(path, spark)
+    read = series.select("measurement", F.col("tags")["d"].alias("d"), "ts_ns", F.col("fields")["note"]["str"].alias("note"))
+    return read.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejects.select(F.col("line").alias("note"), "reason"), allowMissingColumns=True
+    )
+
+
 @query("s5_write_line_protocol", f"select {_LINE_TEXT} as line from {EV}")
 def s5(spark, sf):
     """Lines written to text files and read back as text."""

@@ -15,7 +15,7 @@ from entry_queries import windows as WQ
 from entry_queries.series import fields_long, shared_folder, with_tag
 from fixtures import captures as C
 from tagflow.operators import windows as W
-from tagflow.sources import store
+from tagflow.sources import commits, store
 from tagflow.streaming import stateful
 
 _H = 3_600 * 10**9
@@ -57,6 +57,23 @@ def s8(spark, sf):
     return fields_long(with_tag(store.query_series(spark, path)), "measurement", "d", "ts_ns")
 
 
+@query(
+    "s8_compacted_batches",
+    f"""select 'ev_' || event_type as measurement, cast(user_id as varchar) as d, ts_ns, f as field,
+case f when 'v' then value else k end as num, 1 as folders from {EV}, (select unnest(['v', 'k']) as f)""",
+)
+def s8_compacted(spark, sf):
+    """Two batches, one of them run twice, merged into one folder."""
+    path = shared_folder(spark, "series-batches")
+    events = C.events(spark, sf)
+    for batch in (0, 1, 1):
+        store.write_batch(C.series(events.filter(F.col("event_id") % 2 == batch)), path, batch, F.lit(1))
+    store.compact_batches(spark, path, fan_in=2)
+    commits.vacuum(spark, path)
+    out = fields_long(with_tag(store.query_series(spark, path)), "measurement", "d", "ts_ns")
+    return out.withColumn("folders", F.lit(len(commits.entries(spark, path))))
+
+
 @query(
     "w1_tumbling_stream",
     f"select event_type as name, (ts_ns // {_H} + 1) * {_H} as end_ns, {WQ._AGG_SQL} from {WQ._GOOD} group by 1, 2",

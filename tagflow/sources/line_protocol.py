@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import values as V
 from tagflow.functions.stages import compute_once, let
+from tagflow.sources import records
 
 # Characters are single or escaped by a backslash; possessive loops keep the
 # patterns linear on long lines.
@@ -17,6 +18,13 @@ _STRING = r'"(?:[^"\\]|\\.)*+"'
 _PLAIN = r'[^", \t]++'
 _FIELD = rf"{_KEY}=(?:{_STRING}|{_PLAIN})"
 _LINE = rf"(?s)^({_NAME})((?:,{_TAG})*+)[ \t]++({_FIELD}(?:,{_FIELD})*+)(?:[ \t]++(-?\d+))?[ \t]*+\r?$"
+# A line whose last value stays open; lines read from inside a value: one that goes on
+# inside it or another one, and one that ends the record.
+_OPEN = r'"(?:[^"\\]|\\.)*+\\?$'
+_TO_QUOTE = r'^(?:[^"\\]|\\.)*+"'
+_OPENS = rf"(?s)^(?!#){_NAME}(?:,{_TAG})*+[ \t]++(?:{_FIELD},)*+{_KEY}={_OPEN}"
+_REOPENS = rf"(?s){_TO_QUOTE}(?:,{_FIELD})*+,{_KEY}={_OPEN}"
+_CLOSES = rf"(?s){_TO_QUOTE}(?:,{_FIELD})*+(?:[ \t]++-?\d+)?[ \t]*+\r?$"
 
 
 def _unescape(col: Column, chars: str) -> Column:
@@ -97,11 +105,32 @@ def parse_lines(
 
 
 def read_line_protocol(
-    source: str | DataFrame, spark: SparkSession | None = None, default_ts: Column | None = None
+    source: str | DataFrame,
+    spark: SparkSession | None = None,
+    default_ts: Column | None = None,
+    line_ends_in_values: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """(series, rejects) from text files or from a frame with a ``value`` column."""
-    lines = source if isinstance(source, DataFrame) else spark.read.text(source)
-    return parse_lines(lines, default_ts=default_ts)
+    """(series, rejects) from text files or from a frame with a ``value`` column.
+
+    A frame holds one record a row. In files a quoted value may hold line ends, also where
+    they fall in different blocks (``records``); this moves the lines once. For files that
+    are known to have none, ``line_ends_in_values=False`` reads each line where it lies.
+    """
+    if isinstance(source, DataFrame):
+        return parse_lines(source, default_ts=default_ts)
+    if not line_ends_in_values:
+        return parse_lines(spark.read.text(source), default_ts=default_ts)
+    return parse_lines(joined_lines(records.file_lines(spark, source)), default_ts=default_ts)
+
+
+def joined_lines(lines: DataFrame) -> DataFrame:
+    """``value``: one record a row, of lines as ``records.file_lines`` gives them."""
+    value = F.col("value")
+    quoted = value.contains('"')
+    opens = quoted & F.regexp_replace(value, r"^[ \t]+", "").rlike(_OPENS)
+    # Every line without a quote goes on; so does one whose quotes are all escaped.
+    goes_on = ~quoted | ~value.rlike(rf"(?s){_TO_QUOTE}") | value.rlike(_REOPENS)
+    return records.whole_records(lines, opens, goes_on, quoted & value.rlike(_CLOSES))
 
 
 def _escape(col: Column, chars: str) -> Column:

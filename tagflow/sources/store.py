@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagflow.operators.series import valid_fields, write_time_ns
+from tagflow.sources import commits
 
 
 @dataclass(frozen=True)
@@ -83,7 +84,10 @@ def write_series(
     Rebalancing puts rows of a folder together for few files, and AQE splits a
     folder that is too large for one task, so a hot measurement is written by many.
     """
-    stored = to_stored(series, default_ts, layout)
+    _write_stored(to_stored(series, default_ts, layout), path, mode, rebalance, layout)
+
+
+def _write_stored(stored: DataFrame, path: str, mode: str, rebalance: bool, layout: Layout) -> None:
     if rebalance:
         stored = stored.hint("rebalance", *layout.folders)
     # Spark sorts anew, by folders only, where a folder's name may be null (an empty name has the same folder).
@@ -114,9 +118,11 @@ def query_series(
     Measurement and dates select folders; the time range and the layout's indexed tags
     are also pushed to the files. With ``whole_tags`` the tags are those of one series, no
     others beside them: its bucket is read only, and its id is pushed. Named ``fields``
-    become columns (VALUE_T).
+    become columns (VALUE_T). Of a store with a commit list (``stream_write_series``) the
+    committed folders are read.
     """
-    stored = spark.read.parquet(path)
+    stored = commits.read_committed(spark, path)
+    stored = spark.read.parquet(path) if stored is None else stored
     if sql is not None:
         stored.createOrReplaceTempView(view)
         return spark.sql(sql)
@@ -170,20 +176,40 @@ def first_attempt_ns(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).agg(F.min("at")).first()[0]
 
 
+def write_batch(series: DataFrame, path: str, batch_id: int, default_ts: Column, layout: Layout = PLAIN) -> None:
+    """One batch as a folder of its own, valid to readers once it is complete.
+
+    A batch that is already committed stays as it is, one that was left half written is
+    overwritten: however often it is run, its rows are there once.
+    """
+    spark = series.sparkSession
+    if any(e.first <= batch_id <= e.last for e in commits.entries(spark, path)):
+        return
+    folder = f"{path}/batch_id={batch_id}"
+    stored = to_stored(series, default_ts, layout)
+    _write_stored(stored, folder, "overwrite", True, layout)
+    commits.commit(spark, path, commits.Entry(batch_id, batch_id, 0, folder, stored.schema.json()))
+
+
+def compact_batches(spark: SparkSession, path: str, layout: Layout = PLAIN, fan_in: int = 16) -> list[commits.Entry]:
+    """Merge the folders of small batches, by the same layout; the replaced ones stay until ``vacuum``."""
+    return commits.compact(spark, path, lambda rows, folder: _write_stored(rows, folder, "overwrite", True, layout), fan_in)
+
+
 def stream_write_series(
     stream: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] | None = None, layout: Layout = PLAIN
 ) -> StreamingQuery:
     """Continuous form of ``write_series``.
 
-    Every micro-batch owns the folder ``batch_id=n`` and overwrites it, so a batch
-    that is run again after a failure leaves no duplicates. Rows without a time take that
+    Every micro-batch is a ``write_batch``, so one that is run again after a failure leaves
+    no duplicates and readers see it whole or not at all. Rows without a time take that
     of the batch's first attempt, which is kept beside the checkpoint, so that a further
-    attempt writes equal rows.
+    attempt writes equal rows. ``compact_batches`` may run beside the stream.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         at = first_attempt_ns(batch.sparkSession, f"{checkpoint}-times/{batch_id}")
-        write_series(batch, f"{path}/batch_id={batch_id}", default_ts=F.lit(at), mode="overwrite", layout=layout)
+        write_batch(batch, path, batch_id, F.lit(at), layout)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**dict(trigger or {"availableNow": True})).start()
@@ -191,11 +217,13 @@ def stream_write_series(
 
 __all__ = [
     "Layout",
+    "compact_batches",
     "first_attempt_ns",
     "latest_series",
     "query_series",
     "series_id",
     "stream_write_series",
     "to_stored",
+    "write_batch",
     "write_series",
 ]

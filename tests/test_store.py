@@ -12,7 +12,7 @@ from tagflow.operators import decode
 from tagflow.operators.series import flat_to_series
 from tagflow.schemas import SeriesMapping
 from tagflow.sources import line_protocol as L
-from tagflow.sources import store
+from tagflow.sources import commits, store
 
 
 def lines(spark, *texts):
@@ -153,3 +153,91 @@ def test_decoded_telegrams_reach_the_store(spark, tmp_path):
     assert fields_of(row) == {"total": 70_003.0, "level": 9.0} and (row["tags"], row["ts_ns"]) == ({"unit": "4"}, 2)
     ties = store.query_series(spark, path).withColumn("ts_ns", F.lit(1))
     assert len({str(store.latest_series(ties.repartition(n), ["measurement"]).first()) for n in (1, 2, 3)}) == 1
+
+
+def read_files(spark, folder, **files):
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / f"{name}.txt").write_bytes(text.encode())
+    series, rejects = L.read_line_protocol(str(folder), spark, default_ts=F.lit(9))
+    notes = sorted((r["measurement"], plain(r["fields"]["s"]) if "s" in r["fields"] else None) for r in series.collect())
+    return notes, sorted(r["line"] for r in rejects.collect())
+
+
+def test_values_over_line_ends(spark, tmp_path):
+    text = 'a s="x\ny",n=1i 5\nb n=2\n  c s="1\n\n# no note\nd n=3 4\\"\n",t="p\nq",n=1\n# "note\ne s="in one"\n'
+    notes, rejects = read_files(spark, tmp_path / "whole", f=text)
+    assert notes == [("a", "x\ny"), ("b", None), ("c", '1\n\n# no note\nd n=3 4"\n'), ("e", "in one")] and rejects == []
+
+
+def test_open_values_take_nothing_with_them(spark, tmp_path):
+    # Never closed; closed by something that cannot be; an empty value opened at a line's end.
+    notes, rejects = read_files(
+        spark, tmp_path / "open",
+        f='a s="x\nb n=1\nc s="1"\nd s="2\n3"\n', g='e s="x\nf n=1\n', h='g s="\nh s="v"\ni s="\n"\n', empty="",
+    )
+    assert notes == [("b", None), ("c", "1"), ("d", "2\n3"), ("f", None), ("h", "v"), ("i", "\n")]
+    assert rejects == ['a s="x', 'e s="x', 'g s="']
+
+
+def test_values_over_blocks_of_a_file(spark, tmp_path):
+    """Blocks of 64 bytes: records begin, go on and end in different ones; some span several."""
+    import random
+
+    rng = random.Random(5)
+    text, want = [], []
+    for i in range(200):
+        note = "n" + "\n".join("z" * rng.choice((0, 3, 40, 90)) for _ in range(rng.choice((1, 1, 2, 5))))
+        if rng.random() < 0.1:
+            text.append(f'bad{i} s="open')
+        text.append(f'm{i} s="{note}" {i + 1}')
+        want.append((f"m{i}", note))
+    size = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64b")
+    try:
+        notes, rejects = read_files(spark, tmp_path / "blocks", f="\n".join(text) + "\n")
+    finally:
+        spark.conf.set(size, before)
+    assert notes == sorted(want) and rejects == sorted(t for t in text if t.startswith("bad"))
+
+
+def batch_rows(spark, *values):
+    return spark.createDataFrame([(v,) for v in values], "v int").select(
+        F.lit("m").alias("measurement"), F.create_map(F.lit("d"), (F.col("v") % 3).cast("string")).alias("tags"),
+        F.create_map(F.lit("v"), V.integer(F.col("v"))).alias("fields"), F.col("v").cast("bigint").alias("ts_ns"),
+    )
+
+
+def test_batches_are_valid_when_complete(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    store.write_batch(batch_rows(spark, 1, 2), path, 0, F.lit(9))
+    store.write_batch(batch_rows(spark), path, 1, F.lit(9))
+    # Written without a commit, as by an attempt that was stopped.
+    store.write_series(batch_rows(spark, 50), f"{path}/batch_id=2", default_ts=F.lit(9))
+
+    def times():
+        return sorted(r["ts_ns"] for r in store.query_series(spark, path).collect())
+
+    assert times() == [1, 2]
+    store.write_batch(batch_rows(spark, 3), path, 2, F.lit(9))
+    store.write_batch(batch_rows(spark, 4, 5), path, 2, F.lit(9))
+    assert times() == [1, 2, 3]
+
+
+def test_compaction_merges_levels(spark, tmp_path):
+    path, layout = str(tmp_path / "small"), store.Layout(("d",), 2)
+    for batch in range(5):
+        store.write_batch(batch_rows(spark, 2 * batch + 1, 2 * batch + 2), path, batch, F.lit(9), layout)
+    made = store.compact_batches(spark, path, layout, fan_in=2)
+    assert [(e.first, e.last, e.level) for e in made] == [(0, 1, 1), (2, 3, 1), (0, 3, 2)]
+
+    def values(**how):
+        return sorted(int(plain(r["v"])) for r in store.query_series(spark, path, "m", fields=["v"], layout=layout, **how).collect())
+
+    assert values() == list(range(1, 11)) and values(tags={"d": "0"}) == [3, 6, 9]
+    # A late second attempt of a merged batch adds nothing.
+    store.write_batch(batch_rows(spark, 1, 2), path, 0, F.lit(9), layout)
+    assert len(commits.vacuum(spark, path)) == 6 and not (tmp_path / "small" / "batch_id=0").exists()
+    assert values() == list(range(1, 11)) and [(e.first, e.last) for e in commits.entries(spark, path)] == [(0, 3), (4, 4)]
+    assert store.compact_batches(spark, path, layout, fan_in=2) == [] and commits.vacuum(spark, path) == []
