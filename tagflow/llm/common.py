@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -58,30 +59,42 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Size of a Bloom filter in bits; it stays the same however many keys there are.
-BITS = 1 << 20
+# Bits of a Bloom filter: so many for each key, and at most one megabyte in all. It only
+# spares a join rows, so a fuller filter costs time and changes no result.
+BITS_A_KEY, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 23
 
 
-def _bits_of(h: Column) -> tuple[Column, Column]:
-    return F.pmod(h, F.lit(BITS)), F.pmod(F.shiftright(h, 24), F.lit(BITS))
+@dataclass(frozen=True)
+class Bloom:
+    """``bits`` bits as one array of longs, two of them set for each key."""
 
+    bits: int
+    longs: Column
 
-def bloom(hashes: DataFrame) -> Column:
-    """A Bloom filter of column h: BITS bits as one array of longs, two bits a hash."""
-    bits = hashes.select(F.explode(F.array(*_bits_of(F.col("h")))).alias("b")).distinct()
+
+def _bits_of(h: Column, bits: int) -> tuple[Column, Column]:
+    return F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 24), F.lit(bits))
+
+
+def bloom(hashes: DataFrame) -> Bloom:
+    """A Bloom filter of column h, of a size that follows the number of its values."""
+    keys = hashes.select("h").distinct()
+    wanted = BITS_A_KEY * max(keys.count(), 1)
+    size = min(max(1 << (wanted - 1).bit_length(), LEAST_BITS), MOST_BITS)
+    bits = keys.select(F.explode(F.array(*_bits_of(F.col("h"), size))).alias("b")).distinct()
     one = F.expr("shiftleft(1L, cast(b % 64 as int))")
     filled = bits.groupBy((F.col("b") / 64).cast("int").alias("at")).agg(F.bit_or(one).alias("v")).collect()
-    longs = [0] * (BITS // 64)
+    longs = [0] * (size // 64)
     for row in filled:
         longs[row["at"]] = row["v"]
-    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
+    return Bloom(size, F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>"))
 
 
-def may_hold(mask: Column, h: Column) -> Column:
+def may_hold(mask: Bloom, h: Column) -> Column:
     def test(b: Column) -> Column:
-        return F.bit_get(F.get(mask, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1
+        return F.bit_get(F.get(mask.longs, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1
 
-    first, second = _bits_of(h)
+    first, second = _bits_of(h, mask.bits)
     return test(first) & test(second)
 
 

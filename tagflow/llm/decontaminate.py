@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tagflow.llm.common import ascii_words, bloom, cut, let, may_hold, row_key, text_key
+from tagflow.llm.common import Bloom, ascii_words, bloom, cut, let, may_hold, row_key, text_key
 
 WINDOW = 10
 SHINGLE = 3
@@ -45,7 +45,7 @@ def _shingles(w: Column, n: int) -> Column:
     )
 
 
-def _places(docs: DataFrame, masks: dict[int, Column], keep: list[str]) -> DataFrame:
+def _places(docs: DataFrame, masks: dict[int, Bloom], keep: list[str]) -> DataFrame:
     """`keep`, w, h, at: document positions whose shingle may be one of interest."""
     none = F.array().cast("array<struct<h:bigint,at:int>>")
     w = F.col("w")
@@ -84,25 +84,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, shingle: int
         every = part if every is None else every.unionByName(part)
     if every is None:
         every = windows.select("item_id", "win", "wk", F.lit(0).alias("off"), F.lit(0).cast("long").alias("h"))
-    # Candidate places of all shingles of all windows: the corpus side of the join, and its counts.
-    masks = {n: bloom(part) for n, part in inside.items()}
-    context = F.slice("w", F.greatest(F.col("at") - size + 1, F.lit(0)) + 1, F.lit(2 * size - 1))
-    places = cut(
-        _places(texts, masks, ["doc_id", "tk"])
-        .select(
-            "doc_id", "tk", "h", "at", context.alias("near"),
-            F.least(F.col("at"), F.lit(size - 1)).alias("before"),
-        )
-        .join(every.select("h").distinct(), "h", "left_semi")
-    )
-    rarity = places.groupBy("h").agg(F.count("*").alias("n"))
+    of_length = F.least(F.size("win"), F.lit(shingle))
+    seen = _places(texts, {n: bloom(part) for n, part in inside.items()}, []).groupBy("h").agg(F.count("*").alias("n"))
+    rarity = seen.join(every.select("h").distinct(), "h", "left_semi")
     order = Window.partitionBy("item_id", "wk", "win").orderBy(F.coalesce("n", F.lit(0)), "h", "off")
-    prefix = (
+    prefix = cut(
         every.join(rarity, "h", "left")
         .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") == 1)
+        .where((F.col("rank") == 1) & (F.col("n") > 0))
         .select("item_id", "win", "off", "h")
     )
+    masks = {n: bloom(prefix.where(of_length == n)) for n in lengths}
+    context = F.slice("w", F.greatest(F.col("at") - size + 1, F.lit(0)) + 1, F.lit(2 * size - 1))
+    places = _places(texts, masks, ["doc_id", "tk"]).select(
+        "doc_id", "tk", "h", "at", context.alias("near"), F.least(F.col("at"), F.lit(size - 1)).alias("before")
+    )
     start = F.col("before") - F.col("off")
     return (
         places.join(prefix, "h")
