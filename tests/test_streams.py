@@ -144,3 +144,70 @@ def test_rows_without_time_keep_the_first_attempts(spark, tmp_path):
     store.stream_write_series(stream, path, state).awaitTermination()
     times = {r["ts_ns"] for r in store.query_series(spark, path).collect()}
     assert times == {store.first_attempt_ns(spark, f"{state}-times/0")}
+
+
+class Kept:
+    """State variables of one key, with a count of the calls."""
+
+    def __init__(self):
+        self.value, self.map, self.calls, self.timers = None, {}, 0, set()
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls += 1
+            return self._do(name, *args)
+
+        return call
+
+    def _do(self, name, *args):
+        if name in ("getValueState", "getMapState"):
+            return self
+        if name == "get":
+            return self.value
+        if name in ("update", "clear"):
+            self.value = args[0] if args else None
+        elif name == "updateValue":
+            self.map[args[0]] = args[1]
+        elif name == "getValue":
+            return self.map[args[0]]
+        elif name == "removeKey":
+            del self.map[args[0]]
+        elif name == "registerTimer":
+            self.timers.add(args[0])
+        else:
+            assert name == "deleteTimer", name
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_waiting_rows_take_few_state_calls():
+    """Rows come out in order whatever way they arrive, in far fewer state calls than rows."""
+    import random
+
+    import pandas as pd
+
+    n = 5000
+    order = list(range(n))
+    random.Random(7).shuffle(order)
+    kept = Kept()
+    runner = stateful.Runner(stateful.K.Changes(0.0), ["device"], ["seq", "ts_ns", "value", "previous"], True)
+    runner.init(kept)
+    # One row a minute or two with the same time, so that every bucket of a minute holds one or two.
+    time_of = lambda i: i // 2 * 60_000 * MS
+    for at in range(0, n, 900):
+        some = order[at : at + 900]
+        pdf = pd.DataFrame({"row_ts": [time_of(i) for i in some], "row_tie": some, "row_cells": [{"v0": float(i), "v1": i} for i in some]})
+        assert list(runner.handleInputRows((1,), iter([pdf]), Clock(0))) == []
+    assert min(kept.timers) == 0 and kept.calls < 100
+    got = []
+    for ms in (60_000 * 700, 60_000 * 701, W.END_NS // MS + 1):
+        for out in runner.handleExpiredTimer((1,), Clock(ms), None):
+            got += out["seq"].tolist()
+        assert len(got) == min(n, 2 * (ms // 60_000 + 1))
+    assert got == list(range(n)) and kept.value is None and kept.map == {} and kept.calls < 200
