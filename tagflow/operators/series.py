@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tagflow.functions import text as X
 from tagflow.functions import values as V
-from tagflow.functions.stages import compute_once, join_on
+from tagflow.functions.stages import compute_once, join_on, let
 from tagflow.operators.points import has_error
 from tagflow.schemas import VALUE_T, SeriesMapping
 from tagflow.sources import messages as M
@@ -26,20 +26,25 @@ def select_fields(fields: Column, pairs: Sequence[tuple[str, str]]) -> Column:
     """Keep and rename map entries; no pairs keeps all, a later pair wins on its key."""
     if not pairs:
         return fields
-    wanted = F.array(
-        *[
-            F.struct(F.lit(key).alias("key"), F.map_contains_key(fields, source).alias("found"),
-                     F.try_element_at(fields, F.lit(source)).alias("value"))
-            for key, source in pairs
-            if key != ""
-        ]
-    ) if any(key != "" for key, _ in pairs) else None
-    if wanted is None:
+    kept = [(key, source) for key, source in pairs if key != ""]
+    if not kept:
         return F.when(fields.isNotNull(), F.map_filter(fields, lambda k, v: F.lit(False)))
-    present = F.filter(wanted, lambda w: w["found"])
-    return F.map_from_entries(
-        F.transform(present, lambda w: F.struct(w["key"].alias("key"), w["value"].alias("value")))
-    )
+
+    def chosen(whole: Column) -> Column:
+        wanted = F.array(
+            *[
+                F.struct(F.lit(key).alias("key"), F.map_contains_key(whole, source).alias("found"),
+                         F.try_element_at(whole, F.lit(source)).alias("value"))
+                for key, source in kept
+            ]
+        )
+        present = F.filter(wanted, lambda w: w["found"])
+        return F.map_from_entries(
+            F.transform(present, lambda w: F.struct(w["key"].alias("key"), w["value"].alias("value")))
+        )
+
+    # Bound once: the map may be a long expression, and every pair looks into it twice.
+    return let(fields, chosen)
 
 
 def render_tags(mapping: SeriesMapping, msg: Column, metadata: Column) -> Column:
@@ -120,8 +125,14 @@ def _flat_rows(rows: Column, mapping: SeriesMapping, default_ts: Column) -> Colu
     """Array of (fields, ts_ns), one per object that keeps at least one field."""
 
     def one(row: Column) -> Column:
+        return let(member_kind(row), lambda kind: timed(row, kind))
+
+    def member_kind(row: Column) -> Column:
+        return V.variant_kind(M.member(row, RESERVED_TIME))
+
+    def timed(row: Column, kind: Column) -> Column:
         stamp = M.member(row, RESERVED_TIME)
-        numeric = V.variant_kind(stamp).isin("int", "num")
+        numeric = kind.isin("int", "num")
         fields = select_fields(F.transform_values(row, lambda _, v: V.from_variant(v)), mapping.fields)
         kept = F.map_filter(
             fields, lambda k, _: (k != RESERVED_WINDOW) & ~((k == RESERVED_TIME) & numeric)
@@ -129,7 +140,7 @@ def _flat_rows(rows: Column, mapping: SeriesMapping, default_ts: Column) -> Colu
         ts = F.when(
             numeric,
             F.coalesce(
-                F.when(V.variant_kind(stamp) == "int", F.try_variant_get(stamp, "$", "bigint")),
+                F.when(kind == "int", F.try_variant_get(stamp, "$", "bigint")),
                 F.try_variant_get(stamp, "$", "double").try_cast("bigint"),
             ),
         )

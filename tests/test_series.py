@@ -146,3 +146,25 @@ def test_series_json(spark):
     assert {r["msg_id"]: r["reason"] for r in rejects.collect()} == {
         2: "no points in message", 3: "not readable as series JSON", 4: "wrong member type", 5: "wrong member type", 6: "wrong member type",
     }
+
+
+def test_flat_rows_are_read_once(spark):
+    """A field map is worked out once, however many fields are picked from it."""
+    rows = spark.createDataFrame([(1, '{"a":1,"b":"x","timestamp":7}', None)], "msg_id int, data string, metadata map<string,string>")
+
+    def made(*pairs):
+        return S.flat_to_series(rows, SeriesMapping("m", (), pairs), default_ts=F.lit(42))
+
+    mappings = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("transform_values")
+    four = made(("p", "a"), ("q", "b"), ("r", "a"), ("timestamp", "timestamp"))
+    assert mappings(four) == mappings(made(("p", "a")))
+    (row,) = four.collect()
+    assert row["ts_ns"] == 7 and {k: plain(v) for k, v in row["fields"].items()} == {"p": 1, "q": "x", "r": 1}
+
+
+def test_few_files_are_dealt_to_several_tasks_a_core(spark):
+    from fixtures import captures as C
+
+    rows = C.spread(spark.range(1000).coalesce(1))
+    assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    assert sorted(r["id"] for r in rows.collect()) == list(range(1000))
