@@ -72,6 +72,8 @@ def feed(buffer: bytes, received: bytes) -> tuple[bytes, list[tuple[bytes, str |
 # longest declared length (9999) with its head, checksum and line end.
 BLOCK = 1 << 15
 LONGEST = 9_999 + 12
+# Bytes of a block that heads are looked for in together.
+PIECE = 512
 # A head that can be a frame's: at least one digit, a sign in front of three.
 _HEAD = r"(?=##(?:\+[0-9]{3}|[0-9]{4}))"
 # Kinds of marks along a connection, in their order at one place.
@@ -90,7 +92,7 @@ def _placed(segments: DataFrame, keys: Sequence[str], seq: str, payload: str, wi
 
 
 def _blocks(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """keys, block, text: bytes (as Latin-1) of each block and of the longest frame behind it."""
+    """keys, block, data: bytes of each block and of the longest frame behind it."""
     reach = lambda at: F.call_function("div", F.greatest(at, F.lit(0)), F.lit(BLOCK).cast("bigint"))
     last = F.col("_at") + F.col("_size")
     parts = placed.withColumn("_block", F.explode(F.sequence(reach(F.col("_at") - LONGEST), reach(last - 1))))
@@ -100,18 +102,25 @@ def _blocks(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         parts.filter(high > low).groupBy(*keys, "_block")
         .agg(F.sort_array(F.collect_list(F.struct(low.alias("low"), text.alias("text")))).alias("_parts"))
-        .select(*keys, "_block", F.array_join("_parts.text", "").alias("_text"))
+        .select(*keys, "_block", F.encode(F.array_join("_parts.text", ""), "ISO-8859-1").alias("_data"))
     )
 
 
 def _heads(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, start, end of every place where a frame could begin; one that is not whole has no end."""
+    have = F.octet_length("_data")
+    # Places are looked for in short pieces, each with the rest of a head behind it: the work
+    # on a place goes with the length of the text it is looked up in.
+    piece = lambda i: F.decode(F.substring("_data", i * PIECE + 1, F.lit(PIECE + 5)), "ISO-8859-1")
+    number = F.sequence(F.lit(0), F.call_function("div", F.least(have, F.lit(BLOCK)) - 1, F.lit(PIECE)).cast("int"))
+    pieces = blocks.select(*keys, "_block", have.alias("_have"), F.posexplode(F.transform(number, piece)).alias("_piece", "_text"))
     cuts = F.split("_text", _HEAD, -1)
     grow = lambda done, part: F.concat(done, F.array(F.element_at(done, -1) + F.length(part)))
     starts = F.aggregate(cuts, F.array(F.lit(0)), grow)
-    found = F.filter(starts, lambda p: (p < BLOCK) & F.substring(F.col("_text"), p + 1, F.lit(6)).rlike(r"^##(?:\+[0-9]{3}|[0-9]{4})$"))
-    rows = blocks.select(*keys, "_block", F.length("_text").alias("_have"), F.explode(
-        F.transform(found, lambda p: F.struct(p.alias("p"), F.substring(F.col("_text"), p + 3, F.lit(4)).cast("int").alias("n")))
+    found = F.filter(starts, lambda p: (p < PIECE) & F.substring(F.col("_text"), p + 1, F.lit(6)).rlike(r"^##(?:\+[0-9]{3}|[0-9]{4})$"))
+    rows = pieces.filter(F.col("_text").contains("##")).select(*keys, "_block", "_have", F.explode(
+        F.transform(found, lambda p: F.struct(
+            (F.col("_piece") * PIECE + p).alias("p"), F.substring(F.col("_text"), p + 3, F.lit(4)).cast("int").alias("n")))
     ).alias("h")).filter("h.n > 0")
     start, size = F.col("_block") * BLOCK + F.col("h.p"), F.col("h.n") + 12
     return rows.select(
@@ -121,11 +130,11 @@ def _heads(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _waiting(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
     """keys, place: where the last bytes of a connection may begin a frame whose head has not come."""
-    have = F.length("_text")
+    have = F.octet_length("_data")
     tail = F.greatest(have - 5, F.lit(0))
     ends = blocks.select(*keys, F.struct(
         (F.col("_block") * BLOCK + have).alias("reach"), (-F.col("_block")).alias("first"),
-        (F.col("_block") * BLOCK + tail).alias("from"), F.substring("_text", tail + 1, F.lit(5)).alias("text"),
+        (F.col("_block") * BLOCK + tail).alias("from"), F.decode(F.substring("_data", tail + 1, F.lit(5)), "ISO-8859-1").alias("text"),
     ).alias("t")).groupBy(*keys).agg(F.max("t").alias("t"))
     spots = F.filter(F.sequence(F.lit(0), F.lit(4)), lambda i: (F.substring(F.col("t.text"), i + 1, F.lit(2)) == "##") | (
         (i + 1 == F.length("t.text")) & (F.substring(F.col("t.text"), i + 1, F.lit(1)) == "#")))
@@ -179,11 +188,11 @@ def cut_segments(
         *keys, "_block", F.struct("_here.seq", "frame_no", "_start", "_pos").alias("f")
     )
     spans = whole.groupBy(*keys, "_block").agg(F.collect_list("f").alias("_frames"))
-    cut = join_on(blocks, spans, [*keys, "_block"]).select(*keys, "_text", "_block", F.explode("_frames").alias("f"))
+    cut = join_on(blocks, spans, [*keys, "_block"]).select(*keys, "_data", "_block", F.explode("_frames").alias("f"))
     first = (F.col("f._start") - F.col("_block") * BLOCK + 1).cast("int")
     made = cut.select(
         *keys, F.col("f.seq").alias(seq), F.col("f.frame_no").alias("frame_no"),
-        F.encode(F.substring("_text", first, (F.col("f._pos") - F.col("f._start")).cast("int")), "ISO-8859-1").alias("bytes"),
+        F.substring("_data", first, (F.col("f._pos") - F.col("f._start")).cast("int")).alias("bytes"),
         F.lit(None).cast("string").alias("reason"),
     )
     outside = rows.filter((F.col("_to") > F.col("_pos")) & ~F.coalesce("_inside", F.lit(False)) & F.col("_here").isNotNull())

@@ -254,3 +254,15 @@ def test_traps(spark):
         2: "not one JSON value", 3: "not one JSON value", 4: "a variable is no object", 5: "no list of variables",
         6: "not one JSON value", 7: "no list of variables",
     }
+
+
+def test_heads_over_the_borders_of_pieces(spark):
+    """A head is found wherever it lies to the pieces of a block that are searched."""
+    short = b"##0004abcdCRCC\r\n"
+    for lead in (0, 1, hj212.PIECE - 6, hj212.PIECE - 3, hj212.PIECE - 1, hj212.PIECE, hj212.BLOCK - hj212.PIECE - 2, hj212.BLOCK - 1):
+        data = b"x" * lead + b"#" + short + b"##+004" + short[6:] + b"\xff" + short
+        rows = spark.createDataFrame([(1, 1, bytearray(data))], "conn int, seq int, bytes binary")
+        blocks = hj212._blocks(rows.selectExpr("conn", "seq _seq", "bytes _bytes", "bigint(0) _at", "bigint(octet_length(bytes)) _size"), ["conn"])
+        got = sorted((r["_start"], r["_end"]) for r in hj212._heads(blocks, ["conn"]).collect() if r["_end"] < hj212.OPEN)
+        at = lead + 1
+        assert got == [(at, at + 16), (at + 16, at + 32), (at + 33, at + 49)], lead
