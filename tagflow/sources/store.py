@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tagflow.operators.series import valid_fields, write_time_ns
+from tagflow.session import write_sized
 from tagflow.sources import commits
 
 
@@ -97,7 +98,8 @@ def _write_stored(stored: DataFrame, path: str, mode: str, rebalance: bool, layo
     writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
     for name in ("series_id", *layout.tag_columns.values()):
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
-    writer.partitionBy(*layout.folders).parquet(path)
+    with write_sized(stored.sparkSession):
+        writer.partitionBy(*layout.folders).parquet(path)
 
 
 def query_series(

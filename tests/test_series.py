@@ -168,3 +168,13 @@ def test_few_files_are_dealt_to_several_tasks_a_core(spark):
     rows = C.spread(spark.range(1000).coalesce(1))
     assert rows.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
     assert sorted(r["id"] for r in rows.collect()) == list(range(1000))
+
+
+def test_many_rows_are_dealt_to_more_tasks(spark, monkeypatch):
+    from fixtures import captures as C
+
+    monkeypatch.setattr(C, "ROWS_A_TASK", 10)
+    rows = spark.range(995).select("id", (F.col("id") % 3).alias("x")).unionByName(spark.range(5).select(F.lit(None).cast("long").alias("id"), F.lit(1).cast("long").alias("x")))
+    dealt = C.spread(rows.coalesce(1), "id")
+    assert dealt.rdd.getNumPartitions() == 100
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
