@@ -67,6 +67,16 @@ def variant_kind(value: Column) -> Column:
     return let(F.to_json(value), _kind_of_json)
 
 
+# What schema_of_variant calls a value of these kinds; numbers may also have other names.
+_PLAIN = {"null": "VOID", "str": "STRING", "int": "BIGINT", "bool": "BOOLEAN"}
+
+
+def is_kind(value: Column, *kinds: str) -> Column:
+    """True when `variant_kind` is one of ``kinds``; values are written out only where the type's name leaves it open."""
+    plain = F.coalesce(F.schema_of_variant(value), F.lit("VOID")).isin(*[_PLAIN[k] for k in kinds if k in _PLAIN])
+    return plain | variant_kind(value).isin(*kinds)
+
+
 def from_variant(value: Column) -> Column:
     """JSON variant to VALUE_T.
 

@@ -98,8 +98,9 @@ def pivot_points(
         "ts_ns",
     )
     # A batch is mapped if a good point of it is selected; that takes no pivot.
-    sources = [source for key, source in mapping.fields if key != ""]
-    selected = good.filter(F.col("name").isin(*sources)) if mapping.fields else good
+    sources = [source for key, source in mapping.fields if key != "" and source != ""]
+    # Names first: only points of a listed name have their error read.
+    selected = points.filter(F.col("name").isin(*sources) & ~has_error(F.col("error"))) if mapping.fields else good
     return series, join_on(points, selected.select(*keys).distinct(), keys, "left_anti")
 
 

@@ -59,9 +59,9 @@ def _readable_points(rows: Column) -> Column:
 
     def readable(row: Column) -> Column:
         return (
-            V.variant_kind(member(row, "name")).isin("null", "str")
-            & V.variant_kind(member(row, "error")).isin("null", "str")
-            & V.variant_kind(member(row, "timestamp")).isin("null", "int")
+            V.is_kind(member(row, "name"), "null", "str")
+            & V.is_kind(member(row, "error"), "null", "str")
+            & V.is_kind(member(row, "timestamp"), "null", "int")
         )
 
     return F.forall(rows, lambda r: F.coalesce(readable(r), F.lit(True)))

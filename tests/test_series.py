@@ -178,3 +178,27 @@ def test_many_rows_are_dealt_to_more_tasks(spark, monkeypatch):
     dealt = C.spread(rows.coalesce(1), "id")
     assert dealt.rdd.getNumPartitions() == 100
     assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_kind_tests_agree_with_the_kind(spark):
+    """Told by the type's name or by the written value, a kind is the same: 1.0 and 4e2 count as written out."""
+    texts = ["null", '"a"', '"7"', '""', "7", "-3", "9223372036854775807", "9223372036854775808", "1.0", "1.5", "4e2", "true", "{}", '[1,"b"]', None]
+    kinds = ["null", "str", "int", "num", "bool", "json"]
+    v = F.try_parse_json("t")
+    tests = [V.is_kind(v, k).alias(k) for k in kinds] + [V.is_kind(v, "null", "int").alias("both")]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(V.variant_kind(v).alias("kind"), *tests).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert [k for k in kinds if r[k]] == [r["kind"]] and r["both"] == (r["kind"] in ("null", "int"))
+
+
+def test_passed_batches_read_errors_of_listed_names_only(spark):
+    """A batch passes unless a good point of it is listed; the error is looked at behind the name, once for each point."""
+    texts = ['[{"name":"a","error":""}]', '[{"name":"a","error":"x"},{"name":"z"}]', '[{"name":"z","value":1},{"name":""}]', '[{"name":"z"},{"name":null},{"name":"a"}]']
+    mapping = SeriesMapping("m", (), (("b", "a"), ("", "z"), ("c", "")))
+    _, rest = S.pivot_points(M.read_points(messages(spark, *texts)), mapping)
+    assert sorted((r["msg_id"], r["pos"]) for r in rest.select("msg_id", "pos").collect()) == [(1, 0), (1, 1), (2, 0), (2, 1)]
+    plan = rest._jdf.queryExecution().optimizedPlan().toString()
+    tests = [line for line in plan.splitlines() if "Filter" in line and " IN (" in line or "Filter" in line and "name" in line and "error" in line]
+    read = [line for line in tests if "element_at(_row" in line]
+    assert read and all(line.index("name") < line.index("error") for line in read)
