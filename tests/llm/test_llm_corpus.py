@@ -224,6 +224,26 @@ def test_backoff_against_counts(spark):
     assert backoff.score(docs.limit(0)).count() == 0
 
 
+def test_backoff_reads_nothing_ahead_and_has_one_table(spark):
+    docs = made(spark, ["a", "a b", "b a b", "a b", None, " "])
+    spark.sparkContext.setJobGroup("backoff plans", "")
+    try:
+        got = backoff.score(docs)
+        known = backoff.table(docs, 3, 1, 0.4, 1)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # No pass over the texts for the number of words: it comes from the counts of single words.
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup("backoff plans"))
+    # Every place is in the longest table, also where a text begins: a, a b, b, b a, b a b.
+    assert known.count() == known.select("h").distinct().count() == 5
+    a, ab = math.log(3 / 7), math.log(2 / 3)
+    want = {0: (1, 0, a), 1: (2, 0, a + ab), 2: (3, 2, a + math.log(0.4 * 3 / 7) + math.log(0.4) + ab), 3: (2, 0, a + ab), 4: (0, 0, 0.0), 5: (0, 0, 0.0)}
+    rows = {r["doc_id"]: r for r in got.collect()}
+    assert rows.keys() == want.keys()
+    for i, (n, off, score) in want.items():
+        assert (rows[i]["n_words"], rows[i]["n_backed_off"]) == (n, off) and math.isclose(rows[i]["log_score"], score, abs_tol=1e-9)
+
+
 def test_backoff_of_repeated_and_long_rows(spark):
     docs = made(spark, ["a b a c"] * 2 + [None, "word " * 60_000]).where("doc_id > 0")
     same = spark.range(10_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("a b c").alias("text"))
