@@ -178,6 +178,11 @@ def test_many_rows_are_dealt_to_more_tasks(spark, monkeypatch):
     dealt = C.spread(rows.coalesce(1), "id")
     assert dealt.rdd.getNumPartitions() == 100
     assert sorted(map(str, dealt.collect())) == sorted(map(str, rows.collect()))
+    # Rows that go on one by one need tasks for each core only, so a table in enough files is not moved.
+    few = C.spread(rows.coalesce(1), "id", streamed=True)
+    assert few.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism < 100
+    there = rows.repartition(4 * spark.sparkContext.defaultParallelism)
+    assert C.spread(there, "id", streamed=True) is there and C.spread(there, "id").rdd.getNumPartitions() == 100
 
 
 def test_kind_tests_agree_with_the_kind(spark):
