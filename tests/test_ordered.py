@@ -232,3 +232,13 @@ def test_frames_by_scan(spark):
         noise[r["conn"]] = noise.get(r["conn"], b"") + bytes(r["bytes"])
     assert noise == {c: b for c, b in outside.items() if b}
     assert cut_segments(df.limit(0)).count() == 0
+
+
+def test_products_half_way_do_not_follow_the_order_of_rows(spark):
+    """58.01125 * 22.702 is 1316.9713975; the averages come with or without an error in the last digit."""
+    from entry_queries.windows import product
+
+    rows = [(v, c) for v in (58.01124999999999, 58.01125, 58.011250000000004) for c in (22.701999999999998, 22.702, 22.702000000000005)]
+    got = spark.createDataFrame(rows, "view double, click double").select(product().alias("p")).collect()
+    assert {r["p"] for r in got} == {1316.971398}
+    assert spark.createDataFrame([(58.0112, 22.7019)], "view double, click double").select(product().alias("p")).first()["p"] == 1316.964461
